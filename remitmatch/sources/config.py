@@ -1,0 +1,47 @@
+"""Matcher settings: the active row and the named presets."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Default look-back and tolerance, and the four presets.
+DEFAULT_DAYS_WINDOW = 60
+DEFAULT_TOLERANCE = "50.00"
+PRESETS = [("03a", 60, "50.00"), ("03b", 60, "100.00"), ("03c", 120, "50.00"), ("03d", 120, "100.00")]
+
+
+def _rows(spark: SparkSession, presets: list[tuple[str | None, int, str]]) -> DataFrame:
+    settings = F.array(
+        *[
+            F.struct(
+                F.lit(name).cast("string").alias("scenario"),
+                F.lit(days).alias("days_window"),
+                F.lit(tolerance).cast("decimal(18,2)").alias("tolerance_amount"),
+            )
+            for name, days, tolerance in presets
+        ]
+    )
+    return spark.range(1).select(F.inline(settings))
+
+
+def default_config(
+    spark: SparkSession,
+    days_window: int = DEFAULT_DAYS_WINDOW,
+    tolerance: str = DEFAULT_TOLERANCE,
+) -> DataFrame:
+    """The one-row configuration used when none is stored."""
+    return _rows(spark, [("active", days_window, tolerance)])
+
+
+def scenario_presets(spark: SparkSession) -> DataFrame:
+    """The four named settings, narrow to broad."""
+    return _rows(spark, PRESETS)
+
+
+def active_config(stored: DataFrame) -> DataFrame:
+    """The row with id 1 of a stored configuration table."""
+    return stored.where("id = 1").select(
+        F.lit("active").alias("scenario"), "days_window",
+        F.col("tolerance_amount").cast("decimal(18,2)").alias("tolerance_amount"),
+    )
