@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from remitmatch.harness.testdata import flat_tables
 from remitmatch.plans import recon
-from remitmatch.sources.config import default_config, scenario_presets
+from remitmatch.settings import DEFAULT, PRESETS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,12 +41,12 @@ def query(build: Query) -> Query:
 
 @query
 def recon_results(spark, sf_dir):
-    return recon.recon_results(flat_tables(spark, sf_dir), default_config(spark))
+    return recon.recon_results(flat_tables(spark, sf_dir), [DEFAULT])
 
 
 @query
 def recon_scenarios(spark, sf_dir):
-    return recon.recon_scenarios(flat_tables(spark, sf_dir), scenario_presets(spark))
+    return recon.recon_scenarios(flat_tables(spark, sf_dir), PRESETS)
 
 
 @query

@@ -80,7 +80,7 @@ def flat_tables(spark: SparkSession, sf_dir: str, owners: bool = False) -> dict[
                 (F.sum(_money("l_extendedprice")) * F.lit(rate).cast("decimal(3,2)"))
                 .cast(MONEY)
                 .alias("credit_amount"),
-                F.max("l_linestatus").alias("status"),
+                F.bool_and(F.col("l_linestatus") == "F").alias("finished"),
                 F.min("l_partkey").alias("part"),
             )
             .withColumn("line_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
@@ -96,7 +96,7 @@ def flat_tables(spark: SparkSession, sf_dir: str, owners: bool = False) -> dict[
         F.col("line_id").alias("credit_id"),
         *owner_column,
         "credit_amount",
-        F.when(F.col("status") == "F", F.col("l_orderkey")).alias("applied_invoice_id"),
+        F.when(F.col("finished"), F.col("l_orderkey")).alias("applied_invoice_id"),
     )
     returns = lines("R", 2, "0.05").select(
         F.col("line_id").alias("return_id"),

@@ -11,7 +11,7 @@ three levels and added up:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitmatch.schemas import TOTAL
@@ -21,95 +21,92 @@ DAY = ["customer_id", "invoice_date"]
 CHUNK = [*DAY, "chunk"]
 
 
-def block_of(date: str | Column, width: Column) -> Column:
+def block_of(date: str, width: str) -> str:
     """Number of the ``width``-day block a date falls in."""
-    return F.floor(F.unix_date(date) / width)
+    return f"floor(unix_date({date}) / {width})"
 
 
-def own_and_next_block(date: str | Column, width: Column) -> Column:
+def own_and_next_block(date: str, width: str) -> str:
     """Blocks whose payments can look back on this date.
 
     A look-back window of ``width`` days that ends in block b starts in b or b-1, so an
     invoice is needed by the payments of its own block and of the next, and of no other.
     """
     block = block_of(date, width)
-    return F.explode(F.array(block, block + 1))
+    return f"explode(array({block}, {block} + 1))"
 
 
 def running_in_chunks(invoices: DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFrame:
     """Each invoice with its row number, running net due and running maximum in its chunk."""
-    upto = Window.partitionBy(*CHUNK).orderBy("invoice_id")
-    here = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = upto.rowsBetween(Window.unboundedPreceding, -1)
+    upto = "PARTITION BY customer_id, invoice_date, chunk ORDER BY invoice_id"
+    here = f"{upto} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    before = f"{upto} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     return (
-        invoices.withColumn("chunk", F.shiftright("invoice_id", chunk_bits))
-        .withColumn("chunk_seq", F.row_number().over(upto))
-        .withColumn("chunk_run", F.sum("invoice_net_due").over(here).cast(TOTAL))
-        .withColumn("chunk_high", F.max("chunk_run").over(here))
-        .withColumn("chunk_high_before", F.max("chunk_run").over(before))
+        invoices.selectExpr("*", f"shiftright(invoice_id, {chunk_bits}) AS chunk")
+        .selectExpr(
+            "*",
+            f"row_number() OVER ({upto}) AS chunk_seq",
+            f"CAST(sum(invoice_net_due) OVER ({here}) AS DECIMAL(28,2)) AS chunk_run",
+        )
+        .selectExpr("*", f"max(chunk_run) OVER ({before}) AS chunk_high_before")
     )
 
 
 def chunk_totals(rows: DataFrame) -> DataFrame:
     """One row per chunk with what its (customer, date) holds before it."""
-    earlier = (
-        Window.partitionBy(*DAY)
-        .orderBy("chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    day = "PARTITION BY customer_id, invoice_date"
+    earlier = f"{day} ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     return (
         rows.groupBy(*CHUNK)
         .agg(
-            F.count("*").alias("chunk_n"),
-            F.sum("invoice_net_due").cast(TOTAL).alias("chunk_sum"),
-            F.max("chunk_run").alias("chunk_top"),
+            F.expr("count(*) AS chunk_n"),
+            F.expr("CAST(sum(invoice_net_due) AS DECIMAL(28,2)) AS chunk_sum"),
+            F.expr("max(chunk_run) AS chunk_top"),
         )
-        .withColumn("n_before", F.coalesce(F.sum("chunk_n").over(earlier), F.lit(0)))
-        .withColumn(
-            "sum_before",
-            F.coalesce(F.sum("chunk_sum").over(earlier), F.lit(0)).cast(TOTAL),
+        .selectExpr(
+            "*",
+            f"coalesce(sum(chunk_n) OVER ({earlier}), 0) AS n_before",
+            f"CAST(coalesce(sum(chunk_sum) OVER ({earlier}), 0) AS DECIMAL(28,2)) AS sum_before",
+        )
+        .selectExpr("*", "CAST(sum_before + chunk_top AS DECIMAL(28,2)) AS top")
+        .selectExpr(
+            "*", f"max(top) OVER ({earlier}) AS high_before", f"max(top) OVER ({day}) AS day_high"
         )
-        .withColumn("top", (F.col("sum_before") + F.col("chunk_top")).cast(TOTAL))
-        .withColumn("high_before", F.max("top").over(earlier))
-        .withColumn("day_high", F.max("top").over(Window.partitionBy(*DAY)))
     )
 
 
 def day_totals(chunks: DataFrame) -> DataFrame:
     """One row per (customer, date): count, net due and highest running total of the day."""
     return chunks.groupBy(*DAY).agg(
-        F.sum("chunk_n").alias("day_n"),
-        F.sum("chunk_sum").cast(TOTAL).alias("day_sum"),
-        F.max("top").alias("day_high"),
+        F.expr("sum(chunk_n) AS day_n"),
+        F.expr("CAST(sum(chunk_sum) AS DECIMAL(28,2)) AS day_sum"),
+        F.expr("max(top) AS day_high"),
     )
 
 
-def customer_positions(invoices: DataFrame, chunk_bits: int = CHUNK_BITS) -> tuple[DataFrame, DataFrame]:
+def customer_positions(
+    invoices: DataFrame, chunk_bits: int = CHUNK_BITS
+) -> tuple[DataFrame, DataFrame]:
     """(invoices with ``position`` and ``running`` over the whole customer, day offsets)."""
     rows = running_in_chunks(invoices, chunk_bits)
     chunks = chunk_totals(rows)
     earlier = (
-        Window.partitionBy("customer_id")
-        .orderBy("invoice_date")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        "PARTITION BY customer_id ORDER BY invoice_date "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     )
-    days = (
-        day_totals(chunks)
-        .withColumn("n_start", F.coalesce(F.sum("day_n").over(earlier), F.lit(0)))
-        .withColumn(
-            "sum_start", F.coalesce(F.sum("day_sum").over(earlier), F.lit(0)).cast(TOTAL)
-        )
-        .select(*DAY, "n_start", "sum_start")
+    days = day_totals(chunks).selectExpr(
+        *DAY,
+        f"coalesce(sum(day_n) OVER ({earlier}), 0) AS n_start",
+        f"CAST(coalesce(sum(day_sum) OVER ({earlier}), 0) AS DECIMAL(28,2)) AS sum_start",
     )
-    offsets = (
-        chunks.join(days, DAY)
-        .withColumn("n_offset", F.col("n_start") + F.col("n_before"))
-        .withColumn("sum_offset", (F.col("sum_start") + F.col("sum_before")).cast(TOTAL))
-        .select(*CHUNK, "n_offset", "sum_offset")
+    offsets = chunks.join(days, DAY).selectExpr(
+        *CHUNK,
+        "n_start + n_before AS n_offset",
+        "CAST(sum_start + sum_before AS DECIMAL(28,2)) AS sum_offset",
     )
-    placed = (
-        rows.join(offsets, CHUNK)
-        .withColumn("position", F.col("n_offset") + F.col("chunk_seq"))
-        .withColumn("running", (F.col("sum_offset") + F.col("chunk_run")).cast(TOTAL))
+    placed = rows.join(offsets, CHUNK).selectExpr(
+        "*",
+        "n_offset + chunk_seq AS position",
+        "CAST(sum_offset + chunk_run AS DECIMAL(28,2)) AS running",
     )
     return placed, days

@@ -16,19 +16,19 @@ An entry is one invoice, or, for a date on which the customer has more than
 ``inline_limit`` invoices (a *deep* day), one summary of that date. So an array holds at
 most ``2 * (days_window + 1) * inline_limit`` entries, whatever the customer's size.
 
-Only payments that see a deep day go on to two exact look-ups, both of which sort and
-never pair:
-
-* the crossing invoice inside a deep day, from its running maximum (``_crossings``);
-* the closest amount among deep days, over a power-of-two cover of the window
-  (``_closest``).
-
-Where there are no deep days, these branches are empty and adaptive execution drops them.
+Only payments that see a deep day go on to an exact look-up that sorts and never pairs
+(``_look_up``): the crossing invoice inside a deep day is found by the day's running
+maximum, the closest amount over a cover of the window by runs of 1, 2, 4, ... days. The
+groups it sorts are cut by day, by amount and by running total, so neither a hot customer
+nor a hot date ends up in one task. Where there are no deep days this branch is empty and
+adaptive execution drops it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remitmatch.operators.ledger import (
@@ -42,7 +42,7 @@ from remitmatch.operators.ledger import (
     running_in_chunks,
 )
 from remitmatch.operators.netting import invoice_net_due
-from remitmatch.schemas import MONEY, TOTAL
+from remitmatch.settings import Setting
 
 INLINE_LIMIT = 16
 BAND_ROWS = 65536
@@ -50,359 +50,320 @@ BAND_ROWS = 65536
 # What decides a payment's outcome; payments alike in all four share one look-up.
 QUERY = ["customer_id", "payment_date", "payment_amount", "setting_no"]
 
+HIT = (
+    "struct<deep:boolean,day:date,invoice_id:bigint,n:bigint,"
+    "high:decimal(28,2),before:decimal(28,2),running:decimal(28,2)>"
+)
+PLACE = "struct<span:int,node:int,slice:bigint,value:decimal(28,2)>"
 
-def _widest(config: DataFrame) -> Column:
-    """Length in days of the longest look-back, both ends counted."""
-    return config.agg(F.max("days_window")).scalar() + F.lit(1)
 
+def _width(settings: list[Setting]) -> str:
+    """Length in days of the longest look-back, both ends counted; NULL without settings."""
+    return str(max((s.days_window + 1 for s in settings), default="CAST(NULL AS INT)"))
 
-def _settings(config: DataFrame) -> Column:
-    """All configured (window, tolerance) pairs as one array value."""
-    return config.agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    "scenario",
-                    "days_window",
-                    F.col("tolerance_amount").cast(MONEY).alias("tolerance"),
-                )
-            )
-        )
-    ).scalar()
 
+def _setting_array(settings: list[Setting]) -> str:
+    rows = ", ".join(
+        f"struct('{s.scenario}', {s.days_window}, CAST({s.tolerance} AS DECIMAL(18,2)))"
+        for s in settings
+    )
+    return (
+        f"CAST(array({rows}) AS "
+        "array<struct<scenario:string,days_window:int,tolerance:decimal(18,2)>>)"
+    )
 
-def _entry(day, invoice_id, net, n, high, deep) -> Column:
-    return F.struct(
-        F.col(day).alias("day"),
-        invoice_id.cast("bigint").alias("invoice_id"),
-        F.col(net).cast(TOTAL).alias("net"),
-        n.cast("bigint").alias("n"),
-        F.col(high).cast(TOTAL).alias("high"),
-        F.lit(deep).alias("deep"),
-    ).alias("entry")
 
+def _spans(settings: list[Setting]) -> str:
+    """Exponents of the aligned day runs that fit into the longest look-back."""
+    longest = max((s.days_window for s in settings), default=0) + 1
+    return f"sequence(0, {longest.bit_length() - 1})"
 
-def _blocks(inline: DataFrame, deep_days: DataFrame, width: Column) -> DataFrame:
-    """One row per (customer, block): the sorted entries its payments can look back on."""
-    entries = inline.select(
+
+def _amount_slice(amount: str, settings: list[Setting]) -> str:
+    """Slice of an amount; payment +- tolerance never touches more than two of them."""
+    widest = max((s.tolerance for s in settings), default=Decimal(0))
+    return f"floor(CAST(({amount}) * 100 AS BIGINT) / {int(widest * 200) + 1})"
+
+
+def _band(value: str, high: str, bands: str) -> str:
+    """Which of ``bands`` equal slices of (0, high] a running total falls in."""
+    slot = f"floor(CAST({value} AS DOUBLE) * {bands} / CAST({high} AS DOUBLE))"
+    return f"CASE WHEN {high} > 0 THEN least(greatest({slot}, 0), {bands} - 1) ELSE 0L END"
+
+
+def _place(span: str, node: str, part: str, value: str) -> str:
+    return f"CAST(struct({span}, {node}, {part}, {value}) AS {PLACE})"
+
+
+def _entries(rows: DataFrame, width: str, *values: str) -> DataFrame:
+    """Rows as ledger entries, in every block whose payments can look back on them."""
+    return rows.selectExpr(
         "customer_id",
-        own_and_next_block("invoice_date", width).alias("block"),
-        _entry("invoice_date", F.col("invoice_id"), "invoice_net_due", F.lit(1),
-               "invoice_net_due", False),
-    ).unionByName(
-        deep_days.select(
-            "customer_id",
-            own_and_next_block("invoice_date", width).alias("block"),
-            _entry("invoice_date", F.lit(None), "day_sum", F.col("day_n"), "day_high", True),
-        )
+        f"{own_and_next_block('invoice_date', width)} AS block",
+        f"""CAST(struct({', '.join(values)}) AS struct<
+            day:date,invoice_id:bigint,net:decimal(28,2),n:bigint,high:decimal(28,2),deep:boolean
+        >) AS entry""",
     )
-    return entries.groupBy("customer_id", "block").agg(
-        F.sort_array(F.collect_list("entry")).alias("entries"),
-        F.bool_or("entry.deep").alias("has_deep"),
+
+
+def _invoice_entries(invoices: DataFrame, width: str) -> DataFrame:
+    return _entries(
+        invoices, width,
+        "invoice_date", "invoice_id", "invoice_net_due", "1", "invoice_net_due", "false",
     )
 
 
-def _nothing_crossed() -> Column:
-    return F.struct(
-        F.lit(0).cast(TOTAL).alias("run"),
-        F.lit(None)
-        .cast(
-            "struct<deep:boolean,day:date,invoice_id:bigint,n:bigint,"
-            "high:decimal(28,2),before:decimal(28,2),running:decimal(28,2)>"
+def _day_entries(days: DataFrame, width: str) -> DataFrame:
+    return _entries(days, width, "invoice_date", "NULL", "day_sum", "day_n", "day_high", "true")
+
+
+def _blocks(entries: DataFrame) -> DataFrame:
+    """One row per (customer, block): the sorted entries its payments can look back on."""
+    # This side grows with the invoices, so it is never a broadcast.
+    return (
+        entries.groupBy("customer_id", "block")
+        .agg(
+            F.expr("sort_array(collect_list(entry)) AS entries"),
+            F.expr("bool_or(entry.deep) AS has_deep"),
         )
-        .alias("hit"),
+        .hint("merge")
     )
 
 
-def _read_window(joined: DataFrame, settings: Column) -> DataFrame:
+def _read_window(joined: DataFrame, settings: list[Setting]) -> DataFrame:
     """Per payment and setting: count, sum, closest inline invoice and crossing entry."""
-    amount = F.col("payment_amount").cast(TOTAL)
-
-    def step(state: Column, entry: Column) -> Column:
-        after = (state.run + entry.net).cast(TOTAL)
-        hit = F.struct(
-            entry.deep.alias("deep"),
-            entry.day.alias("day"),
-            entry.invoice_id.alias("invoice_id"),
-            entry.n.alias("n"),
-            entry.high.alias("high"),
-            state.run.alias("before"),
-            after.alias("running"),
-        )
-        reached = (state.run + entry.high) >= amount
-        return F.when(state.hit.isNotNull(), state).otherwise(
-            F.struct(after.alias("run"), F.when(reached, hit).alias("hit"))
-        )
-
+    crossing = f"""
+        aggregate(
+            window,
+            CAST(struct(0, NULL) AS struct<run:decimal(28,2),hit:{HIT}>),
+            (state, e) -> CASE WHEN state.hit IS NOT NULL THEN state ELSE CAST(struct(
+                state.run + e.net,
+                CASE WHEN state.run + e.high >= payment_amount THEN struct(
+                    e.deep, e.day, e.invoice_id, e.n, e.high, state.run, state.run + e.net
+                ) END
+            ) AS struct<run:decimal(28,2),hit:{HIT}>) END,
+            state -> state.hit
+        )"""
+    closest = """
+        array_min(transform(
+            filter(window, e -> NOT e.deep),
+            e -> CAST(struct(abs(payment_amount - e.net), e.invoice_id, e.net)
+                      AS struct<abs_diff:decimal(28,2),invoice_id:bigint,net:decimal(28,2)>)
+        ))"""
+    total = """
+        aggregate(window, CAST(0 AS DECIMAL(28,2)), (total, e) -> CAST(total + e.net AS DECIMAL(28,2)))"""
     return (
-        joined.select("*", F.posexplode_outer(settings).alias("setting_no", "setting"))
-        .withColumn(
-            "window",
-            F.filter(
-                "entries",
-                lambda e: e.day.between(
-                    F.date_sub("payment_date", F.col("setting.days_window")),
-                    F.col("payment_date"),
-                ),
-            ),
+        joined.selectExpr("*", f"posexplode_outer({_setting_array(settings)}) AS (setting_no, setting)")
+        .selectExpr(
+            "payment_id", "customer_id", "payment_date", "payment_amount", "setting_no",
+            "setting.*",
+            """filter(entries, e -> e.day BETWEEN date_sub(payment_date, setting.days_window)
+                                              AND payment_date) AS window""",
         )
-        .withColumn("found", F.coalesce(F.size("window"), F.lit(0)) > 0)
-        .select(
+        .selectExpr(
             "payment_id", "customer_id", "payment_date", "payment_amount", "setting_no",
-            F.col("setting.scenario").alias("scenario"),
-            F.col("setting.days_window").alias("days_window"),
-            F.col("setting.tolerance").alias("tolerance"),
-            F.when(
-                F.col("found"),
-                F.aggregate("window", F.lit(0).cast("bigint"), lambda a, e: a + e.n),
-            ).alias("eligible_invoice_count"),
-            F.when(
-                F.col("found"),
-                F.aggregate(
-                    "window", F.lit(0).cast(TOTAL), lambda a, e: (a + e.net).cast(TOTAL)
-                ),
-            ).alias("sum_net_due"),
-            F.array_min(
-                F.transform(
-                    F.filter("window", lambda e: ~e.deep),
-                    lambda e: F.struct(
-                        F.abs(amount - e.net).cast(TOTAL).alias("abs_diff"),
-                        e.invoice_id.alias("invoice_id"),
-                        e.net.alias("net"),
-                    ),
-                )
-            ).alias("closest"),
-            F.aggregate("window", _nothing_crossed(), step, lambda state: state.hit).alias("cut"),
+            "scenario", "days_window", "tolerance",
+            "CASE WHEN size(window) > 0 THEN aggregate(window, 0L, (n, e) -> n + e.n) END"
+            " AS eligible_invoice_count",
+            f"CASE WHEN size(window) > 0 THEN {total} END AS sum_net_due",
+            f"{closest} AS closest",
+            f"{crossing} AS cut",
         )
     )
 
 
-def _band(value: Column, high: Column, bands: Column) -> Column:
-    """Which of ``bands`` equal slices of (0, high] a running total falls in."""
-    slot = F.floor(value.cast("double") * bands / high.cast("double"))
-    return F.when(high > 0, F.least(F.greatest(slot, F.lit(0)), bands - 1)).otherwise(F.lit(0))
-
-
-def _crossings(queries: DataFrame, rows: DataFrame, chunks: DataFrame, band_rows: int) -> DataFrame:
-    """First invoice of a deep day whose running total reaches what the payment still needs.
+def _index(
+    rows: DataFrame, chunks: DataFrame, band_rows: int, settings: list[Setting]
+) -> DataFrame:
+    """Deep-day invoices filed under every group in which a payment may look them up.
 
-    Only invoices that raise the day's running maximum can be first, and the maximum only
-    grows, so the answer is the record with the smallest maximum that is enough. Records
-    and queries meet in slices of the day's running total, about ``band_rows`` invoices
-    each, so a hot date is spread over many tasks.
+    Under span -1, a day's *records*: the invoices that raise its running total to a new
+    maximum, by the slices ("bands") of that total they cover. Under span k, every
+    invoice by the aligned run of 2**k days that holds its date and by the slice of its
+    amount; of equal amounts only the lowest id is kept.
     """
-    bands = F.ceil(F.col("day_n") / F.lit(band_rows))
-    records = (
+    bands = f"ceil(day_n / {band_rows})"
+    as_record = f"""
+        CASE WHEN low IS NULL OR run > low THEN transform(
+            sequence(coalesce({_band('low', 'day_high', bands)}, 0L), {_band('run', 'day_high', bands)}),
+            band -> {_place('-1', 'day', 'band', 'run')}
+        ) ELSE array() END"""
+    as_amount = f"""
+        transform({_spans(settings)}, span -> {_place(
+            'span', 'shiftright(day, span)', _amount_slice('invoice_net_due', settings), 'invoice_net_due'
+        )})"""
+    return (
         rows.join(chunks.select(*CHUNK, "sum_before", "high_before", "day_high"), CHUNK)
-        .withColumn("run", (F.col("sum_before") + F.col("chunk_run")).cast(TOTAL))
-        .withColumn(
-            "low",
-            F.greatest("high_before", (F.col("sum_before") + F.col("chunk_high_before")).cast(TOTAL)),
+        .selectExpr(
+            "customer_id", "invoice_id", "invoice_net_due", "day_n", "day_high",
+            "unix_date(invoice_date) AS day",
+            "CAST(sum_before + chunk_run AS DECIMAL(28,2)) AS run",
+            "greatest(high_before, CAST(sum_before + chunk_high_before AS DECIMAL(28,2))) AS low",
         )
-        .where(F.col("low").isNull() | (F.col("run") > F.col("low")))
-        .select(
-            "customer_id",
-            F.col("invoice_date").alias("day"),
-            F.explode(
-                F.sequence(
-                    F.coalesce(_band(F.col("low"), F.col("day_high"), bands), F.lit(0)),
-                    _band(F.col("run"), F.col("day_high"), bands),
-                )
-            ).alias("band"),
-            F.col("run").alias("level"),
-            F.lit(0).alias("is_query"),
-            F.struct("invoice_id", F.col("run").alias("run")).alias("record"),
+        .selectExpr(
+            "customer_id", "invoice_id", f"explode(concat({as_record}, {as_amount})) AS place"
+        )
+        .groupBy("customer_id", "place")
+        .agg(F.min("invoice_id").alias("invoice_id"))
+        .selectExpr(
+            "customer_id", "place.*", "struct(place.value, invoice_id) AS invoice", "0 AS is_query"
         )
     )
-    need = (F.col("payment_amount") - F.col("cut.before")).cast(TOTAL)
-    asked = queries.where("cut.deep").select(
-        *QUERY,
-        F.col("cut.day").alias("day"),
-        F.col("cut.before").alias("before"),
-        need.alias("level"),
-        _band(need, F.col("cut.high"), F.ceil(F.col("cut.n") / F.lit(band_rows))).alias("band"),
-        F.lit(1).alias("is_query"),
-    )
-    # Descending, records before queries at the same level: the last record seen is the
-    # lowest one that is high enough.
-    downward = (
-        Window.partitionBy("customer_id", "day", "band")
-        .orderBy(F.desc("level"), "is_query")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+
+
+def _probes(queries: DataFrame, band_rows: int, settings: list[Setting]) -> DataFrame:
+    """The groups in which each payment's answers lie, and the value it looks for there."""
+    # The aligned runs of 2**span days that lie inside [first, last] while the run twice
+    # as long does not: an odd first one and an even last one. Over all spans they make
+    # up the window exactly.
+    low = "shiftright(first + shiftleft(1, span) - 1, span)"
+    high = "shiftright(last + 1, span) - 1"
+    nodes = f"""
+        array_compact(array(
+            CASE WHEN {low} <= {high} AND {low} % 2 = 1 THEN {low} END,
+            CASE WHEN {low} <= {high} AND ({high}) % 2 = 0 THEN {high} END
+        ))"""
+    slices = f"""
+        array_distinct(array({_amount_slice('payment_amount - tolerance', settings)},
+                             {_amount_slice('payment_amount + tolerance', settings)}))"""
+    by_amount = f"""
+        flatten(transform({_spans(settings)}, span -> flatten(transform({nodes}, node ->
+            transform({slices}, part -> {_place('span', 'node', 'part', 'payment_amount')})))))"""
+    need = "CAST(payment_amount - cut.before AS DECIMAL(28,2))"
+    by_total = f"""
+        CASE WHEN cut.deep THEN array({_place(
+            '-1', 'unix_date(cut.day)',
+            _band(need, 'cut.high', f'ceil(cut.n / {band_rows})'), need
+        )}) ELSE array() END"""
     return (
-        asked.unionByName(records, allowMissingColumns=True)
-        .withColumn("record", F.last("record", ignorenulls=True).over(downward))
-        .where("is_query = 1")
-        .select(
-            *QUERY,
-            F.col("record.invoice_id").alias("deep_cut_id"),
-            (F.col("before") + F.col("record.run")).cast(TOTAL).alias("deep_cut_running"),
+        queries.selectExpr(
+            *QUERY, "tolerance", "cut",
+            "unix_date(payment_date) AS last",
+            "unix_date(payment_date) - days_window AS first",
         )
+        .selectExpr(*QUERY, "tolerance", f"explode(concat({by_total}, {by_amount})) AS place")
+        .selectExpr(*QUERY, "tolerance", "place.*", "1 AS is_query")
     )
 
 
-def _closest(queries: DataFrame, deep: DataFrame, width: Column, tolerance: Column) -> DataFrame:
-    """Deep-day invoice nearest to the payment amount, if within the tolerance.
+def _look_up(
+    queries: DataFrame, index: DataFrame, band_rows: int, settings: list[Setting]
+) -> DataFrame:
+    """Crossing and closest invoice among deep days, one row per query.
 
-    Every window of days is a union of a few aligned spans of 1, 2, 4, ... days. Invoices
-    are filed under all spans that hold their date (one row per amount and span), payments
-    ask only the spans that make up their window. Amounts are cut into slices of twice the
-    tolerance, so a group holds at most that many different amounts, however many
-    invoices there are; inside it the neighbours are found by sorting.
+    In each group payments and invoices are sorted together, so the neighbours of a
+    payment are the last invoice seen on the way up and on the way down. The running
+    maximum only grows, hence under span -1 the neighbour above is the first invoice at
+    which the total is enough.
     """
-    levels = F.sequence(F.lit(0), F.floor(F.log2(width)).cast("int"))
-    slice_cents = (tolerance * 200 + 1).cast("bigint")
-
-    def amount_slice(amount: Column) -> Column:
-        return F.floor((amount * 100).cast("bigint") / slice_cents)
-
-    filed = (
-        deep.withColumn("span", F.explode(levels))
-        .withColumn("node", F.expr("shiftright(unix_date(invoice_date), span)"))
-        .groupBy("customer_id", "span", "node", F.col("invoice_net_due").alias("value"))
-        .agg(F.min("invoice_id").alias("invoice_id"))
-        .select(
-            "customer_id", "span", "node",
-            amount_slice(F.col("value")).alias("slice"),
-            F.col("value").cast(TOTAL).alias("value"),
-            F.lit(0).alias("is_query"),
-            F.struct(F.col("value").cast(TOTAL).alias("net"), "invoice_id").alias("invoice"),
-        )
-    )
-    asked = (
-        queries.select(*QUERY, "days_window", "tolerance")
-        .withColumn("last", F.unix_date("payment_date"))
-        .withColumn("first", F.col("last") - F.col("days_window"))
-        .withColumn("span", F.explode(levels))
-        # nodes of this size that lie wholly inside [first, last] ...
-        .withColumn("lo", F.expr("shiftright(first + shiftleft(1, span) - 1, span)"))
-        .withColumn("hi", F.expr("shiftright(last + 1, span) - 1"))
-        .where("lo <= hi")
-        # ... and whose parent does not
-        .withColumn(
-            "node",
-            F.explode(
-                F.array_compact(
-                    F.array(
-                        F.when(F.col("lo") % 2 == 1, F.col("lo")),
-                        F.when(F.col("hi") % 2 == 0, F.col("hi")),
-                    )
-                )
-            ),
-        )
-        .withColumn(
-            "slice",
-            F.explode(
-                F.array_distinct(
-                    F.array(
-                        amount_slice(F.col("payment_amount") - F.col("tolerance")),
-                        amount_slice(F.col("payment_amount") + F.col("tolerance")),
-                    )
-                )
-            ),
-        )
-        .select(
-            *QUERY, "tolerance", "span", "node", "slice",
-            F.col("payment_amount").cast(TOTAL).alias("value"),
-            F.lit(1).alias("is_query"),
-        )
-    )
-    group = Window.partitionBy("customer_id", "span", "node", "slice")
-    seen = (Window.unboundedPreceding, Window.currentRow)
-    below = group.orderBy("value", "is_query").rowsBetween(*seen)
-    above = group.orderBy(F.desc("value"), "is_query").rowsBetween(*seen)
+    neighbour = """
+        last(invoice, true) OVER (PARTITION BY customer_id, span, node, slice
+                                  ORDER BY value {direction}, is_query
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+    candidate = """
+        CASE WHEN span >= 0 AND abs(value - {side}.value) <= tolerance THEN
+            CAST(struct(abs(value - {side}.value), {side}.invoice_id, {side}.value)
+                 AS struct<abs_diff:decimal(28,2),invoice_id:bigint,net:decimal(28,2)>) END"""
     return (
-        asked.unionByName(filed, allowMissingColumns=True)
-        .withColumn("below", F.last("invoice", ignorenulls=True).over(below))
-        .withColumn("above", F.last("invoice", ignorenulls=True).over(above))
+        _probes(queries, band_rows, settings)
+        .unionByName(index, allowMissingColumns=True)
+        .selectExpr(
+            "*",
+            f"{neighbour.format(direction='ASC')} AS below",
+            f"{neighbour.format(direction='DESC')} AS above",
+        )
         .where("is_query = 1")
-        .withColumn("invoice", F.explode(F.array_compact(F.array("below", "above"))))
-        .withColumn("abs_diff", F.abs(F.col("value") - F.col("invoice.net")).cast(TOTAL))
-        .where(F.col("abs_diff") <= F.col("tolerance"))
         .groupBy(*QUERY)
         .agg(
-            F.min(
-                F.struct(
-                    "abs_diff",
-                    F.col("invoice.invoice_id").alias("invoice_id"),
-                    F.col("invoice.net").alias("net"),
-                )
-            ).alias("deep_closest")
+            F.expr("max(CASE WHEN span = -1 THEN above END) AS deep_cut"),
+            F.expr(
+                f"min(least({candidate.format(side='below')}, {candidate.format(side='above')}))"
+                " AS deep_closest"
+            ),
         )
     )
 
 
+def has_deep_days(invoices: DataFrame, inline_limit: int = INLINE_LIMIT) -> bool:
+    """Whether any customer has more than ``inline_limit`` invoices on one date.
+
+    Runs one aggregation over two columns of the invoices.
+    """
+    sizes = invoices.groupBy(*DAY).agg(F.count("*").alias("day_n"))
+    return not sizes.where(f"day_n > {inline_limit}").isEmpty()
+
+
 def match_payments(
     payments: DataFrame,
     invoices: DataFrame,
     credits: DataFrame,
     returns: DataFrame,
-    config: DataFrame,
+    settings: list[Setting],
     *,
+    deep_days: bool = True,
     inline_limit: int = INLINE_LIMIT,
     chunk_bits: int = CHUNK_BITS,
     band_rows: int = BAND_ROWS,
 ) -> DataFrame:
-    """One row per payment and configured setting.
+    """One row per payment and setting.
 
-    ``config`` has the columns scenario, days_window and tolerance_amount; all its rows are
-    answered from one pass over the invoices. With no rows, every payment comes out with
-    no eligible invoices. Ties for the closest amount go to the lowest invoice_id.
+    All settings are answered from one pass over the invoices. With none, every payment
+    comes out once with no eligible invoices. Ties for the closest amount go to the lowest
+    invoice_id. ``deep_days=False`` leaves out the look-up branch; use it where
+    ``has_deep_days`` says there is nothing to look up. Results are the same either way.
 
     Columns: payment_id, customer_id, payment_date, payment_amount, scenario,
     eligible_invoice_count and sum_net_due (NULL when there are none), ``single``
     (abs_diff, invoice_id, net; NULL beyond the tolerance), ``cutoff`` (invoice_id, day,
     running; NULL when the payment is never reached).
     """
-    width = _widest(config)
-    tolerance = config.agg(F.max("tolerance_amount")).scalar().cast(MONEY)
-    per_day = invoices.groupBy(*DAY).agg(F.count("*").alias("day_n"))
-    net = (
-        invoice_net_due(invoices, credits, returns)
-        .select(*DAY, "invoice_id", "invoice_net_due")
-        .join(per_day, DAY)
+    width = _width(settings)
+    net = invoice_net_due(invoices, credits, returns).select(
+        *DAY, "invoice_id", "invoice_net_due"
     )
-    deep = net.where(F.col("day_n") > inline_limit)
-    rows = running_in_chunks(deep, chunk_bits)
-    chunks = chunk_totals(rows)
-    blocks = _blocks(net.where(F.col("day_n") <= inline_limit), day_totals(chunks), width)
-
-    joined = payments.select(
+    placed = payments.selectExpr(
         "payment_id", "customer_id", "payment_date", "payment_amount",
-        block_of("payment_date", width).alias("block"),
-    ).join(blocks, ["customer_id", "block"], "left")
+        f"{block_of('payment_date', width)} AS block",
+    )
+    outcome = ["payment_id", "customer_id", "payment_date", "payment_amount", "scenario",
+               "eligible_invoice_count", "sum_net_due"]
+    single = "CASE WHEN {0}.abs_diff <= tolerance THEN {0} END AS single"
+    cutoff = "named_struct('invoice_id', {id}, 'day', cut.day, 'running', CAST({run} AS DECIMAL(28,2)))"
+    at_entry = cutoff.format(id="cut.invoice_id", run="cut.running")
+    in_deep_day = cutoff.format(id="deep_cut.invoice_id", run="cut.before + deep_cut.value")
+
+    def shallow(joined: DataFrame) -> DataFrame:
+        return _read_window(joined, settings).selectExpr(
+            *outcome,
+            single.format("closest"),
+            f"CASE WHEN cut IS NOT NULL THEN {at_entry} END AS cutoff",
+        )
 
-    settings = _settings(config)
-    shallow = _read_window(joined.where(~F.coalesce("has_deep", F.lit(False))), settings)
-    partly = _read_window(joined.where("has_deep"), settings)
+    on_block = ["customer_id", "block"]
+    if not deep_days:
+        return shallow(placed.join(_blocks(_invoice_entries(net, width)), on_block, "left"))
 
-    queries = partly.dropDuplicates(QUERY)
-    looked_up = (
-        partly.join(_crossings(queries, rows, chunks, band_rows), QUERY, "left")
-        .join(_closest(queries, deep, width, tolerance), QUERY, "left")
-        .withColumn("closest", F.least("closest", "deep_closest"))
-        .withColumn("cut_id", F.coalesce("cut.invoice_id", "deep_cut_id"))
-        .withColumn(
-            "cut_running", F.when(F.col("cut.deep"), F.col("deep_cut_running")).otherwise(F.col("cut.running"))
-        )
-        .drop("deep_closest", "deep_cut_id", "deep_cut_running")
+    per_day = invoices.groupBy(*DAY).agg(F.count("*").alias("day_n"))
+    sized = net.join(per_day, DAY)
+    rows = running_in_chunks(sized.where(f"day_n > {inline_limit}"), chunk_bits)
+    chunks = chunk_totals(rows)
+    joined = placed.join(
+        _blocks(
+            _invoice_entries(sized.where(f"day_n <= {inline_limit}"), width).unionByName(
+                _day_entries(day_totals(chunks), width)
+            )
+        ),
+        on_block,
+        "left",
     )
-    return (
-        shallow.withColumn("cut_id", F.col("cut.invoice_id"))
-        .withColumn("cut_running", F.col("cut.running"))
-        .unionByName(looked_up)
-        .select(
-            "payment_id", "customer_id", "payment_date", "payment_amount", "scenario",
-            "eligible_invoice_count", "sum_net_due",
-            F.when(F.col("closest.abs_diff") <= F.col("tolerance"), F.col("closest")).alias("single"),
-            F.when(
-                F.col("cut_id").isNotNull(),
-                F.struct(
-                    F.col("cut_id").alias("invoice_id"),
-                    F.col("cut.day").alias("day"),
-                    F.col("cut_running").alias("running"),
-                ),
-            ).alias("cutoff"),
+    partly = _read_window(joined.where("has_deep"), settings)
+    found = _look_up(
+        partly.dropDuplicates(QUERY), _index(rows, chunks, band_rows, settings), band_rows, settings
+    )
+    return shallow(joined.where("NOT coalesce(has_deep, false)")).unionByName(
+        partly.join(found, QUERY, "left").selectExpr(
+            *outcome,
+            single.format("least(closest, deep_closest)"),
+            f"CASE WHEN cut.deep THEN {in_deep_day} WHEN cut IS NOT NULL THEN {at_entry} END AS cutoff",
         )
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitmatch.operators.matching import match_payments
+from remitmatch.operators.matching import has_deep_days, match_payments
 from remitmatch.schemas import MONEY, TOTAL
+from remitmatch.settings import Setting
 
 NEEDS_REVIEW = ["NO_CUTOFF_IN_WINDOW", "NO_INVOICES_IN_WINDOW"]
 
@@ -41,19 +42,24 @@ def classify(matched: DataFrame) -> DataFrame:
     )
 
 
-def recon_scenarios(tables: dict[str, DataFrame], config: DataFrame, **tuning) -> DataFrame:
-    """Results under every configured scenario, from one pass over the tables."""
+def recon_scenarios(tables: dict[str, DataFrame], settings: list[Setting], **tuning) -> DataFrame:
+    """Results under every given setting, from one pass over the tables.
+
+    Counts invoices per customer and date first, to plan the look-up into crowded dates
+    only where there are any.
+    """
+    tuning.setdefault("deep_days", has_deep_days(tables["invoices"]))
     return classify(
         match_payments(
             tables["payments"], tables["invoices"], tables["credits"], tables["returns"],
-            config, **tuning,
+            settings, **tuning,
         )
     )
 
 
-def recon_results(tables: dict[str, DataFrame], config: DataFrame, **tuning) -> DataFrame:
-    """One row per payment under the active setting (``config`` holds at most one row)."""
-    return recon_scenarios(tables, config, **tuning).select(*RESULT_COLUMNS)
+def recon_results(tables: dict[str, DataFrame], settings: list[Setting], **tuning) -> DataFrame:
+    """One row per payment under the active setting (``settings`` holds at most one)."""
+    return recon_scenarios(tables, settings, **tuning).select(*RESULT_COLUMNS)
 
 
 def needs_review(results: DataFrame) -> DataFrame:
