@@ -111,3 +111,297 @@ def flat_tables(spark: SparkSession, sf_dir: str, owners: bool = False) -> dict[
         "customers": customers, "invoices": invoices, "payments": payments,
         "returns": returns, "credits": credits,
     }
+
+
+# --- documents and warehouse tables ----------------------------------------------------
+
+CURRENCIES = ["USD", "EUR", "GBP", "CAD", "AUD", "JPY"]
+METHODS = ["ACH", "WIRE", "CHECK", "CREDIT_CARD", "DEBIT_CARD", "EFT", "CASH"]
+REASONS = [
+    "DEFECTIVE", "WRONG_ITEM", "NOT_AS_DESCRIBED", "DUPLICATE_ORDER",
+    "CUSTOMER_CHANGE_OF_MIND", "DAMAGED_IN_TRANSIT", "QUALITY_ISSUE", "OTHER",
+]
+RETURN_STATUSES = ["PENDING", "APPROVED", "REJECTED", "PROCESSED", "REFUNDED"]
+
+
+def _at(values: list[str], index: str) -> str:
+    names = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({names}), CAST({index} AS INT) + 1)"
+
+
+def _invoice_ref(key: str, orphan_every: int | None = None) -> str:
+    offset = "1000000"
+    if orphan_every:
+        offset = f"CASE WHEN {key} % {orphan_every} = 0 THEN 900000000 ELSE 1000000 END"
+    return f"concat('INV-', {key} + {offset})"
+
+
+CUSTOMER_REF = "concat('CUST-', o_custkey + 1000000)"
+
+
+def ar_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "orders")
+        .selectExpr(
+            "o_orderkey", "o_orderstatus",
+            f"{_invoice_ref('o_orderkey')} AS invoice_id",
+            f"{CUSTOMER_REF} AS customer_id",
+            "to_date(o_orderdate) AS order_date",
+            "CASE WHEN o_orderkey % 17 <> 0 THEN date_add(to_date(o_orderdate), 30) END AS due_date",
+            "CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount",
+            f"{_at(CURRENCIES, 'o_orderkey % 6')} AS currency",
+            """CASE WHEN o_orderkey % 23 = 0 THEN 'VOID' WHEN o_orderstatus = 'F' THEN 'PAID'
+                    WHEN o_orderstatus = 'P' THEN 'PARTIAL' WHEN o_orderkey % 2 = 0 THEN 'OVERDUE'
+                    ELSE 'OPEN' END AS status""",
+        )
+        .selectExpr(
+            "invoice_id", "customer_id", "order_date", "due_date", "total_amount",
+            """CAST(CASE status WHEN 'PAID' THEN total_amount
+                    WHEN 'PARTIAL' THEN total_amount * CAST(0.5 AS DECIMAL(2,1))
+                    ELSE 0 END AS DECIMAL(18,2)) AS amount_paid""",
+            "currency", "status",
+        )
+    )
+
+
+def ar_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey", "l_linenumber")
+        .agg(
+            F.expr("sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS line_amount"),
+            F.expr("to_date(min(l_shipdate)) AS payment_date"),
+        )
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return lines.join(orders, F.expr("o_orderkey = l_orderkey")).selectExpr(
+        "concat('PMT-', l_orderkey * 10 + l_linenumber + 1000000) AS payment_id",
+        f"{_invoice_ref('l_orderkey', 97)} AS invoice_id",
+        f"{CUSTOMER_REF} AS customer_id",
+        "payment_date",
+        """CAST(CASE WHEN l_linenumber = 1 AND l_orderkey % 4 = 0 THEN CAST(o_totalprice AS DECIMAL(18,2))
+                ELSE line_amount END AS DECIMAL(18,2)) AS amount_paid""",
+        f"{_at(METHODS, 'l_linenumber - 1')} AS payment_method",
+        "CASE WHEN l_orderkey % 4 <> 1 THEN concat('REF-', l_orderkey) END AS reference_number",
+        """CASE (l_orderkey + l_linenumber) % 8 WHEN 0 THEN 'PENDING' WHEN 1 THEN 'FAILED'
+             WHEN 2 THEN 'REVERSED' WHEN 3 THEN 'PARTIAL' WHEN 4 THEN 'PARTIAL' ELSE 'CLEARED' END AS status""",
+    )
+
+
+def _returned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+
+
+def ar_return_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        _returned(spark, sf_dir)
+        .groupBy("l_orderkey", "l_linenumber")
+        .agg(
+            F.expr("min(l_partkey) AS pk"),
+            F.expr("min(l_suppkey) AS sk"),
+            F.expr("CAST(sum(l_quantity) AS INT) AS quantity"),
+            F.expr("min(CAST(l_extendedprice AS DECIMAL(18,2))) AS lowest"),
+        )
+        .selectExpr(
+            "concat('RET-', l_orderkey + 1000000) AS return_id",
+            "l_linenumber AS line_no",
+            f"concat({_at(['SKU-PRMA', 'SKU-PRMB', 'SKU-ALPH', 'SKU-BETA'], 'pk % 4')}, pk) AS original_sku",
+            """CASE WHEN sk % 3 <> 0 THEN concat(element_at(array('SKU-PRMA', 'SKU-PRMB', 'SKU-ALPH', 'SKU-BETA'),
+                                                           CAST(pk % 4 AS INT) + 1), pk)
+                    ELSE concat(element_at(array('SKU-PRMB', 'SKU-PRMA', 'SKU-GAMM', 'SKU-GAMM'),
+                                           CAST(pk % 4 AS INT) + 1), pk) END AS returned_sku""",
+            "quantity",
+            "CAST(lowest * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(18,4)) AS unit_price",
+        )
+    )
+
+
+def _return_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return (
+        _returned(spark, sf_dir)
+        .groupBy("l_orderkey")
+        .agg(F.expr("to_date(max(l_shipdate)) AS return_date"))
+        .join(orders, F.expr("o_orderkey = l_orderkey"))
+        .selectExpr(
+            "concat('RET-', l_orderkey + 1000000) AS return_id",
+            f"{_invoice_ref('l_orderkey', 89)} AS original_invoice_id",
+            f"{CUSTOMER_REF} AS customer_id",
+            "return_date",
+            f"{_at(REASONS, 'l_orderkey % 8')} AS reason_code",
+            f"{_at(RETURN_STATUSES, 'l_orderkey % 5')} AS status",
+        )
+    )
+
+
+def ar_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Return headers with the denormalised mismatch flag."""
+    flags = (
+        ar_return_line_items(spark, sf_dir)
+        .groupBy("return_id")
+        .agg(F.expr("bool_or(original_sku <> returned_sku) AS sku_mismatch_flag"))
+    )
+    return _return_headers(spark, sf_dir).join(flags, "return_id")
+
+
+def ar_invoice_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey", "l_linenumber")
+        .agg(
+            F.expr("min(l_partkey) AS pk"),
+            F.expr("CAST(sum(l_quantity) AS INT) AS quantity"),
+            F.expr("min(CAST(l_extendedprice AS DECIMAL(18,2))) AS lowest"),
+        )
+        .selectExpr(
+            f"{_invoice_ref('l_orderkey')} AS invoice_id",
+            "l_linenumber AS line_no",
+            "concat('SKU-', lpad(pk, 6, '0')) AS sku",
+            "quantity",
+            "CAST(lowest * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(18,4)) AS unit_price",
+        )
+    )
+
+
+def ar_payment_allocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        ar_payments(spark, sf_dir)
+        .where("status IN ('CLEARED', 'PARTIAL')")
+        .selectExpr(
+            "payment_id", "invoice_id",
+            """CAST(CASE status WHEN 'CLEARED' THEN amount_paid
+                    ELSE amount_paid * CAST(0.5 AS DECIMAL(2,1)) END AS DECIMAL(18,2)) AS allocated_amount""",
+            "payment_date AS allocation_date",
+        )
+    )
+
+
+def invoice_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices with their lines nested, at most one line per line number."""
+    lines = (
+        ar_invoice_line_items(spark, sf_dir)
+        .groupBy("invoice_id")
+        .agg(
+            F.expr(
+                """transform(array_sort(collect_list(struct(line_no, sku, quantity, unit_price))),
+                   l -> named_struct('sku', l.sku, 'description', CAST(NULL AS STRING),
+                                     'quantity', l.quantity, 'unit_price', l.unit_price)) AS line_items"""
+            )
+        )
+    )
+    return (
+        ar_invoices(spark, sf_dir)
+        .join(lines, "invoice_id", "left")
+        .withColumn("notes", F.lit(None).cast("string"))
+    )
+
+
+def return_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns with their lines nested."""
+    lines = (
+        ar_return_line_items(spark, sf_dir)
+        .groupBy("return_id")
+        .agg(
+            F.expr(
+                """transform(array_sort(collect_list(struct(line_no, original_sku, returned_sku, quantity, unit_price))),
+                   l -> named_struct('original_sku', l.original_sku, 'returned_sku', l.returned_sku,
+                                     'quantity', l.quantity, 'unit_price', l.unit_price,
+                                     'notes', CAST(NULL AS STRING))) AS line_items"""
+            )
+        )
+    )
+    return _return_headers(spark, sf_dir).join(lines, "return_id")
+
+
+# --- raw text records, some of them broken on purpose ------------------------------------
+
+
+def _text_lines(fields: list[tuple[str, str]], literal: str) -> str:
+    """``line_items`` as JSON text, or as Python-literal text where ``literal`` holds."""
+    def text(quote: str) -> str:
+        parts = [f"'{quote}{name}{quote}: ', {value.replace('<q>', quote)}" for name, value in fields]
+        return (
+            "concat('[', array_join(transform(line_items, l -> concat('{', "
+            + ", ', ', ".join(parts)
+            + ", '}')), ', '), ']')"
+        )
+
+    return f"CASE WHEN {literal} THEN {text(chr(92) + chr(39))} ELSE {text(chr(34))} END"
+
+
+def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quantity = """CASE WHEN k % 67 = 0 THEN '0' WHEN k % 29 = 0 THEN concat('"', l.quantity, '"')
+                       WHEN k % 31 = 0 THEN concat(l.quantity, '.7') ELSE CAST(l.quantity AS STRING) END"""
+    lines = _text_lines(
+        [
+            ("sku", "'<q>', l.sku, '<q>'"),
+            ("description", "CASE WHEN k % 13 = 0 THEN 'None' ELSE 'null' END"),
+            ("quantity", quantity),
+            ("unit_price", "CAST(l.unit_price AS STRING)"),
+        ],
+        "k % 13 = 0",
+    )
+    return (
+        invoice_documents(spark, sf_dir)
+        .selectExpr("*", "CAST(substring(invoice_id, 5) AS BIGINT) - 1000000 AS k")
+        .selectExpr(
+            "CASE WHEN k % 43 = 0 THEN 'INV-12' ELSE invoice_id END AS invoice_id",
+            "customer_id",
+            "CAST(order_date AS STRING) AS order_date",
+            "CASE WHEN k % 61 = 0 THEN 'soon' ELSE CAST(due_date AS STRING) END AS due_date",
+            f"CASE WHEN k % 59 = 0 THEN '[]' ELSE {lines} END AS line_items",
+            "CASE WHEN k % 47 = 0 THEN 'abc' ELSE CAST(total_amount AS STRING) END AS total_amount",
+            "CAST(CASE WHEN k % 53 = 0 THEN total_amount + 1 ELSE amount_paid END AS STRING) AS amount_paid",
+            "CASE WHEN k % 71 = 0 THEN NULL WHEN k % 41 = 0 THEN 'XYZ' ELSE currency END AS currency",
+            "CASE WHEN k % 73 = 0 THEN 'LOST' ELSE status END AS status",
+            """CASE WHEN k % 7 = 0 THEN 'said "call, later"' END AS notes""",
+        )
+    )
+
+
+def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        ar_payments(spark, sf_dir)
+        .selectExpr("*", "CAST(substring(payment_id, 5) AS BIGINT) - 1000000 AS k")
+        .selectExpr(
+            "CASE WHEN k % 61 = 0 THEN 'PMT-1' ELSE payment_id END AS payment_id",
+            "invoice_id", "customer_id",
+            "CASE WHEN k % 59 = 0 THEN '2024-13-01' ELSE CAST(payment_date AS STRING) END AS payment_date",
+            """CASE WHEN k % 67 = 0 THEN NULL WHEN k % 41 = 0 THEN '0.00' WHEN k % 43 = 0 THEN '-5.00'
+                    ELSE CAST(amount_paid AS STRING) END AS amount_paid""",
+            "CASE WHEN k % 47 = 0 THEN 'BARTER' ELSE payment_method END AS payment_method",
+            "reference_number",
+            "CASE WHEN k % 53 = 0 THEN 'UNKNOWN' ELSE status END AS status",
+            "CAST(NULL AS STRING) AS notes",
+        )
+    )
+
+
+def raw_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _text_lines(
+        [
+            ("original_sku", "'<q>', CASE WHEN k % 47 = 0 THEN 'BAD' ELSE l.original_sku END, '<q>'"),
+            ("returned_sku", "'<q>', l.returned_sku, '<q>'"),
+            ("quantity", "CAST(l.quantity AS STRING)"),
+            ("unit_price", "CAST(l.unit_price AS STRING)"),
+            ("notes", "CASE WHEN k % 13 = 0 THEN 'None' ELSE 'null' END"),
+        ],
+        "k % 13 = 0",
+    )
+    return (
+        return_documents(spark, sf_dir)
+        .selectExpr("*", "CAST(substring(return_id, 5) AS BIGINT) - 1000000 AS k")
+        .selectExpr(
+            "return_id", "original_invoice_id",
+            "CASE WHEN k % 59 <> 0 THEN customer_id END AS customer_id",
+            "CAST(return_date AS STRING) AS return_date",
+            f"CASE WHEN k % 53 = 0 THEN '[]' ELSE {lines} END AS line_items",
+            "CASE WHEN k % 41 = 0 THEN 'BORED' ELSE reason_code END AS reason_code",
+            "CASE WHEN k % 43 = 0 THEN 'LOST' ELSE status END AS status",
+            "CASE WHEN k % 5 = 4 THEN concat('CM-', k) END AS credit_memo_id",
+            "CAST(NULL AS STRING) AS notes",
+        )
+    )
+
+
+RAW = {"invoices": raw_invoices, "payments": raw_payments, "returns": raw_returns}
