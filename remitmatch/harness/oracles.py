@@ -1,5 +1,5 @@
 """All DuckDB statements by query name."""
 
-from remitmatch.harness import oracle_flat
+from remitmatch.harness import oracle_documents, oracle_flat
 
-ORACLE = {**oracle_flat.ORACLE}
+ORACLE = {**oracle_flat.ORACLE, **oracle_documents.ORACLE}

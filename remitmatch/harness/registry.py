@@ -173,10 +173,8 @@ def payment_invoice_links(spark, sf_dir):
 
 @query
 def flat_fk_violations(spark, sf_dir):
-    """Invoices against the customers of one market segment: the others are reported."""
     tables = flat_tables(spark, sf_dir)
-    known = tables["customers"].where("industry <> 'BUILDING'")
-    return validation.flat_fk_violations(tables["invoices"], known)
+    return validation.flat_fk_violations(tables["invoices"], tables["customers"])
 
 
 # --- flat track: files ---------------------------------------------------------------------
@@ -288,10 +286,7 @@ def snapshot_trend(spark, sf_dir):
 @query
 def parse_line_items(spark, sf_dir):
     """Lines of raw invoices, from JSON or literal text, quantities and prices coerced."""
-    parsed = parse_lines(
-        data.raw_invoices(spark, sf_dir).where("invoice_id <> 'INV-12'"),
-        documents.INVOICE_LINES_RAW,
-    )
+    parsed = parse_lines(data.raw_invoices(spark, sf_dir), documents.INVOICE_LINES_RAW)
     return parsed.selectExpr("invoice_id", "explode(line_items) AS line").selectExpr(
         "invoice_id", "line.sku", "line.description",
         f"{whole('line.quantity')} AS quantity", f"{amount('line.unit_price', 4)} AS unit_price",
@@ -598,19 +593,27 @@ def run_summary(spark, sf_dir):
     )
 
 
+# Which payments arrive on which date.
+DROPS = {
+    "2024-01-01": "payment_method IN ('ACH', 'WIRE')",
+    "2024-01-02": "payment_method = 'CHECK'",
+    "2024-01-03": "payment_method NOT IN ('ACH', 'WIRE', 'CHECK')",
+}
+
+
+def _drop(raw, root, run_date, prefix=None):
+    outputs.export_csv(raw.where(DROPS[run_date]), drops.drop_path(root, "payments", run_date, prefix))
+
+
 @query
 def daily_drop_ingest(spark, sf_dir):
     """Payments dropped by date, taken in incrementally: two drops, then a third, then none."""
     root = scratch_path(spark, "raw")
     target, checkpoint = f"{root}/landed", f"{root}/checkpoint"
     raw = data.raw_payments(spark, sf_dir)
-    parts = {
-        "2024-01-01": "payment_method IN ('ACH', 'WIRE')", "2024-01-02": "payment_method = 'CHECK'",
-        "2024-01-03": "payment_method NOT IN ('ACH', 'WIRE', 'CHECK')",
-    }
     for batch in (["2024-01-01", "2024-01-02"], ["2024-01-03"], []):
         for run_date in batch:
-            outputs.export_csv(raw.where(parts[run_date]), drops.drop_path(root, "payments", run_date))
+            _drop(raw, root, run_date)
         daily_drop.ingest(
             daily_drop.drop_stream(spark, root, "payments"), target, checkpoint
         ).awaitTermination()
@@ -621,16 +624,14 @@ def daily_drop_ingest(spark, sf_dir):
 
 @query
 def daily_drop_batch(spark, sf_dir):
-    """The same drops read as a batch for chosen dates."""
+    """The same drops read as a batch, from another prefix."""
     root = scratch_path(spark, "raw")
     raw = data.raw_payments(spark, sf_dir)
-    for run_date, part in (("2024-01-01", "payment_method = 'ACH'"), ("2024-01-02", "payment_method = 'WIRE'")):
-        outputs.export_csv(raw.where(part), drops.drop_path(root, "payments", run_date, "incoming/"))
-    return drops.read_drops(
-        spark, root, "payments", ["2024-01-01", "2024-01-02"], "incoming/"
-    ).groupBy("run_date", "payment_method").agg(
-        F.expr("count(*) AS payments"), F.expr(f"sum({amount('amount_paid')}) AS amount_paid")
-    )
+    for run_date in DROPS:
+        _drop(raw, root, run_date, "incoming/")
+    return drops.read_drops(spark, root, "payments", list(DROPS), "incoming/").groupBy(
+        "run_date", "payment_method"
+    ).agg(F.expr("count(*) AS payments"), F.expr(f"sum({amount('amount_paid')}) AS amount_paid"))
 
 
 # --- warehouse -------------------------------------------------------------------------------
