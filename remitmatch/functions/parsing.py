@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from remitmatch.functions.plan import once
+
 
 def amount(text: str, scale: int = 2) -> str:
     """A decimal, or NULL where the text is no number."""
@@ -53,12 +55,12 @@ def parse_lines(df: DataFrame, layout: T.ArrayType, literals: bool = True) -> Da
         # from_json also takes a lone object and ignores what follows the list
         return f"CASE WHEN trim({text}) RLIKE r'(?s)^\\[.*\\]$' THEN from_json({text}, '{schema}') END"
 
-    parsed = df.withColumn("as_json", F.expr(read("line_items")))
+    others = [c for c in df.columns if c != "line_items"]
     if not literals:
-        return parsed.drop("line_items").withColumnRenamed("as_json", "line_items")
+        return df.selectExpr(*others, once(read("line_items"), "line_items"))
     unread = F.expr("CASE WHEN as_json IS NULL THEN line_items END")
     return (
-        parsed.withColumn("as_literal", literal_to_json(unread))
-        .withColumn("line_items", F.coalesce("as_json", F.expr(read("as_literal"))))
-        .drop("as_json", "as_literal")
+        df.selectExpr(*others, "line_items", once(read("line_items"), "as_json"))
+        .withColumn("as_literal", literal_to_json(unread))
+        .selectExpr(*others, once(f"coalesce(as_json, {read('as_literal')})", "line_items"))
     )

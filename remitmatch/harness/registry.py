@@ -545,7 +545,7 @@ def high_risk_accounts(spark, sf_dir):
 
 @query
 def aging_report(spark, sf_dir):
-    return aging.aging_report(data.ar_invoices(spark, sf_dir), _matches(spark, sf_dir), AS_OF)
+    return aging.aging_report(data.ar_invoices(spark, sf_dir), data.ar_payments(spark, sf_dir), AS_OF)
 
 
 @query

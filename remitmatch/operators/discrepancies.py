@@ -5,22 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitmatch.operators.payments import overpayments, underpayments
-
-
-def _payment_kind(found: DataFrame, kind: str, amount: str) -> DataFrame:
-    return found.selectExpr(
-        f"'{kind}' AS discrepancy_type",
-        "payment_id AS entity_id", "customer_id", "invoice_id AS reference_id",
-        f"CAST({amount} AS DECIMAL(28,4)) AS amount",
-        "format_string('paid %.2f vs invoiced %.2f', CAST(amount_paid AS DOUBLE),"
-        " CAST(invoice_total AS DOUBLE)) AS detail",
-        f"'{kind}' AS classification",
-    )
-
 
 def discrepancy_report(mismatches: DataFrame, matches: DataFrame) -> DataFrame:
-    """SKU mismatches, overpayments and underpayments as one list."""
+    """SKU mismatches, overpayments and underpayments as one list.
+
+    Over- and underpayments come from one pass over the matches.
+    """
     swapped = mismatches.selectExpr(
         "'SKU_MISMATCH' AS discrepancy_type",
         "return_id AS entity_id", "customer_id", "original_invoice_id AS reference_id",
@@ -28,9 +18,16 @@ def discrepancy_report(mismatches: DataFrame, matches: DataFrame) -> DataFrame:
         "concat(original_sku, ' -> ', returned_sku) AS detail",
         "classification",
     )
-    over = _payment_kind(overpayments(matches), "OVERPAYMENT", "overpayment_amount")
-    under = _payment_kind(underpayments(matches), "UNDERPAYMENT", "outstanding_balance")
-    return swapped.unionByName(over).unionByName(under)
+    kind = "CASE WHEN amount_paid > invoice_total THEN 'OVERPAYMENT' ELSE 'UNDERPAYMENT' END"
+    off = matches.where("amount_paid <> invoice_total").selectExpr(
+        f"{kind} AS discrepancy_type",
+        "payment_id AS entity_id", "customer_id", "invoice_id AS reference_id",
+        "CAST(abs(amount_paid - invoice_total) AS DECIMAL(28,4)) AS amount",
+        "format_string('paid %.2f vs invoiced %.2f', CAST(amount_paid AS DOUBLE),"
+        " CAST(invoice_total AS DOUBLE)) AS detail",
+        f"{kind} AS classification",
+    )
+    return swapped.unionByName(off)
 
 
 def discrepancy_totals(report: DataFrame) -> DataFrame:

@@ -43,6 +43,9 @@ def running_in_chunks(invoices: DataFrame, chunk_bits: int = CHUNK_BITS) -> Data
     before = f"{upto} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     return (
         invoices.selectExpr("*", f"shiftright(invoice_id, {chunk_bits}) AS chunk")
+        # Rows that come from a join on (customer, date) would otherwise stay together by
+        # date, and a hot date in one task.
+        .repartition(*CHUNK)
         .selectExpr(
             "*",
             f"row_number() OVER ({upto}) AS chunk_seq",

@@ -31,6 +31,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from remitmatch.functions.plan import once
 from remitmatch.operators.ledger import (
     CHUNK,
     CHUNK_BITS,
@@ -163,11 +164,19 @@ def _read_window(joined: DataFrame, settings: list[Setting]) -> DataFrame:
         .selectExpr(
             "payment_id", "customer_id", "payment_date", "payment_amount", "setting_no",
             "scenario", "days_window", "tolerance",
-            "CASE WHEN size(window) > 0 THEN aggregate(window, 0L, (n, e) -> n + e.n) END"
-            " AS eligible_invoice_count",
-            f"CASE WHEN size(window) > 0 THEN {total} END AS sum_net_due",
-            f"{closest} AS closest",
-            f"{crossing} AS cut",
+            once(
+                f"""named_struct(
+                    'eligible_invoice_count',
+                    CASE WHEN size(window) > 0 THEN aggregate(window, 0L, (n, e) -> n + e.n) END,
+                    'sum_net_due', CASE WHEN size(window) > 0 THEN {total} END,
+                    'closest', {closest},
+                    'cut', {crossing})""",
+                "reading",
+            ),
+        )
+        .selectExpr(
+            "payment_id", "customer_id", "payment_date", "payment_amount", "setting_no",
+            "scenario", "days_window", "tolerance", "reading.*",
         )
     )
 

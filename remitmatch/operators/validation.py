@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remitmatch.functions.parsing import amount, date, whole
+from remitmatch.functions.plan import once
 
 # Identifiers, codes and states that records may carry. \z rather than $,
 # because $ also matches before a final line break.
@@ -139,7 +140,7 @@ def with_violations(records: DataFrame, rules: list[Rule]) -> DataFrame:
         f"CASE WHEN {r.fails} THEN CAST(struct('{r.name}', CAST({r.value} AS STRING)) AS {VIOLATION}) END"
         for r in rules
     )
-    return records.selectExpr("*", f"array_compact(array({checks})) AS violations")
+    return records.selectExpr("*", once(f"array_compact(array({checks}))", "violations"))
 
 
 def violations(checked: DataFrame, entity: str) -> DataFrame:
@@ -283,7 +284,9 @@ def schema_violations(records: DataFrame, entity: str) -> DataFrame:
             f"transform(line_items, (l, i) -> array({', '.join(per_line)}))), array()))"
         )
     return (
-        records.selectExpr(f"{KEYS[entity]} AS entity_id", f"array_sort(array_compact({errors})) AS errors")
+        records.selectExpr(
+            f"{KEYS[entity]} AS entity_id", once(f"array_sort(array_compact({errors}))", "errors")
+        )
         .where("size(errors) > 0")
         .selectExpr(
             f"'{entity}' AS entity", "entity_id",
