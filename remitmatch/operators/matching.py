@@ -31,7 +31,6 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitmatch.functions.plan import once
 from remitmatch.operators.ledger import (
     CHUNK,
     CHUNK_BITS,
@@ -45,17 +44,26 @@ from remitmatch.operators.ledger import (
 from remitmatch.operators.netting import invoice_net_due
 from remitmatch.settings import Setting
 
-INLINE_LIMIT = 16
+INLINE_LIMIT = 8
 BAND_ROWS = 65536
 
 # What decides a payment's outcome; payments alike in all four share one look-up.
 QUERY = ["customer_id", "payment_date", "payment_amount", "setting_no"]
 
 HIT = (
-    "struct<deep:boolean,day:date,invoice_id:bigint,n:bigint,"
-    "high:decimal(28,2),before:decimal(28,2),running:decimal(28,2)>"
+    "struct<deep:boolean,day:date,invoice_id:bigint,n:bigint,high:bigint,before:bigint,"
+    "running:bigint>"
 )
-PLACE = "struct<span:int,node:int,slice:bigint,value:decimal(28,2)>"
+PLACE = "struct<span:int,node:int,slice:bigint,value:bigint>"
+
+
+def _cents(money: str) -> str:
+    """Money as whole cents: folds and sorts run on BIGINT. Overflow raises, never wraps."""
+    return f"CAST({money} * 100 AS BIGINT)"
+
+
+def _money(cents: str, kind: str = "DECIMAL(28,2)") -> str:
+    return f"CAST({cents} * CAST(0.01 AS DECIMAL(3,2)) AS {kind})"
 
 
 def _width(settings: list[Setting]) -> str:
@@ -65,13 +73,9 @@ def _width(settings: list[Setting]) -> str:
 
 def _setting_array(settings: list[Setting]) -> str:
     rows = ", ".join(
-        f"struct('{s.scenario}', {s.days_window}, CAST({s.tolerance} AS DECIMAL(18,2)))"
-        for s in settings
-    )
-    return (
-        f"CAST(array({rows}) AS "
-        "array<struct<scenario:string,days_window:int,tolerance:decimal(18,2)>>)"
+        f"struct('{s.scenario}', {s.days_window}, {int(s.tolerance * 100)})" for s in settings
     )
+    return f"CAST(array({rows}) AS array<struct<scenario:string,days_window:int,tolerance:bigint>>)"
 
 
 def _spans(settings: list[Setting]) -> str:
@@ -80,10 +84,10 @@ def _spans(settings: list[Setting]) -> str:
     return f"sequence(0, {longest.bit_length() - 1})"
 
 
-def _amount_slice(amount: str, settings: list[Setting]) -> str:
+def _amount_slice(cents: str, settings: list[Setting]) -> str:
     """Slice of an amount; payment +- tolerance never touches more than two of them."""
     widest = max((s.tolerance for s in settings), default=Decimal(0))
-    return f"floor(CAST(({amount}) * 100 AS BIGINT) / {int(widest * 200) + 1})"
+    return f"floor(({cents}) / {int(widest * 200) + 1})"
 
 
 def _band(value: str, high: str, bands: str) -> str:
@@ -102,7 +106,7 @@ def _entries(rows: DataFrame, width: str, *values: str) -> DataFrame:
         "customer_id",
         f"{own_and_next_block('invoice_date', width)} AS block",
         f"""CAST(struct({', '.join(values)}) AS struct<
-            day:date,invoice_id:bigint,net:decimal(28,2),n:bigint,high:decimal(28,2),deep:boolean
+            day:date,invoice_id:bigint,net:bigint,n:bigint,high:bigint,deep:boolean
         >) AS entry""",
     )
 
@@ -110,12 +114,16 @@ def _entries(rows: DataFrame, width: str, *values: str) -> DataFrame:
 def _invoice_entries(invoices: DataFrame, width: str) -> DataFrame:
     return _entries(
         invoices, width,
-        "invoice_date", "invoice_id", "invoice_net_due", "1", "invoice_net_due", "false",
+        "invoice_date", "invoice_id", _cents("invoice_net_due"), "1", _cents("invoice_net_due"),
+        "false",
     )
 
 
 def _day_entries(days: DataFrame, width: str) -> DataFrame:
-    return _entries(days, width, "invoice_date", "NULL", "day_sum", "day_n", "day_high", "true")
+    return _entries(
+        days, width,
+        "invoice_date", "NULL", _cents("day_sum"), "day_n", _cents("day_high"), "true",
+    )
 
 
 def _blocks(entries: DataFrame) -> DataFrame:
@@ -132,52 +140,45 @@ def _blocks(entries: DataFrame) -> DataFrame:
 
 
 def _read_window(joined: DataFrame, settings: list[Setting]) -> DataFrame:
-    """Per payment and setting: count, sum, closest inline invoice and crossing entry."""
+    """Per payment and setting: count, sum, closest inline invoice and crossing entry.
+
+    All of it in one generator, so the arrays are read where the join delivers them and
+    carried no further.
+    """
     crossing = f"""
         aggregate(
-            window,
-            CAST(struct(0, NULL) AS struct<run:decimal(28,2),hit:{HIT}>),
-            (state, e) -> CASE WHEN state.hit IS NOT NULL THEN state ELSE CAST(struct(
-                state.run + e.net,
-                CASE WHEN state.run + e.high >= payment_amount THEN struct(
-                    e.deep, e.day, e.invoice_id, e.n, e.high, state.run, state.run + e.net
+            entries_seen,
+            named_struct('run', 0L, 'hit', CAST(NULL AS {HIT})),
+            (state, e) -> CASE WHEN state.hit IS NOT NULL THEN state ELSE named_struct(
+                'run', state.run + e.net,
+                'hit', CASE WHEN state.run + e.high >= cents THEN named_struct(
+                    'deep', e.deep, 'day', e.day, 'invoice_id', e.invoice_id, 'n', e.n,
+                    'high', e.high, 'before', state.run, 'running', state.run + e.net
                 ) END
-            ) AS struct<run:decimal(28,2),hit:{HIT}>) END,
+            ) END,
             state -> state.hit
         )"""
     closest = """
         array_min(transform(
-            filter(window, e -> NOT e.deep),
-            e -> CAST(struct(abs(payment_amount - e.net), e.invoice_id, e.net)
-                      AS struct<abs_diff:decimal(28,2),invoice_id:bigint,net:decimal(28,2)>)
+            filter(entries_seen, e -> NOT e.deep),
+            e -> named_struct('abs_diff', abs(cents - e.net), 'invoice_id', e.invoice_id, 'net', e.net)
         ))"""
-    total = """
-        aggregate(window, CAST(0 AS DECIMAL(28,2)), (total, e) -> CAST(total + e.net AS DECIMAL(28,2)))"""
-    return (
-        joined.selectExpr("*", f"posexplode_outer({_setting_array(settings)}) AS (setting_no, setting)")
-        .selectExpr(
-            "payment_id", "customer_id", "payment_date", "payment_amount", "setting_no",
-            "setting.*",
-            """filter(entries, e -> e.day BETWEEN date_sub(payment_date, setting.days_window)
-                                              AND payment_date) AS window""",
-        )
-        .selectExpr(
-            "payment_id", "customer_id", "payment_date", "payment_amount", "setting_no",
-            "scenario", "days_window", "tolerance",
-            once(
-                f"""named_struct(
-                    'eligible_invoice_count',
-                    CASE WHEN size(window) > 0 THEN aggregate(window, 0L, (n, e) -> n + e.n) END,
-                    'sum_net_due', CASE WHEN size(window) > 0 THEN {total} END,
-                    'closest', {closest},
-                    'cut', {crossing})""",
-                "reading",
-            ),
-        )
-        .selectExpr(
-            "payment_id", "customer_id", "payment_date", "payment_amount", "setting_no",
-            "scenario", "days_window", "tolerance", "reading.*",
-        )
+    reading = f"""
+        transform({_setting_array(settings)}, (setting, i) -> transform(
+            array(filter(entries, e -> e.day BETWEEN date_sub(payment_date, setting.days_window)
+                                                 AND payment_date)),
+            entries_seen -> named_struct(
+                'setting_no', i, 'scenario', setting.scenario,
+                'days_window', setting.days_window, 'tolerance', setting.tolerance,
+                'eligible_invoice_count', CASE WHEN size(entries_seen) > 0 THEN
+                    aggregate(entries_seen, 0L, (n, e) -> n + e.n) END,
+                'total', CASE WHEN size(entries_seen) > 0 THEN
+                    aggregate(entries_seen, 0L, (total, e) -> total + e.net) END,
+                'closest', {closest},
+                'cut', {crossing}))[0])"""
+    payment = ["payment_id", "customer_id", "payment_date", "payment_amount", "cents"]
+    return joined.selectExpr(*payment, f"explode_outer({reading}) AS reading").selectExpr(
+        *payment, "reading.*"
     )
 
 
@@ -199,15 +200,17 @@ def _index(
         ) ELSE array() END"""
     as_amount = f"""
         transform({_spans(settings)}, span -> {_place(
-            'span', 'shiftright(day, span)', _amount_slice('invoice_net_due', settings), 'invoice_net_due'
+            'span', 'shiftright(day, span)', _amount_slice('net', settings), 'net'
         )})"""
     return (
         rows.join(chunks.select(*CHUNK, "sum_before", "high_before", "day_high"), CHUNK)
         .selectExpr(
-            "customer_id", "invoice_id", "invoice_net_due", "day_n", "day_high",
+            "customer_id", "invoice_id", "day_n",
+            f"{_cents('invoice_net_due')} AS net",
+            f"{_cents('day_high')} AS day_high",
             "unix_date(invoice_date) AS day",
-            "CAST(sum_before + chunk_run AS DECIMAL(28,2)) AS run",
-            "greatest(high_before, CAST(sum_before + chunk_high_before AS DECIMAL(28,2))) AS low",
+            f"{_cents('(sum_before + chunk_run)')} AS run",
+            f"{_cents('greatest(high_before, sum_before + chunk_high_before)')} AS low",
         )
         .selectExpr(
             "customer_id", "invoice_id", f"explode(concat({as_record}, {as_amount})) AS place"
@@ -233,12 +236,12 @@ def _probes(queries: DataFrame, band_rows: int, settings: list[Setting]) -> Data
             CASE WHEN {low} <= {high} AND ({high}) % 2 = 0 THEN {high} END
         ))"""
     slices = f"""
-        array_distinct(array({_amount_slice('payment_amount - tolerance', settings)},
-                             {_amount_slice('payment_amount + tolerance', settings)}))"""
+        array_distinct(array({_amount_slice('cents - tolerance', settings)},
+                             {_amount_slice('cents + tolerance', settings)}))"""
     by_amount = f"""
         flatten(transform({_spans(settings)}, span -> flatten(transform({nodes}, node ->
-            transform({slices}, part -> {_place('span', 'node', 'part', 'payment_amount')})))))"""
-    need = "CAST(payment_amount - cut.before AS DECIMAL(28,2))"
+            transform({slices}, part -> {_place('span', 'node', 'part', 'cents')})))))"""
+    need = "(cents - cut.before)"
     by_total = f"""
         CASE WHEN cut.deep THEN array({_place(
             '-1', 'unix_date(cut.day)',
@@ -246,7 +249,7 @@ def _probes(queries: DataFrame, band_rows: int, settings: list[Setting]) -> Data
         )}) ELSE array() END"""
     return (
         queries.selectExpr(
-            *QUERY, "tolerance", "cut",
+            *QUERY, "tolerance", "cut", "cents",
             "unix_date(payment_date) AS last",
             "unix_date(payment_date) - days_window AS first",
         )
@@ -271,8 +274,8 @@ def _look_up(
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
     candidate = """
         CASE WHEN span >= 0 AND abs(value - {side}.value) <= tolerance THEN
-            CAST(struct(abs(value - {side}.value), {side}.invoice_id, {side}.value)
-                 AS struct<abs_diff:decimal(28,2),invoice_id:bigint,net:decimal(28,2)>) END"""
+            named_struct('abs_diff', abs(value - {side}.value), 'invoice_id', {side}.invoice_id,
+                         'net', {side}.value) END"""
     return (
         _probes(queries, band_rows, settings)
         .unionByName(index, allowMissingColumns=True)
@@ -332,20 +335,29 @@ def match_payments(
     )
     placed = payments.selectExpr(
         "payment_id", "customer_id", "payment_date", "payment_amount",
+        f"{_cents('payment_amount')} AS cents",
         f"{block_of('payment_date', width)} AS block",
     )
-    outcome = ["payment_id", "customer_id", "payment_date", "payment_amount", "scenario",
-               "eligible_invoice_count", "sum_net_due"]
-    single = "CASE WHEN {0}.abs_diff <= tolerance THEN {0} END AS single"
-    cutoff = "named_struct('invoice_id', {id}, 'day', cut.day, 'running', CAST({run} AS DECIMAL(28,2)))"
-    at_entry = cutoff.format(id="cut.invoice_id", run="cut.running")
-    in_deep_day = cutoff.format(id="deep_cut.invoice_id", run="cut.before + deep_cut.value")
+    outcome = [
+        "payment_id", "customer_id", "payment_date", "payment_amount", "scenario",
+        "eligible_invoice_count", f"{_money('total')} AS sum_net_due",
+    ]
+    single = f"""
+        CASE WHEN {{0}}.abs_diff <= tolerance THEN named_struct(
+            'abs_diff', {_money('{0}.abs_diff')}, 'invoice_id', {{0}}.invoice_id,
+            'net', {_money('{0}.net')}) END AS single"""
+    cutoff = f"""
+        CASE WHEN cut.deep THEN named_struct(
+            'invoice_id', {{deep_id}}, 'day', cut.day, 'running', {_money('({deep_run})')})
+        WHEN cut IS NOT NULL THEN named_struct(
+            'invoice_id', cut.invoice_id, 'day', cut.day, 'running', {_money('cut.running')})
+        END AS cutoff"""
 
     def shallow(joined: DataFrame) -> DataFrame:
         return _read_window(joined, settings).selectExpr(
             *outcome,
             single.format("closest"),
-            f"CASE WHEN cut IS NOT NULL THEN {at_entry} END AS cutoff",
+            cutoff.format(deep_id="cut.invoice_id", deep_run="cut.running"),
         )
 
     on_block = ["customer_id", "block"]
@@ -370,9 +382,11 @@ def match_payments(
         partly.dropDuplicates(QUERY), _index(rows, chunks, band_rows, settings), band_rows, settings
     )
     return shallow(joined.where("NOT coalesce(has_deep, false)")).unionByName(
-        partly.join(found, QUERY, "left").selectExpr(
+        partly.join(found, QUERY, "left")
+        .withColumn("closest", F.expr("least(closest, deep_closest)"))
+        .selectExpr(
             *outcome,
-            single.format("least(closest, deep_closest)"),
-            f"CASE WHEN cut.deep THEN {in_deep_day} WHEN cut IS NOT NULL THEN {at_entry} END AS cutoff",
+            single.format("closest"),
+            cutoff.format(deep_id="deep_cut.invoice_id", deep_run="cut.before + deep_cut.value"),
         )
     )
