@@ -289,9 +289,10 @@ def invoice_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
+    # Both sides grow with the data: never a broadcast.
     return (
         ar_invoices(spark, sf_dir)
-        .join(lines, "invoice_id", "left")
+        .join(lines.hint("merge"), "invoice_id", "left")
         .withColumn("notes", F.lit(None).cast("string"))
     )
 
@@ -310,7 +311,7 @@ def return_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    return _return_headers(spark, sf_dir).join(lines, "return_id")
+    return _return_headers(spark, sf_dir).join(lines.hint("merge"), "return_id")
 
 
 # --- raw text records, some of them broken on purpose ------------------------------------
