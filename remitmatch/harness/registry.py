@@ -390,12 +390,12 @@ def orphan_payments(spark, sf_dir):
 
 @query
 def orphan_returns(spark, sf_dir):
-    return payments.orphan_returns(data._return_headers(spark, sf_dir), data.ar_invoices(spark, sf_dir))
+    return payments.orphan_returns(data.return_headers(spark, sf_dir), data.ar_invoices(spark, sf_dir))
 
 
 @query
 def date_range_check(spark, sf_dir):
-    """Payments dated before their invoice's due date ended, and the like: start after end."""
+    """Payments made after their invoice was due."""
     matched = _matches(spark, sf_dir)
     return validation.date_range_check(matched, "payment_id", "payment_date", "invoice_due_date")
 
@@ -649,7 +649,7 @@ def _results(spark, sf_dir):
 @query
 def sku_mismatch_detail(spark, sf_dir):
     return mismatches.sku_mismatch_detail(
-        data.ar_return_line_items(spark, sf_dir), data._return_headers(spark, sf_dir),
+        data.ar_return_line_items(spark, sf_dir), data.return_headers(spark, sf_dir),
         data.ar_invoices(spark, sf_dir),
     )
 

@@ -216,7 +216,7 @@ def ar_return_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _return_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def return_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (
         _returned(spark, sf_dir)
@@ -241,7 +241,7 @@ def ar_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("return_id")
         .agg(F.expr("bool_or(original_sku <> returned_sku) AS sku_mismatch_flag"))
     )
-    return _return_headers(spark, sf_dir).join(flags, "return_id")
+    return return_headers(spark, sf_dir).join(flags, "return_id")
 
 
 def ar_invoice_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +311,7 @@ def return_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    return _return_headers(spark, sf_dir).join(lines.hint("merge"), "return_id")
+    return return_headers(spark, sf_dir).join(lines.hint("merge"), "return_id")
 
 
 # --- raw text records, some of them broken on purpose ------------------------------------

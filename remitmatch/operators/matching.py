@@ -150,7 +150,7 @@ def _read_window(joined: DataFrame, settings: list[Setting]) -> DataFrame:
             entries_seen,
             named_struct('run', 0L, 'hit', CAST(NULL AS {HIT})),
             (state, e) -> CASE WHEN state.hit IS NOT NULL THEN state ELSE named_struct(
-                'run', state.run + e.net,
+                'run', state.run + coalesce(e.net, 0L),
                 'hit', CASE WHEN state.run + e.high >= cents THEN named_struct(
                     'deep', e.deep, 'day', e.day, 'invoice_id', e.invoice_id, 'n', e.n,
                     'high', e.high, 'before', state.run, 'running', state.run + e.net
@@ -173,7 +173,7 @@ def _read_window(joined: DataFrame, settings: list[Setting]) -> DataFrame:
                 'eligible_invoice_count', CASE WHEN size(entries_seen) > 0 THEN
                     aggregate(entries_seen, 0L, (n, e) -> n + e.n) END,
                 'total', CASE WHEN size(entries_seen) > 0 THEN
-                    aggregate(entries_seen, 0L, (total, e) -> total + e.net) END,
+                    aggregate(entries_seen, 0L, (total, e) -> total + coalesce(e.net, 0L)) END,
                 'closest', {closest},
                 'cut', {crossing}))[0])"""
     payment = ["payment_id", "customer_id", "payment_date", "payment_amount", "cents"]

@@ -11,6 +11,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from remitmatch.functions.amounts import DOCUMENT_BUCKETS
 from remitmatch.schemas import RESULTS, RUN_SUMMARY
 
 RESULT_VIEWS = {
@@ -20,6 +21,31 @@ RESULT_VIEWS = {
 }
 
 
+# How each report is ordered when it is read by people; the last column makes it unique.
+REPORT_ORDER = {
+    "aging_report": ["aging_sort", "customer_id", "invoice_id"],
+    "aging_warehouse": ["aging_sort", "customer_id", "outstanding_balance DESC", "invoice_id"],
+    "mismatch_report": ["return_date", "return_id", "original_sku"],
+    "sku_mismatch_detail": [
+        "is_fraud_alert DESC", "line_value DESC", "return_date DESC", "return_id", "original_sku",
+    ],
+    "discrepancy_report": ["discrepancy_type", "customer_id", "entity_id", "detail"],
+    "partial_payment_analysis": ["outstanding_balance DESC", "customer_id", "order_date", "invoice_id"],
+    "customer_risk_summary": ["risk_score DESC", "total_outstanding DESC", "customer_id"],
+    "recon_dashboard": ["payment_count DESC", "match_type"],
+    "high_risk_accounts": ["customer_id"],
+}
+
+
+def in_report_order(df: DataFrame, report: str) -> DataFrame:
+    """A report in its reading order. A range shuffle, so for exports only."""
+    if report == "aging_report":
+        names = ", ".join(f"'{b}'" for b in DOCUMENT_BUCKETS)
+        by_bucket = df.withColumn("aging_sort", F.expr(f"array_position(array({names}), aging_bucket)"))
+        return by_bucket.orderBy(*REPORT_ORDER[report]).drop("aging_sort")
+    return df.orderBy(*[F.expr(c[:-5]).desc() if c.endswith(" DESC") else F.col(c) for c in REPORT_ORDER[report]])
+
+
 def register_views(tables: dict[str, DataFrame]) -> None:
     """(Re)create the three named result views."""
     for key, name in RESULT_VIEWS.items():
@@ -40,9 +66,9 @@ def export_views(spark: SparkSession, root: str) -> dict[str, str]:
 
 
 def write_report(report: DataFrame, root: str, run_date: datetime.date | str) -> str:
-    """The discrepancy list of one run as CSV."""
+    """The discrepancy list of one run as CSV, in reading order."""
     path = f"{root}/reports/run_date={run_date}"
-    export_csv(report, path)
+    export_csv(in_report_order(report, "discrepancy_report"), path)
     return path
 
 

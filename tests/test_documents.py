@@ -7,6 +7,7 @@ import pytest
 
 from remitmatch.operators import aging, discrepancies, mismatches, payments, validation
 from remitmatch.plans.pipeline import detect, run_pipeline
+from remitmatch.sinks.outputs import in_report_order
 from remitmatch.sources.documents import read_csv_text, scan
 
 HEADERS = {
@@ -122,6 +123,16 @@ def test_aging(loaded):
     assert counts == {"Current": 3, "1-30": 1}
 
 
+def test_reading_order(loaded):
+    found = detect(*(loaded[n].valid for n in ("invoices", "payments", "returns")), datetime.date(2024, 6, 1))
+    listed = [(r.discrepancy_type, r.entity_id) for r in in_report_order(found.report, "discrepancy_report").collect()]
+    assert listed[0] == ("OVERPAYMENT", "PMT-600002") and listed[-1] == ("UNDERPAYMENT", "PMT-600004")
+    assert listed == sorted(listed, key=lambda r: r[0])
+    aged = in_report_order(found.aging, "aging_report").collect()
+    assert [r.aging_bucket for r in aged] == ["Current", "Current", "Current", "1-30"]
+    assert "aging_sort" not in aged[0].asDict()
+
+
 @pytest.mark.parametrize(
     "days, name", [(-1, "Current"), (0, "Current"), (1, "1-30"), (30, "1-30"), (31, "31-60"), (60, "31-60"),
                    (61, "61-90"), (90, "61-90"), (91, "90+")],
