@@ -1,4 +1,4 @@
-"""Time the headline queries: one JSON line with seconds per query (warm, best of three).
+"""Time the headline queries: one JSON line with seconds per query (the better of two runs).
 
 BENCH_SF_DIR names the test tables (default sf0.1), BENCH_CPUS the local cores (default 8),
 BENCH_QUERIES an own comma-separated choice of queries.
@@ -43,7 +43,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name in chosen.split(",") if chosen else HEADLINE:
-        seconds[name] = round(min(run(spark, name, sf_dir) for _ in range(3)), 3)
+        seconds[name] = round(min(run(spark, name, sf_dir) for _ in range(2)), 3)
     print(
         json.dumps(
             {
