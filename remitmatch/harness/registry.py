@@ -65,6 +65,12 @@ def recon_results(spark, sf_dir):
     return recon.recon_results(flat_tables(spark, sf_dir), [DEFAULT])
 
 
+@query
+def recon_results_crowded(spark, sf_dir):
+    """The same results with every date treated as crowded, all answers by sorted look-up."""
+    return recon.recon_results(flat_tables(spark, sf_dir), [DEFAULT], inline_limit=0, chunk_bits=8)
+
+
 @query
 def recon_scenarios(spark, sf_dir):
     return recon.recon_scenarios(flat_tables(spark, sf_dir), PRESETS)
