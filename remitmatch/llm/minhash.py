@@ -3,16 +3,20 @@
 Two permutations make every coordinate of a signature: the first scatters the shingles over a
 ring, the second is read from there with a shift that grows by one from coordinate to
 coordinate. Signatures are cut into bands; texts with equal bands are candidates, and only
-pairs whose full shingle sets overlap enough become links.
+pairs whose full shingle sets overlap enough become links. With the default bands, a pair at the
+threshold is a candidate with probability 1 - 3e-6, more similar ones more surely.
 
-Texts with equal sets are collapsed first, so exact copies of any number cost one candidate. In a
-band's bucket every member is compared with one leader. Members of one bucket that are still
-unconnected after that are compared with each other, so no link is lost that would join two
-components. With the default bands, a pair at the threshold is a candidate with probability
-1 - 3e-6, more similar ones more surely.
+Texts with equal sets are collapsed first, so exact copies of any number cost one candidate. Then
+
+1. every member of a band's bucket is compared with one leader, the member that stands in the
+   fullest buckets: the original that many copies were made from;
+2. two members of a bucket have the same leader, so the members of a leader that are still in
+   different components meet in blocks. A block pair holds each text as its difference from the
+   leader, from which the Jaccard similarity of two texts follows exactly, and returns a spanning forest
+   of the links it finds. No pairs are emitted, and no group is larger than two blocks.
 
 Nulls: a null text has no words; a row without an id is reported alone. Texts without words link
-with nothing. Rows that repeat an id are judged each by its own text. Empty tables give no rows.
+with nothing. Rows that repeat an id are reported each by its own text. Empty tables give no rows.
 Other columns of the input are not read.
 """
 
@@ -23,6 +27,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
@@ -105,42 +110,77 @@ def _signed(width: int, bands: int, rows: int, seed: int):
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
-            keys, values = [], []
-            for wanted, text in zip(
-                batch.column("key").to_pylist(), raw_bytes(batch.column("text")), strict=True
+            ids, keys, values = [], [], []
+            for doc_id, wanted, text in zip(
+                batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(),
+                raw_bytes(batch.column("text")), strict=True,
             ):
                 found = shingles(text, width)
                 if set_key(found) == wanted:
+                    ids.append(doc_id)
                     keys.append(wanted)
                     values.append(found.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(values, pa.binary())], ["key", "shingles"])
+                [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(values, pa.binary())],
+                ["doc_id", "key", "shingles"])
 
     return run
 
 
-def _verified(percent: int):
+def _compared(percent: int):
+    """Whether a pair is linked, and the difference of its sets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "right"):
-            hits = []
+            linked, size, apart = [], [], []
             for left, right in zip(
                 batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True
             ):
                 one, two = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                at = np.minimum(np.searchsorted(two, one), len(two) - 1)
-                common = int((two[at] == one).sum())
-                hits.append(100 * common >= percent * (len(one) + len(two) - common))
-            pick = batch.filter(pa.array(hits, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([pick.column("a"), pick.column("b")], ["a", "b"])
+                rest = np.setxor1d(one, two, assume_unique=True)
+                linked.append(similar(len(rest), len(one) + len(two), percent))
+                size.append(len(two))
+                apart.append(rest.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()),
+                 pa.array(size, pa.int64()), pa.array(apart, pa.binary())],
+                ["a", "b", "linked", "n", "apart"])
 
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(_verified(percent), "a binary, b binary")
+def similar(difference, sizes, percent: int):
+    """``100 * intersection >= percent * union`` from the symmetric difference and both sizes."""
+    return difference * (100 + percent) <= (100 - percent) * sizes
+
+
+def _met(percent: int):
+    """A spanning forest of the links between two blocks of one leader's members."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, np.uint64) for x in rows["apart"]]
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        values, at, counts = np.unique(
+            np.concatenate(sets), return_inverse=True, return_counts=True)
+        wanted = np.flatnonzero(counts > 1)
+        number = np.full(len(values), -1)
+        number[wanted] = np.arange(len(wanted))
+        overlap = np.zeros((len(sets), len(sets)), np.float32)
+        at = number[at]
+        for start in range(0, len(wanted), 4096):
+            inside = (at >= start) & (at < start + 4096)
+            matrix = np.zeros((len(sets), min(4096, len(wanted) - start)), np.float32)
+            matrix[owner[inside], at[inside] - start] = 1
+            overlap += matrix @ matrix.T
+        each = np.array([len(x) for x in sets])
+        n, roots, ids = rows["n"].to_numpy(), rows["root"].to_numpy(), rows["b"].to_numpy()
+        difference = each[:, None] + each[None] - 2 * overlap.astype(np.int64)
+        i, j = np.nonzero(similar(difference, n[:, None] + n[None], percent)
+                          & (roots[:, None] < roots[None]))
+        _, first = np.unique(roots[i] * np.int64(-7046029254386353131) + roots[j], return_index=True)
+        return pd.DataFrame({"x": ids[i[first]], "y": ids[j[first]]}).astype("int64")
+
+    return run
 
 
 def near_duplicates(
@@ -152,60 +192,66 @@ def near_duplicates(
     ``percent`` per cent or more; ``component_id`` is the smallest id reachable over links.
     """
     spark = docs.sparkSession
+    fits = f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n)"
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = cut(texts.mapInArrow(
         _signed(width, bands, rows, seed),
         "doc_id long, n_shingles long, key binary, bands array<long>"), "signed")
     named = signed.where("key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = cut(named.groupBy("key").agg(
-        F.min("doc_id").alias("head"), F.max("n_shingles").alias("n")), "classes")
-
-    banded = named.select(F.explode("bands").alias("band"), "key", F.col("n_shingles").alias("n"))
-    banded = cut(banded.distinct(), "banded")
-    leaders = cut(banded.groupBy("band").agg(
-        F.min(F.struct("key", "n")).alias("leader"), F.count(F.lit(1)).alias("size")
-    ).where("size > 1").select("band", F.col("leader.key").alias("a"),
-                               F.col("leader.n").alias("leader_n")), "leaders")
-    members = cut(banded.join(leaders, "band"), "members")
+    classes = cut(named.groupBy("key").agg(F.min("doc_id").alias("id")), "classes")
+
+    banded = named.withColumnRenamed("doc_id", "id").join(classes, ["key", "id"]).select(
+        "id", F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("band"))
+    sizes = cut(banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+    members = cut(banded.join(sizes, "band"), "members")
+    release(spark)
+    fullness = cut(members.groupBy("id").agg(F.sum("size").alias("fullness")), "fullness")
+    leaders = cut(members.select("band", "id", "n").join(fullness, "id").groupBy("band").agg(
+        F.max(F.struct("fullness", (-F.col("id")).alias("minus"), "n")).alias("best"))
+        .select("band", (-F.col("best.minus")).alias("a"), F.col("best.n").alias("leader_n")), "leaders")
+    pairs = cut(members.select("band", F.col("id").alias("b"), "n").join(leaders, "band")
+                .where(f"a != b AND {fits}").select("a", "b").distinct(), "pairs")
     release(spark)
 
-    first = cut(members.where("key != a AND 100 * least(n, leader_n) >= "
-                              f"{percent} * greatest(n, leader_n)")
-                .select("a", F.col("key").alias("b")).distinct(), "first")
-    wanted = members.select("key").distinct().join(classes, "key")
-    wanted = cut(wanted.select("key", F.col("head").alias("doc_id")), "wanted")
-    sets = cut(texts.join(wanted, "doc_id").select("key", "text").mapInArrow(
-        _sets(width), "key binary, shingles binary").dropDuplicates(["key"]), "sets")
+    wanted = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+                 .join(classes, "id").select(F.col("id").alias("doc_id"), "key"), "wanted")
+    sets = cut(texts.join(wanted, "doc_id").select("doc_id", "key", "text").mapInArrow(
+        _sets(width), "doc_id long, key binary, shingles binary")
+        .dropDuplicates(["doc_id", "key"]).select("doc_id", "shingles"), "sets")
+    release(spark)
+    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
+    compared = cut(pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(
+        _compared(percent), "a long, b long, linked boolean, n long, apart binary"), "compared")
     release(spark)
 
-    edges = cut(_named(_links(first, sets, percent), classes), "links")
-    roots = components(edges)
-    placed = cut(members.select("band", "key", "n").join(classes.select("key", "head"), "key")
-                 .join(roots, F.col("head") == F.col("node"), "left")
-                 .select("band", "key", "n", F.coalesce("root", "head").alias("root")), "placed")
-    open_bands = placed.groupBy("band").agg(
-        F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("band")
-    rest = cut(placed.join(cut(open_bands, "open"), "band"), "rest")
-    one = rest.select("band", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("r_a"))
-    two = rest.select("band", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("r_b"))
-    second = (one.join(two, "band")
-              .where("a < b AND r_a != r_b AND 100 * least(n_a, n_b) >= "
-                     f"{percent} * greatest(n_a, n_b)")
-              .select("a", "b").distinct().join(first, ["a", "b"], "left_anti"))
-    more = cut(_named(_links(cut(second, "second"), sets, percent), classes), "links")
-    roots = cut(components(edges.union(more)), "roots")
+    edges = compared.where("linked").select("a", "b")
+    roots = cut(components(edges), "roots")
+    placed = cut(compared.select("a", "b", "n", "apart").join(
+        roots, F.col("b") == F.col("node"), "left").select(
+        "a", "b", "n", "apart", F.coalesce("root", "b").alias("root")), "placed")
+    # blocks of 64 members; larger ones in groups of thousands, to 1024
+    block = F.least(F.greatest(F.col("size") / 64, F.lit(64)), F.lit(1024))
+    groups = cut(placed.groupBy("a").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
+        .where("low != high").select("a", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "groups")
+    spread = placed.join(groups, "a").withColumn("own", F.expr("pmod(xxhash64(b), blocks)")).select(
+        "a", "b", "n", "apart", "root", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+    met = spread.groupBy("a", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    more = cut(met.applyInPandas(_met(percent), "x long, y long"), "more")
     release(spark)
+    roots = cut(components(edges.union(more)), "roots")
 
-    heads = cut(classes.join(roots, F.col("head") == F.col("node"), "left")
-                .select("key", F.coalesce("root", "head").alias("root")), "heads")
+    heads = cut(classes.join(roots, F.col("id") == F.col("node"), "left")
+                .select("key", F.coalesce("root", "id").alias("root")), "heads")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return (signed.select("doc_id", "n_shingles", "key").join(heads, "key", "left")
             .select("doc_id", "n_shingles", own.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def _named(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links between set keys as links between the smallest ids of their classes."""
-    left = classes.select(F.col("key").alias("a"), F.col("head").alias("x"))
-    right = classes.select(F.col("key").alias("b"), F.col("head").alias("y"))
-    return links.join(left, "a").join(right, "b").select("x", "y")
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The documents of ``docs`` that are kept, one of each group; rows without an id stay."""
+    gone = cut(near_duplicates(docs, width, percent).where("NOT kept").select(
+        F.col("doc_id").alias("_gone")).distinct(), "gone")
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
