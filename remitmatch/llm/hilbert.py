@@ -78,6 +78,11 @@ def ordinal(docs: DataFrame, name: str) -> Column:
     return column.cast("double")
 
 
+def _below(edges: Column, column: Column) -> Column:
+    """How many edges are smaller than the column."""
+    return F.size(F.filter(edges, lambda edge: edge < column))
+
+
 def with_curve(docs: DataFrame, dimensions: Sequence[str], bits: int = BITS) -> DataFrame:
     """``docs`` with the cells ``_d0, _d1, ...`` and the place ``_curve`` on the curve."""
     if not dimensions or bits * len(dimensions) > 62:
@@ -90,8 +95,7 @@ def with_curve(docs: DataFrame, dimensions: Sequence[str], bits: int = BITS) ->
     for key, column in numbers.items():
         cuts = sorted(set(bounds[key] or []))
         edges = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array().cast("array<double>")
-        above = F.size(F.filter(edges, lambda edge, own=column: edge < own))
-        cells[key] = F.when(column.isNull(), 0).otherwise(above).cast("int")
+        cells[key] = F.when(column.isNull(), 0).otherwise(_below(edges, column)).cast("int")
 
     @F.pandas_udf("long")
     def curve(*parts: pd.Series) -> pd.Series:
