@@ -19,7 +19,7 @@ from remitmatch.operators import (
 from remitmatch.operators.matching import has_deep_days, match_payments
 from remitmatch.plans import pipeline, recon
 from remitmatch.schemas import FLAT
-from remitmatch.session import scratch_path
+from remitmatch.session import scratch_path, written
 from remitmatch.settings import DEFAULT, PRESETS, active_settings, config_table
 from remitmatch.sinks import outputs
 from remitmatch.sources import documents, drops, flat_csv
@@ -68,7 +68,7 @@ def recon_results(spark, sf_dir):
 @query
 def recon_results_crowded(spark, sf_dir):
     """The same results with every date treated as crowded, all answers by sorted look-up."""
-    return recon.recon_results(flat_tables(spark, sf_dir), [DEFAULT], inline_limit=0, chunk_bits=8)
+    return recon.recon_results(flat_tables(spark, sf_dir), [DEFAULT], inline_limit=0)
 
 
 @query
@@ -229,7 +229,7 @@ def ext_table_counts(spark, sf_dir):
 @query
 def export_roundtrip(spark, sf_dir):
     """The three result views exported to CSV and read back."""
-    results = recon_results(spark, sf_dir)
+    results = written(recon_results(spark, sf_dir), "results")
     views = {
         "results": results, "needs_review": recon.needs_review(results),
         "dashboard": recon.dashboard(results),
@@ -253,7 +253,7 @@ def export_roundtrip(spark, sf_dir):
 def _snapshots(spark, sf_dir):
     """Weekly dashboards, each over the payments known by then; the last date is run twice."""
     root = scratch_path(spark, "snapshots")
-    results = recon_results(spark, sf_dir)
+    results = written(recon_results(spark, sf_dir), "results")
     path = None
     for run_date in ("1998-01-05", "1998-01-12", "1998-01-19", "1998-01-19"):
         known = results.where(f"payment_date <= DATE'{run_date}'")
@@ -485,7 +485,7 @@ def return_value(spark, sf_dir):
 
 def _matches(spark, sf_dir):
     return payments.match_by_reference(
-        data.ar_payments(spark, sf_dir), payments.latest_by_id(data.ar_invoices(spark, sf_dir))
+        data.ar_payments(spark, sf_dir), payments.latest_by_id(data.ar_invoice_versions(spark, sf_dir))
     )
 
 
@@ -571,12 +571,12 @@ def report_export(spark, sf_dir):
 
 @query
 def results_table(spark, sf_dir):
-    """The discrepancy list written to the results table twice and read back once."""
+    """The discrepancy list of two runs of one date, one of them written twice, read back."""
     root = scratch_path(spark, "warehouse")
-    rows = outputs.results_rows(_report(spark, sf_dir), "run-1", AS_OF)
-    for _ in range(2):
-        path = outputs.write_results(rows, root, AS_OF)
-    return spark.read.parquet(path).selectExpr(
+    report = written(_report(spark, sf_dir), "report")
+    for run_id in ("run-1", "run-2", "run-1"):
+        outputs.write_results(outputs.results_rows(report, run_id, AS_OF), root, AS_OF, run_id)
+    return outputs.read_results(spark, root).selectExpr(
         "run_date", "pipeline_run_id", "discrepancy_type", "customer_id", "entity_id",
         "reference_id", "discrepancy_amount", "detail", "classification", "is_fraud_alert",
         "is_resolved", "environment",

@@ -7,7 +7,10 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitmatch.schemas import MONEY, PRICE
+from remitmatch.operators.validation import CURRENCIES, RETURN_STATUSES
+from remitmatch.operators.validation import PAYMENT_METHODS as METHODS
+from remitmatch.operators.validation import RETURN_REASONS as REASONS
+from remitmatch.schemas import MONEY
 
 AS_OF = datetime.date(2001, 8, 1)
 
@@ -37,7 +40,15 @@ def flat_tables(spark: SparkSession, sf_dir: str, owners: bool = False) -> dict[
     lineitem = table(spark, sf_dir, "lineitem")
     key = F.col("o_orderkey")
     total = _money("o_totalprice")
-    ordered = F.to_date("o_orderdate")
+    # One order in a hundred goes to one of two busy customers on one of three dates; one in
+    # 41 names a customer that is not in the table.
+    busy = key % 100 == 1
+    ordered = F.when(busy, F.date_add(F.lit(datetime.date(1995, 6, 16)), (key % 3).cast("int"))).otherwise(
+        F.to_date("o_orderdate"))
+    holder = (
+        F.when(busy, F.lit(20000000) + F.floor(key / 100) % 2)
+        .when(key % 41 == 0, F.col("o_custkey") + 10000000).otherwise(F.col("o_custkey"))
+    )
 
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
@@ -46,7 +57,7 @@ def flat_tables(spark: SparkSession, sf_dir: str, owners: bool = False) -> dict[
     )
     invoices = orders.select(
         key.alias("invoice_id"),
-        F.col("o_custkey").alias("customer_id"),
+        holder.alias("customer_id"),
         ordered.alias("invoice_date"),
         F.date_add(ordered, 30).alias("due_date"),
         total.alias("invoice_amount"),
@@ -66,15 +77,15 @@ def flat_tables(spark: SparkSession, sf_dir: str, owners: bool = False) -> dict[
     )
     payments = orders.select(
         key.alias("payment_id"),
-        F.col("o_custkey").alias("customer_id"),
+        holder.alias("customer_id"),
         amount.cast(MONEY).alias("payment_amount"),
         F.date_add(ordered, delay).alias("payment_date"),
         notes.alias("reference_notes"),
     )
 
-    def lines(flag: str, number: int, rate: str) -> DataFrame:
+    def lines(flag: str, rate: str) -> DataFrame:
         summed = (
-            lineitem.where((F.col("l_returnflag") == flag) & (F.col("l_linenumber") == number))
+            lineitem.where(F.col("l_returnflag") == flag)
             .groupBy("l_orderkey", "l_linenumber")
             .agg(
                 (F.sum(_money("l_extendedprice")) * F.lit(rate).cast("decimal(3,2)"))
@@ -87,18 +98,18 @@ def flat_tables(spark: SparkSession, sf_dir: str, owners: bool = False) -> dict[
         )
         if not owners:
             return summed
-        owner = orders.select(key.alias("l_orderkey"), F.col("o_custkey").alias("customer_id"))
+        owner = orders.select(key.alias("l_orderkey"), holder.alias("customer_id"))
         return summed.join(owner, "l_orderkey")
 
     owner_column = ["customer_id"] if owners else []
 
-    credits = lines("A", 1, "0.10").select(
+    credits = lines("A", "0.10").select(
         F.col("line_id").alias("credit_id"),
         *owner_column,
         "credit_amount",
         F.when(F.col("finished"), F.col("l_orderkey")).alias("applied_invoice_id"),
     )
-    returns = lines("R", 2, "0.05").select(
+    returns = lines("R", "0.05").select(
         F.col("line_id").alias("return_id"),
         *owner_column,
         F.when(F.col("l_orderkey") % 10 < 7, F.col("l_orderkey"))
@@ -115,14 +126,6 @@ def flat_tables(spark: SparkSession, sf_dir: str, owners: bool = False) -> dict[
 
 # --- documents and warehouse tables ----------------------------------------------------
 
-CURRENCIES = ["USD", "EUR", "GBP", "CAD", "AUD", "JPY"]
-METHODS = ["ACH", "WIRE", "CHECK", "CREDIT_CARD", "DEBIT_CARD", "EFT", "CASH"]
-REASONS = [
-    "DEFECTIVE", "WRONG_ITEM", "NOT_AS_DESCRIBED", "DUPLICATE_ORDER",
-    "CUSTOMER_CHANGE_OF_MIND", "DAMAGED_IN_TRANSIT", "QUALITY_ISSUE", "OTHER",
-]
-RETURN_STATUSES = ["PENDING", "APPROVED", "REJECTED", "PROCESSED", "REFUNDED"]
-
 
 def _at(values: list[str], index: str) -> str:
     names = ", ".join(f"'{v}'" for v in values)
@@ -164,6 +167,14 @@ def ar_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ar_invoice_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invoices with an older version of every nineteenth."""
+    now = ar_invoices(spark, sf_dir)
+    older = now.where("CAST(substring(invoice_id, 5) AS BIGINT) % 19 = 0").withColumns({
+        "order_date": F.date_sub("order_date", 1), "total_amount": F.expr("CAST(total_amount + 7 AS DECIMAL(18,2))")})
+    return now.unionByName(older)
+
+
 def ar_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (
         table(spark, sf_dir, "lineitem")
@@ -270,9 +281,16 @@ def ar_payment_allocations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr(
             "payment_id", "invoice_id",
             """CAST(CASE status WHEN 'CLEARED' THEN amount_paid
-                    ELSE amount_paid * CAST(0.5 AS DECIMAL(2,1)) END AS DECIMAL(18,2)) AS allocated_amount""",
+                    ELSE amount_paid * CAST(0.5 AS DECIMAL(2,1)) END AS DECIMAL(18,2)) AS allocated""",
             "payment_date AS allocation_date",
         )
+        # most payments are allocated in two steps
+        .selectExpr(
+            "payment_id", "invoice_id", "allocation_date",
+            """explode(CASE WHEN allocated < 2 THEN array(allocated) ELSE array(
+                 CAST(1 AS DECIMAL(18,2)), CAST(allocated - 1 AS DECIMAL(18,2))) END) AS allocated_amount""",
+        )
+        .select("payment_id", "invoice_id", "allocated_amount", "allocation_date")
     )
 
 

@@ -23,8 +23,8 @@ def discrepancy_report(mismatches: DataFrame, matches: DataFrame) -> DataFrame:
         f"{kind} AS discrepancy_type",
         "payment_id AS entity_id", "customer_id", "invoice_id AS reference_id",
         "CAST(abs(amount_paid - invoice_total) AS DECIMAL(28,4)) AS amount",
-        "format_string('paid %.2f vs invoiced %.2f', CAST(amount_paid AS DOUBLE),"
-        " CAST(invoice_total AS DOUBLE)) AS detail",
+        "concat('paid ', CAST(amount_paid AS DECIMAL(28,2)), ' vs invoiced ',"
+        " CAST(invoice_total AS DECIMAL(28,2))) AS detail",
         f"{kind} AS classification",
     )
     return swapped.unionByName(off)

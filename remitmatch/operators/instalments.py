@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from remitmatch.functions.amounts import as_of_sql, pct_paid
 from remitmatch.operators.aging import COUNTED
+from remitmatch.operators.ledger import ranged
 
 
 def payment_sums(payments: DataFrame) -> DataFrame:
@@ -67,22 +68,22 @@ def partial_payment_analysis(
 
 
 def running_payments(
-    invoices: DataFrame, payments: DataFrame, chunk_chars: int = 12
+    invoices: DataFrame, payments: DataFrame, parts: int | None = None
 ) -> DataFrame:
     """Each counted payment of a partly paid invoice with the total paid up to it.
 
-    The order is payment date, then payment id. The running total is added up from three
-    levels - inside a run of ids that share their first ``chunk_chars`` characters, over
-    the runs of one date, over the dates of one invoice - so that even an invoice with
-    very many payments is spread over many tasks.
+    The order is payment date, then payment id. Payments are range-partitioned by invoice, date and
+    id (written once, see ``ledger``); the running total is summed inside the part of an invoice that one
+    partition holds, and the sums of the parts before it are added. So an invoice with very many
+    payments is spread over many tasks, whatever its ids look like.
     """
-    day = ["invoice_id", "payment_date"]
-    run = [*day, "run"]
+    run = ["invoice_id", "chunk"]
     earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    counted = payments.where(COUNTED).selectExpr(
-        *day, "payment_id", "amount_paid", "payment_method", "reference_number",
-        f"left(payment_id, {chunk_chars}) AS run",
-    )
+    counted = ranged(
+        payments.where(COUNTED).select(
+            "invoice_id", "payment_date", "payment_id", "amount_paid", "payment_method",
+            "reference_number"),
+        ["invoice_id", "payment_date", "payment_id"], parts)
     partly = (
         payment_classification(invoices, payments)
         .where("payment_classification = 'PARTIALLY_PAID'")
@@ -91,29 +92,14 @@ def running_payments(
             "outstanding_balance", "payment_count", "payment_classification",
         )
     )
-    runs = counted.groupBy(*run).agg(F.expr("sum(amount_paid) AS paid"))
-    days = (
-        runs.groupBy(*day)
-        .agg(F.expr("sum(paid) AS paid"))
-        .selectExpr(
-            *day,
-            f"""coalesce(sum(paid) OVER (PARTITION BY invoice_id ORDER BY payment_date
-                {earlier}), 0) AS on_earlier_days""",
-        )
-    )
-    before = (
-        runs.selectExpr(
-            *run,
-            f"""coalesce(sum(paid) OVER (PARTITION BY invoice_id, payment_date ORDER BY run
-                {earlier}), 0) AS earlier_that_day""",
-        )
-        .join(days, day)
-        .selectExpr(*run, "on_earlier_days + earlier_that_day AS paid_before")
+    before = counted.groupBy(*run).agg(F.expr("sum(amount_paid) AS paid")).selectExpr(
+        *run,
+        f"coalesce(sum(paid) OVER (PARTITION BY invoice_id ORDER BY chunk {earlier}), 0) AS paid_before",
     )
     return (
         counted.selectExpr(
             "*",
-            """sum(amount_paid) OVER (PARTITION BY invoice_id, payment_date, run ORDER BY payment_id
+            """sum(amount_paid) OVER (PARTITION BY invoice_id, chunk ORDER BY payment_date, payment_id
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS paid_in_run""",
         )
         .join(before, run)

@@ -3,10 +3,14 @@
 An invoice's place in the ledger is (customer, date, invoice_id). Totals are formed on
 three levels and added up:
 
-* inside a *chunk*, a fixed range of ``2**chunk_bits`` ids of one customer and date, so a
-  window never holds more than that many rows however large the customer is;
-* over the chunks of one (customer, date);
+* inside a *chunk*: the rows are range-partitioned by their place in the ledger, and a chunk is
+  what one customer and date have in one partition. Ranges are cut where rows are, so sparse, hashed
+  or time-based ids split a hot day as well as dense ones do;
+* over the chunks of one (customer, date), as many as there are partitions at most;
 * over the dates of one customer, of which there are only as many as the calendar has.
+
+The ranges are cut by sampling, so the partitioned rows are written to the shared folder once and
+all totals start from the files; otherwise two readings could cut differently.
 """
 
 from __future__ import annotations
@@ -14,9 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from remitmatch.schemas import TOTAL
+from remitmatch.session import written
 
-CHUNK_BITS = 16
 DAY = ["customer_id", "invoice_date"]
 CHUNK = [*DAY, "chunk"]
 
@@ -36,15 +39,20 @@ def own_and_next_block(date: str, width: str) -> str:
     return f"explode(array({block}, {block} + 1))"
 
 
-def running_in_chunks(invoices: DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFrame:
+def ranged(rows: DataFrame, place: list[str], parts: int | None = None) -> DataFrame:
+    """``rows`` with the ``chunk`` (range partition by ``place``) they fall in, from files."""
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = rows.repartitionByRange(parts, *place).withColumn("chunk", F.spark_partition_id().cast("long"))
+    return written(cut, "ranged")
+
+
+def running_in_chunks(invoices: DataFrame, parts: int | None = None) -> DataFrame:
     """Each invoice with its row number, running net due and running maximum in its chunk."""
     upto = "PARTITION BY customer_id, invoice_date, chunk ORDER BY invoice_id"
     here = f"{upto} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     before = f"{upto} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     return (
-        invoices.selectExpr("*", f"shiftright(invoice_id, {chunk_bits}) AS chunk")
-        # Rows that come from a join on (customer, date) would otherwise stay together by
-        # date, and a hot date in one task.
+        ranged(invoices, [*DAY, "invoice_id"], parts)
         .repartition(*CHUNK)
         .selectExpr(
             "*",
@@ -88,10 +96,10 @@ def day_totals(chunks: DataFrame) -> DataFrame:
 
 
 def customer_positions(
-    invoices: DataFrame, chunk_bits: int = CHUNK_BITS
+    invoices: DataFrame, parts: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(invoices with ``position`` and ``running`` over the whole customer, day offsets)."""
-    rows = running_in_chunks(invoices, chunk_bits)
+    rows = running_in_chunks(invoices, parts)
     chunks = chunk_totals(rows)
     earlier = (
         "PARTITION BY customer_id ORDER BY invoice_date "

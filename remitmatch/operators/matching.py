@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 
 from remitmatch.operators.ledger import (
     CHUNK,
-    CHUNK_BITS,
     DAY,
     block_of,
     chunk_totals,
@@ -314,7 +313,7 @@ def match_payments(
     *,
     deep_days: bool = True,
     inline_limit: int = INLINE_LIMIT,
-    chunk_bits: int = CHUNK_BITS,
+    parts: int | None = None,
     band_rows: int = BAND_ROWS,
 ) -> DataFrame:
     """One row per payment and setting.
@@ -366,7 +365,7 @@ def match_payments(
 
     per_day = invoices.groupBy(*DAY).agg(F.count("*").alias("day_n"))
     sized = net.join(per_day, DAY)
-    rows = running_in_chunks(sized.where(f"day_n > {inline_limit}"), chunk_bits)
+    rows = running_in_chunks(sized.where(f"day_n > {inline_limit}"), parts)
     chunks = chunk_totals(rows)
     joined = placed.join(
         _blocks(

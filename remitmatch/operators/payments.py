@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 from remitmatch.functions.amounts import balance
 
 
-def latest_by_id(invoices: DataFrame, load_order: str | None = None) -> DataFrame:
-    """One invoice per id: the last by ``load_order`` (or by order date where there is none)."""
-    values = [c for c in invoices.columns if c != "invoice_id"]
-    order = load_order or "order_date"
-    return (
-        invoices.groupBy("invoice_id")
-        .agg(F.max_by(F.struct(*values), F.col(order)).alias("kept"))
-        .select("invoice_id", "kept.*")
-    )
+BILLED = ["customer_id", "total_amount", "due_date"]
+
+
+def latest_by_id(
+    invoices: DataFrame, load_order: str | None = None, values: list[str] | None = None
+) -> DataFrame:
+    """One invoice per id: the last by ``load_order`` (or by order date where there is none).
+
+    Of equally late ones the largest by ``values`` is kept, so the answer does not depend on the
+    order in which rows arrive. Only ``values`` (what a match needs) are carried.
+    """
+    kept = F.struct(F.col(load_order or "order_date").alias("late"), *(values or BILLED))
+    return invoices.groupBy("invoice_id").agg(F.max(kept).alias("kept")).select(
+        "invoice_id", *[f"kept.{c}" for c in values or BILLED])
 
 
 def match_by_reference(payments: DataFrame, invoices: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at any size; a cluster's own values for memory, cores and
 # shuffle partitions stay as they are.
@@ -33,13 +33,24 @@ def build_session(
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the folder that every executor can reach.
+    """A fresh path under the folder that driver and executors share.
 
-    The folder is the one named in ``spark.checkpoint.dir``. Only where the session
-    names none (tests on one machine) is a local folder made and recorded there.
+    The folder is the one named in ``spark.checkpoint.dir``. Where the session names none, a
+    temporary folder is made and recorded there, but only if driver and executors are one process
+    (``local[...]``, as in tests); on a cluster it would be a different folder on every machine, so
+    that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         root = tempfile.mkdtemp(prefix="remitmatch-")
         spark.conf.set("spark.checkpoint.dir", root)
     return os.path.join(root, f"remitmatch-{uuid.uuid4().hex}", name)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

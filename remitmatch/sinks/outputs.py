@@ -1,7 +1,7 @@
 """Exports, dated snapshots, the results table and run summaries.
 
 Everything dated is written to its own ``run_date=`` folder in overwrite mode: a rerun
-replaces exactly its own date, also when it has fewer rows, or none, this time.
+replaces exactly its own date (results: its own run), also when it has fewer rows, or none, this time.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from remitmatch.functions.amounts import DOCUMENT_BUCKETS
 from remitmatch.schemas import RESULTS, RUN_SUMMARY
+from remitmatch.sources.documents import csv_options
 
 RESULT_VIEWS = {
     "results": "recon_results_active",
@@ -53,22 +54,27 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV parts with a header each, quoted so that ``read_csv_text`` reads them back."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV parts with a header each, quoted so that ``read_csv_text`` reads them back unchanged."""
+    options = {k: v for k, v in csv_options().items() if k not in ("enforceSchema", "multiLine")}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def export_views(spark: SparkSession, root: str) -> dict[str, str]:
     """The three result views as CSV folders under ``root``."""
     paths = {name: f"{root}/{name}" for name in RESULT_VIEWS.values()}
     for name, path in paths.items():
-        export_csv(spark.table(name), path)
+        view = spark.table(name)
+        export_csv(in_report_order(view, "recon_dashboard") if "dashboard" in name else view, path)
     return paths
 
 
-def write_report(report: DataFrame, root: str, run_date: datetime.date | str) -> str:
-    """The discrepancy list of one run as CSV, in reading order."""
-    path = f"{root}/reports/run_date={run_date}"
-    export_csv(in_report_order(report, "discrepancy_report"), path)
+def write_report(
+    report: DataFrame, root: str, run_date: datetime.date | str, name: str = "discrepancy_report"
+) -> str:
+    """A report of one run as CSV, in its reading order."""
+    folder = "reports" if name == "discrepancy_report" else name
+    path = f"{root}/{folder}/run_date={run_date}"
+    export_csv(in_report_order(report, name) if name in REPORT_ORDER else report, path)
     return path
 
 
@@ -100,15 +106,22 @@ def results_rows(
     return filled.selectExpr(*[f"CAST({c} AS {kind}) AS {c}" for c, kind in RESULTS.items()])
 
 
-def write_results(rows: DataFrame, root: str, run_date: datetime.date | str) -> str:
-    """One run's discrepancies, by run date and kind."""
+def write_results(
+    rows: DataFrame, root: str, run_date: datetime.date | str, run_id: str
+) -> str:
+    """One run's discrepancies, by run date, run and kind; the same run again replaces its own."""
     path = f"{root}/ar_reconciliation_results"
-    rows.drop("run_date").write.mode("overwrite").partitionBy("discrepancy_type").parquet(
-        f"{path}/run_date={run_date}"
-    )
+    rows.drop("run_date", "pipeline_run_id").write.mode("overwrite").partitionBy(
+        "discrepancy_type").parquet(f"{path}/run_date={run_date}/pipeline_run_id={run_id}")
     return path
 
 
+def read_results(spark: SparkSession, root: str) -> DataFrame:
+    """The discrepancies of all archived runs in the results table's layout."""
+    layout = ", ".join(f"{c} {kind}" for c, kind in RESULTS.items())
+    return spark.read.schema(layout).parquet(f"{root}/ar_reconciliation_results").select(*RESULTS)
+
+
 def summary_row(
     counts: DataFrame, run_id: str, environment: str = "dev",
     success: bool = True, duration: float | None = None, notes: str | None = None,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitmatch.functions.parsing import amount, date, parse_lines, whole
-from remitmatch.operators.validation import RULES, with_violations
+from remitmatch.operators.validation import RULES, rejected, with_violations
 from remitmatch.schemas import DOCUMENT_CSV, INVOICE_LINES_RAW, RETURN_LINES_RAW
 
 LINE_LAYOUTS = {"invoices": INVOICE_LINES_RAW, "returns": RETURN_LINES_RAW}
@@ -24,18 +24,26 @@ MISSING = [
 ]
 
 
-def read_csv_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def csv_options(multiline: bool = True) -> dict[str, str]:
+    """How this engine writes CSV and reads it back: cells may hold quotes, blanks, line breaks.
+
+    With ``multiline`` a file is read by one task, as only a reader that saw all of it knows
+    which line breaks stand in quotes. Drops and exports are many files, so the work still
+    spreads; for one huge file without line breaks in its cells, turn it off.
+    """
+    return {
+        "header": "true", "quote": '"', "escape": '"', "enforceSchema": "false",
+        "multiLine": str(multiline).lower(), "lineSep": "\n",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    }
+
+
+def read_csv_text(spark: SparkSession, paths: str | list[str], multiline: bool = True) -> DataFrame:
     """CSV with a header, by column name, every cell a string.
 
     All files of a path must carry the same header; another one is an error, not a shift.
     """
-    return (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(paths)
-    )
+    return spark.read.options(**csv_options(multiline)).csv(paths)
 
 
 def arrange(raw: DataFrame, entity: str, extra: list[str] | None = None) -> DataFrame:
@@ -98,18 +106,28 @@ class Loaded(NamedTuple):
     quarantine: DataFrame
 
 
-def split(checked: DataFrame, entity: str, extra: list[str] | None = None) -> Loaded:
-    """Good records typed, bad ones as text with the rules they break."""
+def split(
+    checked: DataFrame, entity: str, extra: list[str] | None = None, strict_dates: bool = False
+) -> Loaded:
+    """Good records typed, bad ones as text with the rules they break.
+
+    A date that cannot be read is a broken rule and is reported, but the record stays, with
+    NULL for the date; ``strict_dates`` sets such records aside too.
+    """
+    bad = rejected(strict_dates)
     return Loaded(
         checked,
-        checked.where("size(violations) = 0").selectExpr(*TYPED[entity], *(extra or [])),
-        checked.where("size(violations) > 0"),
+        checked.where(f"NOT {bad}").selectExpr(*TYPED[entity], *(extra or [])),
+        checked.where(bad),
     )
 
 
-def scan(spark: SparkSession, entity: str, paths: str | list[str], literals: bool = True) -> Loaded:
+def scan(
+    spark: SparkSession, entity: str, paths: str | list[str], literals: bool = True,
+    strict_dates: bool = False, multiline: bool = True,
+) -> Loaded:
     """Read, check and type one entity. Invoices keep their load order, for duplicates."""
-    raw = read_csv_text(spark, paths)
+    raw = read_csv_text(spark, paths, multiline)
     extra = []
     if entity == "invoices":
         raw = raw.select(
@@ -120,16 +138,4 @@ def scan(spark: SparkSession, entity: str, paths: str | list[str], literals: boo
             ).alias("load_order"),
         )
         extra = ["load_order"]
-    return split(read_documents(raw, entity, extra, literals), entity, extra)
-
-
-def scan_invoices(spark: SparkSession, paths: str | list[str]) -> Loaded:
-    return scan(spark, "invoices", paths)
-
-
-def scan_payments(spark: SparkSession, paths: str | list[str]) -> Loaded:
-    return scan(spark, "payments", paths)
-
-
-def scan_returns(spark: SparkSession, paths: str | list[str]) -> Loaded:
-    return scan(spark, "returns", paths)
+    return split(read_documents(raw, entity, extra, literals), entity, extra, strict_dates)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from remitmatch.sources.documents import read_csv_text
 
-RUN_DATE = r"regexp_extract(_metadata.file_path, '/([0-9]{4}-[0-9]{2}-[0-9]{2})/', 1)"
+# The folder right above ``<entity>.csv`` (a file, or a folder of parts); NULL where that is no date.
+RUN_DATE = r"""try_cast(regexp_extract(_metadata.file_path, '/([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]+[.]csv(/[^/]*)?$', 1) AS DATE)"""
 
 
 def drop_path(root: str, entity: str, run_date: datetime.date | str, prefix: str | None = None) -> str:
@@ -25,4 +26,4 @@ def read_drops(
 ) -> DataFrame:
     """The drops of the given dates as text, with their ``run_date``."""
     paths = [drop_path(root, entity, d, prefix) for d in run_dates]
-    return read_csv_text(spark, paths).selectExpr("*", f"CAST({RUN_DATE} AS DATE) AS run_date")
+    return read_csv_text(spark, paths).selectExpr("*", f"{RUN_DATE} AS run_date")

@@ -6,21 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from remitmatch.schemas import DOCUMENT_CSV
+from remitmatch.sources.documents import csv_options
 from remitmatch.sources.drops import RUN_DATE
 
 
 def drop_stream(
     spark: SparkSession, root: str, entity: str, prefix: str | None = None
 ) -> DataFrame:
-    """A file stream over all drops of one entity."""
+    """A file stream over all drops of one entity.
+
+    A folder whose name is no date sets its rows aside: they get the ``run_date`` NULL, that is
+    the partition of rows without a date, and the stream goes on.
+    """
     return (
         spark.readStream.schema(DOCUMENT_CSV[entity])
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("enforceSchema", False)
+        .options(**csv_options())
         .csv(f"{root}/{(prefix or entity).strip('/')}/*/{entity}.csv")
-        .selectExpr("*", f"CAST({RUN_DATE} AS DATE) AS run_date")
+        .selectExpr("*", f"{RUN_DATE} AS run_date")
     )
 
 

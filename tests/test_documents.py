@@ -176,12 +176,12 @@ BAD_INVOICES = {
 def test_bad_invoices_are_set_aside(spark, tmp_path):
     rows = [row for row, _ in BAD_INVOICES.values()]
     path = write(tmp_path, "invoices", rows + INVOICES[:1])
-    loaded = scan(spark, "invoices", path)
+    loaded = scan(spark, "invoices", path, strict_dates=True)
     bad = [[v.rule for v in r.violations] for r in loaded.quarantine.collect()]
     expected = [rule for _, rule in BAD_INVOICES.values()]
     assert [len(rules) for rules in bad] == [1] * len(expected)
     assert [rules[0] for rules in bad] == expected
-    audit = validation.load_audit(loaded.checked, "invoices").first()
+    audit = validation.load_audit(loaded.checked, "invoices", strict_dates=True).first()
     assert (audit.total_rows, audit.valid_rows, audit.skipped_rows) == (len(rows) + 1, 1, len(rows))
 
 
@@ -277,6 +277,41 @@ def test_pipeline_survives_a_missing_source(spark, tmp_path):
                "returns": str(tmp_path / "none.csv")}
     run = run_pipeline(spark, sources, datetime.date(2024, 6, 1))
     summary = run.summary.first()
-    assert summary.pipeline_success and summary.payments_processed == 0 and len(run.errors) == 2
+    assert run.outcome == "PARTIAL" and len(run.errors) == 2
+    assert summary.pipeline_success and summary.payments_processed == 0
     nothing = run_pipeline(spark, dict.fromkeys(sources, str(tmp_path / "none.csv")), datetime.date(2024, 6, 1))
-    assert not nothing.summary.first().pipeline_success
+    assert nothing.outcome == "FAILED" and not nothing.summary.first().pipeline_success
+
+
+def test_pipeline_reports_a_bad_file_and_a_failing_stage(spark, tmp_path, monkeypatch):
+    from remitmatch.plans import pipeline
+
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\n".join([HEADERS["payments"], *PAYMENTS]) + "\n")
+    (folder / "b.csv").write_text("other,header\n1,2\n")
+    sources = {"invoices": write(tmp_path, "invoices", INVOICES), "payments": str(folder),
+               "returns": str(tmp_path / "none.csv")}
+    archive = str(tmp_path / "archive")
+    run = run_pipeline(spark, sources, datetime.date(2024, 6, 1), "bad-file", archive=archive)
+    assert run.outcome == "PARTIAL" and [e.split(":")[0] for e in run.errors] == ["load payments", "load returns"]
+
+    def broken(*_):
+        raise RuntimeError("no detection today")
+
+    monkeypatch.setattr(pipeline, "detect", broken)
+    sources["payments"] = write(tmp_path, "payments", PAYMENTS)
+    failed = run_pipeline(spark, sources, datetime.date(2024, 6, 1), "broken", archive=archive)
+    assert failed.outcome == "FAILED" and "no detection today" in failed.errors[-1]
+    kept = {r.pipeline_run_id: r for r in spark.read.parquet(f"{archive}/ar_pipeline_run_summary").collect()}
+    assert set(kept) == {"bad-file", "broken"}
+    assert not kept["broken"].pipeline_success and "FAILED" in kept["broken"].notes
+    assert kept["broken"].payments_processed > 0 and kept["bad-file"].pipeline_success
+
+
+def test_unreadable_dates_keep_the_record(spark, tmp_path):
+    path = write(tmp_path, "payments", ["PMT-600001,INV-500001,CUST-9999,2024-13-05,100.50,ACH,R1,CLEARED,"])
+    part = scan(spark, "payments", path)
+    assert part.valid.first().payment_date is None and part.quarantine.count() == 0
+    assert [v.rule for v in part.checked.first().violations] == ["payment_date"]
+    assert scan(spark, "payments", path, strict_dates=True).valid.count() == 0

@@ -10,6 +10,7 @@ import pytest
 from remitmatch.operators.instalments import partial_payment_analysis, running_payments
 from remitmatch.operators.links import payment_invoice_links
 from remitmatch.operators.validation import currency_check, flat_fk_violations
+from remitmatch.schemas import DOCUMENT_CSV
 from remitmatch.session import scratch_path
 from remitmatch.settings import DEFAULT, PRESETS, Setting, active_settings, config_table
 from remitmatch.sinks import outputs
@@ -79,8 +80,8 @@ def warehouse(spark, seed=3):
     return invoices, paid, inv, pay.selectExpr("*", "'ACH' AS payment_method", "'r' AS reference_number")
 
 
-@pytest.mark.parametrize("chars", [5, 12])
-def test_running_payments_against_brute_force(spark, chars):
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_running_payments_against_brute_force(spark, parts):
     invoices, paid, inv, pay = warehouse(spark)
     con = duckdb.connect()
     con.execute("CREATE TABLE i (invoice_id VARCHAR, c VARCHAR, total DECIMAL(18,2), status VARCHAR)")
@@ -93,7 +94,7 @@ def test_running_payments_against_brute_force(spark, chars):
              SELECT invoice_id FROM p JOIN i USING (invoice_id) WHERE p.status <> 'FAILED'
              GROUP BY invoice_id, total HAVING sum(amount) < total)"""
     ).fetchall()
-    got = running_payments(inv, pay, chars).select("payment_id", "running_total_paid").collect()
+    got = running_payments(inv, pay, parts).select("payment_id", "running_total_paid").collect()
     assert sorted(map(tuple, got)) == sorted(expected)
     assert len(got) > 100
 
@@ -131,13 +132,17 @@ def test_results_rerun_drops_kinds_that_are_gone(spark, tmp_path):
            AS t(discrepancy_type, entity_id, customer_id, reference_id, amount, detail, classification)"""
     )
     first = outputs.results_rows(report, "r", "2024-01-01")
-    path = outputs.write_results(first, str(tmp_path), "2024-01-01")
-    ids = {r.result_id for r in spark.read.parquet(path).collect()}
+    outputs.write_results(first, str(tmp_path), "2024-01-01", "r")
+    ids = {r.result_id for r in outputs.read_results(spark, str(tmp_path)).collect()}
     assert len(ids) == 2
     again = outputs.results_rows(report.where("classification = 'FRAUD'"), "r", "2024-01-01")
-    outputs.write_results(again, str(tmp_path), "2024-01-01")
-    (row,) = spark.read.parquet(path).collect()
+    outputs.write_results(again, str(tmp_path), "2024-01-01", "r")
+    (row,) = outputs.read_results(spark, str(tmp_path)).collect()
     assert row.is_fraud_alert and row.result_id in ids and str(row.run_date) == "2024-01-01"
+    other = outputs.results_rows(report, "20", "2024-01-01")
+    outputs.write_results(other, str(tmp_path), "2024-01-01", "20")
+    runs = [r.pipeline_run_id for r in outputs.read_results(spark, str(tmp_path)).collect()]
+    assert sorted(runs) == ["20", "20", "r"]
 
 
 def test_each_drop_is_taken_in_once(spark, tmp_path):
@@ -158,6 +163,30 @@ def test_each_drop_is_taken_in_once(spark, tmp_path):
     assert {str(r.run_date) for r in batch.collect()} == {"2024-01-02"}
 
 
+def test_exports_read_back_unchanged(spark, tmp_path):
+    notes = ["first\nsecond", '"quoted", twice', "  padded  ", "back\\slash", "a,b", "tab\t", " ", 'end"', "cr\r\nlf"]
+    rows = spark.createDataFrame([(str(i), n) for i, n in enumerate(notes)], "id string, notes string")
+    outputs.export_csv(rows, str(tmp_path / "out"))
+    back = flat_csv.read_csv_text(spark, str(tmp_path / "out"))
+    assert {r.id: r.notes for r in back.collect()} == dict((str(i), n) for i, n in enumerate(notes))
+
+
+def test_drop_dates_come_from_the_last_folder(spark, tmp_path):
+    root = str(tmp_path / "2020-02-02")
+    rows = spark.createDataFrame([("PMT-1", "line one\nline two")], "payment_id string, notes string")
+    layout = [c for c in DOCUMENT_CSV["payments"].fieldNames() if c not in rows.columns]
+    rows = rows.selectExpr("payment_id", *[f"CAST(NULL AS STRING) AS {c}" for c in layout], "notes")
+    rows = rows.select(*DOCUMENT_CSV["payments"].fieldNames())
+    outputs.export_csv(rows, drops.drop_path(root, "payments", "2024-01-01"))
+    outputs.export_csv(rows, drops.drop_path(root, "payments", "incoming_tmp"))
+    target = str(tmp_path / "landed")
+    daily_drop.ingest(daily_drop.drop_stream(spark, root, "payments"), target, str(tmp_path / "check")).awaitTermination()
+    landed = spark.read.parquet(target).collect()
+    assert {str(r.run_date) for r in landed} == {"2024-01-01", "None"}
+    assert {r.notes for r in landed} == {"line one\nline two"}
+    assert [str(r.run_date) for r in drops.read_drops(spark, root, "payments", ["2024-01-01"]).collect()] == ["2024-01-01"]
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "a"), scratch_path(spark, "a")

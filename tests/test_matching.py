@@ -20,8 +20,8 @@ RETURNS = "return_id long, customer_id long, original_invoice_id long, return_sk
 TUNINGS = [
     {"deep_days": False},
     {"inline_limit": 0},
-    {"inline_limit": 1, "chunk_bits": 2, "band_rows": 3},
-    {"inline_limit": 3, "chunk_bits": 0, "band_rows": 1},
+    {"inline_limit": 1, "parts": 7, "band_rows": 3},
+    {"inline_limit": 3, "parts": 40, "band_rows": 1},
 ]
 
 

@@ -6,6 +6,8 @@ import pytest
 from oracle_check import compare, duck
 
 import __spark_entry__ as entry
+from remitmatch.harness.oracles import ORACLE
+from remitmatch.harness.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")
@@ -17,12 +19,13 @@ def con():
 
 
 def test_every_query_has_a_statement():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert compare(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) is None
+    assert compare(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) is None
 
 
 def test_entry(spark):
