@@ -22,6 +22,7 @@ HEADLINE = [
     "discrepancy_report", "high_risk_accounts", "mismatch_report", "sku_mismatch_detail",
     "aging_report", "aging_warehouse", "partial_payment_analysis", "partial_payment_running",
     "customer_risk_summary", "invoice_violations", "scan_invoices", "constraint_violations",
+    "recon_results_crowded", "single_best", "greedy_running", "schema_violations", "run_summary",
 ]
 
 
