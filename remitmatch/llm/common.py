@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,14 +26,27 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps start from the files."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete tables written by ``cut`` that nothing will read again."""
+    for df in frames:
+        for file in df.inputFiles()[:1]:
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files nobody refers to any more, after a step was written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete shuffle files nobody refers to any more, after a step was written.
+
+    Twice: what the first round frees on either side still held something on the other.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20):
@@ -63,9 +77,10 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP))
+@lru_cache(maxsize=2)
+def letters(table: int = 0) -> np.ndarray:
+    """A random 64-bit number for each byte; another table gives an independent hash."""
+    return mix(np.arange(1 + 256 * table, 257 + 256 * table, dtype=np.uint64) * np.uint64(_STEP))
 
 
 _POWERS: dict[str, np.ndarray] = {}
@@ -81,14 +96,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def rolling(data: np.ndarray) -> np.ndarray:
+def rolling(data: np.ndarray, table: int = 0) -> np.ndarray:
     """Prefix sums of a polynomial hash over bytes, one longer than the data."""
     up, _ = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_letters()[data] * up[: len(data)], out=sums[1:])
+    np.cumsum(letters(table)[data] * up[: len(data)], out=sums[1:])
     return sums
 
 
+def grams(sums: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all ranges of ``size`` bytes, as ``ranges`` gives them."""
+    n = len(sums) - size
+    return mix((sums[size:] - sums[:n]) * _powers(len(sums))[1][:n] + np.uint64(size * _STEP % (1 << 64)))
+
+
 def ranges(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte ranges, equal for equal bytes wherever they stand."""
     _, down = _powers(len(sums))
