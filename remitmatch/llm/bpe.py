@@ -2,16 +2,18 @@
 
 Documents are read in blocks of about ``BLOCK`` bytes. A block is stored as its distinct pre-tokens
 and, for every position, the number of the pre-token that stands there. Only the distinct ones are
-exploded and shuffled: ``distinct`` over all blocks, one BPE run for each, a join back to the
-blocks by the word, and a grouping by block. Reassembly by position is then a lookup in the
-block's own list. Shuffled rows are one per block and distinct word instead of one per position.
+exploded and shuffled by the word: all rows of a word meet in one task, which runs BPE once for it
+and gives the ids to every block that asked. Grouped by block they are the block's own list, and
+reassembly by position is a lookup in it. Shuffled rows are one per block and distinct word instead of
+one per position, so not even the most frequent word has more rows than there are blocks; back go
+the ids of all words a task had for a block in one row. The positions are never shuffled: they are
+written bucketed by block, as the lists are shuffled.
 
 Decoding joins ids to the token-byte table. The table is the vocabulary, of fixed size, and is
 broadcast; the join is a lookup by id over whole arrays.
 
 Blocks are numbered in the task that writes them and are read back from files, so a repeated task
-cannot mix two numberings. A very long text is a block of its own. A word that stands in every
-block has one row for each, which the join may split.
+cannot mix two numberings. A very long text is a block of its own.
 
 Nulls: a null text is empty and has no tokens; a null id stays null. Repeated rows give a row each.
 Empty tables give no rows; other columns are not read.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import re
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,8 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remitmatch.llm.common import cut, release, small_batches
+from remitmatch.session import scratch_path
 
-BLOCK = 4 << 20
+BLOCK = 16 << 20
+STEP = 1 << 20  # positions worked on at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -82,16 +87,38 @@ def gather(values: np.ndarray, offsets: np.ndarray, picks: np.ndarray) -> tuple[
     return values[at], ends
 
 
+def _squeezed(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=9).compress(data, asbytes=True)
+
+
 def pack(numbers: np.ndarray) -> bytes:
-    """Non-negative numbers below 2**24 as three planes of bytes, compressed."""
-    planes = [(numbers >> shift & 255).astype(np.uint8).tobytes() for shift in (0, 8, 16)]
-    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+    """Numbers of 32 bits, small ones in one byte, compressed.
+
+    The first bytes of all numbers come first: the number itself below 240, else 240 and the
+    bits above the lower sixteen; then, for the others, the planes of their lower bytes: two, or
+    four where a number is too large for that.
+    """
+    large = numbers >= 240
+    rest = numbers[large].astype(np.int64) - 240
+    planes = 4 if len(rest) and rest.max() >> 20 else 2
+    first = numbers.astype(np.uint8)
+    first[large] = 240 + (rest >> 16) if planes == 2 else 240
+    return _squeezed(b"".join((
+        len(rest).to_bytes(8, "little"), planes.to_bytes(1, "little"), first.tobytes(),
+        *[(rest >> 8 * k).astype(np.uint8).tobytes() for k in range(planes)])))
 
 
 def unpack(data: bytes, count: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, 3 * count, codec="zstd", asbytes=True), np.uint8)
-    low, middle, high = planes.reshape(3, count).astype(np.int64)
-    return low | middle << 8 | high << 16
+    """``count`` numbers from ``pack``."""
+    raw = np.frombuffer(pa.CompressedInputStream(pa.BufferReader(data), "zstd").read(), np.uint8)
+    more, planes = int.from_bytes(raw[:8].tobytes(), "little"), int(raw[8])
+    numbers = raw[9 : 9 + count].astype(np.int32)
+    large = numbers >= 240
+    rest = (numbers[large] - 240) << 16
+    for k, plane in enumerate(raw[9 + count :].reshape(planes, more)):
+        rest |= plane.astype(np.int32) << 8 * k
+    numbers[large] = rest + 240
+    return numbers
 
 
 def _blocks(pattern: str, limit: int):
@@ -100,18 +127,24 @@ def _blocks(pattern: str, limit: int):
         for batch in small_batches(batches, "text", limit):
             index: dict[str, int] = {}
             codes, counts = [], []
-            for text in batch.column("text").to_pylist():
-                found = pretokens(text or "", pattern)
+            for value in batch.column("text"):
+                found = pretokens(value.as_py() or "", pattern)
                 counts.append(len(found))
                 for word in set(found).difference(index):
                     index[word] = len(index)
-                codes.append(np.fromiter(map(index.__getitem__, found), np.int64, len(found)))
+                codes.append(np.fromiter(map(index.__getitem__, found), np.int32, len(found)))
             numbers = np.concatenate(codes)
-            order = np.argsort(-np.bincount(numbers, minlength=len(index)), kind="stable")
-            rank = np.empty(len(index), np.int64)
-            rank[order] = np.arange(len(index))
-            names = list(index)
-            words = [names[i].encode() for i in order.tolist()]
+            del codes
+            # frequent ones first, by powers of two; in between by name, which packs well
+            names = [w.encode() for w in index]
+            place = {w: i for i, w in enumerate(names)}
+            order = np.fromiter(map(place.__getitem__, sorted(names)), np.int64, len(names))
+            level = np.log2(np.bincount(numbers, minlength=len(names))[order]).astype(np.int8)
+            order = order[np.argsort(-level, kind="stable")]
+            rank = np.empty(len(names), np.int32)
+            rank[order] = np.arange(len(names), dtype=np.int32)
+            words = [names[i] for i in order.tolist()]
+            del index, place, names
             yield pa.RecordBatch.from_arrays(
                 [pa.array([serial], pa.int64()),
                  pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
@@ -124,58 +157,115 @@ def _blocks(pattern: str, limit: int):
     return run
 
 
-def _encoded_words(path: str, pattern: str):
+def _encoded_words(path: str, pattern: str, limit: int = 1 << 20):
+    """For each block the numbers of the task's words, how many ids each has, and the ids."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(path, pattern)._core_bpe.encode_single_piece
-        ranks = encoding(path, pattern)._mergeable_ranks
+        known: dict[bytes, int] = {}
+        sizes, ids, blocks, numbers, words = [], [], [], [], []
+
+        def flush() -> pa.RecordBatch:
+            block, number = np.concatenate(blocks), np.concatenate(numbers)
+            order = np.lexsort((number, block))
+            block, number, word = block[order], number[order], np.concatenate(words)[order]
+            offsets = np.concatenate([[0], np.cumsum(sizes)])
+            values = np.array(ids, "<u4")
+            begins = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+            rows, total = [], []
+            for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(block)], strict=True):
+                found, ends = gather(values, offsets, word[a:b])
+                each = np.diff(ends, prepend=0).astype("<u4")
+                raw = b"".join(x.tobytes() for x in (
+                    np.array([b - a], "<u4"), np.diff(number[a:b], prepend=0).astype("<u4"), each, found))
+                total.append(len(raw))
+                rows.append(pa.compress(raw, codec="zstd", asbytes=True))
+            blocks.clear(), numbers.clear(), words.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(block[begins], pa.int64()), pa.array(total, pa.int64()), pa.array(rows, pa.binary())],
+                ["block", "size", "packed"])
+
+        held = 0
         for batch in batches:
-            ids = []
+            picks = []
             for word in batch.column("word").to_pylist():
-                rank = ranks.get(word)
-                ids.append(np.array([rank] if rank is not None else encode(word), "<u4").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.array(ids, pa.binary())], ["word", "ids"])
+                at = known.get(word)
+                if at is None:
+                    at = known[word] = len(sizes)
+                    found = encode(word)
+                    sizes.append(len(found))
+                    ids += found
+                picks.append(at)
+            blocks.append(batch.column("block").to_numpy())
+            numbers.append(batch.column("number").to_numpy())
+            words.append(np.array(picks, np.int64))
+            held += len(picks)
+            if held >= limit:
+                yield flush()
+                held = 0
+        if held:
+            yield flush()
 
     return run
 
 
+def _dictionary(entries: list[dict] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's ids, where each entry's begin, and which entry each number has."""
+    places, each, ids = [], [], []
+    for entry in entries or ():
+        raw = np.frombuffer(pa.decompress(entry["packed"], entry["size"], codec="zstd", asbytes=True), "<u4")
+        n = int(raw[0])
+        places.append(np.cumsum(raw[1 : n + 1]))
+        each.append(raw[n + 1 : 2 * n + 1])
+        ids.append(raw[2 * n + 1 :])
+    if not places:
+        return np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(0, np.int32)
+    numbers = np.concatenate(places)
+    where = np.empty(len(numbers), np.int32)
+    where[numbers] = np.arange(len(numbers), dtype=np.int32)
+    return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(each).astype(np.int64))]), where
+
+
 def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
             doc_ids = batch.column("doc_ids")[row].values
             counts = batch.column("counts")[row].values.to_numpy()
-            numbers = unpack(batch.column("codes")[row].as_py(), int(counts.sum()))
-            entries = batch.column("entries")[row].values
-            places, values, offsets = np.zeros(0, np.int64), np.zeros(0, "<u4"), np.zeros(1, np.int64)
-            if entries is not None and len(entries):
-                places = entries.field("number").to_numpy(zero_copy_only=False)
-                found = entries.field("ids").to_pylist()
-                values = np.frombuffer(b"".join(found), "<u4")
-                offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])])
-            where = np.empty(len(places), np.int64)
-            where[places] = np.arange(len(places))
-            ids, ends = gather(values, offsets, where[numbers])
             last = np.cumsum(counts)
-            stops = np.concatenate([[0], ends])[last]
-            starts = np.concatenate([[0], stops[:-1]])
-            data = [ids[a:b].tobytes() for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(data, pa.binary())], ["doc_id", "ids"])
+            numbers = unpack(batch.column("codes")[row].as_py(), int(counts.sum()))
+            values, offsets, where = _dictionary(batch.column("entries")[row].as_py())
+            start = 0
+            while start < len(counts):  # some documents at a time, one at least
+                base = int(last[start - 1]) if start else 0
+                stop = max(start + 1, int(np.searchsorted(last, base + STEP, side="right")))
+                ids, ends = gather(values, offsets, where[numbers[base : last[stop - 1]]])
+                cuts = np.concatenate([[0], ends])[last[start:stop] - base].tolist()
+                data = [ids[a:b].tobytes() for a, b in zip([0, *cuts], cuts, strict=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [doc_ids.slice(start, stop - start), pa.array(data, pa.binary())], ["doc_id", "ids"])
+                start = stop
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, block: int = BLOCK) -> DataFrame:
     """``doc_id, ids``: the ids of each whole text as little-endian unsigned 32-bit integers."""
+    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = cut(texts.mapInArrow(
+    name = f"bpe_blocks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts.mapInArrow(
         _blocks(pattern, block),
-        "block long, doc_ids array<long>, counts array<long>, codes binary, words array<binary>"), "blocks")
+        "block long, doc_ids array<long>, counts array<long>, codes binary, words array<binary>",
+    ).write.bucketBy(buckets, "block").option("path", scratch_path(spark, "blocks")).option(
+        "compression", "zstd").saveAsTable(name)
+    blocks = spark.table(name)
     words = blocks.select("block", F.posexplode("words").alias("number", "word"))
-    known = words.select("word").distinct().mapInArrow(
-        _encoded_words(path, pattern), "word binary, ids binary")
-    entries = cut(words.join(known, "word").select("block", "number", "ids"), "entries")
-    release(docs.sparkSession)
-    lists = entries.groupBy("block").agg(F.collect_list(F.struct("number", "ids")).alias("entries"))
+    entries = cut(words.repartition("word").mapInArrow(
+        _encoded_words(path, pattern), "block long, size long, packed binary"), "entries")
+    del words
+    release(spark)
+    lists = entries.groupBy("block").agg(F.collect_list(F.struct("size", "packed")).alias("entries"))
     return (
-        blocks.select("block", "doc_ids", "counts", "codes").join(lists, "block", "left")
+        blocks.select("block", "doc_ids", "counts", "codes").join(lists.hint("merge"), "block", "left")
         .select("doc_ids", "counts", "codes", "entries")
         .mapInArrow(_reassembled, "doc_id long, ids binary")
     )
