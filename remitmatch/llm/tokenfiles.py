@@ -20,6 +20,7 @@ columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,6 +38,8 @@ from remitmatch.llm.bpe import gather, pretokens
 from remitmatch.llm.common import cut, small_batches
 from remitmatch.session import scratch_path
 
+_SPACE, _TAB = re.compile(r"\s"), re.compile(r"[^\S\n ]")
+_LOOSE = re.compile(r" \s|[^\S\n]\n|\n[^\S ]|\s\s\Z")  # white space that belongs to no word and no single line break
 MANIFEST = "part long, name string, docs long, ids long, width int"
 
 
@@ -59,39 +62,103 @@ def tokenizer(path: str):
 
 
 class Encoder:
-    """The ids of texts; each pre-token is given to the library once while it is remembered."""
+    """The ids of texts; each word is given to the library once while it is remembered.
 
-    def __init__(self, path: str, pattern: str, remembered: int = 1 << 18):
+    A text is cut at line breaks and before every space that a word follows, where no pre-token can
+    cross: what comes after is encoded as in the whole text. Texts with more white space in one place
+    are cut by the pattern itself. New words go to the library many at a time, one after
+    another; as each begins with its only space, the tokens that begin with a space tell them apart.
+    """
+
+    def __init__(self, path: str, pattern: str, remembered: int = 3 << 19):
         self.tokenizer, self.pattern, self.remembered = tokenizer(path), pattern, remembered
-        self.known: dict[str, int] = {}
-        self.sizes: list[int] = []
-        self.ids: list[int] = []
+        space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0][0]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(space)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.plain: dict[str, int] = {}  # words as they are
+        self.spaced: dict[str, int] = {}  # words with a space before them
+        self.offsets = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.int32)
+        self.learn(self.plain, {"\n"}, "")
+
+    def learn(self, known: dict[str, int], words: set[str], before: str, tabs: bool = True) -> None:
+        """Add the ids of ``before`` and each word; without ``tabs`` no word holds white space."""
+        whole, other = [], list(words)
+        if before == " ":
+            whole = [w for w in other if w and not (tabs and _SPACE.search(w))]
+            other = list(words.difference(whole))
+        parts, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(whole), 1024):
+            text = " " + " ".join(whole[at : at + 1024])
+            found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            starts = np.flatnonzero(self.opens[found])
+            if len(starts) == len(whole[at : at + 1024]):
+                parts.append(found)
+                sizes.append(np.diff(np.append(starts, len(found))))
+            else:
+                self.each([" " + w for w in whole[at : at + 1024]], parts, sizes)
+        if other:
+            self.each([before + w for w in other], parts, sizes)
+        count = len(self.offsets) - 1
+        known.update(zip(whole + other, range(count, count + len(words)), strict=True))
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.concatenate(sizes))])
+        self.ids = np.concatenate([self.ids, *parts])
+
+    def each(self, words: list[str], parts: list, sizes: list) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        parts.append(np.array([i for f in found for i in f], np.int32))
+        sizes.append(np.array([len(f) for f in found], np.int64))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and where each text ends."""
-        if len(self.known) > self.remembered:
-            self.known, self.sizes, self.ids = {}, [], []
-        split = [pretokens(t, self.pattern) for t in texts]
-        new = sorted(set().union(*split).difference(self.known))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for word, found in zip(
-                part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True
-            ):
-                self.known[word] = len(self.sizes)
-                self.ids += found.ids
-                self.sizes.append(len(found.ids))
-        offsets = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
-        values = np.array(self.ids, np.int64)
-        picks = np.fromiter((self.known[w] for s in split for w in s), np.int64)
-        ids, ends = gather(values, offsets, picks)
-        return ids, np.concatenate([[0], ends])[np.cumsum([len(s) for s in split])].astype(np.int64)
+        if len(self.plain) + len(self.spaced) > self.remembered:
+            self.forget()
+        split: list[list[tuple[str, list[str]]] | list[str]] = []
+        heads: set[str] = set()
+        tails: set[str] = set()
+        for text in texts:
+            if _LOOSE.search(text):
+                split.append(pretokens(text, self.pattern))
+                heads.update(split[-1])
+                continue
+            lines = [line.split(" ") for line in text.split("\n")]
+            split.append([(line[0], line[1:]) for line in lines])
+            for first, rest in split[-1]:
+                heads.add(first)
+                tails.update(rest)
+        tabs = any(map(_TAB.search, texts))
+        for known, words, before in ((self.plain, heads, ""), (self.spaced, tails, " ")):
+            if new := words.difference(known):
+                self.learn(known, new, before, tabs)
+        plain, spaced = self.plain.__getitem__, self.spaced.__getitem__
+        picks: list[int] = []
+        ends = []
+        for parts in split:
+            if parts and isinstance(parts[0], tuple):
+                for k, (first, rest) in enumerate(parts):
+                    picks += [plain("\n"), plain(first)] if k else [plain(first)]
+                    picks.extend(map(spaced, rest))
+            else:
+                picks.extend(map(plain, parts))
+            ends.append(len(picks))
+        ids, stops = gather(self.ids, self.offsets, np.array(picks, np.int64))
+        return ids, np.concatenate([[0], stops])[ends].astype(np.int64)
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, pattern: str) -> Encoder:
+    """One encoder for all tasks of a worker."""
+    return Encoder(path, pattern)
 
 
 def _written(folder: str, path: str, pattern: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, pattern)
-        width = 2 if max(encoder.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else 4
+        own = encoder(path, pattern)
+        width = 2 if max(own.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else 4
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         files, root = storage(folder)
@@ -101,7 +168,7 @@ def _written(folder: str, path: str, pattern: str, end_id: int):
             if sink is None:
                 files.create_dir(root, recursive=True)
                 sink = files.open_output_stream(f"{root}/{name}.bin")
-            ids, stops = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+            ids, stops = own.encode([t or "" for t in batch.column("text").to_pylist()])
             sink.write(np.insert(ids, stops, end_id).astype(f"<u{width}").tobytes())
             sizes.append(np.diff(stops, prepend=0) + 1)
             names += batch.column("doc_id").to_pylist()
@@ -109,10 +176,10 @@ def _written(folder: str, path: str, pattern: str, end_id: int):
             return
         sink.close()
         offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-        own = np.array([n or 0 for n in names], np.int64)
+        doc_ids = np.array([n or 0 for n in names], np.int64)
         empty = np.array([n is None for n in names], np.int64)
         with files.open_output_stream(f"{root}/{name}.idx") as index:
-            index.write(np.concatenate([[len(names)], offsets, own, empty]).astype("<i8").tobytes())
+            index.write(np.concatenate([[len(names)], offsets, doc_ids, empty]).astype("<i8").tobytes())
         yield pa.RecordBatch.from_arrays(
             [pa.array([part], pa.int64()), pa.array([name]), pa.array([len(names)], pa.int64()),
              pa.array([int(offsets[-1])], pa.int64()), pa.array([width], pa.int32())],

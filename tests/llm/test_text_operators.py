@@ -349,6 +349,16 @@ def test_token_files_of_no_rows(documents):
     assert [tuple(r)[:3] for r in tokenfiles.round_trip(documents([(4, "")]), VOCABULARY, PATTERN).collect()] == [(4, 0, 1)]
 
 
+def test_encoder_equals_the_library_on_any_white_space():
+    rng = random.Random(6)
+    encoder = tokenfiles.Encoder(VOCABULARY, PATTERN)
+    texts = ["".join(rng.choice("aab  \n\n\t'sé1.\x85\u3000") for _ in range(rng.randrange(12))) for _ in range(4000)]
+    found, stops = encoder.encode(texts)
+    own = np.split(found, stops[:-1])
+    library_ids = [e.ids for e in tokenfiles.tokenizer(VOCABULARY).encode_batch(texts, add_special_tokens=False)]
+    assert [(t, o.tolist()) for t, o in zip(texts, own, strict=True)] == list(zip(texts, library_ids, strict=True))
+
+
 def test_encoder_forgets_and_learns_again():
     encoder = tokenfiles.Encoder(VOCABULARY, PATTERN, remembered=3)
     texts = ["one two three four", "one five", "", "four one"]
