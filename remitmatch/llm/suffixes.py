@@ -4,15 +4,17 @@ A string of ``length`` bytes (a window) is removed from a document if it also st
 a smaller id. Not every suffix is sorted: each window names one anchor, the smallest of its
 ``gram``-byte hashes, which depends on the window's bytes alone, so equal windows name equal anchors.
 
-1. Anchors are counted over different texts; those in one text only are dropped.
-2. Around a kept anchor stand all windows that named it: its context. Equal contexts are one class,
-   for which the smallest id is known; in every other document all its windows are repeats.
-3. Where one anchor has several contexts, their windows are suffixes to be sorted. A task sorts its
-   own by multikey quicksort to a shallow depth, then orders each group that still agrees with a
+1. Every fourth anchor or so, chosen by its hash, cuts a text into stretches. Of equal stretches
+   the one in the smallest id is the first; all others are repeats throughout. Copies and near
+   copies end here, but for the stretches in which they differ.
+2. Anchors that occur in several different stretches are looked up in the first ones. Around each stand
+   the windows that named it: its context. Equal contexts are one class, whose smallest id is known.
+3. Where one anchor has several contexts that agree in ``(length + gram) / 2`` bytes at least, as
+   equal windows must on one side of the anchor, their windows are suffixes to be sorted. A task sorts
+   its own by multikey quicksort to a shallow depth, then orders each group that still agrees with a
    blind trie; neighbours that agree in all bytes are one repeat, and only its smallest id goes on.
-   The tasks' repeats are merged by digest, which tells each class the windows found earlier.
+   The tasks' repeats are merged by a 128-bit hash, which tells each class the windows found earlier.
 
-Texts that are equal as a whole are collapsed first: all but the smallest id are repeats throughout.
 Every minimum is combined before its shuffle and joined back from files, so hot strings can be split.
 Nothing is capped: each window of each document is judged.
 
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,90 +35,217 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitmatch.llm.common import cut, ranges, raw_bytes, release, rolling, small_batches
+from remitmatch.llm.common import (
+    cut, discard, grams, mix, ranges, raw_bytes, release, rolling, small_batches,
+)
 
 LENGTH, GRAM = 50, 16
-BLOCK = 1 << 20  # bytes of one text worked on at a time
+BLOCK = 1 << 18  # bytes worked on at a time
 SHALLOW, STEP = 16, 8
+STRETCH = np.uint64(4)  # anchors in a stretch, on average
 _LOW = np.uint64((1 << 24) - 1)
 
 
 # --- anchors ------------------------------------------------------------------------------
 
 
-def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Anchors of a text: hash, place, first window and last window that name it.
+class Scan(NamedTuple):
+    """Anchors of a block of texts. Places count from the block's start, texts from the batch's."""
 
-    The smallest hash wins (its upper 40 bits), among equal ones the first. Long texts are
-    worked through in blocks; an anchor at a block's edge may come twice, with different windows.
+    base: int
+    data: np.ndarray
+    sums: np.ndarray
+    hashes: np.ndarray
+    place: np.ndarray
+    first: np.ndarray  # first window that names the anchor
+    last: np.ndarray
+    text: np.ndarray
+    stretch: np.ndarray  # number of the stretch in the block
+    begins: np.ndarray  # first anchor of each stretch
+
+    def stretches(self) -> tuple[np.ndarray, np.ndarray]:
+        """First window of each stretch, and the one after its last."""
+        ends = np.append(self.begins[1:], len(self.hashes)) - 1
+        return self.first[self.begins], self.last[ends] + 1
+
+    def twin(self, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _twin(self.data, start, stop, self.sums)
+
+
+def _twin(data: np.ndarray, start: np.ndarray, stop: np.ndarray, sums: np.ndarray | None = None):
+    """128-bit hashes of byte ranges, as two 64-bit ones."""
+    one = rolling(data) if sums is None else sums
+    return tuple(ranges(x, start, stop).astype(np.int64) for x in (one, rolling(data, 1)))
+
+
+def scan(texts: list[bytes], length: int, gram: int) -> Iterator[Scan]:
+    """Anchors of all windows of the texts, block by block over the texts one after another.
+
+    Windows over two texts are left out. The smallest hash wins (its upper 40 bits), among equal
+    ones the first. At a block's edge an anchor may come twice, with different windows.
     """
-    found = []
-    for start in range(0, len(data) - length + 1, BLOCK):
-        part = data[start : start + BLOCK + length - 1]
-        places = np.arange(len(part) - gram + 1)
-        hashes = ranges(rolling(part), places, places + gram)
-        least = (hashes & ~_LOW) | places.astype(np.uint64)
+    ends = np.cumsum([len(t) for t in texts])
+    starts = ends - [len(t) for t in texts]
+    whole = np.frombuffer(b"".join(texts), np.uint8)
+    for base in range(0, max(0, len(whole) - length + 1), BLOCK):
+        data = whole[base : base + BLOCK + length - 1]
+        sums = rolling(data)
+        hashes = grams(sums, gram)
+        least = hashes & ~_LOW
+        least |= np.arange(len(hashes), dtype=np.uint64)
         width, reach = length - gram + 1, 1
         while 2 * reach <= width:
             least = np.minimum(least[:-reach], least[reach:])
             reach *= 2
         if reach < width:
             least = np.minimum(least[: reach - width], least[width - reach :])
-        named = (least & _LOW).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], named[1:] != named[:-1]]))
-        last = np.concatenate([first[1:], [len(named)]]) - 1
-        found.append((hashes[named[first]], named[first] + start, first + start, last + start))
-    if not found:
-        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+        named = least.astype(np.int32) & np.int32(_LOW)
+        for end in (ends[np.searchsorted(ends, base, "right") : np.searchsorted(ends, base + len(data))] - base).tolist():
+            named[max(0, end - length + 1) : end] = -1  # windows over two texts
+        first = np.flatnonzero(named[1:] != named[:-1]) + 1
+        first = np.append(0, first)
+        last = np.append(first[1:], len(named)) - 1
+        own = named[first] >= 0
+        first, last = first[own], last[own]
+        if not len(first):
+            continue
+        place = named[first].astype(np.int64)
+        text = np.searchsorted(starts, first + base, side="right") - 1
+        hashes = hashes[place]
+        cuts = (hashes >> np.uint64(40)) % STRETCH == 0
+        cuts |= np.append(True, text[1:] != text[:-1])
+        yield Scan(base, data, sums, hashes, place, first, last, text,
+                   np.cumsum(cuts) - 1, np.flatnonzero(cuts))
+
+
+def _starts(texts: list[bytes]) -> np.ndarray:
+    return np.cumsum([0, *map(len, texts[:-1])])
+
+
+def _rows(names: list[str], columns: tuple) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+    for at in range(0, whole.num_rows, 1 << 16):
+        yield whole.slice(at, 1 << 16)
+
+
+def _ids(batch: pa.RecordBatch, name: str = "doc_id") -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
+
+
+def _stretched(length: int, gram: int):
+    """Rows ``doc_id, key, h1, h2, start``: the stretches of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text", 2 << 20):
+            texts = raw_bytes(batch.column("text"))
+            zero, ids, keys = _starts(texts), _ids(batch), _ids(batch, "key")
+            for s in scan(texts, length, gram):
+                start, stop = s.stretches()
+                owner = s.text[s.begins]
+                yield from _rows(
+                    ["doc_id", "key", "h1", "h2", "start"],
+                    (ids[owner], keys[owner], *s.twin(start, stop + length - 1), start + s.base - zero[owner]))
+
+    return run
+
+
+def _sampled(length: int, gram: int):
+    """Rows ``anchor, stretch``: each anchor with a hash of the stretch it stands in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text", 2 << 20):
+            for s in scan(raw_bytes(batch.column("text")), length, gram):
+                start, stop = s.stretches()
+                own = ranges(s.sums, start, stop + length - 1).astype(np.int64)[s.stretch]
+                yield from _rows(["anchor", "stretch"], (s.hashes.astype(np.int64), own))
+
+    return run
 
 
-def _sampled(length: int, gram: int, places: bool):
+def _placed(length: int, gram: int):
+    """Rows ``anchor, doc_id, place``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
-            hashes, owners, spots = [], [], []
-            for key, text in zip(
-                batch.column("key").to_pylist(), raw_bytes(batch.column("text")), strict=True
-            ):
-                h, p, _, _ = anchors(np.frombuffer(text, np.uint8), length, gram)
-                hashes.append(h.astype(np.int64))
-                owners.append(np.full(len(h), key, np.int64))
-                spots.append(p)
-            columns = [pa.array(np.concatenate(hashes)), pa.array(np.concatenate(owners))]
-            names = ["anchor", "key"]
-            if places:
-                columns.append(pa.array(np.concatenate(spots)))
-                names.append("place")
-            whole = pa.RecordBatch.from_arrays(columns, names)
-            for at in range(0, whole.num_rows, 1 << 16):
-                yield whole.slice(at, 1 << 16)
+        for batch in small_batches(batches, "text", 2 << 20):
+            texts = raw_bytes(batch.column("text"))
+            zero, ids = _starts(texts), _ids(batch)
+            for s in scan(texts, length, gram):
+                place = (s.place + s.base - zero[s.text]).astype(np.int32)
+                yield from _rows(["anchor", "doc_id", "place"], (s.hashes.astype(np.int64), ids[s.text], place))
 
     return run
 
 
+def _context_names(s: Scan, pick: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit names of contexts: their bytes and where the anchor stands in them."""
+    d1, d2 = s.twin(s.first[pick], s.last[pick] + length)
+    lead = (s.place[pick] - s.first[pick]).astype(np.uint64)
+    return d1, mix(d2.astype(np.uint64) ^ lead).astype(np.int64)
+
+
+def _marks(lists: list, zero: np.ndarray) -> np.ndarray:
+    """Places in the batch from a list of places for each text, sorted."""
+    sizes = [len(x) for x in lists]
+    return np.sort(np.concatenate([np.asarray(x, np.int64) for x in lists]) + np.repeat(zero, sizes))
+
+
+def _found(values: np.ndarray, sorted_values: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(sorted_values, values)
+    at[at == len(sorted_values)] = 0
+    return sorted_values[at] == values if len(sorted_values) else np.zeros(len(values), bool)
+
+
+CONTEXT = "anchor long, d1 long, d2 long, doc_id long, lead int, context binary"
+
+
 def _contexts(length: int, gram: int):
-    """Rows ``anchor, digest, doc_id, sha, start, windows, lead, context`` of the wanted anchors."""
+    """The different contexts of wanted anchors in first stretches of each text, as ``CONTEXT``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "digest", "doc_id", "sha", "start", "windows", "lead", "context"]
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         for batch in small_batches(batches, "text", 2 << 20):
-            rows: list[list] = [[] for _ in names]
-            for doc_id, sha, text, wanted in zip(
-                batch.column("doc_id").to_pylist(), batch.column("sha").to_pylist(),
-                raw_bytes(batch.column("text")), batch.column("places").to_pylist(), strict=True,
-            ):
-                found = anchors(np.frombuffer(text, np.uint8), length, gram)
-                for h, p, s0, s1 in zip(
-                    *(x[np.isin(found[1], wanted)].astype(np.int64).tolist() for x in found), strict=True
-                ):
-                    context, lead = text[s0 : s1 + length], p - s0
-                    digest = hashlib.blake2b(
-                        context, digest_size=16, salt=lead.to_bytes(4, "little")).digest()
-                    for column, value in zip(rows, (h, digest, doc_id, sha, s0, s1 - s0 + 1, lead, context), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], names)
+            texts = raw_bytes(batch.column("text"))
+            zero, ids = _starts(texts), _ids(batch)
+            wanted = _marks(batch.column("places").to_pylist(), zero)
+            firsts = _marks(batch.column("firsts").to_pylist(), zero)
+            for s in scan(texts, length, gram):
+                own = _found(s.stretches()[0] + s.base, firsts)[s.stretch]
+                pick = np.flatnonzero(own & _found(s.place + s.base, wanted))
+                d1, d2 = _context_names(s, pick, length)
+                _, one = np.unique(np.stack([d1, d2, s.text[pick]]), axis=1, return_index=True)
+                pick, d1, d2 = pick[one], d1[one], d2[one]
+                data = s.data.tobytes()
+                bodies = [data[a : b + length] for a, b in
+                          zip(s.first[pick].tolist(), s.last[pick].tolist(), strict=True)]
+                yield from _rows([c.split(" ")[0] for c in CONTEXT.split(", ")], (
+                    s.hashes[pick].astype(np.int64), d1, d2, ids[s.text[pick]],
+                    (s.place[pick] - s.first[pick]).astype(np.int32), pa.array(bodies, pa.binary())))
+
+    return run
+
+
+def _sides(length: int, gram: int):
+    """For each context the strings that two equal windows must share left or right of the anchor."""
+    reach = (length - gram + 1) // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "context", 1 << 19):
+            lead = batch.column("lead").to_numpy()
+            bodies = batch.column("context").to_pylist()
+            each = np.array([len(b) for b in bodies], np.int64)
+            data = np.frombuffer(b"".join(bodies), np.uint8)
+            anchor = np.cumsum(each) - each + lead
+            parts = []
+            for side, (start, stop, fits) in enumerate((
+                (anchor - reach, anchor + gram, lead >= reach),
+                (anchor, anchor + gram + reach, lead + gram + reach <= each),
+            )):
+                own = np.flatnonzero(fits)
+                s1, s2 = _twin(data, start[own], stop[own])
+                at = pa.array(own, pa.int64())
+                parts.append(pa.RecordBatch.from_arrays(
+                    [pa.array(s1), pa.array(s2), batch.column("d1").take(at), batch.column("d2").take(at),
+                     pa.array(np.full(len(own), side), pa.int32())], ["s1", "s2", "d1", "d2", "side"]))
+            yield from parts
 
     return run
 
@@ -167,86 +297,115 @@ class BlindTrie:
                 yield node
 
 
-def multikey_groups(matrix: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-    """Rows in ascending order of their first ``depth`` bytes, rows that agree there as one group.
+def multikey_sorted(matrix: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows in ascending order of their first ``depth`` bytes, piece by piece, with the places in a
+    piece where a new group of rows that agree in them begins.
 
     Multikey quicksort, ``STEP`` bytes a key: a pivot splits the rows into smaller, equal and larger
-    ones, and the equal ones go on with the next key.
+    ones, and the equal ones go on with the next key. Short ranges are ordered by the library.
     """
     keys = np.ascontiguousarray(matrix[:, :depth]).view(f">u{STEP}").astype(np.uint64)
     stack = [(np.arange(len(matrix)), 0)] if len(matrix) else []
     while stack:
         rows, k = stack.pop()
-        if k == keys.shape[1] or len(rows) == 1:
-            yield rows
-            continue
-        own = keys[rows, k]
-        if len(rows) <= 4096:  # short ranges: one library sort instead of many small splits
-            order = np.argsort(own, kind="stable")
-            rows, own = rows[order], own[order]
-            parts = np.split(rows, np.flatnonzero(own[1:] != own[:-1]) + 1)
-            stack += [(part, k + 1) for part in reversed(parts)]
-            continue
-        pivot = np.sort(own[[0, len(own) // 2, -1]])[1]
-        larger, smaller = rows[own > pivot], rows[own < pivot]
-        if len(larger):
-            stack.append((larger, k))
-        stack.append((rows[own == pivot], k + 1))
-        if len(smaller):
-            stack.append((smaller, k))
-
-
-def sorted_repeats(matrix: np.ndarray) -> Iterator[list[int]]:
-    """Groups of equal rows, ascending: shallow by multikey quicksort, deep by blind tries."""
-    for rows in multikey_groups(matrix, min(SHALLOW, matrix.shape[1] // STEP * STEP)):
-        if len(rows) == 1:
-            yield rows.tolist()
-            continue
-        trie = BlindTrie([r.tobytes() for r in matrix[rows]])
-        for i in range(len(rows)):
-            trie.insert(i)
-        for leaf in trie.leaves():
-            yield rows[leaf].tolist()
-
-
-def _windows(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of the contexts as a matrix, with their context's row and their number in it."""
-    contexts = [np.frombuffer(c, np.uint8) for c in batch.column("context").to_pylist()]
-    if not contexts:
-        return np.zeros((0, length), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    parts = [sliding_window_view(c, length) for c in contexts]
-    sizes = [len(p) for p in parts]
-    return (np.concatenate(parts), np.repeat(np.arange(len(parts)), sizes),
-            np.concatenate([np.arange(s) for s in sizes]))
-
-
-def _block_repeats(length: int):
-    """One row for each different window of the task: digest and smallest id."""
+        if k == keys.shape[1]:
+            yield rows, np.zeros(1, np.int64)
+        elif len(rows) <= 1 << 15:
+            own = keys[rows, k:]
+            order = np.lexsort(own.T[::-1])
+            own = own[order]
+            yield rows[order], np.flatnonzero(np.append(True, (own[1:] != own[:-1]).any(axis=1)))
+        else:
+            own = keys[rows, k]
+            pivot = np.sort(own[[0, len(own) // 2, -1]])[1]
+            larger, smaller = rows[own > pivot], rows[own < pivot]
+            if len(larger):
+                stack.append((larger, k))
+            stack.append((rows[own == pivot], k + 1))
+            if len(smaller):
+                stack.append((smaller, k))
+
+
+def sorted_repeats(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in ascending order and where groups of equal rows begin: shallow by multikey quicksort,
+    deep by blind tries."""
+    length = matrix.shape[1]
+    data = matrix.tobytes()
+    order, begins, done = [], [], 0
+    for rows, starts in multikey_sorted(matrix, min(SHALLOW, length // STEP * STEP)):
+        stops = np.append(starts[1:], len(rows))
+        deep = stops - starts > 1
+        rows = rows.copy()
+        begin = [starts[~deep]]
+        for a, b in zip(starts[deep].tolist(), stops[deep].tolist(), strict=True):
+            group = rows[a:b].tolist()
+            trie = BlindTrie([data[i * length : (i + 1) * length] for i in group])
+            for i in range(len(group)):
+                trie.insert(i)
+            at = a
+            for leaf in trie.leaves():
+                begin.append([at])
+                rows[at : at + len(leaf)] = [group[i] for i in leaf]
+                at += len(leaf)
+        order.append(rows)
+        begins.append(np.sort(np.concatenate(begin)).astype(np.int64) + done)
+        done += len(rows)
+    if not order:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(order), np.concatenate(begins)
+
+
+def _windows(batch: pa.RecordBatch, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of the contexts' open sides: bytes, the context's row, number in the context."""
+    reach = (length - gram + 1) // 2
+    bodies = batch.column("context").to_pylist()
+    lead, sides = _ids(batch, "lead").astype(np.int64), _ids(batch, "sides")
+    count = np.array([len(b) - length + 1 for b in bodies], np.int64)
+    owner = np.repeat(np.arange(len(bodies)), count)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    before = lead[owner] - number  # bytes of each window before the anchor
+    open_ = (sides[owner] & 1 > 0) & (before >= reach)
+    open_ |= (sides[owner] & 2 > 0) & (length - gram - before >= reach)
+    owner, number = owner[open_], number[open_]
+    if not len(owner):
+        return np.zeros((0, length), np.uint8), owner, number
+    data = np.frombuffer(b"".join(bodies), np.uint8)
+    start = np.cumsum(count + length - 1) - (count + length - 1)
+    return sliding_window_view(data, length)[start[owner] + number], owner, number
+
+
+def _row_hashes(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit hashes of the rows, some thousand at a time."""
+    parts = [(np.zeros(0, np.int64),) * 2]
+    for at in range(0, len(matrix), 4096):
+        rows = matrix[at : at + 4096]
+        start = np.arange(len(rows)) * rows.shape[1]
+        parts.append(_twin(rows.reshape(-1), start, start + rows.shape[1]))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _block_repeats(length: int, gram: int):
+    """One row for each different window of the task: its hash, smallest and largest id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "context", 2 << 20):
-            matrix, owner, _ = _windows(batch, length)
-            low = batch.column("low").to_numpy(zero_copy_only=False)[owner] if len(owner) else owner
-            digests, lows = [], []
-            for group in sorted_repeats(matrix):
-                digests.append(hashlib.blake2b(matrix[group[0]].tobytes(), digest_size=16).digest())
-                lows.append(int(low[group].min()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(lows, pa.int64())], ["window", "earliest"])
+        for batch in small_batches(batches, "context", 1 << 19):
+            matrix, owner, _ = _windows(batch, length, gram)
+            order, begins = sorted_repeats(matrix)
+            low = _ids(batch, "low")[owner[order]]
+            w1, w2 = _row_hashes(matrix[order[begins]])
+            least, most = ((f.reduceat(low, begins) if len(begins) else low) for f in (np.minimum, np.maximum))
+            yield from _rows(["w1", "w2", "low", "high"], (w1, w2, least, most))
 
     return run
 
 
-def _named_windows(length: int):
+def _named_windows(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "context", 2 << 20):
-            matrix, owner, number = _windows(batch, length)
-            digests = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in matrix]
-            own = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), batch.column("digest").take(own),
-                 batch.column("low").take(own), pa.array(number, pa.int32())],
-                ["window", "digest", "low", "number"])
+        for batch in small_batches(batches, "context", 1 << 19):
+            matrix, owner, number = _windows(batch, length, gram)
+            yield from _rows(
+                ["w1", "w2", "id", "low", "number"],
+                (*_row_hashes(matrix), _ids(batch, "id")[owner], _ids(batch, "low")[owner], number.astype(np.int32)))
 
     return run
 
@@ -254,98 +413,131 @@ def _named_windows(length: int):
 # --- spans --------------------------------------------------------------------------------
 
 
-def _merged(length: int):
-    """Maximal removed runs from the repeated windows of each document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            starts, stops = [], []
-            for hits in batch.column("hits").to_pylist():
-                spots = sorted({h["start"] + k for h in hits for k in range(h["windows"]) if h["bits"] >> k & 1})
-                begin, end = [], []
-                for s in spots:
-                    if end and s <= end[-1]:
-                        end[-1] = s + length
-                    else:
-                        begin.append(s)
-                        end.append(s + length)
-                starts.append(begin)
-                stops.append(end)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("sha"), pa.array(starts, pa.list_(pa.int64())),
-                 pa.array(stops, pa.list_(pa.int64()))], ["doc_id", "sha", "starts", "stops"])
-
-    return run
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-        F.sha2(text, 256).alias("sha"), F.xxhash64(text).alias("key"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"),
         F.octet_length(text).cast("long").alias("n_bytes"))
 
 
-def heads(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The smallest id of each text of ``length`` bytes or more: ``sha, key, head``."""
-    return _keyed(docs).where(f"doc_id IS NOT NULL AND n_bytes >= {length}").groupBy("sha", "key").agg(
-        F.min("doc_id").alias("head"))
-
-
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """Removed runs of the first document of each text, and the first documents.
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """What each document that loses bytes has repeated: ``doc_id, key, copied, judged``.
 
-    The runs are ``doc_id, sha, starts, stops`` (bytes); the first documents ``sha, key, head``.
+    ``copied`` lists starts of stretches that are repeats throughout, ``judged`` names of contexts with
+    the windows that are repeats (all where ``bits`` is null). ``key`` is a hash of the text, which
+    tells apart rows that repeat an id.
     """
-    if not STEP <= gram < length <= gram + 63:
+    if not STEP <= gram < length <= gram + 62:
         raise ValueError("a context's windows must fit into one mask")
     spark = docs.sparkSession
-    keyed = _keyed(docs)
-    first = cut(heads(docs, length), "heads")
-    texts = keyed.where(f"doc_id IS NOT NULL AND n_bytes >= {length}").select("key", "text")
+    texts = _keyed(docs).where(f"doc_id IS NOT NULL AND n_bytes >= {length}").drop("n_bytes")
+    bare = texts.select("doc_id", "text")
+
+    stretched = cut(texts.mapInArrow(
+        _stretched(length, gram), "doc_id long, key long, h1 long, h2 long, start long"), "stretched")
+    first = cut(stretched.groupBy("h1", "h2").agg(F.min("doc_id").alias("low")), "first")
+    both = stretched.join(first, ["h1", "h2"])
+    copied = cut(both.where("doc_id > low").groupBy("doc_id", "key").agg(
+        F.collect_list("start").alias("copied")), "copied")
+    firsts = cut(both.where("doc_id = low").groupBy("doc_id").agg(F.collect_set("start").alias("firsts")), "firsts")
+    discard(stretched, first)
+    release(spark)
+
     shared = cut(
-        texts.mapInArrow(_sampled(length, gram, False), "anchor long, key long")
-        .groupBy("anchor").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+        texts.select("text").mapInArrow(_sampled(length, gram), "anchor long, stretch long")
+        .groupBy("anchor").agg(F.min("stretch").alias("low"), F.max("stretch").alias("high"))
         .where("low != high").select("anchor"), "shared")
     release(spark)
-    placed = texts.mapInArrow(_sampled(length, gram, True), "anchor long, key long, place long")
     wanted = cut(
-        placed.join(shared, "anchor").groupBy("key").agg(F.collect_set("place").alias("places"))
-        .join(first, "key").select(F.col("head").alias("doc_id"), "sha", "places"), "wanted")
+        bare.mapInArrow(_placed(length, gram), "anchor long, doc_id long, place int")
+        .join(shared.hint("shuffle_hash"), "anchor").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+        .join(firsts, "doc_id"), "wanted")
+    discard(shared, firsts)
     release(spark)
     contexts = cut(
-        keyed.select("doc_id", "sha", "text").join(wanted, ["doc_id", "sha"])
-        .select("doc_id", "sha", "text", "places").mapInArrow(
-            _contexts(length, gram),
-            "anchor long, digest binary, doc_id long, sha string, start long, windows int, lead int, "
-            "context binary"), "contexts")
+        bare.join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "places", "firsts")
+        .mapInArrow(_contexts(length, gram), CONTEXT), "contexts")
+    discard(wanted)
     release(spark)
 
-    classes = cut(contexts.groupBy("digest", "anchor").agg(F.min("doc_id").alias("low")), "classes")
-    several = cut(classes.groupBy("anchor").agg(
-        F.min("digest").alias("one"), F.max("digest").alias("two")).where("one != two").select("anchor"), "several")
-    open_classes = cut(
-        contexts.select("anchor", "digest", "context", "doc_id").join(several, "anchor")
-        .groupBy("digest", "context").agg(F.min("doc_id").alias("low")), "open")
+    name = ["d1", "d2"]
+    classes = cut(contexts.groupBy("anchor", *name).agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high")), "classes")
+    several = cut(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "several")
+    rivals = cut(
+        contexts.select("anchor", *name, "lead", "context", "doc_id").join(several, "anchor")
+        .groupBy(*name, "lead", "context").agg(F.min("doc_id").alias("low")), "rivals")
+    release(spark)
+    sides = cut(rivals.select(*name, "lead", "context").mapInArrow(
+        _sides(length, gram), "s1 long, s2 long, d1 long, d2 long, side int"), "sides")
+    met = cut(sides.groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("s1", "s2"), "met")
+    open_sides = sides.join(met, ["s1", "s2"]).groupBy(*name).agg(
+        F.expr("bit_or(shiftleft(1, side))").alias("sides"))
+    open_ = cut(rivals.join(open_sides, name).withColumn("id", F.monotonically_increasing_id()), "open")
+    discard(rivals, sides, met, several)
+    release(spark)
     earliest = cut(
-        open_classes.mapInArrow(_block_repeats(length), "window binary, earliest long")
-        .groupBy("window").agg(F.min("earliest").alias("earliest")), "earliest")
+        open_.select("lead", "context", "sides", "low").mapInArrow(
+            _block_repeats(length, gram), "w1 long, w2 long, low long, high long")
+        .groupBy("w1", "w2").agg(F.min("low").alias("earliest"), F.max("high").alias("high"))
+        .where("earliest != high").select("w1", "w2", "earliest"), "earliest")
+    release(spark)
     masks = cut(
-        open_classes.mapInArrow(_named_windows(length), "window binary, digest binary, low long, number int")
-        .join(earliest, "window").where("earliest < low")
-        .groupBy("digest").agg(F.expr("bit_or(shiftleft(1L, number))").alias("mask")), "masks")
-    judged = cut(classes.select("digest", "low").join(masks, "digest", "left"), "judged")
-    whole = F.expr("shiftleft(1L, windows) - 1")
-    hits = (
-        contexts.select("digest", "doc_id", "sha", "start", "windows").join(judged, "digest")
-        .withColumn("bits", F.when(F.col("doc_id") > F.col("low"), whole).otherwise(F.coalesce("mask", F.lit(0))))
-        .where("bits != 0").groupBy("doc_id", "sha")
-        .agg(F.collect_list(F.struct("start", "windows", "bits")).alias("hits"))
-    )
-    runs = cut(hits.mapInArrow(
-        _merged(length), "doc_id long, sha string, starts array<long>, stops array<long>"), "runs")
+        open_.select("lead", "context", "sides", "low", "id").mapInArrow(
+            _named_windows(length, gram), "w1 long, w2 long, id long, low long, number int")
+        .join(earliest, ["w1", "w2"]).where("earliest < low")
+        .groupBy("id").agg(F.expr("bit_or(shiftleft(1L, number))").alias("mask")), "masks")
     release(spark)
-    return runs, first
+    masks = open_.select("id", *name).join(masks, "id").select(*name, "mask")
+    judged = cut(classes.join(masks, name, "left").where("low != high OR mask IS NOT NULL")
+                 .select(*name, "low", "mask"), "judged")
+    discard(classes, open_, earliest)
+    release(spark)
+    hits = cut(
+        contexts.select(*name, "doc_id").join(judged, name).where("doc_id > low OR mask IS NOT NULL")
+        .select("doc_id", F.struct(
+            *name, F.when(F.col("doc_id") == F.col("low"), F.col("mask")).alias("bits")).alias("hit"))
+        .groupBy("doc_id").agg(F.collect_set("hit").alias("judged")), "hits")
+    discard(contexts, judged)
+    release(spark)
+    keys = texts.select("doc_id", "key").distinct()
+    return keys.join(copied, ["doc_id", "key"], "left").join(hits, "doc_id", "left").where(
+        "copied IS NOT NULL OR judged IS NOT NULL")
+
+
+def removed(texts: list[bytes], copied: list, judged: list, length: int, gram: int) -> tuple[list, list]:
+    """Starts and stops of the maximal removed runs of each text."""
+    zero = _starts(texts) if texts else np.zeros(0, np.int64)
+    copies = _marks([c or [] for c in copied], zero) if texts else zero
+    owner = np.concatenate([np.full(len(j or ()), i) for i, j in enumerate(judged)] or [zero]).astype(np.int64)
+    flat = [h for j in judged for h in j or ()]
+    d1, d2 = (np.array([h[k] for h in flat], np.int64) for k in ("d1", "d2"))
+    bits = np.array([-1 if h["bits"] is None else h["bits"] for h in flat], np.int64)
+    mark = mix(d1.view(np.uint64) + mix(d2.view(np.uint64) + owner.astype(np.uint64)))
+    order = np.argsort(mark)
+    mark, bits = mark[order], bits[order]
+    spots = [np.zeros(0, np.int64)]
+    for s in scan(texts, length, gram):
+        whole = _found(s.stretches()[0] + s.base, copies)[s.stretch]
+        d1, d2 = _context_names(s, np.arange(len(s.hashes)), length)
+        own = mix(d1.view(np.uint64) + mix(d2.view(np.uint64) + s.text.astype(np.uint64)))
+        at = np.searchsorted(mark, own)
+        at[at == len(mark)] = 0
+        mask = np.where(mark[at] == own, bits[at], 0) if len(mark) else np.zeros(len(own), np.int64)
+        mask[whole] = -1
+        hit = np.flatnonzero(mask)
+        count = s.last[hit] - s.first[hit] + 1
+        which = np.repeat(hit, count)
+        number = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+        spots.append((s.first[which] + number + s.base)[mask[which] >> number & 1 > 0])
+    spot = np.unique(np.concatenate(spots))
+    text = np.searchsorted(zero, spot, side="right") - 1
+    new = np.flatnonzero(np.append(True, (np.diff(spot) > length) | (np.diff(text) > 0)))[: len(spot)]
+    text, start = text[new], spot[new]
+    stop = spot[np.append(new[1:], len(spot)) - 1] + length if len(spot) else start
+    split = np.searchsorted(text, np.arange(len(texts) + 1))
+    return tuple(
+        [(x[a:b] - z).tolist() for a, b, z in zip(split, split[1:], zero, strict=False)] for x in (start, stop))
 
 
 def _kept(text: bytes, starts: list[int] | None, stops: list[int] | None) -> bytes:
@@ -354,48 +546,47 @@ def _kept(text: bytes, starts: list[int] | None, stops: list[int] | None) -> byt
     return b"".join(text[a:b] for a, b in zip([0, *stops], [*starts, len(text)], strict=True))
 
 
-def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "text"):
-        shas = [
-            hashlib.sha256(_kept(t, a, b)).hexdigest()
-            for t, a, b in zip(raw_bytes(batch.column("text")), batch.column("starts").to_pylist(),
-                               batch.column("stops").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in ("doc_id", "sha", "starts", "stops")] + [pa.array(shas, pa.string())],
-            ["doc_id", "sha", "starts", "stops", "kept"])
+def _digested(length: int, gram: int):
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text", 2 << 20):
+            texts = raw_bytes(batch.column("text"))
+            starts, stops = removed(
+                texts, batch.column("copied").to_pylist(), batch.column("judged").to_pylist(), length, gram)
+            kept = [_kept(*x) for x in zip(texts, starts, stops, strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("n_bytes"),
+                pa.array([len(t) - len(k) for t, k in zip(texts, kept, strict=True)], pa.int64()),
+                pa.array([len(s) for s in starts], pa.int64()),
+                pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())], names)
+
+    return run
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Per document ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
-    runs, first = repeated_spans(docs, length, gram)
-    keyed = _keyed(docs)
-    touched = cut(
-        keyed.select("doc_id", "sha", "text").join(runs, ["doc_id", "sha"])
-        .select("doc_id", "sha", "text", "starts", "stops").mapInArrow(
-            _digested, "doc_id long, sha string, starts array<long>, stops array<long>, kept string")
-        .dropDuplicates(["doc_id", "sha"]), "touched")
-    release(docs.sparkSession)
-    rows = keyed.select("doc_id", "sha", "n_bytes").join(first.select("sha", "head"), "sha", "left").join(
-        touched, ["doc_id", "sha"], "left")
-    copy = F.coalesce(F.col("doc_id") > F.col("head"), F.lit(False))
-    lengths = F.aggregate(F.arrays_zip("starts", "stops"), F.lit(0).cast("long"),
-                          lambda total, run: total + run["stops"] - run["starts"])
-    return rows.select(
-        "doc_id", "n_bytes",
-        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce(lengths, F.lit(0))).alias("n_removed"),
-        F.when(copy, 1).otherwise(F.coalesce(F.size("starts"), F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"))
-
-
-def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "text"):
-        texts = [
-            _kept(t, a, b).decode("utf-8", "ignore")
-            for t, a, b in zip(raw_bytes(batch.column("text")), batch.column("_starts").to_pylist(),
-                               batch.column("_stops").to_pylist(), strict=True)]
-        at = batch.schema.get_field_index("text")
-        kept = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-        yield kept.drop_columns(["_starts", "_stops"])
+    joined = _keyed(docs).join(
+        cut(repeats(docs, length, gram), "repeats").hint("merge"), ["doc_id", "key"], "left")
+    return joined.select("doc_id", "n_bytes", "text", "copied", "judged").mapInArrow(
+        _digested(length, gram),
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def _shortened(length: int, gram: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text", 2 << 20):
+            texts = batch.column("text").to_pylist()
+            data = [(t or "").encode() for t in texts]
+            starts, stops = removed(
+                data, batch.column("_copied").to_pylist(), batch.column("_judged").to_pylist(), length, gram)
+            kept = [_kept(d, a, b).decode("utf-8", "ignore") if a else t
+                    for t, d, a, b in zip(texts, data, starts, stops, strict=True)]
+            at = batch.schema.get_field_index("text")
+            changed = batch.set_column(at, batch.schema.field(at), pa.array(kept, batch.schema.field(at).type))
+            yield changed.drop_columns(["_copied", "_judged"])
+
+    return run
 
 
 def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -403,17 +594,10 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
 
     Rows that lose nothing are left as they are, also null texts; all columns stay.
     """
-    runs, first = repeated_spans(docs, length, gram)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_sha": F.sha2(text, 256)})
-    runs = runs.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"),
-                       F.col("starts").alias("_starts"), F.col("stops").alias("_stops"))
-    first = first.select(F.col("sha").alias("_sha"), F.col("head").alias("_head"))
-    rows = rows.join(first, "_sha", "left").join(runs, ["_id", "_sha"], "left")
-    copy = F.coalesce(F.col("_id") > F.col("_head"), F.lit(False))
-    rows = rows.withColumn("text", F.when(copy, "").otherwise(F.col("text")))
-    names = docs.columns
-    whole = rows.where("_starts IS NULL").select(*names)
-    short = rows.where("_starts IS NOT NULL").select(*names, "_starts", "_stops").mapInArrow(
-        _shortened, docs.schema)
-    return whole.unionByName(short)
+    found = cut(repeats(docs, length, gram).select(
+        F.col("doc_id").alias("_id"), F.col("key").alias("_key"),
+        F.col("copied").alias("_copied"), F.col("judged").alias("_judged")), "repeats")
+    rows = docs.withColumns({
+        "_id": F.col("doc_id").cast("long"), "_key": F.xxhash64(F.coalesce(F.col("text"), F.lit("")))})
+    joined = rows.join(found.hint("merge"), ["_id", "_key"], "left").select(*docs.columns, "_copied", "_judged")
+    return joined.mapInArrow(_shortened(length, gram), docs.schema)
