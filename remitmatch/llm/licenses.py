@@ -62,8 +62,8 @@ def template_pairs(
         [(*p, True) for p in phrases] + [(*p, False) for p in notices]
     ):
         parts = text.split(" ")
-        if len(parts) < 2:
-            raise ValueError(f"a template needs two words or more: {text!r}")
+        if not 2 <= len(parts) <= 64:
+            raise ValueError(f"a template has 2 to 64 words: {text!r}")
         rows += [(template, label, base, len(parts) - 1, place, one, two)
                  for place, (one, two) in enumerate(zip(parts, parts[1:], strict=False))]
     return spark.createDataFrame(
@@ -78,9 +78,10 @@ def license_spans(
     coverage: float = 0.6,
     slack: int = 2,
 ) -> DataFrame:
-    """Verified spans: ``doc_id, row, label, base, first_word, covered`` (share of the template).
+    """Verified spans: ``doc_id, row, label, base, first_word, covered, copies``.
 
-    ``row`` tells apart input rows that share an id (a hash of their text).
+    ``covered`` is the share of the template's pairs, ``row`` a hash of the text, which tells apart
+    rows that share an id; ``copies`` counts equal rows.
     """
     return _spans(_tokens(docs), docs.sparkSession, phrases, notices, coverage, slack)
 
@@ -104,21 +105,22 @@ def _spans(tokens, spark, phrases, notices, coverage, slack) -> DataFrame:
         .withColumn("diagonal", F.col("at") - F.col("place"))
     )
     diagonals = votes.groupBy("doc_id", "row", "template", "label", "base", "pairs", "diagonal").agg(
-        F.count(F.lit(1)).alias("votes"), F.min("at").alias("low"), F.max("at").alias("high"))
-    whole = diagonals.where("base AND votes = pairs").select(
+        F.count(F.lit(1)).alias("votes"), F.min("at").alias("low"),
+        F.expr("bit_or(shiftleft(1L, place)) AS seen"))
+    whole = diagonals.where("base AND bit_count(seen) = pairs").select(
         "doc_id", "row", "label", "base", F.col("diagonal").cast("long").alias("first_word"),
-        F.lit(1.0).alias("covered"))
+        F.lit(1.0).alias("covered"), F.expr("votes div pairs AS copies"))
 
     line = Window.partitionBy("doc_id", "row", "template").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(line) > slack
     runs = diagonals.where("NOT base").withColumn(
         "run", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(line))
     merged = runs.groupBy("doc_id", "row", "template", "label", "base", "pairs", "run").agg(
-        F.sum("votes").alias("votes"), F.min("low").alias("first_word"))
-    covered = F.least(F.col("votes") / F.col("pairs"), F.lit(1.0))
-    notice = merged.withColumn("covered", covered).where(F.col("covered") >= coverage).select(
+        F.expr("bit_count(bit_or(seen)) AS seen"), F.min("low").alias("first_word"))
+    notice = merged.withColumn("covered", F.col("seen") / F.col("pairs")).where(
+        F.col("covered") >= coverage).select(
         "doc_id", "row", "label", "base", F.col("first_word").cast("long").alias("first_word"),
-        "covered")
+        "covered", F.lit(1).cast("long").alias("copies"))
     return whole.unionByName(notice)
 
 
@@ -132,7 +134,7 @@ def license_scan(
     """One row per document id: word count, base places and labels, all labels, best coverage."""
     tokens = _tokens(docs)
     spans = _spans(tokens, docs.sparkSession, phrases, notices, coverage, slack)
-    none = {"label": "string", "base": "boolean", "first_word": "long", "covered": "double"}
+    none = {"label": "string", "base": "boolean", "first_word": "long", "covered": "double", "copies": "long"}
     rows = tokens.select(
         "doc_id", F.size("words").cast("long").alias("n"),
         *[F.lit(None).cast(kind).alias(name) for name, kind in none.items()])
@@ -140,7 +142,7 @@ def license_scan(
     sorted_labels = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     return rows.unionByName(found).groupBy("doc_id").agg(
         F.sum("n").alias("n_words"),
-        F.count_if(F.col("base")).alias("n_base"),
+        F.coalesce(F.sum(F.when(F.col("base"), F.col("copies"))), F.lit(0)).alias("n_base"),
         F.min(F.when(F.col("base"), F.col("first_word"))).alias("first_word"),
         F.max(F.when(F.col("base"), F.col("first_word"))).alias("last_word"),
         sorted_labels(F.when(F.col("base"), F.col("label"))).alias("base_labels"),

@@ -25,7 +25,8 @@ pair AS (
   FROM (SELECT doc_id, words, unnest(range(1, len(words))) AS i FROM split)),
 template(template, label, base, pairs, place, t1, t2) AS (VALUES {_templates()}),
 diagonal AS (
-  SELECT doc_id, template, label, base, pairs, spot - place AS diagonal, count(*) AS votes, min(spot) AS low
+  SELECT doc_id, template, label, base, pairs, spot - place AS diagonal, min(spot) AS low,
+    bit_or(1::BIGINT << place) AS seen
   FROM pair JOIN template ON w1 = t1 AND w2 = t2 GROUP BY ALL),
 stepped AS (
   SELECT *, CASE WHEN diagonal - lag(diagonal) OVER line <= 2 THEN 0 ELSE 1 END AS step
@@ -34,10 +35,10 @@ numbered AS (
   SELECT *, sum(step) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS run FROM stepped),
 span AS (
   SELECT doc_id, label, base, diagonal AS first_word, 1.0::DOUBLE AS covered
-  FROM diagonal WHERE base AND votes = pairs
+  FROM diagonal WHERE base AND bit_count(seen) = pairs
   UNION ALL
-  SELECT doc_id, label, false, min(low), least(sum(votes) / pairs, 1.0)::DOUBLE
-  FROM numbered GROUP BY doc_id, template, label, pairs, run HAVING sum(votes) / pairs >= 0.6)
+  SELECT doc_id, label, false, min(low), (bit_count(bit_or(seen)) / pairs)::DOUBLE
+  FROM numbered GROUP BY doc_id, template, label, pairs, run HAVING bit_count(bit_or(seen)) / pairs >= 0.6)
 SELECT s.doc_id, any_value(len(s.words))::BIGINT AS n_words,
   count(*) FILTER (WHERE base)::BIGINT AS n_base,
   min(first_word) FILTER (WHERE base)::BIGINT AS first_word,
