@@ -507,8 +507,19 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 
 def removed(texts: list[bytes], copied: list, judged: list, length: int, gram: int) -> tuple[list, list]:
     """Starts and stops of the maximal removed runs of each text."""
-    zero = _starts(texts) if texts else np.zeros(0, np.int64)
-    copies = _marks([c or [] for c in copied], zero) if texts else zero
+    starts: list[list[int]] = [[] for _ in texts]
+    stops: list[list[int]] = [[] for _ in texts]
+    hit = [i for i in range(len(texts)) if copied[i] or judged[i]]
+    if hit:
+        found = _removed(*[[x[i] for i in hit] for x in (texts, copied, judged)], length, gram)
+        for i, start, stop in zip(hit, *found, strict=True):
+            starts[i], stops[i] = start, stop
+    return starts, stops
+
+
+def _removed(texts: list[bytes], copied: list, judged: list, length: int, gram: int) -> tuple[list, list]:
+    zero = _starts(texts)
+    copies = _marks([c or [] for c in copied], zero)
     owner = np.concatenate([np.full(len(j or ()), i) for i, j in enumerate(judged)] or [zero]).astype(np.int64)
     flat = [h for j in judged for h in j or ()]
     d1, d2 = (np.array([h[k] for h in flat], np.int64) for k in ("d1", "d2"))
