@@ -92,7 +92,7 @@ def set_key(values: np.ndarray) -> bytes:
 
 def _signed(width: int, bands: int, rows: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 2 << 20):
             n, keys, found = [], [], []
             for text in raw_bytes(batch.column("text")):
                 values = shingles(text, width)
@@ -109,7 +109,7 @@ def _signed(width: int, bands: int, rows: int, seed: int):
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 2 << 20):
             ids, keys, values = [], [], []
             for doc_id, wanted, text in zip(
                 batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(),
@@ -131,7 +131,7 @@ def _compared(percent: int):
     """Whether a pair is linked, and the difference of its sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "right"):
+        for batch in small_batches(batches, "right", 2 << 20):
             linked, size, apart = [], [], []
             for left, right in zip(
                 batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True
@@ -215,7 +215,7 @@ def near_duplicates(
 
     wanted = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
                  .join(classes, "id").select(F.col("id").alias("doc_id"), "key"), "wanted")
-    sets = cut(texts.join(wanted, "doc_id").select("doc_id", "key", "text").mapInArrow(
+    sets = cut(texts.join(wanted.hint("merge"), "doc_id").select("doc_id", "key", "text").mapInArrow(
         _sets(width), "doc_id long, key binary, shingles binary")
         .dropDuplicates(["doc_id", "key"]).select("doc_id", "shingles"), "sets")
     release(spark)
