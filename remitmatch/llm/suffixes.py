@@ -78,17 +78,40 @@ def _twin(data: np.ndarray, start: np.ndarray, stop: np.ndarray, sums: np.ndarra
     return tuple(ranges(x, start, stop).astype(np.int64) for x in (one, rolling(data, 1)))
 
 
+def _pieces(sizes: list[int], length: int) -> Iterator[tuple[int, int]]:
+    """Start and stop of the blocks: whole texts together, a longer text by itself in fixed steps.
+
+    So what is found in a text does not depend on the texts beside it.
+    """
+    base = held = 0
+    for size in sizes:
+        if held and held + size > BLOCK:
+            yield base, base + held
+            base, held = base + held, 0
+        if size <= BLOCK:
+            held += size
+            continue
+        for start in range(0, size - length + 1, BLOCK):
+            yield base + start, base + min(size, start + BLOCK + length - 1)
+        base += size
+    if held:
+        yield base, base + held
+
+
 def scan(texts: list[bytes], length: int, gram: int) -> Iterator[Scan]:
-    """Anchors of all windows of the texts, block by block over the texts one after another.
+    """Anchors of all windows of the texts, block by block.
 
     Windows over two texts are left out. The smallest hash wins (its upper 40 bits), among equal
-    ones the first. At a block's edge an anchor may come twice, with different windows.
+    ones the first. In a text longer than a block an anchor may come twice, with different windows.
     """
-    ends = np.cumsum([len(t) for t in texts])
-    starts = ends - [len(t) for t in texts]
+    sizes = [len(t) for t in texts]
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
     whole = np.frombuffer(b"".join(texts), np.uint8)
-    for base in range(0, max(0, len(whole) - length + 1), BLOCK):
-        data = whole[base : base + BLOCK + length - 1]
+    for base, stop in _pieces(sizes, length):
+        data = whole[base:stop]
+        if len(data) < length:
+            continue
         sums = rolling(data)
         hashes = grams(sums, gram)
         least = hashes & ~_LOW

@@ -193,8 +193,15 @@ def test_blocks_do_not_change_anchors(monkeypatch):
                 for w in range(a, b + 1)}
 
     whole = named()
-    monkeypatch.setattr(suffixes, "BLOCK", 97)
-    assert named() == whole
+    for block in (97, 300, 1000):
+        monkeypatch.setattr(suffixes, "BLOCK", block)
+        assert named() == whole
+        zero = np.cumsum([0, *map(len, texts)])
+        together = {(int(s.text[b]), int(s.base + f - zero[s.text[b]])) for s in suffixes.scan(texts, 50, 16)
+                    for b, f in zip(s.begins, s.first[s.begins], strict=True)}
+        alone = {(i, int(s.base + f)) for i, t in enumerate(texts) for s in suffixes.scan([t], 50, 16)
+                 for f in s.first[s.begins]}
+        assert together == alone  # stretches of a text do not depend on its neighbours
     zero = np.cumsum([0, *map(len, texts)])
     assert sorted(w for w, *_ in whole) == [
         z + i for z, t in zip(zero, texts) for i in range(len(t) - 49)]
