@@ -8,12 +8,14 @@ threshold is a candidate with probability 1 - 3e-6, more similar ones more surel
 
 Texts with equal sets are collapsed first, so exact copies of any number cost one candidate. Then
 
-1. every member of a band's bucket is compared with one leader, the member that stands in the
-   fullest buckets: the original that many copies were made from;
-2. two members of a bucket have the same leader, so the members of a leader that are still in
-   different components meet in blocks. A block pair holds each text as its difference from the
-   leader, from which the Jaccard similarity of two texts follows exactly, and returns a spanning forest
-   of the links it finds. No pairs are emitted, and no group is larger than two blocks.
+1. the members of a band's bucket are put into overlapping classes of set size, each into two, so that
+   any two sizes that can link share a class. Every member of a class is compared with the class's
+   leader, the member that stands in the fullest buckets: the original that many copies were made from;
+2. two members of a bucket that can link have a leader in common, whether or not they fit it, so the
+   members of a leader that are still in different components meet in blocks. A block pair holds each
+   text as its difference from the leader, from which the Jaccard similarity of two texts follows exactly,
+   and returns a spanning forest of the links it finds. No pairs are emitted, and no group is larger than
+   two blocks.
 
 Nulls: a null text has no words; a row without an id is reported alone. Texts without words link
 with nothing. Rows that repeat an id are reported each by its own text. Empty tables give no rows.
@@ -23,6 +25,7 @@ Other columns of the input are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -154,6 +157,13 @@ def similar(difference, sizes, percent: int):
     return difference * (100 + percent) <= (100 - percent) * sizes
 
 
+def size_classes(percent: int, n: str = "n"):
+    """Both classes of a set size; sizes of which the smaller is ``percent`` of the larger share one."""
+    ratio = max(100 / percent, 1.01) * (1 + 1e-9)  # wider than the limit, so rounding parts no pair
+    own = F.floor(F.log(F.col(n)) / F.lit(math.log(ratio))).cast("int")
+    return F.array(own - 1, own)
+
+
 def _met(percent: int):
     """A spanning forest of the links between two blocks of one leader's members."""
 
@@ -192,7 +202,6 @@ def near_duplicates(
     ``percent`` per cent or more; ``component_id`` is the smallest id reachable over links.
     """
     spark = docs.sparkSession
-    fits = f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n)"
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = cut(texts.mapInArrow(
         _signed(width, bands, rows, seed),
@@ -206,11 +215,12 @@ def near_duplicates(
     members = cut(banded.join(sizes, "band"), "members")
     release(spark)
     fullness = cut(members.groupBy("id").agg(F.sum("size").alias("fullness")), "fullness")
-    leaders = cut(members.select("band", "id", "n").join(fullness, "id").groupBy("band").agg(
-        F.max(F.struct("fullness", (-F.col("id")).alias("minus"), "n")).alias("best"))
-        .select("band", (-F.col("best.minus")).alias("a"), F.col("best.n").alias("leader_n")), "leaders")
-    pairs = cut(members.select("band", F.col("id").alias("b"), "n").join(leaders, "band")
-                .where(f"a != b AND {fits}").select("a", "b").distinct(), "pairs")
+    classed = members.withColumn("class", F.explode(size_classes(percent)))
+    leaders = cut(classed.select("band", "class", "id").join(fullness, "id").groupBy("band", "class").agg(
+        F.max(F.struct("fullness", (-F.col("id")).alias("minus"))).alias("best"))
+        .select("band", "class", (-F.col("best.minus")).alias("a")), "leaders")
+    pairs = cut(classed.select("band", "class", F.col("id").alias("b")).join(leaders, ["band", "class"])
+                .where("a != b").select("a", "b").distinct(), "pairs")
     release(spark)
 
     wanted = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()

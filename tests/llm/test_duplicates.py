@@ -93,6 +93,35 @@ def test_near_duplicates_equal_brute_force(documents, rows, width):
         assert (row["n_shingles"], row["component_id"], row["kept"]) == (len(sets[i]), want[i], want[i] == i)
 
 
+def test_near_duplicates_of_mixed_lengths_over_a_shared_passage(documents, rows):
+    rng = random.Random(3)
+    passage = sentence(rng, 60)
+    hot = minhash.signature(minhash.shingles(passage.encode(), 5), 2, 7)
+    texts = [passage] * 2
+    for tail in (0, 4, 9, 20, 30, 45, 60, 80, 100, 130, 160):
+        for _ in range(2):
+            while True:  # one bucket holds them all, so only the comparison inside it decides
+                words = sentence(rng, tail).split()
+                copies = [" ".join([passage, *words[:k], "other", *words[k:]]) for k in (0, tail // 2, tail)]
+                if all((minhash.signature(minhash.shingles(c.encode(), 5), 2, 7) == hot).all() for c in copies):
+                    break
+            texts += copies
+    texts = list(zip(rng.sample(range(1000), len(texts)), texts, strict=True))
+    _, want = brute_near(texts, 5, 80)
+    assert len(set(want.values())) > 10
+    got = rows(minhash.near_duplicates(documents(texts), 5, bands=2, rows=1))
+    assert {i: row["component_id"] for i, row in got.items()} == want
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 100])
+def test_sizes_that_can_link_share_a_class(spark, percent):
+    sizes = spark.range(1, 3000).select(F.col("id").alias("n"), minhash.size_classes(percent, "id").alias("both"))
+    both = {r.n: set(r.both) for r in sizes.collect()}
+    for n in both:
+        largest = min(100 * n // percent, 2999)
+        assert both[n] & both[largest]
+
+
 def test_near_duplicates_odd_rows(documents, rows):
     text = "a b c d e f g h i j"
     got = rows(minhash.near_duplicates(documents([(3, text), (3, text), (None, text), (1, text), (2, None), (4, "")])))
