@@ -55,7 +55,6 @@ def tokenizer(path: str):
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True  # their strings in a text are ordinary text
     found.no_padding()
     found.no_truncation()
     return found
@@ -66,7 +65,8 @@ class Encoder:
 
     A text is cut at line breaks and before every space that a word follows, where no pre-token can
     cross: what comes after is encoded as in the whole text. Texts with more white space in one place
-    are cut by the pattern itself. New words go to the library many at a time, one after
+    are cut by the pattern itself. Texts that hold an added token's string (``<|endoftext|>``) are given
+    to the library whole, which finds the token there by its own rules. New words go to the library many at a time, one after
     another; as each begins with its only space, the tokens that begin with a space tell them apart.
     """
 
@@ -76,8 +76,12 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for token, i in vocabulary.items() if token.startswith(space)]] = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
+    def holds_added(self, text: str) -> bool:
+        return any(token in text for token in self.added)
+
     def forget(self) -> None:
         self.plain: dict[str, int] = {}  # words as they are
         self.spaced: dict[str, int] = {}  # words with a space before them
@@ -96,7 +100,7 @@ class Encoder:
             text = " " + " ".join(whole[at : at + 1024])
             found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
             starts = np.flatnonzero(self.opens[found])
-            if len(starts) == len(whole[at : at + 1024]):
+            if not self.holds_added(text) and len(starts) == len(whole[at : at + 1024]):
                 parts.append(found)
                 sizes.append(np.diff(np.append(starts, len(found))))
             else:
@@ -120,7 +124,12 @@ class Encoder:
         split: list[list[tuple[str, list[str]]] | list[str]] = []
         heads: set[str] = set()
         tails: set[str] = set()
+        whole: list[str] = []
         for text in texts:
+            if self.holds_added(text):
+                split.append([])
+                whole.append(text)
+                continue
             if _LOOSE.search(text):
                 split.append(pretokens(text, self.pattern))
                 heads.update(split[-1])
@@ -134,18 +143,27 @@ class Encoder:
         for known, words, before in ((self.plain, heads, ""), (self.spaced, tails, " ")):
             if new := words.difference(known):
                 self.learn(known, new, before, tabs)
+        own, offsets = self.ids, self.offsets
+        if whole:  # for this call only
+            parts, sizes = [], []
+            self.each(whole, parts, sizes)
+            own = np.concatenate([own, *parts])
+            offsets = np.concatenate([offsets, offsets[-1] + np.cumsum(np.concatenate(sizes))])
         plain, spaced = self.plain.__getitem__, self.spaced.__getitem__
         picks: list[int] = []
         ends = []
-        for parts in split:
-            if parts and isinstance(parts[0], tuple):
+        unsplit = iter(range(len(self.offsets) - 1, len(offsets) - 1))
+        for text, parts in zip(texts, split, strict=True):
+            if whole and self.holds_added(text):
+                picks.append(next(unsplit))
+            elif parts and isinstance(parts[0], tuple):
                 for k, (first, rest) in enumerate(parts):
                     picks += [plain("\n"), plain(first)] if k else [plain(first)]
                     picks.extend(map(spaced, rest))
             else:
                 picks.extend(map(plain, parts))
             ends.append(len(picks))
-        ids, stops = gather(self.ids, self.offsets, np.array(picks, np.int64))
+        ids, stops = gather(own, offsets, np.array(picks, np.int64))
         return ids, np.concatenate([[0], stops])[ends].astype(np.int64)
 
 

@@ -344,6 +344,27 @@ def test_token_files_equal_the_library(documents):
     assert sorted(got, key=lambda r: r[1]) == want
 
 
+def test_added_tokens_are_found_as_by_the_library(documents):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(VOCABULARY)
+    texts = ["a <|endoftext|> b", "plain words", "<|endoftext|>", "x<|endoftext|>\n\ny  <|endoftext|>  z", "<|endoftext|",
+             "a\n<|endoftext|><|endoftext|>é", "a <|endoftext|> b", " |> b <|endof text|>", "last  words <|"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [50256 in w for w in want].count(True) == 5
+    encoder = tokenfiles.Encoder(VOCABULARY, PATTERN)
+    for size in (1, 4, len(texts)):
+        for at in range(0, len(texts), size):
+            found, stops = encoder.encode(texts[at : at + size])
+            assert [o.tolist() for o in np.split(found, stops[:-1])] == want[at : at + size]
+    got = sorted(tuple(r) for r in tokenfiles.round_trip(documents(texts), VOCABULARY, PATTERN).collect())
+    start = 0
+    for row, (i, ids) in zip(got, enumerate(want), strict=True):
+        ids = np.array([*ids, 0], "<u4")
+        assert row == (i, start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
 def test_token_files_of_no_rows(documents):
     assert tokenfiles.round_trip(documents([]), VOCABULARY, PATTERN).count() == 0
     assert [tuple(r)[:3] for r in tokenfiles.round_trip(documents([(4, "")]), VOCABULARY, PATTERN).collect()] == [(4, 0, 1)]
