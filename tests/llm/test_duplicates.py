@@ -316,3 +316,29 @@ def test_vectors_odd_rows(spark, rows):
         [(None, [1.0, 2.0], 1), (4, [1.0, 2.0], 1), (9, None, None)], schema)), "vec_id")
     assert got[None]["component_id"] is None and got[None]["kept"]
     assert got[4]["n_links"] == 1 and got[4]["kept"] and got[9]["n_links"] == 0
+
+
+# --- the pipeline's stages on repeated and missing ids ------------------------------------------
+
+
+def test_stages_work_by_row(spark, documents, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    copy, other, leak, clean, last = (sentence(rng, 40) for _ in range(5))
+    passage = sentence(rng, 30)
+    df = documents([(3, copy), (3, copy), (None, copy), (5, copy), (4, other), (7, other), (7, clean), (None, last),
+                    (None, last)], extra=True)
+    left = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert left.columns == df.columns and left.schema["doc_id"].dataType == df.schema["doc_id"].dataType
+    assert sorted((tuple(r)[:2] for r in left.collect()), key=str) == sorted(
+        [(3, copy), (4, other), (7, clean), (None, last)], key=str)
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    df = documents([(2, leak), (2, clean), (None, leak), (None, clean), (6, other)])
+    left = corpus_pipeline.drop_leaks(spark, df, str(tmp_path))
+    assert sorted((tuple(r)[:2] for r in left.collect()), key=str) == sorted(
+        [(2, clean), (None, clean), (6, other)], key=str)
+    df = documents([((1 << 63) - 1, "first " + passage), (8, "a " + passage), (None, "b " + passage), (8, "a " + passage)])
+    texts = [(r.doc_id, r.text) for r in corpus_pipeline.cut_repeats(spark, df, "").collect()]
+    assert len(texts) == 4 and sum(passage in t for _, t in texts) == 1
+    assert sum(i is None for i, _ in texts) == 1 and sum(i == 8 for i, _ in texts) == 2
