@@ -6,7 +6,8 @@ document with a seed keeps its words around the seeds, as far as an item could r
 document and item that share a seed then go through tiling: the longest common runs of unmarked
 words are searched with running Karp-Rabin hashes, marked without overlap, and the search goes on with
 shorter runs down to ``shortest``. Tiles may stand in any order, so passages that were
-rearranged count too. A pair is contaminated if tiles cover ``coverage`` of the item's words.
+rearranged count too. A pair is contaminated if tiles cover ``coverage`` of the item's words, or if one
+tile has ``long_tile`` words or more: a long passage is a leak however long its item is.
 
 The item seeds are looked up inside the scan if they are few (``broadcast_seeds``, 8 bytes each);
 beyond that they meet the documents' seeds in a shuffled join, with the same result.
@@ -175,7 +176,7 @@ def _items(width: int):
 def _tiled(shortest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            covered, count = [], []
+            covered, count, longest = [], [], []
             for item, text in zip(
                 batch.column("item").to_pylist(), batch.column("words").to_pylist(), strict=True
             ):
@@ -183,16 +184,17 @@ def _tiled(shortest: int):
                 tiles = tile(unsigned, [None if w is None else w % (1 << 64) for w in text], shortest)
                 covered.append(sum(t[2] for t in tiles))
                 count.append(len(tiles))
+                longest.append(max((t[2] for t in tiles), default=0))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("item_id"), batch.column("n_words"),
-                 pa.array(covered, pa.int64()), pa.array(count, pa.int64())],
-                ["doc_id", "item_id", "n_words", "n_covered", "n_tiles"])
+                 pa.array(covered, pa.int64()), pa.array(count, pa.int64()), pa.array(longest, pa.int64())],
+                ["doc_id", "item_id", "n_words", "n_covered", "n_tiles", "longest"])
 
     return run
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, shortest: int = 5, coverage: float = 0.6,
-                       broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
+                       broadcast_seeds: int = BROADCAST_SEEDS, long_tile: int = 50) -> DataFrame:
     """Contaminated pairs ``doc_id, item_id, n_words, n_covered, n_tiles, coverage``."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
@@ -226,10 +228,10 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, shortest: int = 5, cov
         near.select("doc_id", row, "words"), ["doc_id", "row"])
     tiled = joined.select(
         "doc_id", "item_id", F.size("item").cast("long").alias("n_words"), "item", "words").mapInArrow(
-        _tiled(shortest), "doc_id long, item_id long, n_words long, n_covered long, n_tiles long")
+        _tiled(shortest), "doc_id long, item_id long, n_words long, n_covered long, n_tiles long, longest long")
     share = F.col("n_covered") / F.col("n_words")
     return (
-        tiled.withColumn("coverage", share).where(F.col("coverage") >= coverage)
+        tiled.withColumn("coverage", share).where((F.col("coverage") >= coverage) | (F.col("longest") >= long_tile))
         .groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "n_words", "n_covered", "n_tiles")).alias("best"))
         .select("doc_id", "item_id", "best.n_words", "best.n_covered", "best.n_tiles", "best.coverage")
     )

@@ -301,6 +301,19 @@ def test_decontaminate(spark, documents):
     assert tiling.contaminated_pairs(documents([]), bench).count() == 0
 
 
+@pytest.mark.parametrize("limit", [10_000, 0])
+def test_long_passages_of_longer_items(spark, documents, limit):
+    words = [f"w{i}" for i in range(1000)]
+    other = [f"x{i}" for i in range(40)]
+    pieces = [w for k in range(0, 500, 25) for w in [*words[k : k + 24], "odd"]]  # many tiles, none long
+    texts = [other + words[100:650] + other, other + words[:50], other + words[:49], pieces, other]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = documents([" ".join(t) for t in texts])
+    got = {r.doc_id: (r.n_covered, r.coverage) for r in tiling.contaminated_pairs(docs, bench, broadcast_seeds=limit).collect()}
+    assert got == {0: (550, 0.55), 1: (50, 0.05)}
+    assert {r.doc_id for r in tiling.decontaminate(docs, bench).collect()} == {2, 3, 4}
+
+
 # --- BPE and token files ------------------------------------------------------------------
 
 
