@@ -1,8 +1,8 @@
 """Shards along a Hilbert curve over several metadata dimensions.
 
-Each dimension is quantised into 2**bits cells. The cell boundaries are quantiles over all rows (a
-mergeable sketch; strings enter by an order-keeping number of their first bytes), so
-cells hold about equal numbers of rows. A row's cells give its place on the curve; rows sorted by it are
+Each dimension is quantised into 2**bits cells. The cell boundaries are quantiles over all rows, so
+cells hold about equal numbers of rows: a mergeable sketch for numbers and dates; for strings, whole values
+at which the running total of their counts passes a share of the rows. A row's cells give its place on the curve; rows sorted by it are
 cut into runs of equal length. Neighbours on the curve are neighbours in every dimension, so a
 shard covers a small box and files can be pruned by the minima and maxima of any dimension.
 
@@ -18,12 +18,13 @@ repeated id get a slot each. Empty tables give no rows; other columns may have a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,17 +68,40 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def ordinal(docs: DataFrame, name: str) -> Column:
-    """A number that keeps the column's order; strings by their first seven bytes."""
+    """A number that keeps the column's order; strings as they are."""
     kind = docs.schema[name].dataType
     column = F.col(name)
     if isinstance(kind, T.StringType):
-        first = F.substring(F.rpad(F.hex(F.encode(column, "utf-8")), 14, "0"), 1, 14)
-        return F.conv(first, 16, 10).cast("double")
+        return column
     if isinstance(kind, (T.DateType, T.TimestampType)):
         return column.cast("timestamp").cast("double")
     return column.cast("double")
 
 
+def string_bounds(docs: DataFrame, name: str, shares: Sequence[float]) -> list[str]:
+    """For each share, the smallest value that so many rows do not exceed.
+
+    Values are counted, then range-partitioned; the partitions' sums are added on the driver, and
+    only the values at the bounds are collected.
+    """
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    values = docs.select(F.col(name).alias("value")).where("value IS NOT NULL").groupBy("value").count()
+    placed = cut(values.repartitionByRange(parts, "value").withColumn("_part", F.spark_partition_id()), "values")
+    sums = sorted(tuple(r) for r in placed.groupBy("_part").agg(F.sum("count")).collect())
+    bases = [0, *accumulate(n for _, n in sums)]
+    if not bases[-1]:
+        return []
+    offsets = spark.createDataFrame(
+        [(p, b) for (p, _), b in zip(sums, bases, strict=False)], "_part int, _base long")
+    own = Window.partitionBy("_part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    upto = placed.withColumn("_own", F.sum("count").over(own)).join(F.broadcast(offsets), "_part").select(
+        "value", (F.col("_base") + F.col("_own")).alias("upto"), "count")
+    wanted = F.array(*[F.lit(math.ceil(share * bases[-1])) for share in shares])
+    at = F.exists(wanted, lambda w: (w <= F.col("upto")) & (w > F.col("upto") - F.col("count")))
+    return sorted((r["value"] for r in upto.where(at).select("value").collect()), key=lambda v: v.encode("utf-8"))
+
+
 def _below(edges: Column, column: Column) -> Column:
     """How many edges are smaller than the column."""
     return F.size(F.filter(edges, lambda edge: edge < column))
@@ -89,12 +113,19 @@ def with_curve(docs: DataFrame, dimensions: Sequence[str], bits: int = BITS) ->
         raise ValueError("one dimension at least, 62 bits at most")
     shares = [k / 2**bits for k in range(1, 2**bits)]
     numbers = {f"_d{i}": ordinal(docs, name) for i, name in enumerate(dimensions)}
-    bounds = docs.select(*[c.alias(k) for k, c in numbers.items()]).agg(
-        *[F.percentile_approx(k, shares, 10_000).alias(k) for k in numbers]).first()
+    words = {f"_d{i}": name for i, name in enumerate(dimensions)
+             if isinstance(docs.schema[name].dataType, T.StringType)}
+    plain = {key: column for key, column in numbers.items() if key not in words}
+    bounds = docs.select(*[c.alias(k) for k, c in plain.items()]).agg(
+        *[F.percentile_approx(k, shares, 10_000).alias(k) for k in plain]).first() if plain else {}
     cells = {}
     for key, column in numbers.items():
-        cuts = sorted(set(bounds[key] or []))
-        edges = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array().cast("array<double>")
+        if key in words:
+            cuts = string_bounds(docs, words[key], shares)
+        else:
+            cuts = [float(c) for c in sorted(set(bounds[key] or []))]
+        kind = "array<string>" if key in words else "array<double>"
+        edges = F.array(*map(F.lit, cuts)) if cuts else F.array().cast(kind)
         cells[key] = F.when(column.isNull(), 0).otherwise(_below(edges, column)).cast("int")
 
     @F.pandas_udf("long")

@@ -107,6 +107,20 @@ def test_shards_hold_the_law(documents):
         assert r.law == "rows" and r.grown_shard is None
 
 
+def test_strings_that_begin_alike_get_cells_of_their_own(documents):
+    df = documents(["w"] * 400).withColumn("source", F.expr(
+        "CASE WHEN doc_id = 399 THEN NULL WHEN doc_id % 2 = 0 THEN 'https://é/z'"
+        " ELSE concat('https://host/', lpad(doc_id % 20, 2, '0')) END"))
+    got = hilbert.with_curve(df, ["source"], 3).select("source", "_d0").distinct().collect()
+    values = sorted((r.source for r in df.collect() if r.source is not None), key=str.encode)
+    edges = sorted({values[-(-len(values) * k // 8) - 1] for k in range(1, 8)}, key=str.encode)
+    assert len(got) == 12  # ten hosts, the common one, null
+    for r in got:
+        assert r._d0 == (0 if r.source is None else sum(e.encode() < r.source.encode() for e in edges))
+    assert len({r._d0 for r in got}) == 4
+    assert hilbert.with_curve(documents(["a"]).withColumn("lang", F.lit(None).cast("string")), ["lang"]).first()._d0 == 0
+
+
 def test_shards_of_few_or_no_rows(documents):
     assert hilbert.hilbert_shards(documents([])).count() == 0
     got = hilbert.hilbert_shards(documents(["a", "b", "c"])).collect()
