@@ -116,9 +116,35 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id =
 FROM documents d JOIN component c ON c.x = d.doc_id LEFT JOIN size s ON s.doc_id = d.doc_id
 """
 
+SEARCH = f"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS words FROM documents),
+asked AS (
+  SELECT item_id, unnest(list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')) AS term FROM benchmark),
+total AS (SELECT count(*) AS docs, sum(len(words))::BIGINT AS words FROM split WHERE len(words) > 0),
+occurs AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM split)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM occurs, total GROUP BY term),
+part AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))) AS part
+  FROM occurs JOIN weight USING (term), total),
+scored AS (
+  SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM asked JOIN part USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank
+  FROM scored WHERE score > 0) WHERE rank <= 20
+"""
+
 ORACLE = {
     "op1_diagonal_license_scan": LICENSES,
     "op5_product_quantisation": EMBEDDINGS,
     "op7_deep_shallow_suffixes": REPEATS,
     "op10_circulant_minhash": SHINGLES,
+    "op12_reversed_search": SEARCH,
 }
