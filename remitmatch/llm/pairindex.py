@@ -141,7 +141,7 @@ class Merges:
 class Words:
     """A vocabulary file: chunks of text to words, words to ids, ids to tokens."""
 
-    def __init__(self, path: str, remembered: int = 1 << 20):
+    def __init__(self, path: str, remembered: int = 400_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.merges, self.remembered = Merges(spec["model"]), remembered
@@ -285,8 +285,10 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """Per document ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
-    decoded = decode_documents(encode_documents(docs, path), path)
+    """Per document ``doc_id, n_tokens, ids_sha256, decoded_sha256``; a task encodes and decodes in one worker."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    encode, decode = _encoded(path), _decoded(path)
+    decoded = texts.mapInArrow(lambda batches: decode(encode(batches)), "doc_id long, ids array<int>, decoded string")
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
