@@ -83,8 +83,8 @@ class Merges:
         cuts = np.flatnonzero(np.diff(found, prepend=-1))
         return {int(found[a]): p.tolist() for a, p in zip(cuts, np.split(places, cuts[1:]), strict=True)}
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word (none empty)."""
+    def encode(self, words: list[str]) -> list[bytes]:
+        """The ids of each word (none empty), as little-endian unsigned 32-bit integers."""
         row, starts = [self.edge], []
         for word in words:
             starts.append(len(row))
@@ -129,19 +129,17 @@ class Merges:
                 else:
                     index[rank] = later
                     heapq.heappush(active, rank)
-        ids: list[list[int]] = []
-        for symbol in row[:-1]:
-            if symbol == self.edge:
-                ids.append([])
-            elif symbol >= 0:
-                ids[-1].append(symbol)
-        return ids
+        left_over = np.array(row, np.int64)
+        left_over = left_over[left_over >= 0]
+        edges = np.flatnonzero(left_over == self.edge).tolist()
+        data = left_over.astype("<u4").tobytes()
+        return [data[4 * a + 4 : 4 * b] for a, b in zip(edges, edges[1:], strict=False)]
 
 
 class Words:
     """A vocabulary file: chunks of text to words, words to ids, ids to tokens."""
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 640_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.merges, self.remembered = Merges(spec["model"]), remembered
@@ -180,7 +178,7 @@ class Words:
             if part in self.added:
                 found.append(self.added[part])
             elif self.plain and part.isascii() and part.isprintable():
-                found += self.plain(part.lower())
+                found += [part.lower()] if part.isalpha() else self.plain(part.lower())
             elif part:
                 if self.library.normalizer:
                     part = self.library.normalizer.normalize_str(part)
@@ -198,8 +196,7 @@ class Words:
                 size += len(new[stop])
                 stop += 1
             group = new[start:stop]
-            for word, ids in zip(group, self.merges.encode(group), strict=True):
-                self.words[word] = np.array(ids, "<u4").tobytes()
+            self.words.update(zip(group, self.merges.encode(group), strict=True))
             start = stop
         for chunk, words in split.items():
             parts = [self.words[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in words]
