@@ -46,14 +46,18 @@ def ranged(rows: DataFrame, place: list[str], parts: int | None = None) -> DataF
     return written(cut, "ranged")
 
 
-def running_in_chunks(invoices: DataFrame, parts: int | None = None) -> DataFrame:
+def invoice_ledger(invoices: DataFrame, parts: int | None = None) -> DataFrame:
+    """The invoices by their place in the ledger, with the chunk they fall in, from files."""
+    return ranged(invoices, [*DAY, "invoice_id"], parts)
+
+
+def running_in_chunks(ledger: DataFrame) -> DataFrame:
     """Each invoice with its row number, running net due and running maximum in its chunk."""
     upto = "PARTITION BY customer_id, invoice_date, chunk ORDER BY invoice_id"
     here = f"{upto} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     before = f"{upto} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     return (
-        ranged(invoices, [*DAY, "invoice_id"], parts)
-        .repartition(*CHUNK)
+        ledger.repartition(*CHUNK)
         .selectExpr(
             "*",
             f"row_number() OVER ({upto}) AS chunk_seq",
@@ -99,7 +103,7 @@ def customer_positions(
     invoices: DataFrame, parts: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(invoices with ``position`` and ``running`` over the whole customer, day offsets)."""
-    rows = running_in_chunks(invoices, parts)
+    rows = running_in_chunks(invoice_ledger(invoices, parts))
     chunks = chunk_totals(rows)
     earlier = (
         "PARTITION BY customer_id ORDER BY invoice_date "

@@ -7,6 +7,9 @@ which the running net due reaches the payment.
 
 How it scales
 -------------
+Net dues are worked out once and written by their place in the ledger (customer, date, invoice_id);
+everything below starts from those files.
+
 Invoices are folded into one row per (customer, block of days), holding a sorted array of
 entries. A payment joins exactly one such row and works out everything from the array
 inside that row: no pairs are shuffled and nothing is regrouped by payment. The join is
@@ -16,12 +19,19 @@ An entry is one invoice, or, for a date on which the customer has more than
 ``inline_limit`` invoices (a *deep* day), one summary of that date. So an array holds at
 most ``2 * (days_window + 1) * inline_limit`` entries, whatever the customer's size.
 
-Only payments that see a deep day go on to an exact look-up that sorts and never pairs
-(``_look_up``): the crossing invoice inside a deep day is found by the day's running
-maximum, the closest amount over a cover of the window by runs of 1, 2, 4, ... days. The
-groups it sorts are cut by day, by amount and by running total, so neither a hot customer
-nor a hot date ends up in one task. Where there are no deep days this branch is empty and
-adaptive execution drops it.
+Only payments that see a deep day go on to an exact look-up that never pairs (``_deep_crossing``,
+``_deep_closest``). The plan is the same for all data: where there are no deep days the branch is
+empty and adaptive execution drops it while the job runs.
+
+* The crossing invoice is the first at which the day's running total reaches what the payment
+  still needs. The invoices that raise the total to a new maximum form a search tree over their
+  row numbers: a node holds the highest totals of up to ``band_rows`` children, the leaves the invoices
+  themselves. A payment goes down by one join per level. Nodes are cut by rows, not by value, so a huge
+  invoice fills no node, and the joins are many-to-one, so any number of payments that end at one
+  invoice can be split.
+* The closest amount is found over a cover of the window by runs of 1, 2, 4, ... days. The
+  groups it sorts are cut by day run and by amount; they hold each amount once, so their size is bounded by the
+  tolerance and the window.
 """
 
 from __future__ import annotations
@@ -37,6 +47,7 @@ from remitmatch.operators.ledger import (
     block_of,
     chunk_totals,
     day_totals,
+    invoice_ledger,
     own_and_next_block,
     running_in_chunks,
 )
@@ -44,15 +55,14 @@ from remitmatch.operators.netting import invoice_net_due
 from remitmatch.settings import Setting
 
 INLINE_LIMIT = 8
-BAND_ROWS = 65536
+BAND_ROWS = 1024
+LEVELS = 2  # of the search tree below the root, which a day's own entry holds
 
 # What decides a payment's outcome; payments alike in all four share one look-up.
 QUERY = ["customer_id", "payment_date", "payment_amount", "setting_no"]
 
-HIT = (
-    "struct<deep:boolean,day:date,invoice_id:bigint,n:bigint,high:bigint,before:bigint,"
-    "running:bigint>"
-)
+ROOT = "array<struct<high:bigint,child:bigint>>"
+HIT = "struct<deep:boolean,day:date,invoice_id:bigint,before:bigint,running:bigint,node:bigint>"
 PLACE = "struct<span:int,node:int,slice:bigint,value:bigint>"
 
 
@@ -89,12 +99,6 @@ def _amount_slice(cents: str, settings: list[Setting]) -> str:
     return f"floor(({cents}) / {int(widest * 200) + 1})"
 
 
-def _band(value: str, high: str, bands: str) -> str:
-    """Which of ``bands`` equal slices of (0, high] a running total falls in."""
-    slot = f"floor(CAST({value} AS DOUBLE) * {bands} / CAST({high} AS DOUBLE))"
-    return f"CASE WHEN {high} > 0 THEN least(greatest({slot}, 0), {bands} - 1) ELSE 0L END"
-
-
 def _place(span: str, node: str, part: str, value: str) -> str:
     return f"CAST(struct({span}, {node}, {part}, {value}) AS {PLACE})"
 
@@ -105,7 +109,7 @@ def _entries(rows: DataFrame, width: str, *values: str) -> DataFrame:
         "customer_id",
         f"{own_and_next_block('invoice_date', width)} AS block",
         f"""CAST(struct({', '.join(values)}) AS struct<
-            day:date,invoice_id:bigint,net:bigint,n:bigint,high:bigint,deep:boolean
+            day:date,invoice_id:bigint,net:bigint,n:bigint,high:bigint,deep:boolean,root:{ROOT}
         >) AS entry""",
     )
 
@@ -114,14 +118,14 @@ def _invoice_entries(invoices: DataFrame, width: str) -> DataFrame:
     return _entries(
         invoices, width,
         "invoice_date", "invoice_id", _cents("invoice_net_due"), "1", _cents("invoice_net_due"),
-        "false",
+        "false", "NULL",
     )
 
 
 def _day_entries(days: DataFrame, width: str) -> DataFrame:
     return _entries(
         days, width,
-        "invoice_date", "NULL", _cents("day_sum"), "day_n", _cents("day_high"), "true",
+        "invoice_date", "NULL", _cents("day_sum"), "day_n", _cents("day_high"), "true", "root",
     )
 
 
@@ -138,6 +142,11 @@ def _blocks(entries: DataFrame) -> DataFrame:
     )
 
 
+def _first_reaching(children: str, need: str) -> str:
+    """The first child whose highest total reaches ``need`` (children are in that order)."""
+    return f"array_min(filter({children}, c -> c.high >= {need}))"
+
+
 def _read_window(joined: DataFrame, settings: list[Setting]) -> DataFrame:
     """Per payment and setting: count, sum, closest inline invoice and crossing entry.
 
@@ -151,8 +160,9 @@ def _read_window(joined: DataFrame, settings: list[Setting]) -> DataFrame:
             (state, e) -> CASE WHEN state.hit IS NOT NULL THEN state ELSE named_struct(
                 'run', state.run + coalesce(e.net, 0L),
                 'hit', CASE WHEN state.run + e.high >= cents THEN named_struct(
-                    'deep', e.deep, 'day', e.day, 'invoice_id', e.invoice_id, 'n', e.n,
-                    'high', e.high, 'before', state.run, 'running', state.run + e.net
+                    'deep', e.deep, 'day', e.day, 'invoice_id', e.invoice_id,
+                    'before', state.run, 'running', state.run + e.net,
+                    'node', {_first_reaching('e.root', 'cents - state.run')}.child
                 ) END
             ) END,
             state -> state.hit
@@ -181,39 +191,68 @@ def _read_window(joined: DataFrame, settings: list[Setting]) -> DataFrame:
     )
 
 
-def _index(
-    rows: DataFrame, chunks: DataFrame, band_rows: int, settings: list[Setting]
-) -> DataFrame:
-    """Deep-day invoices filed under every group in which a payment may look them up.
+def _deep_rows(rows: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Deep-day invoices in cents, with their row number and running total in the day.
 
-    Under span -1, a day's *records*: the invoices that raise its running total to a new
-    maximum, by the slices ("bands") of that total they cover. Under span k, every
-    invoice by the aligned run of 2**k days that holds its date and by the slice of its
+    ``low`` is the highest total before the row (NULL for the first).
+    """
+    return rows.join(chunks.select(*CHUNK, "n_before", "sum_before", "high_before"), CHUNK).selectExpr(
+        "customer_id", "unix_date(invoice_date) AS day", "invoice_id",
+        "n_before + chunk_seq - 1 AS position",
+        f"{_cents('invoice_net_due')} AS net",
+        f"{_cents('(sum_before + chunk_run)')} AS run",
+        f"{_cents('greatest(high_before, sum_before + chunk_high_before)')} AS low",
+    )
+
+
+def _tree(deep: DataFrame, fan: int) -> list[DataFrame]:
+    """The search tree over the records of each day, from the root to the leaves.
+
+    A record is an invoice that raises the day's running total to a new maximum. Each level has
+    ``customer_id, day, node, children``, the children in order with the highest total below each;
+    a leaf's children are the records. The root has no ``node``: it has one child for every
+    ``fan ** LEVELS`` rows of the day.
+    """
+    level = deep.where("low IS NULL OR run > low").selectExpr(
+        "customer_id", "day", "position", "run AS high", "invoice_id AS child")
+    found = []
+    for _ in range(LEVELS):
+        level = (
+            level.withColumn("position", F.expr(f"position DIV {fan}"))
+            .groupBy("customer_id", "day", "position")
+            .agg(F.expr("sort_array(collect_list(struct(high, child))) AS children"), F.max("high").alias("high"))
+        )
+        found.append(level.selectExpr("customer_id", "day", "position AS node", "children"))
+        level = level.selectExpr("customer_id", "day", "position", "high", "position AS child")
+    root = level.groupBy("customer_id", "day").agg(F.expr("sort_array(collect_list(struct(high, child))) AS root"))
+    return [root, *reversed(found)]
+
+
+def _deep_crossing(queries: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """Queries with ``deep_cut``, the record inside a deep day at which they are reached (NULL: none)."""
+    kept = [c for c in queries.columns if c != "node"]
+    for nodes in levels:
+        # the tree's side grows with the invoices, so it is never a broadcast
+        queries = (
+            queries.join(nodes.hint("merge"), ["customer_id", "day", "node"], "left")
+            .selectExpr(*kept, f"{_first_reaching('children', 'need')} AS hit")
+            .selectExpr(*kept, "hit", "hit.child AS node")
+        )
+    return queries.selectExpr(*kept, "struct(hit.high AS value, hit.child AS invoice_id) AS deep_cut")
+
+
+def _amounts(deep: DataFrame, settings: list[Setting]) -> DataFrame:
+    """Deep-day invoices filed under every group in which a payment may look up an amount.
+
+    Under span k, by the aligned run of 2**k days that holds the date and by the slice of the
     amount; of equal amounts only the lowest id is kept.
     """
-    bands = f"ceil(day_n / {band_rows})"
-    as_record = f"""
-        CASE WHEN low IS NULL OR run > low THEN transform(
-            sequence(coalesce({_band('low', 'day_high', bands)}, 0L), {_band('run', 'day_high', bands)}),
-            band -> {_place('-1', 'day', 'band', 'run')}
-        ) ELSE array() END"""
     as_amount = f"""
         transform({_spans(settings)}, span -> {_place(
             'span', 'shiftright(day, span)', _amount_slice('net', settings), 'net'
         )})"""
     return (
-        rows.join(chunks.select(*CHUNK, "sum_before", "high_before", "day_high"), CHUNK)
-        .selectExpr(
-            "customer_id", "invoice_id", "day_n",
-            f"{_cents('invoice_net_due')} AS net",
-            f"{_cents('day_high')} AS day_high",
-            "unix_date(invoice_date) AS day",
-            f"{_cents('(sum_before + chunk_run)')} AS run",
-            f"{_cents('greatest(high_before, sum_before + chunk_high_before)')} AS low",
-        )
-        .selectExpr(
-            "customer_id", "invoice_id", f"explode(concat({as_record}, {as_amount})) AS place"
-        )
+        deep.selectExpr("customer_id", "invoice_id", f"explode({as_amount}) AS place")
         .groupBy("customer_id", "place")
         .agg(F.min("invoice_id").alias("invoice_id"))
         .selectExpr(
@@ -222,8 +261,8 @@ def _index(
     )
 
 
-def _probes(queries: DataFrame, band_rows: int, settings: list[Setting]) -> DataFrame:
-    """The groups in which each payment's answers lie, and the value it looks for there."""
+def _probes(queries: DataFrame, settings: list[Setting]) -> DataFrame:
+    """The groups in which each payment's closest amounts lie."""
     # The aligned runs of 2**span days that lie inside [first, last] while the run twice
     # as long does not: an odd first one and an even last one. Over all spans they make
     # up the window exactly.
@@ -240,44 +279,34 @@ def _probes(queries: DataFrame, band_rows: int, settings: list[Setting]) -> Data
     by_amount = f"""
         flatten(transform({_spans(settings)}, span -> flatten(transform({nodes}, node ->
             transform({slices}, part -> {_place('span', 'node', 'part', 'cents')})))))"""
-    need = "(cents - cut.before)"
-    by_total = f"""
-        CASE WHEN cut.deep THEN array({_place(
-            '-1', 'unix_date(cut.day)',
-            _band(need, 'cut.high', f'ceil(cut.n / {band_rows})'), need
-        )}) ELSE array() END"""
     return (
         queries.selectExpr(
-            *QUERY, "tolerance", "cut", "cents",
+            *QUERY, "tolerance", "cents", "deep_cut",
             "unix_date(payment_date) AS last",
             "unix_date(payment_date) - days_window AS first",
         )
-        .selectExpr(*QUERY, "tolerance", f"explode(concat({by_total}, {by_amount})) AS place")
-        .selectExpr(*QUERY, "tolerance", "place.*", "1 AS is_query")
+        .selectExpr(*QUERY, "tolerance", "deep_cut", f"explode({by_amount}) AS place")
+        .selectExpr(*QUERY, "tolerance", "deep_cut", "place.*", "1 AS is_query")
     )
 
 
-def _look_up(
-    queries: DataFrame, index: DataFrame, band_rows: int, settings: list[Setting]
-) -> DataFrame:
-    """Crossing and closest invoice among deep days, one row per query.
+def _deep_closest(queries: DataFrame, amounts: DataFrame, settings: list[Setting]) -> DataFrame:
+    """``deep_closest``, the closest deep-day invoice within the tolerance, beside each query's ``deep_cut``.
 
     In each group payments and invoices are sorted together, so the neighbours of a
-    payment are the last invoice seen on the way up and on the way down. The running
-    maximum only grows, hence under span -1 the neighbour above is the first invoice at
-    which the total is enough.
+    payment are the last invoice seen on the way up and on the way down.
     """
     neighbour = """
         last(invoice, true) OVER (PARTITION BY customer_id, span, node, slice
                                   ORDER BY value {direction}, is_query
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
     candidate = """
-        CASE WHEN span >= 0 AND abs(value - {side}.value) <= tolerance THEN
+        CASE WHEN abs(value - {side}.value) <= tolerance THEN
             named_struct('abs_diff', abs(value - {side}.value), 'invoice_id', {side}.invoice_id,
                          'net', {side}.value) END"""
     return (
-        _probes(queries, band_rows, settings)
-        .unionByName(index, allowMissingColumns=True)
+        _probes(queries, settings)
+        .unionByName(amounts, allowMissingColumns=True)
         .selectExpr(
             "*",
             f"{neighbour.format(direction='ASC')} AS below",
@@ -286,11 +315,11 @@ def _look_up(
         .where("is_query = 1")
         .groupBy(*QUERY)
         .agg(
-            F.expr("max(CASE WHEN span = -1 THEN above END) AS deep_cut"),
+            F.expr("first(deep_cut) AS deep_cut"),
             F.expr(
                 f"min(least({candidate.format(side='below')}, {candidate.format(side='above')}))"
                 " AS deep_closest"
-            ),
+            )
         )
     )
 
@@ -320,8 +349,10 @@ def match_payments(
 
     All settings are answered from one pass over the invoices. With none, every payment
     comes out once with no eligible invoices. Ties for the closest amount go to the lowest
-    invoice_id. ``deep_days=False`` leaves out the look-up branch; use it where
-    ``has_deep_days`` says there is nothing to look up. Results are the same either way.
+    invoice_id. ``deep_days=False`` reads every date inline and leaves out the look-up;
+    results are the same, but an array then holds all invoices of a crowded date. The net dues are
+    written to the shared folder while the plan is made; ``band_rows`` is the number of
+    children of a node of the search tree (two at least).
 
     Columns: payment_id, customer_id, payment_date, payment_amount, scenario,
     eligible_invoice_count and sum_net_due (NULL when there are none), ``single``
@@ -363,23 +394,30 @@ def match_payments(
     if not deep_days:
         return shallow(placed.join(_blocks(_invoice_entries(net, width)), on_block, "left"))
 
-    per_day = invoices.groupBy(*DAY).agg(F.count("*").alias("day_n"))
-    sized = net.join(per_day, DAY)
-    rows = running_in_chunks(sized.where(f"day_n > {inline_limit}"), parts)
+    fan = max(2, band_rows)
+    ledger = invoice_ledger(net, parts)
+    crowded = ledger.groupBy(*DAY).agg(F.count("*").alias("day_n")).where(f"day_n > {inline_limit}")
+    rows = running_in_chunks(ledger.join(crowded, DAY))
     chunks = chunk_totals(rows)
+    deep = _deep_rows(rows, chunks)
+    root, *levels = _tree(deep, fan)
+    days = day_totals(chunks).join(
+        root.withColumn("invoice_date", F.date_from_unix_date("day")).drop("day"), DAY)
     joined = placed.join(
         _blocks(
-            _invoice_entries(sized.where(f"day_n <= {inline_limit}"), width).unionByName(
-                _day_entries(day_totals(chunks), width)
+            _invoice_entries(ledger.join(crowded, DAY, "left_anti"), width).unionByName(
+                _day_entries(days, width)
             )
         ),
         on_block,
         "left",
     )
     partly = _read_window(joined.where("has_deep"), settings)
-    found = _look_up(
-        partly.dropDuplicates(QUERY), _index(rows, chunks, band_rows, settings), band_rows, settings
-    )
+    queries = partly.selectExpr(
+        *QUERY, "tolerance", "days_window", "cents", "unix_date(cut.day) AS day",
+        "cents - cut.before AS need", "cut.node AS node",
+    ).distinct()
+    found = _deep_closest(_deep_crossing(queries, levels), _amounts(deep, settings), settings)
     return shallow(joined.where("NOT coalesce(has_deep, false)")).unionByName(
         partly.join(found, QUERY, "left")
         .withColumn("closest", F.expr("least(closest, deep_closest)"))

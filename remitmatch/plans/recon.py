@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitmatch.operators.matching import INLINE_LIMIT, has_deep_days, match_payments
+from remitmatch.operators.matching import match_payments
 from remitmatch.schemas import MONEY, TOTAL
 from remitmatch.settings import Setting
 
@@ -43,14 +43,7 @@ def classify(matched: DataFrame) -> DataFrame:
 
 
 def recon_scenarios(tables: dict[str, DataFrame], settings: list[Setting], **tuning) -> DataFrame:
-    """Results under every given setting, from one pass over the tables.
-
-    Counts invoices per customer and date first, to plan the look-up into crowded dates
-    only where there are any.
-    """
-    if "deep_days" not in tuning:
-        limit = tuning.get("inline_limit", INLINE_LIMIT)
-        tuning["deep_days"] = has_deep_days(tables["invoices"], limit)
+    """Results under every given setting, from one pass over the tables."""
     return classify(
         match_payments(
             tables["payments"], tables["invoices"], tables["credits"], tables["returns"],

@@ -7,7 +7,9 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from remitmatch.operators.matching import has_deep_days
+from remitmatch.operators.ledger import DAY, chunk_totals, invoice_ledger, running_in_chunks
+from remitmatch.operators.matching import _deep_rows, _tree, has_deep_days
+from remitmatch.operators.netting import invoice_net_due
 from remitmatch.plans.recon import dashboard, needs_review, recon_results, recon_scenarios
 from remitmatch.settings import DEFAULT, PRESETS, Setting
 
@@ -197,3 +199,25 @@ def test_crowded_dates_are_noticed(spark):
     invoices = tables(spark, *skewed(5))["invoices"]
     assert has_deep_days(invoices)
     assert not has_deep_days(invoices, inline_limit=1000)
+
+
+def test_one_huge_invoice_on_a_crowded_date(spark):
+    """Nodes of the look-up are cut by rows, so an invoice above all others fills none of them."""
+    rng = random.Random(2)
+    date = day("2024-02-01")
+    invoices = [(i, 7, date, None, money(10_000_000 if i == 57 else rng.randint(1, 40))) for i in range(500)]
+    payments = [(i, 7, money(rng.randint(1, 10_005_000)), day("2024-02-10"), None) for i in range(300)]
+    payments += [(1000 + i, 7, money(rng.randint(1, 3000)), date, None) for i in range(100)]
+    data = (invoices, payments, [(1, 7, money(5), 3)], [(1, 7, 4, "SKU_1", money(60))])
+    results = recon_scenarios(tables(spark, *data), [DEFAULT], band_rows=8, parts=5)
+    got = sorted(
+        (r.scenario, r.payment_id, r.eligible_invoice_count, r.sum_net_due_in_window, r.matched_invoice_id,
+         r.matched_invoice_net_due, r.cutoff_invoice_id, r.cutoff_invoice_date, r.greedy_running_net_due_at_cutoff)
+        for r in results.collect())
+    assert got == brute_force(data, [DEFAULT])
+    assert sum(r[6] == 57 for r in got) > 200
+    net = invoice_net_due(*[tables(spark, *data)[t] for t in ("invoices", "credits", "returns")])
+    rows = running_in_chunks(invoice_ledger(net.select(*DAY, "invoice_id", "invoice_net_due"), 5))
+    root, *levels = _tree(_deep_rows(rows, chunk_totals(rows)), 8)
+    assert root.selectExpr("max(size(root))").first()[0] <= 500 // 64 + 1
+    assert all(nodes.selectExpr("max(size(children))").first()[0] <= 8 for nodes in levels)
