@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import reduce
 
@@ -23,7 +24,7 @@ from remitmatch.session import scratch_path, written
 from remitmatch.settings import DEFAULT, PRESETS, active_settings, config_table
 from remitmatch.sinks import outputs
 from remitmatch.sources import documents, drops, flat_csv
-from remitmatch.streaming import daily_drop
+from remitmatch.streaming import daily_drop, intake
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -582,6 +583,37 @@ def results_table(spark, sf_dir):
     )
 
 
+def _resolved(spark, sf_dir):
+    """Two runs a week apart, with a quarter of the first one's findings resolved in between."""
+    root = scratch_path(spark, "warehouse")
+    report = written(_report(spark, sf_dir), "report")
+    later = AS_OF + datetime.timedelta(days=7)
+    outputs.merge_run(spark, outputs.results_rows(report, "run-1", AS_OF), root, AS_OF, "run-1")
+    settled = outputs.read_results(spark, root).where(
+        "CAST(substring(entity_id, 5) AS BIGINT) % 4 = 0").selectExpr(
+        "result_id", "TIMESTAMP'2024-02-01 10:00:00' AS resolved_at", "'auditor' AS resolved_by",
+        "concat('settled ', entity_id) AS resolution_notes")
+    outputs.resolve_results(spark, root, settled)
+    outputs.merge_run(spark, outputs.results_rows(report, "run-2", later), root, later, "run-2")
+    return outputs.read_results(spark, root)
+
+
+@query
+def results_resolved(spark, sf_dir):
+    """The results table after two runs with resolutions between them."""
+    return _resolved(spark, sf_dir).selectExpr(
+        "run_date", "pipeline_run_id", "discrepancy_type", "customer_id", "entity_id",
+        "reference_id", "discrepancy_amount", "detail", "is_fraud_alert", "is_resolved",
+        "date_format(resolved_at, 'yyyy-MM-dd HH:mm') AS resolved_at", "resolved_by", "resolution_notes",
+    )
+
+
+@query
+def open_discrepancies(spark, sf_dir):
+    """Unresolved findings of the later run by customer, from the stored results."""
+    return customers.customer_discrepancies(_resolved(spark, sf_dir).where("pipeline_run_id = 'run-2'"))
+
+
 @query
 def run_summary(spark, sf_dir):
     """The document pipeline from raw CSV to its archived summary row."""
@@ -612,7 +644,27 @@ def _drop(raw, root, run_date, prefix=None):
 
 @query
 def daily_drop_ingest(spark, sf_dir):
-    """Payments dropped by date, taken in incrementally: two drops, then a third, then none."""
+    """Payments dropped by date: two drops, one of them wrong; a third, the wrong one rewritten, the other sent again; none."""
+    root = scratch_path(spark, "raw")
+    target, log = f"{root}/landed", f"{root}/log"
+    raw = data.raw_payments(spark, sf_dir)
+    wrong = raw.withColumn("amount_paid", F.lit("0.01")).unionByName(raw.where("payment_method = 'ACH'"))
+    for batch in (
+        {"2024-01-01": wrong, "2024-01-02": raw},
+        {"2024-01-03": raw, "2024-01-01": raw, "2024-01-02": raw},
+        {},
+    ):
+        for run_date, rows in batch.items():
+            _drop(rows, root, run_date)
+        intake.take_in(spark, root, "payments", target, log)
+    return spark.read.parquet(target).selectExpr(
+        "run_date", "payment_id", "invoice_id", f"{amount('amount_paid')} AS amount_paid", "payment_method"
+    )
+
+
+@query
+def daily_drop_stream(spark, sf_dir):
+    """Payments dropped by date, taken in as a file stream: two drops, then a third, then none."""
     root = scratch_path(spark, "raw")
     target, checkpoint = f"{root}/landed", f"{root}/checkpoint"
     raw = data.raw_payments(spark, sf_dir)

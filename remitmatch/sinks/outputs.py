@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from remitmatch.functions.amounts import DOCUMENT_BUCKETS
 from remitmatch.schemas import RESULTS, RUN_SUMMARY
+from remitmatch.session import written
 from remitmatch.sources.documents import csv_options
 
 RESULT_VIEWS = {
@@ -122,6 +123,73 @@ def read_results(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(layout).parquet(f"{root}/ar_reconciliation_results").select(*RESULTS)
 
 
+# What makes a finding of one run the same as a finding of another.
+FINDING = ["environment", "discrepancy_type", "customer_id", "entity_id", "reference_id", "discrepancy_amount",
+           "detail", "classification"]
+RESOLUTION = ["resolved_at", "resolved_by", "resolution_notes"]
+_RUN = ["run_date", "pipeline_run_id", "discrepancy_type"]
+
+
+def _finding():
+    return F.expr(f"struct({', '.join(FINDING)})")
+
+
+def _latest_resolution(rows: DataFrame) -> DataFrame:
+    """``finding, resolution``: the newest of the given resolutions of each finding."""
+    return rows.groupBy(_finding().alias("finding")).agg(
+        F.expr(f"max(struct({', '.join(RESOLUTION)})) AS resolution"))
+
+
+def merge_run(
+    spark: SparkSession, rows: DataFrame, root: str, run_date: datetime.date | str, run_id: str
+) -> str:
+    """Write one run's discrepancies; those resolved in a run of the same or an earlier date stay resolved.
+
+    A finding is the same if all of ``FINDING`` is equal: another amount or detail is a new finding, open
+    again. Equal rows of a run are one finding. The run itself is replaced if it was written before, and
+    what was resolved in it is kept. Rows are joined by finding, both sides in one exchange.
+    """
+    path = f"{root}/ar_reconciliation_results"
+    earlier = spark.createDataFrame([], rows.schema)
+    if spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(
+            spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
+        earlier = read_results(spark, root)
+    resolved = _latest_resolution(earlier.where(f"is_resolved AND run_date <= DATE'{run_date}'"))
+    kept = [c for c in RESULTS if c not in ("is_resolved", *RESOLUTION)]
+    merged = rows.withColumn("finding", _finding()).alias("r").join(
+        resolved.alias("k"), F.expr("r.finding <=> k.finding"), "left").selectExpr(
+        *[f"r.{c}" for c in kept], "k.finding IS NOT NULL AS is_resolved",
+        *[f"k.resolution.{c} AS {c}" for c in RESOLUTION]).select(*RESULTS)
+    # written aside first: the run may replace files it has just read
+    return write_results(written(merged, "merged"), root, run_date, run_id)
+
+
+def resolve_results(spark: SparkSession, root: str, resolutions: DataFrame) -> str:
+    """Resolve findings: ``result_id, resolved_at, resolved_by, resolution_notes``.
+
+    A resolution closes the row it names and the same finding in every run of the same or a later date;
+    of several, the newest counts. Only the partitions (run date, run, kind) that hold such a row are written
+    again, each replaced as a whole. Resolutions that name no row change nothing.
+    """
+    path = f"{root}/ar_reconciliation_results"
+    results = read_results(spark, root)
+    named = results.drop(*RESOLUTION).join(resolutions, "result_id")
+    closed = named.groupBy(_finding().alias("finding")).agg(
+        F.expr("min(run_date) AS since"), F.expr(f"max(struct({', '.join(RESOLUTION)})) AS resolution"))
+    known = results.withColumn("finding", _finding()).alias("r").join(
+        closed.alias("c"), F.expr("r.finding <=> c.finding AND r.run_date >= c.since"), "left")
+    touched = known.where("c.finding IS NOT NULL").select(*[F.col(f"r.{c}") for c in _RUN]).distinct()
+    same = " AND ".join(f"k.{c} <=> t.{c}" for c in _RUN)
+    columns = [c for c in RESULTS if c not in ("is_resolved", *RESOLUTION)]
+    fresh = known.selectExpr(
+        *[f"r.{c}" for c in columns], "r.is_resolved OR c.finding IS NOT NULL AS is_resolved",
+        *[f"coalesce(c.resolution, struct({', '.join(f'r.{x}' for x in RESOLUTION)})).{c} AS {c}" for c in RESOLUTION],
+    ).alias("k").join(touched.alias("t"), F.expr(same), "left_semi").select(*RESULTS)
+    written(fresh, "resolved").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *_RUN).parquet(path)
+    return path
+
+
 def summary_row(
     counts: DataFrame, run_id: str, environment: str = "dev",
     success: bool = True, duration: float | None = None, notes: str | None = None,
