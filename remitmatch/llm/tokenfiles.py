@@ -13,7 +13,7 @@ manifest's counts give each pair the place of its first id in the whole. Readers
 memory and need no other file. The folder must be one that all executors reach.
 
 Nulls: a null text is empty and has the end id alone; rows without an id come first. Rows that
-repeat an id are kept each, ordered by text. Empty tables write no files and give no rows; other
+repeat an id are kept each, ordered by text, and are parted by their first ``PARTED`` characters. Empty tables write no files and give no rows; other
 columns are not read.
 """
 
@@ -34,12 +34,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitmatch.llm.bpe import gather, pretokens
+from remitmatch.llm.bpe import pretokens
 from remitmatch.llm.common import cut, small_batches
 from remitmatch.session import scratch_path
 
 _SPACE, _TAB = re.compile(r"\s"), re.compile(r"[^\S\n ]")
-_LOOSE = re.compile(r" \s|[^\S\n]\n|\n[^\S ]|\s\s\Z")  # white space that belongs to no word and no single line break
+_LOOSE = ("  ", " \n", "\n\n")  # white space that belongs to no word and no single line break
+PARTED = 64
 MANIFEST = "part long, name string, docs long, ids long, width int"
 
 
@@ -63,108 +64,79 @@ def tokenizer(path: str):
 class Encoder:
     """The ids of texts; each word is given to the library once while it is remembered.
 
-    A text is cut at line breaks and before every space that a word follows, where no pre-token can
-    cross: what comes after is encoded as in the whole text. Texts with more white space in one place
-    are cut by the pattern itself. Texts that hold an added token's string (``<|endoftext|>``) are given
-    to the library whole, which finds the token there by its own rules. New words go to the library many at a time, one after
-    another; as each begins with its only space, the tokens that begin with a space tell them apart.
+    A text is cut before every space that a word follows and before line breaks, where no pre-token can cross:
+    what comes after is encoded as in the whole text. Texts with more white space in one place are cut by the pattern itself. Texts
+    that hold an added token's string (``<|endoftext|>``) are given to the library whole, which finds the token
+    there by its own rules. New words go to the library many at a time, one after another; as each begins with
+    its only space, the tokens that begin with a space tell them apart.
     """
 
-    def __init__(self, path: str, pattern: str, remembered: int = 3 << 19):
+    def __init__(self, path: str, pattern: str, remembered: int = 1 << 20):
         self.tokenizer, self.pattern, self.remembered = tokenizer(path), pattern, remembered
         space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0][0]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for token, i in vocabulary.items() if token.startswith(space)]] = True
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.forget()
+        self.plain: dict[str, bytes] = {}  # the ids of words as they are
+        self.spaced: dict[str, bytes] = {}  # and of words with a space before them
 
     def holds_added(self, text: str) -> bool:
         return any(token in text for token in self.added)
 
-    def forget(self) -> None:
-        self.plain: dict[str, int] = {}  # words as they are
-        self.spaced: dict[str, int] = {}  # words with a space before them
-        self.offsets = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.int32)
-        self.learn(self.plain, {"\n"}, "")
-
-    def learn(self, known: dict[str, int], words: set[str], before: str, tabs: bool = True) -> None:
-        """Add the ids of ``before`` and each word; without ``tabs`` no word holds white space."""
-        whole, other = [], list(words)
-        if before == " ":
-            whole = [w for w in other if w and not (tabs and _SPACE.search(w))]
-            other = list(words.difference(whole))
-        parts, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    def learn(self, words: set[str]) -> None:
+        """Add the ids of a space and each word; a word that begins with a line break follows no space."""
+        whole = [w for w in words if w and not _SPACE.search(w)]
+        other = list(words.difference(whole))
         for at in range(0, len(whole), 1024):
-            text = " " + " ".join(whole[at : at + 1024])
-            found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            group = whole[at : at + 1024]
+            text = " " + " ".join(group)
+            found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<i4")
             starts = np.flatnonzero(self.opens[found])
-            if not self.holds_added(text) and len(starts) == len(whole[at : at + 1024]):
-                parts.append(found)
-                sizes.append(np.diff(np.append(starts, len(found))))
-            else:
-                self.each([" " + w for w in whole[at : at + 1024]], parts, sizes)
-        if other:
-            self.each([before + w for w in other], parts, sizes)
-        count = len(self.offsets) - 1
-        known.update(zip(whole + other, range(count, count + len(words)), strict=True))
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.concatenate(sizes))])
-        self.ids = np.concatenate([self.ids, *parts])
-
-    def each(self, words: list[str], parts: list, sizes: list) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        parts.append(np.array([i for f in found for i in f], np.int32))
-        sizes.append(np.array([len(f) for f in found], np.int64))
+            if self.holds_added(text) or len(starts) != len(group):
+                other += group
+                continue
+            data, cuts = found.tobytes(), (4 * np.append(starts, len(found))).tolist()
+            self.spaced.update(zip(group, [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+        self.spaced.update(zip(other, self.each([w if w[:1] == "\n" else " " + w for w in other]), strict=True))
+
+    def each(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<i4").tobytes()
+                for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and where each text ends."""
         if len(self.plain) + len(self.spaced) > self.remembered:
-            self.forget()
-        split: list[list[tuple[str, list[str]]] | list[str]] = []
+            self.plain, self.spaced = {}, {}
+        split: list[tuple[str, list[str]]] = []
         heads: set[str] = set()
         tails: set[str] = set()
-        whole: list[str] = []
         for text in texts:
             if self.holds_added(text):
-                split.append([])
-                whole.append(text)
-                continue
-            if _LOOSE.search(text):
-                split.append(pretokens(text, self.pattern))
-                heads.update(split[-1])
-                continue
-            lines = [line.split(" ") for line in text.split("\n")]
-            split.append([(line[0], line[1:]) for line in lines])
-            for first, rest in split[-1]:
-                heads.add(first)
-                tails.update(rest)
-        tabs = any(map(_TAB.search, texts))
-        for known, words, before in ((self.plain, heads, ""), (self.spaced, tails, " ")):
-            if new := words.difference(known):
-                self.learn(known, new, before, tabs)
-        own, offsets = self.ids, self.offsets
-        if whole:  # for this call only
-            parts, sizes = [], []
-            self.each(whole, parts, sizes)
-            own = np.concatenate([own, *parts])
-            offsets = np.concatenate([offsets, offsets[-1] + np.cumsum(np.concatenate(sizes))])
+                split.append(("whole", [text]))
+            elif any(s in text for s in _LOOSE) or _TAB.search(text):
+                split.append(("loose", pretokens(text, self.pattern)))
+                heads.update(split[-1][1])
+            else:
+                split.append(("tight", text.replace("\n", " \n").split(" ")))
+                heads.add(split[-1][1][0])
+                tails.update(split[-1][1][1:])
+        if new := list(heads.difference(self.plain)):
+            self.plain.update(zip(new, self.each(new), strict=True))
+        if new := tails.difference(self.spaced):
+            self.learn(new)
         plain, spaced = self.plain.__getitem__, self.spaced.__getitem__
-        picks: list[int] = []
-        ends = []
-        unsplit = iter(range(len(self.offsets) - 1, len(offsets) - 1))
-        for text, parts in zip(texts, split, strict=True):
-            if whole and self.holds_added(text):
-                picks.append(next(unsplit))
-            elif parts and isinstance(parts[0], tuple):
-                for k, (first, rest) in enumerate(parts):
-                    picks += [plain("\n"), plain(first)] if k else [plain(first)]
-                    picks.extend(map(spaced, rest))
+        found = []
+        for kind, parts in split:
+            if kind == "whole":
+                found += self.each(parts)
+            elif kind == "loose":
+                found.append(b"".join(map(plain, parts)))
             else:
-                picks.extend(map(plain, parts))
-            ends.append(len(picks))
-        ids, stops = gather(own, offsets, np.array(picks, np.int64))
-        return ids, np.concatenate([[0], stops])[ends].astype(np.int64)
+                head = plain(parts[0])
+                found.append(head + b"".join(map(spaced, parts[1:])) if len(parts) > 1 else head)
+        ends = np.cumsum([len(f) // 4 for f in found]).astype(np.int64)
+        return np.frombuffer(b"".join(found), "<i4"), ends
 
 
 @lru_cache(maxsize=2)
@@ -216,7 +188,9 @@ def write_token_files(docs: DataFrame, folder: str, path: str, pattern: str, end
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = texts.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id, or of none, may be many: the beginning of the text parts them too
+    ordered = texts.repartitionByRange(parts, F.col("doc_id"), F.substring("text", 1, PARTED)).sortWithinPartitions(
+        "doc_id", "text")
     rows = cut(ordered.mapInArrow(_written(folder, path, pattern, end_id), MANIFEST), "manifest")
     found = sorted(tuple(r) for r in rows.collect())
     bases = [0, *accumulate(r[3] for r in found)]
