@@ -8,8 +8,10 @@ up, and a span counts when enough of its template is covered; the words themselv
 in the join, so a hash collision casts no vote.
 
 Templates are of two kinds. A phrase (base) needs all its pairs on one diagonal. A notice needs
-``coverage`` of its pairs on merged diagonals. Templates are a fixed list in this module; their
-pairs (a few dozen rows) are the only broadcast.
+``coverage`` of its pairs on merged diagonals, among them those that tell it from its neighbours ("by nc",
+"lesser general"): a notice without them is another license, however much of the rest stands. Templates
+are a fixed list in this module; their pairs (a few hundred rows) are the only broadcast. Templates covered
+alike are all reported; a text of any length is one array of words.
 
 Nulls: a null text is empty and has no words; rows that repeat an id are scanned each by itself
 and reported as one, their counts added. A null id is reported like any other. Empty tables give
@@ -29,19 +31,39 @@ PHRASES = (
     ("apache license", "apache"),
     ("general public license", "gpl"),
 )
+# A notice: its words, its label, and the word pairs that tell it from its neighbours.
+_CC_KINDS = ("", "sa", "nd", "nc", "nc sa", "nc nd")
+_CC_WORDS = {"sa": "sharealike", "nd": "noderivatives", "nc": "noncommercial"}
+
+
+def _creative_commons(versions: Sequence[str] = ("4 0", "3 0")) -> list[tuple[str, str, tuple[str, ...]]]:
+    """Title and short form of every kind of license: the elements and what follows them must stand."""
+    found = []
+    for version in versions:
+        for kind in _CC_KINDS:
+            for before, opening, after in (
+                ("licensed under cc by", "by", kind),
+                ("creative commons attribution", "attribution", " ".join(_CC_WORDS[k] for k in kind.split())),
+            ):
+                tail = " international license" if opening == "attribution" else ""
+                line = [opening, *after.split(), version.split()[0]]
+                needed = tuple(f"{x} {y}" for x, y in zip(line, line[1:], strict=False))
+                text = " ".join([before, *after.split(), version]) + tail
+                found.append((text, "-".join(["cc", "by", *kind.split()]), needed))
+    return found
+
+
 NOTICES = (
-    ("released under the mit license", "mit"),
-    ("permission is hereby granted free of charge to any person obtaining a copy", "mit"),
-    ("licensed under the apache license version 2 0", "apache"),
-    ("this work is licensed under the gnu general public license version 3", "gpl"),
-    ("gnu lesser general public license", "lgpl"),
-    ("gnu affero general public license", "agpl"),
-    ("licensed under cc by nc 4 0", "cc-by-nc"),
-    ("creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
-    ("creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
-    ("creative commons attribution 4 0 international license", "cc-by"),
-    ("redistribution and use in source and binary forms with or without modification", "bsd"),
-    ("this source code form is subject to the terms of the mozilla public license", "mpl"),
+    ("released under the mit license", "mit", ("mit license",)),
+    ("permission is hereby granted free of charge to any person obtaining a copy", "mit", ("person obtaining",)),
+    ("licensed under the apache license version 2 0", "apache", ("apache license",)),
+    ("this work is licensed under the gnu general public license version 3", "gpl", ("gnu general", "public license")),
+    ("gnu lesser general public license", "lgpl", ("lesser general",)),
+    ("gnu affero general public license", "agpl", ("affero general",)),
+    ("redistribution and use in source and binary forms with or without modification", "bsd", (
+        "redistribution and", "without modification")),
+    ("this source code form is subject to the terms of the mozilla public license", "mpl", ("mozilla public",)),
+    *_creative_commons(),
 )
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -53,28 +75,36 @@ def words(text: str):
     return F.array_remove(F.split(lowered, SEPARATORS), "")
 
 
-def template_pairs(
-    spark: SparkSession, phrases: Sequence[tuple[str, str]], notices: Sequence[tuple[str, str]]
-) -> DataFrame:
-    """One row per place of a word pair in a template."""
+def templates(phrases: Sequence[tuple], notices: Sequence[tuple]) -> list[tuple]:
+    """``template, label, base, pairs, need, place, t1, t2`` of every word pair; ``need``: bits of the needed places."""
     rows = []
-    for template, (text, label, base) in enumerate(
-        [(*p, True) for p in phrases] + [(*p, False) for p in notices]
+    for template, (base, (text, label, *needed)) in enumerate(
+        [(True, p) for p in phrases] + [(False, p) for p in notices]
     ):
         parts = text.split(" ")
         if not 2 <= len(parts) <= 64:
             raise ValueError(f"a template has 2 to 64 words: {text!r}")
-        rows += [(template, label, base, len(parts) - 1, place, one, two)
-                 for place, (one, two) in enumerate(zip(parts, parts[1:], strict=False))]
+        pairs = list(zip(parts, parts[1:], strict=False))
+        wanted = {tuple(n.split(" ")) for n in (needed[0] if needed else ())}
+        if not wanted <= set(pairs):
+            raise ValueError(f"needed pairs are not all in the template: {text!r}")
+        need = sum(1 << place for place, pair in enumerate(pairs) if pair in wanted)
+        rows += [(template, label, base, len(pairs), need, place, *pair) for place, pair in enumerate(pairs)]
+    return rows
+
+
+def template_pairs(spark: SparkSession, phrases: Sequence[tuple], notices: Sequence[tuple]) -> DataFrame:
+    """One row per place of a word pair in a template."""
     return spark.createDataFrame(
-        rows, "template int, label string, base boolean, pairs int, place int, t1 string, t2 string"
+        templates(phrases, notices),
+        "template int, label string, base boolean, pairs int, need long, place int, t1 string, t2 string"
     ).withColumn("hash", F.xxhash64("t1", "t2"))
 
 
 def license_spans(
     docs: DataFrame,
-    phrases: Sequence[tuple[str, str]] = PHRASES,
-    notices: Sequence[tuple[str, str]] = NOTICES,
+    phrases: Sequence[tuple] = PHRASES,
+    notices: Sequence[tuple] = NOTICES,
     coverage: float = 0.6,
     slack: int = 2,
 ) -> DataFrame:
@@ -104,7 +134,7 @@ def _spans(tokens, spark, phrases, notices, coverage, slack) -> DataFrame:
         .join(F.broadcast(pairs), "hash").where("w1 = t1 AND w2 = t2")
         .withColumn("diagonal", F.col("at") - F.col("place"))
     )
-    diagonals = votes.groupBy("doc_id", "row", "template", "label", "base", "pairs", "diagonal").agg(
+    diagonals = votes.groupBy("doc_id", "row", "template", "label", "base", "pairs", "need", "diagonal").agg(
         F.count(F.lit(1)).alias("votes"), F.min("at").alias("low"),
         F.expr("bit_or(shiftleft(1L, place)) AS seen"))
     whole = diagonals.where("base AND bit_count(seen) = pairs").select(
@@ -115,10 +145,10 @@ def _spans(tokens, spark, phrases, notices, coverage, slack) -> DataFrame:
     apart = F.col("diagonal") - F.lag("diagonal").over(line) > slack
     runs = diagonals.where("NOT base").withColumn(
         "run", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(line))
-    merged = runs.groupBy("doc_id", "row", "template", "label", "base", "pairs", "run").agg(
-        F.expr("bit_count(bit_or(seen)) AS seen"), F.min("low").alias("first_word"))
-    notice = merged.withColumn("covered", F.col("seen") / F.col("pairs")).where(
-        F.col("covered") >= coverage).select(
+    merged = runs.groupBy("doc_id", "row", "template", "label", "base", "pairs", "need", "run").agg(
+        F.expr("bit_or(seen) AS seen"), F.min("low").alias("first_word"))
+    notice = merged.withColumn("covered", F.expr("bit_count(seen) / pairs")).where(
+        F.col("covered") >= coverage).where("seen & need = need").select(
         "doc_id", "row", "label", "base", F.col("first_word").cast("long").alias("first_word"),
         "covered", F.lit(1).cast("long").alias("copies"))
     return whole.unionByName(notice)
@@ -126,8 +156,8 @@ def _spans(tokens, spark, phrases, notices, coverage, slack) -> DataFrame:
 
 def license_scan(
     docs: DataFrame,
-    phrases: Sequence[tuple[str, str]] = PHRASES,
-    notices: Sequence[tuple[str, str]] = NOTICES,
+    phrases: Sequence[tuple] = PHRASES,
+    notices: Sequence[tuple] = NOTICES,
     coverage: float = 0.6,
     slack: int = 2,
 ) -> DataFrame:

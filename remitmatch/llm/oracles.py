@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from remitmatch.llm.licenses import LOWER, NOTICES, PHRASES, SEPARATORS, UPPER
+from remitmatch.llm.licenses import LOWER, NOTICES, PHRASES, SEPARATORS, UPPER, templates
 
 
 def _templates() -> str:
-    rows = []
-    for template, (text, label, base) in enumerate(
-        [(*p, True) for p in PHRASES] + [(*p, False) for p in NOTICES]
-    ):
-        parts = text.split(" ")
-        rows += [f"({template}, '{label}', {base}, {len(parts) - 1}, {place}, '{a}', '{b}')"
-                 for place, (a, b) in enumerate(zip(parts, parts[1:], strict=False))]
-    return ", ".join(rows)
+    return ", ".join(
+        f"({template}, '{label}', {base}, {pairs}, {need}::BIGINT, {place}, '{a}', '{b}')"
+        for template, label, base, pairs, need, place, a, b in templates(PHRASES, NOTICES))
 
 
 LICENSES = f"""
@@ -23,9 +18,9 @@ WITH split AS (
 pair AS (
   SELECT doc_id, i - 1 AS spot, words[i] AS w1, words[i + 1] AS w2
   FROM (SELECT doc_id, words, unnest(range(1, len(words))) AS i FROM split)),
-template(template, label, base, pairs, place, t1, t2) AS (VALUES {_templates()}),
+template(template, label, base, pairs, need, place, t1, t2) AS (VALUES {_templates()}),
 diagonal AS (
-  SELECT doc_id, template, label, base, pairs, spot - place AS diagonal, min(spot) AS low,
+  SELECT doc_id, template, label, base, pairs, need, spot - place AS diagonal, min(spot) AS low,
     bit_or(1::BIGINT << place) AS seen
   FROM pair JOIN template ON w1 = t1 AND w2 = t2 GROUP BY ALL),
 stepped AS (
@@ -38,7 +33,8 @@ span AS (
   FROM diagonal WHERE base AND bit_count(seen) = pairs
   UNION ALL
   SELECT doc_id, label, false, min(low), (bit_count(bit_or(seen)) / pairs)::DOUBLE
-  FROM numbered GROUP BY doc_id, template, label, pairs, run HAVING bit_count(bit_or(seen)) / pairs >= 0.6)
+  FROM numbered GROUP BY doc_id, template, label, pairs, need, run
+  HAVING bit_count(bit_or(seen)) / pairs >= 0.6 AND bit_or(seen) & need = need)
 SELECT s.doc_id, any_value(len(s.words))::BIGINT AS n_words,
   count(*) FILTER (WHERE base)::BIGINT AS n_base,
   min(first_word) FILTER (WHERE base)::BIGINT AS first_word,

@@ -62,6 +62,38 @@ def test_license_notices_with_words_changed(documents, rows):
     assert got[3]["labels"] == "bsd"
 
 
+LICENSE_TEXTS = {
+    "Licensed under CC BY 4.0": "cc-by",
+    "Licensed under CC BY SA 4.0.": "cc-by-sa",
+    "licensed under CC-BY-ND 4.0": "cc-by-nd",
+    "Licensed under CC BY-NC 4.0": "cc-by-nc",
+    "Licensed under a CC BY-NC-SA 3.0": "cc-by-nc-sa",
+    "Licensed under CC BY-NC-ND 4.0": "cc-by-nc-nd",
+    "Creative Commons Attribution 4.0 International License": "cc-by",
+    "This is a Creative Commons Attribution-ShareAlike 4.0 International License.": "cc-by-sa",
+    "Creative Commons Attribution-NoDerivatives 4.0 International License": "cc-by-nd",
+    "Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+    "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": "cc-by-nc-sa",
+    "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License": "cc-by-nc-nd",
+    "This work is licensed under the GNU General Public License, version 3": "gpl",
+    "GNU Lesser General Public License": "gpl,lgpl",  # the base phrase stands in it, so its label stays
+    "GNU Affero General Public License": "agpl,gpl",
+    "Licensed under the Apache License, Version 2.0": "apache",
+    "licensed under the Mozilla license, version 2.0": "",
+    "this work is licensed under the MIT license, version 3": "mit",
+    "this work is licensed under the own public license version 3": "",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy": "mit",
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy": "",
+    "This Source Code Form is subject to the terms of the Mozilla Public License": "mpl",
+    "this source code form is subject to the terms of the other public license": "",
+}
+
+
+def test_every_license_gets_its_own_label(documents, rows):
+    got = rows(licenses.license_scan(documents(list(LICENSE_TEXTS))))
+    assert {t: got[i]["labels"] for i, t in enumerate(LICENSE_TEXTS)} == LICENSE_TEXTS
+
+
 def test_license_odd_rows(documents, rows):
     got = rows(licenses.license_scan(documents([(1, "mit license"), (1, "mit license"), (1, "apache license x"), (None, "mit license")])))
     assert (got[1]["n_words"], got[1]["n_base"], got[1]["base_labels"]) == (7, 3, "apache,mit")
