@@ -109,10 +109,11 @@ def tile(item: list[int], text: list[int | None], shortest: int) -> list[tuple[i
     return tiles
 
 
-def _segments(width: int, reach: int, wanted):
+def _segments(width: int, wanted):
     """Documents that hold a wanted seed: the words near seeds, with gaps, and the seeds' hashes.
 
-    Without ``wanted`` every document is passed on with all its seeds.
+    ``wanted`` holds the seeds in order and for each how long the longest item is that has it: no tile
+    around the seed reaches further.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,11 +124,13 @@ def _segments(width: int, reach: int, wanted):
             ):
                 own = word_hashes(text)
                 found = seeds(own, width)
-                at = np.searchsorted(wanted.value, found)
-                at[at == len(wanted.value)] = 0
-                places = np.flatnonzero(wanted.value[at] == found)
+                known, longest = wanted.value
+                at = np.searchsorted(known, found)
+                at[at == len(known)] = 0
+                places = np.flatnonzero(known[at] == found)
                 if not len(places):
                     continue
+                reach = longest[at[places]]
                 near = np.zeros(len(own) + 1, np.int64)
                 np.add.at(near, np.maximum(places - reach, 0), 1)
                 np.add.at(near, np.minimum(places + width + reach, len(own)), -1)
@@ -202,20 +205,19 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, shortest: int = 5, cov
         items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
         .mapInArrow(_items(shortest), "item_id long, item array<long>, seeds array<long>")
         .where("size(seeds) > 0").distinct(), "items")
-    marks = known.select(F.explode("seeds").alias("seed")).distinct()
-    reach = known.agg(F.max(F.size("item"))).first()[0] or 0
+    marks = cut(known.select(F.explode("seeds").alias("seed"), F.size("item").alias("n")).groupBy("seed").agg(
+        F.max("n").cast("long").alias("reach")), "seeds")
     total = marks.count()
     if total > broadcast_seeds:
-        marks = cut(marks, "seeds")
         holders = cut(texts.mapInArrow(_all_seeds(shortest), "doc_id long, seed long")
-                      .join(marks, "seed").groupBy("doc_id").agg(F.collect_set("seed").alias("own")), "holders")
+                      .join(marks, "seed").groupBy("doc_id").agg(
+                          F.sort_array(F.collect_set(F.struct("seed", "reach"))).alias("own")), "holders")
         near = texts.join(holders, "doc_id").mapInArrow(
-            _near(shortest, reach), "doc_id long, words array<long>, hits array<long>")
+            _near(shortest), "doc_id long, words array<long>, hits array<long>")
     else:
-        wanted = spark.sparkContext.broadcast(
-            np.sort(np.array([r["seed"] for r in marks.collect()], np.int64).astype(np.uint64)))
+        wanted = spark.sparkContext.broadcast(_in_order(*(c.to_numpy() for c in marks.toArrow().columns)))
         near = _none(texts) if not total else texts.mapInArrow(
-            _segments(shortest, reach, wanted), "doc_id long, words array<long>, hits array<long>")
+            _segments(shortest, wanted), "doc_id long, words array<long>, hits array<long>")
     near = cut(near, "near")
     owners = known.select(F.explode("seeds").alias("seed"), "item_id", F.xxhash64("item").alias("version"))
     row = F.xxhash64("words").alias("row")
@@ -237,7 +239,14 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, shortest: int = 5, cov
     )
 
 
-def _near(width: int, reach: int):
+def _in_order(found: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds as unsigned numbers in order, and the reach of each."""
+    found = found.astype(np.uint64)
+    order = np.argsort(found)
+    return found[order], reach[order]
+
+
+def _near(width: int):
     """As ``_segments``, with each document's own seeds beside it."""
 
     class Held:
@@ -248,8 +257,9 @@ def _near(width: int, reach: int):
         for batch in small_batches(batches, "text"):
             for at in range(batch.num_rows):
                 one = batch.slice(at, 1)
-                own = np.sort(np.array(one.column("own")[0].as_py(), np.int64).astype(np.uint64))
-                yield from _segments(width, reach, Held(own))(iter([one]))
+                own = one.column("own")[0].as_py()
+                own = _in_order(*(np.array([o[c] for o in own], np.int64) for c in ("seed", "reach")))
+                yield from _segments(width, Held(own))(iter([one]))
 
     return run
 
