@@ -19,7 +19,7 @@ from remitmatch.operators import (
 )
 from remitmatch.operators.matching import match_payments
 from remitmatch.plans import pipeline, recon
-from remitmatch.schemas import FLAT
+from remitmatch.schemas import FLAT, RUN_SUMMARY
 from remitmatch.session import scratch_path, written
 from remitmatch.settings import DEFAULT, PRESETS, active_settings, config_table
 from remitmatch.sinks import outputs
@@ -441,6 +441,47 @@ def constraint_violations(spark, sf_dir):
     return validation.constraint_violations(tables)
 
 
+@query
+def flat_key_violations(spark, sf_dir):
+    """Keys, NOT NULL and references of the flat tables, the links and the settings, with rows that break them."""
+    tables = flat_tables(spark, sf_dir, owners=True)
+    customers, paid = tables["customers"], tables["payments"]
+    nobody = customers.where("customer_id % 50 = 0").withColumn("customer_id", F.lit(None).cast("bigint"))
+    linked = links.payment_invoice_links(paid)
+    tables |= {
+        "customers": customers.unionByName(nobody),
+        "payments": paid.unionByName(paid.where("payment_id % 97 = 0")),
+        "payment_invoice_links": linked.unionByName(linked.where("payment_id % 83 = 0 AND invoice_id % 2 = 0"))
+        .unionByName(linked.where("payment_id % 79 = 0").withColumn("payment_id", F.expr("-payment_id")))
+        .unionByName(linked.where("payment_id % 91 = 0").withColumn("invoice_id", F.lit(None).cast("bigint"))),
+        "recon_config_active": config_table(spark, PRESETS[:2]).selectExpr(
+            "CASE scenario WHEN '03a' THEN 1 ELSE 2 END AS id", "nullif(tolerance_amount, 100) AS tolerance_amount",
+            "days_window"),
+    }
+    return validation.flat_key_violations(tables)
+
+
+@query
+def results_violations(spark, sf_dir):
+    """Constraints of the results and summary tables, over the results of two runs with rows that break them."""
+    report = written(_report(spark, sf_dir), "report")
+    rows = outputs.results_rows(report, "run-1", AS_OF)
+    number = "CAST(substring(entity_id, 5) AS BIGINT)"
+    bad = rows.withColumns({
+        "result_id": F.expr(f"{number} * 10 + CASE discrepancy_type WHEN 'SKU_MISMATCH' THEN 1 ELSE 2 END"),
+        "classification": F.expr(f"CASE WHEN {number} % 7 = 0 THEN 'WRONG' ELSE classification END"),
+        "discrepancy_type": F.expr(f"CASE WHEN {number} % 11 = 0 THEN 'BOGUS' ELSE discrepancy_type END"),
+        "customer_id": F.expr(f"CASE WHEN {number} % 13 <> 0 THEN customer_id END"),
+    })
+    numbers = [c for c, kind in RUN_SUMMARY.items() if kind == "bigint"]
+    counts = bad.groupBy("discrepancy_type").agg(*[F.count("*").alias(c) for c in numbers])
+    summary = outputs.summary_row(counts, "run-1").withColumn("high_risk_customers", F.lit(None).cast("bigint"))
+    return validation.constraint_violations(
+        {"ar_reconciliation_results": bad, "ar_pipeline_run_summary": summary}
+    ).groupBy("table_name", "constraint_name").agg(
+        F.count("*").alias("broken"), F.count_distinct("row_key").alias("rows"))
+
+
 @query
 def explode_return_lines(spark, sf_dir):
     return mismatches.return_lines(data.return_documents(spark, sf_dir))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from remitmatch.functions.parsing import amount, date, whole
 from remitmatch.functions.plan import once
+from remitmatch.operators.constraints import Rules
+from remitmatch.operators.constraints import violations as violations_of
 
 # Identifiers, codes and states that records may carry. \z rather than $,
 # because $ also matches before a final line break.
@@ -331,6 +333,7 @@ def currency_check(records: DataFrame, key: str, column: str = "currency") -> Da
 
 # --- warehouse and flat constraints -----------------------------------------------------
 
+# The declared constraints of the warehouse tables, then those of the flat ones.
 CHECKS = {
     "ar_invoices": {
         "chk_invoice_status": f"status IN ({_list(INVOICE_STATUSES)})",
@@ -386,43 +389,55 @@ def missing_parents(child: DataFrame, column: str, parent: DataFrame, key: str)
     return child.where(f"{column} IS NOT NULL").join(known, column, "left_anti")
 
 
+NOT_NULL = {
+    "ar_invoices": ("invoice_id", "customer_id", "order_date", "total_amount", "amount_paid", "currency", "status"),
+    "ar_invoice_line_items": ("invoice_id", "sku", "quantity", "unit_price", "line_total"),
+    "ar_payments": (
+        "payment_id", "invoice_id", "customer_id", "payment_date", "amount_paid", "payment_method", "status"),
+    "ar_payment_allocations": ("payment_id", "invoice_id", "allocated_amount", "allocation_date"),
+    "ar_returns": (
+        "return_id", "original_invoice_id", "customer_id", "return_date", "reason_code", "status", "sku_mismatch_flag"),
+    "ar_return_line_items": (
+        "return_id", "original_sku", "returned_sku", "quantity", "unit_price", "line_total", "has_sku_mismatch"),
+    "ar_reconciliation_results": (
+        "result_id", "pipeline_run_id", "run_date", "run_timestamp", "discrepancy_type", "customer_id", "entity_id",
+        "is_fraud_alert", "is_resolved", "environment", "created_at"),
+    "ar_pipeline_run_summary": (
+        "pipeline_run_id", "run_timestamp", "environment", "invoices_processed", "payments_processed",
+        "returns_processed", "sku_mismatches_detected", "overpayments_detected", "underpayments_detected",
+        "fraud_alerts", "high_risk_customers", "pipeline_success"),
+}
+WAREHOUSE_RULES = {
+    name: Rules(
+        key=(PRIMARY_KEYS[name],) if name in PRIMARY_KEYS else (),
+        not_null=NOT_NULL[name],
+        checks=CHECKS.get(name, {}),
+        references=tuple((rule, (column,), parent) for rule, child, column, parent in FOREIGN_KEYS if child == name),
+        row_key=(ROW_KEYS[name],),
+    )
+    for name in NOT_NULL
+}
+FLAT_RULES = {
+    "customers": Rules(key=("customer_id",)),
+    "invoices": Rules(key=("invoice_id",), references=(("fk_invoices_customer", ("customer_id",), "customers"),)),
+    "payments": Rules(key=("payment_id",)),
+    "returns": Rules(key=("return_id",)),
+    "credits": Rules(key=("credit_id",)),
+    "payment_invoice_links": Rules(
+        key=("payment_id", "invoice_id"), references=(("fk_links_payment", ("payment_id",), "payments"),)),
+    "recon_config_active": Rules(
+        key=("id",), not_null=("days_window", "tolerance_amount"), checks={"chk_config_single_row": "id = 1"}),
+}
+
+
 def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """Broken CHECK, PRIMARY KEY and FOREIGN KEY constraints of the given warehouse tables.
+    """Broken NOT NULL, CHECK, PRIMARY KEY and FOREIGN KEY constraints of the given warehouse tables."""
+    return violations_of(tables, WAREHOUSE_RULES)
 
-    All checks of a table are one pass; as in SQL, a check that comes out NULL holds.
-    """
-    parts = []
-    for name, df in tables.items():
-        key = ROW_KEYS[name]
-        if name in CHECKS:
-            failed = ", ".join(
-                f"CASE WHEN NOT ({test}) THEN '{rule}' END" for rule, test in CHECKS[name].items()
-            )
-            parts.append(
-                df.selectExpr(
-                    f"'{name}' AS table_name", f"explode(array_compact(array({failed}))) AS constraint_name",
-                    f"CAST({key} AS STRING) AS row_key",
-                )
-            )
-        if name in PRIMARY_KEYS:
-            parts.append(
-                df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").selectExpr(
-                    f"'{name}' AS table_name", f"'pk_{name}' AS constraint_name",
-                    f"CAST({key} AS STRING) AS row_key",
-                )
-            )
-    for rule, child, column, parent in FOREIGN_KEYS:
-        if child in tables and parent in tables:
-            parts.append(
-                missing_parents(tables[child], column, tables[parent], PRIMARY_KEYS[parent]).selectExpr(
-                    f"'{child}' AS table_name", f"'{rule}' AS constraint_name",
-                    f"CAST({ROW_KEYS[child]} AS STRING) AS row_key",
-                )
-            )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+
+def flat_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """The same for the flat tables, the payment links (a composite key) and the stored settings."""
+    return violations_of(tables, FLAT_RULES)
 
 
 def flat_fk_violations(invoices: DataFrame, customers: DataFrame) -> DataFrame:
