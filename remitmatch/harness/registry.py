@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from remitmatch.operators.matching import match_payments
 from remitmatch.plans import pipeline, recon
 from remitmatch.schemas import FLAT, RUN_SUMMARY
 from remitmatch.session import scratch_path, written
-from remitmatch.settings import DEFAULT, PRESETS, active_settings, config_table
+from remitmatch.settings import DEFAULT, PRESETS, Setting, active_relation, active_settings, config_table
 from remitmatch.sinks import outputs
 from remitmatch.sources import documents, drops, flat_csv
 from remitmatch.streaming import daily_drop, intake
@@ -72,6 +73,15 @@ def recon_results_crowded(spark, sf_dir):
     return recon.recon_results(flat_tables(spark, sf_dir), [DEFAULT], inline_limit=0)
 
 
+@query
+def recon_results_stored(spark, sf_dir):
+    """Results under a stored row of 90 days and 75.00, read by the plan itself."""
+    path = scratch_path(spark, "recon_config_active")
+    config_table(spark, [Setting("active", 90, Decimal("75.00")), Setting("other", 5, Decimal("1.00"))]).selectExpr(
+        "CASE scenario WHEN 'active' THEN 1 ELSE 2 END AS id", "days_window", "tolerance_amount").write.parquet(path)
+    return recon.recon_results(flat_tables(spark, sf_dir), active_relation(spark.read.parquet(path)))
+
+
 @query
 def recon_scenarios(spark, sf_dir):
     return recon.recon_scenarios(flat_tables(spark, sf_dir), PRESETS)

@@ -52,7 +52,7 @@ from remitmatch.operators.ledger import (
     running_in_chunks,
 )
 from remitmatch.operators.netting import invoice_net_due
-from remitmatch.settings import Setting
+from remitmatch.settings import Settings
 
 INLINE_LIMIT = 8
 BAND_ROWS = 1024
@@ -75,56 +75,65 @@ def _money(cents: str, kind: str = "DECIMAL(28,2)") -> str:
     return f"CAST({cents} * CAST(0.01 AS DECIMAL(3,2)) AS {kind})"
 
 
-def _width(settings: list[Setting]) -> str:
-    """Length in days of the longest look-back, both ends counted; NULL without settings."""
-    return str(max((s.days_window + 1 for s in settings), default="CAST(NULL AS INT)"))
+SETTING = "struct<scenario:string,days_window:int,tolerance:bigint>"
 
 
-def _setting_array(settings: list[Setting]) -> str:
-    rows = ", ".join(
-        f"struct('{s.scenario}', {s.days_window}, {int(s.tolerance * 100)})" for s in settings
-    )
-    return f"CAST(array({rows}) AS array<struct<scenario:string,days_window:int,tolerance:bigint>>)"
-
-
-def _spans(settings: list[Setting]) -> str:
-    """Exponents of the aligned day runs that fit into the longest look-back."""
-    longest = max((s.days_window for s in settings), default=0) + 1
-    return f"sequence(0, {longest.bit_length() - 1})"
+def _bound(df: DataFrame, settings: Settings) -> DataFrame:
+    """``df`` with the settings as columns: all of them, the longest look-back, the widest tolerance.
 
-
-def _amount_slice(cents: str, settings: list[Setting]) -> str:
+    Settings in a table stay in the plan as one-row subqueries, read when the job runs; the look-back is NULL
+    without any, so nothing is in reach.
+    """
+    if isinstance(settings, DataFrame):
+        rows = settings.select(F.expr(
+            f"CAST(struct(scenario, days_window, tolerance_amount * 100) AS {SETTING}) AS setting"))
+        return df.withColumns({
+            "_settings": rows.agg(F.expr("sort_array(collect_list(setting))")).scalar(),
+            "_width": rows.agg(F.expr("max(setting.days_window) + 1")).scalar(),
+            "_widest": rows.agg(F.expr("coalesce(max(setting.tolerance), 0L)")).scalar(),
+        })
+    rows = ", ".join(f"struct('{s.scenario}', {s.days_window}, {int(s.tolerance * 100)})" for s in settings)
+    return df.selectExpr(
+        "*", f"CAST(array({rows}) AS array<{SETTING}>) AS _settings",
+        f"{max((s.days_window + 1 for s in settings), default='CAST(NULL AS INT)')} AS _width",
+        f"{int(max((s.tolerance for s in settings), default=Decimal(0)) * 100)}L AS _widest")
+
+
+# Exponents of the aligned day runs that fit into the longest look-back.
+SPANS = "sequence(0, length(bin(coalesce(_width, 1))) - 1)"
+
+
+def _amount_slice(cents: str) -> str:
     """Slice of an amount; payment +- tolerance never touches more than two of them."""
-    widest = max((s.tolerance for s in settings), default=Decimal(0))
-    return f"floor(({cents}) / {int(widest * 200) + 1})"
+    return f"floor(({cents}) / (2 * _widest + 1))"
 
 
 def _place(span: str, node: str, part: str, value: str) -> str:
     return f"CAST(struct({span}, {node}, {part}, {value}) AS {PLACE})"
 
 
-def _entries(rows: DataFrame, width: str, *values: str) -> DataFrame:
+def _entries(rows: DataFrame, settings: Settings, *values: str) -> DataFrame:
     """Rows as ledger entries, in every block whose payments can look back on them."""
-    return rows.selectExpr(
+    return _bound(rows, settings).selectExpr(
         "customer_id",
-        f"{own_and_next_block('invoice_date', width)} AS block",
+        f"{own_and_next_block('invoice_date', '_width')} AS block",
         f"""CAST(struct({', '.join(values)}) AS struct<
             day:date,invoice_id:bigint,net:bigint,n:bigint,high:bigint,deep:boolean,root:{ROOT}
         >) AS entry""",
     )
 
 
-def _invoice_entries(invoices: DataFrame, width: str) -> DataFrame:
+def _invoice_entries(invoices: DataFrame, settings: Settings) -> DataFrame:
     return _entries(
-        invoices, width,
+        invoices, settings,
         "invoice_date", "invoice_id", _cents("invoice_net_due"), "1", _cents("invoice_net_due"),
         "false", "NULL",
     )
 
 
-def _day_entries(days: DataFrame, width: str) -> DataFrame:
+def _day_entries(days: DataFrame, settings: Settings) -> DataFrame:
     return _entries(
-        days, width,
+        days, settings,
         "invoice_date", "NULL", _cents("day_sum"), "day_n", _cents("day_high"), "true", "root",
     )
 
@@ -147,7 +156,7 @@ def _first_reaching(children: str, need: str) -> str:
     return f"array_min(filter({children}, c -> c.high >= {need}))"
 
 
-def _read_window(joined: DataFrame, settings: list[Setting]) -> DataFrame:
+def _read_window(joined: DataFrame, settings: Settings) -> DataFrame:
     """Per payment and setting: count, sum, closest inline invoice and crossing entry.
 
     All of it in one generator, so the arrays are read where the join delivers them and
@@ -173,7 +182,7 @@ def _read_window(joined: DataFrame, settings: list[Setting]) -> DataFrame:
             e -> named_struct('abs_diff', abs(cents - e.net), 'invoice_id', e.invoice_id, 'net', e.net)
         ))"""
     reading = f"""
-        transform({_setting_array(settings)}, (setting, i) -> transform(
+        transform(_settings, (setting, i) -> transform(
             array(filter(entries, e -> e.day BETWEEN date_sub(payment_date, setting.days_window)
                                                  AND payment_date)),
             entries_seen -> named_struct(
@@ -186,7 +195,7 @@ def _read_window(joined: DataFrame, settings: list[Setting]) -> DataFrame:
                 'closest', {closest},
                 'cut', {crossing}))[0])"""
     payment = ["payment_id", "customer_id", "payment_date", "payment_amount", "cents"]
-    return joined.selectExpr(*payment, f"explode_outer({reading}) AS reading").selectExpr(
+    return _bound(joined, settings).selectExpr(*payment, f"explode_outer({reading}) AS reading").selectExpr(
         *payment, "reading.*"
     )
 
@@ -241,18 +250,18 @@ def _deep_crossing(queries: DataFrame, levels: list[DataFrame]) -> DataFrame:
     return queries.selectExpr(*kept, "struct(hit.high AS value, hit.child AS invoice_id) AS deep_cut")
 
 
-def _amounts(deep: DataFrame, settings: list[Setting]) -> DataFrame:
+def _amounts(deep: DataFrame, settings: Settings) -> DataFrame:
     """Deep-day invoices filed under every group in which a payment may look up an amount.
 
     Under span k, by the aligned run of 2**k days that holds the date and by the slice of the
     amount; of equal amounts only the lowest id is kept.
     """
     as_amount = f"""
-        transform({_spans(settings)}, span -> {_place(
-            'span', 'shiftright(day, span)', _amount_slice('net', settings), 'net'
+        transform({SPANS}, span -> {_place(
+            'span', 'shiftright(day, span)', _amount_slice('net'), 'net'
         )})"""
     return (
-        deep.selectExpr("customer_id", "invoice_id", f"explode({as_amount}) AS place")
+        _bound(deep, settings).selectExpr("customer_id", "invoice_id", f"explode({as_amount}) AS place")
         .groupBy("customer_id", "place")
         .agg(F.min("invoice_id").alias("invoice_id"))
         .selectExpr(
@@ -261,7 +270,7 @@ def _amounts(deep: DataFrame, settings: list[Setting]) -> DataFrame:
     )
 
 
-def _probes(queries: DataFrame, settings: list[Setting]) -> DataFrame:
+def _probes(queries: DataFrame, settings: Settings) -> DataFrame:
     """The groups in which each payment's closest amounts lie."""
     # The aligned runs of 2**span days that lie inside [first, last] while the run twice
     # as long does not: an odd first one and an even last one. Over all spans they make
@@ -274,14 +283,14 @@ def _probes(queries: DataFrame, settings: list[Setting]) -> DataFrame:
             CASE WHEN {low} <= {high} AND ({high}) % 2 = 0 THEN {high} END
         ))"""
     slices = f"""
-        array_distinct(array({_amount_slice('cents - tolerance', settings)},
-                             {_amount_slice('cents + tolerance', settings)}))"""
+        array_distinct(array({_amount_slice('cents - tolerance')},
+                             {_amount_slice('cents + tolerance')}))"""
     by_amount = f"""
-        flatten(transform({_spans(settings)}, span -> flatten(transform({nodes}, node ->
+        flatten(transform({SPANS}, span -> flatten(transform({nodes}, node ->
             transform({slices}, part -> {_place('span', 'node', 'part', 'cents')})))))"""
     return (
-        queries.selectExpr(
-            *QUERY, "tolerance", "cents", "deep_cut",
+        _bound(queries, settings).selectExpr(
+            *QUERY, "tolerance", "cents", "deep_cut", "_width", "_widest",
             "unix_date(payment_date) AS last",
             "unix_date(payment_date) - days_window AS first",
         )
@@ -290,7 +299,7 @@ def _probes(queries: DataFrame, settings: list[Setting]) -> DataFrame:
     )
 
 
-def _deep_closest(queries: DataFrame, amounts: DataFrame, settings: list[Setting]) -> DataFrame:
+def _deep_closest(queries: DataFrame, amounts: DataFrame, settings: Settings) -> DataFrame:
     """``deep_closest``, the closest deep-day invoice within the tolerance, beside each query's ``deep_cut``.
 
     In each group payments and invoices are sorted together, so the neighbours of a
@@ -338,7 +347,7 @@ def match_payments(
     invoices: DataFrame,
     credits: DataFrame,
     returns: DataFrame,
-    settings: list[Setting],
+    settings: Settings,
     *,
     deep_days: bool = True,
     inline_limit: int = INLINE_LIMIT,
@@ -347,7 +356,8 @@ def match_payments(
 ) -> DataFrame:
     """One row per payment and setting.
 
-    All settings are answered from one pass over the invoices. With none, every payment
+    All settings are answered from one pass over the invoices. They are a list, or a table (``scenario,
+    days_window, tolerance_amount``) that the plan reads when it runs. With none, every payment
     comes out once with no eligible invoices. Ties for the closest amount go to the lowest
     invoice_id. ``deep_days=False`` reads every date inline and leaves out the look-up;
     results are the same, but an array then holds all invoices of a crowded date. The net dues are
@@ -359,14 +369,13 @@ def match_payments(
     (abs_diff, invoice_id, net; NULL beyond the tolerance), ``cutoff`` (invoice_id, day,
     running; NULL when the payment is never reached).
     """
-    width = _width(settings)
     net = invoice_net_due(invoices, credits, returns).select(
         *DAY, "invoice_id", "invoice_net_due"
     )
-    placed = payments.selectExpr(
+    placed = _bound(payments, settings).selectExpr(
         "payment_id", "customer_id", "payment_date", "payment_amount",
         f"{_cents('payment_amount')} AS cents",
-        f"{block_of('payment_date', width)} AS block",
+        f"{block_of('payment_date', '_width')} AS block",
     )
     outcome = [
         "payment_id", "customer_id", "payment_date", "payment_amount", "scenario",
@@ -392,7 +401,7 @@ def match_payments(
 
     on_block = ["customer_id", "block"]
     if not deep_days:
-        return shallow(placed.join(_blocks(_invoice_entries(net, width)), on_block, "left"))
+        return shallow(placed.join(_blocks(_invoice_entries(net, settings)), on_block, "left"))
 
     fan = max(2, band_rows)
     ledger = invoice_ledger(net, parts)
@@ -405,8 +414,8 @@ def match_payments(
         root.withColumn("invoice_date", F.date_from_unix_date("day")).drop("day"), DAY)
     joined = placed.join(
         _blocks(
-            _invoice_entries(ledger.join(crowded, DAY, "left_anti"), width).unionByName(
-                _day_entries(days, width)
+            _invoice_entries(ledger.join(crowded, DAY, "left_anti"), settings).unionByName(
+                _day_entries(days, settings)
             )
         ),
         on_block,

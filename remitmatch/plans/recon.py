@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from remitmatch.operators.matching import match_payments
 from remitmatch.schemas import MONEY, TOTAL
-from remitmatch.settings import Setting
+from remitmatch.settings import Settings
 
 NEEDS_REVIEW = ["NO_CUTOFF_IN_WINDOW", "NO_INVOICES_IN_WINDOW"]
 
@@ -42,7 +42,7 @@ def classify(matched: DataFrame) -> DataFrame:
     )
 
 
-def recon_scenarios(tables: dict[str, DataFrame], settings: list[Setting], **tuning) -> DataFrame:
+def recon_scenarios(tables: dict[str, DataFrame], settings: Settings, **tuning) -> DataFrame:
     """Results under every given setting, from one pass over the tables."""
     return classify(
         match_payments(
@@ -52,8 +52,11 @@ def recon_scenarios(tables: dict[str, DataFrame], settings: list[Setting], **tun
     )
 
 
-def recon_results(tables: dict[str, DataFrame], settings: list[Setting], **tuning) -> DataFrame:
-    """One row per payment under the active setting (``settings`` holds at most one)."""
+def recon_results(tables: dict[str, DataFrame], settings: Settings, **tuning) -> DataFrame:
+    """One row per payment under the active setting (``settings`` holds at most one).
+
+    With a table of settings (``settings.active_relation``) the stored row drives the plan when it runs.
+    """
     return recon_scenarios(tables, settings, **tuning).select(*RESULT_COLUMNS)
 
 

@@ -17,6 +17,8 @@ class Setting(NamedTuple):
     tolerance: Decimal
 
 
+Settings = list[Setting] | DataFrame  # as a table: scenario, days_window, tolerance_amount
+
 # The default setting and the four named presets.
 DEFAULT = Setting("active", 60, Decimal("50.00"))
 PRESETS = [
@@ -43,6 +45,17 @@ def active_settings(stored: DataFrame) -> list[Setting]:
     return [] if row.days is None else [Setting("active", row.days, row.tolerance)]
 
 
+def active_relation(stored: DataFrame) -> DataFrame:
+    """The stored configuration row with id 1 as a table of settings, without reading it: one row or none."""
+    return (
+        stored.where("id = 1")
+        .agg(F.max("days_window").cast("int").alias("days_window"),
+             F.max(F.col("tolerance_amount").cast("decimal(18,2)")).alias("tolerance_amount"))
+        .where("days_window IS NOT NULL")
+        .select(F.lit("active").alias("scenario"), "days_window", "tolerance_amount")
+    )
+
+
 def config_table(spark: SparkSession, settings: list[Setting]) -> DataFrame:
     """Settings as a table."""
     rows = [

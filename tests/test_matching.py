@@ -11,7 +11,7 @@ from remitmatch.operators.ledger import DAY, chunk_totals, invoice_ledger, runni
 from remitmatch.operators.matching import _deep_rows, _tree, has_deep_days
 from remitmatch.operators.netting import invoice_net_due
 from remitmatch.plans.recon import dashboard, needs_review, recon_results, recon_scenarios
-from remitmatch.settings import DEFAULT, PRESETS, Setting
+from remitmatch.settings import DEFAULT, PRESETS, Setting, active_relation
 
 INVOICES = "invoice_id long, customer_id long, invoice_date date, due_date date, invoice_amount decimal(18,2)"
 PAYMENTS = "payment_id long, customer_id long, payment_amount decimal(18,2), payment_date date, reference_notes string"
@@ -221,3 +221,26 @@ def test_one_huge_invoice_on_a_crowded_date(spark):
     root, *levels = _tree(_deep_rows(rows, chunk_totals(rows)), 8)
     assert root.selectExpr("max(size(root))").first()[0] <= 500 // 64 + 1
     assert all(nodes.selectExpr("max(size(children))").first()[0] <= 8 for nodes in levels)
+
+
+STORED = "id int, days_window int, tolerance_amount decimal(18,2)"
+
+
+def test_the_stored_row_drives_the_plan(spark, edge):
+    stored = spark.createDataFrame([(1, 60, money(50)), (2, 500, money(9))], STORED)
+    got = recon_results(edge, active_relation(stored))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, recon_results(edge, [DEFAULT]).collect()))
+    data = skewed(5)
+    results = recon_scenarios(
+        tables(spark, *data), active_relation(spark.createDataFrame([(1, 90, money("0.50"))], STORED)), inline_limit=2)
+    got = sorted(
+        (r.scenario, r.payment_id, r.eligible_invoice_count, r.sum_net_due_in_window, r.matched_invoice_id,
+         r.matched_invoice_net_due, r.cutoff_invoice_id, r.cutoff_invoice_date, r.greedy_running_net_due_at_cutoff)
+        for r in results.collect())
+    assert got == brute_force(data, [Setting("active", 90, Decimal("0.50"))])
+
+
+def test_an_empty_settings_table_finds_nothing(spark, edge):
+    rows = recon_results(edge, active_relation(spark.createDataFrame([(2, 60, money(50))], STORED))).collect()
+    assert len(rows) == 7
+    assert {r.match_type for r in rows} == {"NO_INVOICES_IN_WINDOW"}
