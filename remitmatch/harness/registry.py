@@ -19,7 +19,7 @@ from remitmatch.operators import (
     payments, validation,
 )
 from remitmatch.operators.matching import match_payments
-from remitmatch.plans import pipeline, recon
+from remitmatch.plans import pipeline, recon, stages
 from remitmatch.schemas import FLAT, RUN_SUMMARY
 from remitmatch.session import scratch_path, written
 from remitmatch.settings import DEFAULT, PRESETS, Setting, active_relation, active_settings, config_table
@@ -681,6 +681,23 @@ def run_summary(spark, sf_dir):
     )
 
 
+@query
+def stage_results(spark, sf_dir):
+    """The staged run from raw CSV: its ledger after a transformation that failed once and a resumed run."""
+    root = scratch_path(spark, "stages")
+    sources = {}
+    for entity, raw in RAW.items():
+        sources[entity] = f"{root}/{entity}.csv"
+        outputs.export_csv(raw(spark, sf_dir), sources[entity])
+
+    def broken(_):
+        raise RuntimeError("lost")
+
+    stages.run_stages(spark, sources, AS_OF, "run-1", root, AS_OF, work={"transformation": broken})
+    return stages.run_stages(spark, sources, AS_OF, "run-1", root, AS_OF).selectExpr(
+        "position", "stage", "status", "rows", "array_join(errors, '; ') AS errors")
+
+
 # Which payments arrive on which date.
 DROPS = {
     "2024-01-01": "payment_method IN ('ACH', 'WIRE')",
