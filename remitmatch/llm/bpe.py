@@ -39,7 +39,7 @@ from remitmatch.llm.common import cut, release, small_batches
 from remitmatch.session import scratch_path
 
 BLOCK = 16 << 20
-STEP = 1 << 20  # positions worked on at a time
+STEP = 1 << 18  # positions worked on at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -126,7 +126,7 @@ def _blocks(pattern: str, limit: int):
         serial = TaskContext.get().partitionId() << 32
         for batch in small_batches(batches, "text", limit):
             index: dict[str, int] = {}
-            codes, counts = [], []
+            codes, counts, found = [], [], []
             for value in batch.column("text"):
                 found = pretokens(value.as_py() or "", pattern)
                 counts.append(len(found))
@@ -137,21 +137,24 @@ def _blocks(pattern: str, limit: int):
             del codes
             # frequent ones first, by powers of two; in between by name, which packs well
             names = [w.encode() for w in index]
-            place = {w: i for i, w in enumerate(names)}
-            order = np.fromiter(map(place.__getitem__, sorted(names)), np.int64, len(names))
+            del index, found
+            order = np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)
             level = np.log2(np.bincount(numbers, minlength=len(names))[order]).astype(np.int8)
             order = order[np.argsort(-level, kind="stable")]
             rank = np.empty(len(names), np.int32)
             rank[order] = np.arange(len(names), dtype=np.int32)
-            words = [names[i] for i in order.tolist()]
-            del index, place, names
+            words = pa.ListArray.from_arrays(
+                pa.array([0, len(names)], pa.int32()), pa.array(names, pa.binary()).take(pa.array(order)))
+            del names, order
+            packed = pack(rank[numbers])
+            del numbers, rank
             yield pa.RecordBatch.from_arrays(
                 [pa.array([serial], pa.int64()),
                  pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                  pa.array([counts], pa.list_(pa.int64())),
-                 pa.array([pack(rank[numbers])], pa.binary()),
-                 pa.array([words], pa.list_(pa.binary()))],
+                 pa.array([packed], pa.binary()), words],
                 ["block", "doc_ids", "counts", "codes", "words"])
+            del packed, words
             serial += 1
 
     return run
@@ -248,6 +251,11 @@ def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, block: int = BLOCK) -> DataFrame:
     """``doc_id, ids``: the ids of each whole text as little-endian unsigned 32-bit integers."""
+    return _blocks_and_lists(docs, path, pattern, block).mapInArrow(_reassembled, "doc_id long, ids binary")
+
+
+def _blocks_and_lists(docs: DataFrame, path: str, pattern: str, block: int) -> DataFrame:
+    """Each block's documents, the numbers of their words, and the ids of those words."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     name = f"bpe_blocks_{uuid.uuid4().hex}"
@@ -267,7 +275,6 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, block: int = BLOC
     return (
         blocks.select("block", "doc_ids", "counts", "codes").join(lists.hint("merge"), "block", "left")
         .select("doc_ids", "counts", "codes", "entries")
-        .mapInArrow(_reassembled, "doc_id long, ids binary")
     )
 
 
@@ -291,8 +298,10 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, block: int = BLOCK) -> DataFrame:
-    """Per document ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
-    decoded = decode_documents(encode_documents(docs, path, pattern, block), path)
+    """Per document ``doc_id, n_tokens, ids_sha256, decoded_sha256``; a task reassembles and decodes in one worker."""
+    decode = _decoded(path)
+    decoded = _blocks_and_lists(docs, path, pattern, block).mapInArrow(
+        lambda batches: decode(_reassembled(batches)), "doc_id long, ids binary, data binary")
     return decoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
