@@ -660,7 +660,7 @@ def results_resolved(spark, sf_dir):
 
 
 @query
-def open_discrepancies(spark, sf_dir):
+def unresolved_discrepancies(spark, sf_dir):
     """Unresolved findings of the later run by customer, from the stored results."""
     return customers.customer_discrepancies(_resolved(spark, sf_dir).where("pipeline_run_id = 'run-2'"))
 
