@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from remitmatch.functions.parsing import amount, date, parse_lines, whole
+from remitmatch.functions.parsing import amount, date, parse_lines, quantity, whole
 from remitmatch.harness import testdata as data
 from remitmatch.harness.testdata import AS_OF, RAW, flat_tables
 from remitmatch.operators import (
@@ -305,10 +305,21 @@ def parse_line_items(spark, sf_dir):
     parsed = parse_lines(data.raw_invoices(spark, sf_dir), documents.INVOICE_LINES_RAW)
     return parsed.selectExpr("invoice_id", "explode(line_items) AS line").selectExpr(
         "invoice_id", "line.sku", "line.description",
-        f"{whole('line.quantity')} AS quantity", f"{amount('line.unit_price', 4)} AS unit_price",
+        f"{quantity('line.quantity')} AS quantity", f"{amount('line.unit_price', 4)} AS unit_price",
     )
 
 
+@query
+def line_quantities(spark, sf_dir):
+    """Quantities by type: whole and broken numbers, numbers as text, and broken numbers as text, which are none."""
+    raw = data.raw_invoices(spark, sf_dir).withColumn("line_items", F.expr(
+        """CASE WHEN CAST(substring(order_date, 9) AS INT) % 2 = 0
+                THEN regexp_replace(line_items, '(?<=quantity.: )([0-9]+[.]7)', '"$1"') ELSE line_items END"""))
+    return parse_lines(raw, documents.INVOICE_LINES_RAW).selectExpr(
+        "invoice_id", "order_date", "explode(line_items) AS line").selectExpr(
+        "invoice_id", "order_date", "line.sku", f"{quantity('line.quantity')} AS quantity")
+
+
 @query
 def coerce_amounts(spark, sf_dir):
     return data.raw_payments(spark, sf_dir).selectExpr(
@@ -381,7 +392,7 @@ def schema_violations(spark, sf_dir):
     for entity in RAW:
         records = documents.arrange(RAW[entity](spark, sf_dir), entity)
         if entity in documents.LINE_LAYOUTS:
-            records = parse_lines(records, documents.LINE_LAYOUTS[entity])
+            records = parse_lines(records, documents.LINE_LAYOUTS[entity], coerce=False)
         parts.append(validation.schema_violations(records, entity))
     return union(parts)
 

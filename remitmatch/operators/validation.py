@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitmatch.functions.parsing import amount, date, whole
+from remitmatch.functions.parsing import amount, date, quantity
 from remitmatch.functions.plan import once
 from remitmatch.operators.constraints import Rules
 from remitmatch.operators.constraints import violations as violations_of
@@ -83,7 +83,7 @@ def line_rules(skus: list[str]) -> list[Rule]:
             )
             for sku in skus
         ],
-        Rule("line_items.quantity", some(f"coalesce({whole('l.quantity')}, 0) < 1"), "NULL"),
+        Rule("line_items.quantity", some(f"coalesce({quantity('l.quantity')}, 0) < 1"), "NULL"),
         Rule(
             "line_items.unit_price",
             some(f"coalesce({amount('l.unit_price', 4)}, -1) < 0"),

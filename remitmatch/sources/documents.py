@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitmatch.functions.parsing import amount, date, parse_lines, whole
+from remitmatch.functions.parsing import amount, date, parse_lines, quantity
 from remitmatch.operators.validation import RULES, rejected, with_violations
 from remitmatch.schemas import DOCUMENT_CSV, INVOICE_LINES_RAW, RETURN_LINES_RAW
 
@@ -75,7 +75,7 @@ TYPED = {
         f"{date('due_date')} AS due_date",
         f"""transform(line_items, l -> named_struct(
               'sku', l.sku, 'description', l.description,
-              'quantity', CAST({whole('l.quantity')} AS INT),
+              'quantity', {quantity('l.quantity')},
               'unit_price', {amount('l.unit_price', 4)})) AS line_items""",
         f"{amount('total_amount')} AS total_amount",
         f"coalesce({amount('amount_paid')}, 0.00) AS amount_paid",
@@ -91,7 +91,7 @@ TYPED = {
         f"{date('return_date')} AS return_date",
         f"""transform(line_items, l -> named_struct(
               'original_sku', l.original_sku, 'returned_sku', l.returned_sku,
-              'quantity', CAST({whole('l.quantity')} AS INT),
+              'quantity', {quantity('l.quantity')},
               'unit_price', {amount('l.unit_price', 4)}, 'notes', l.notes)) AS line_items""",
         "reason_code", "status", "credit_memo_id", "notes",
     ],

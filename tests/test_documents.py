@@ -202,6 +202,20 @@ def test_lenient_lines(spark, tmp_path):
     assert [(r.line_items[0].quantity, r.line_items[0].unit_price) for r in valid] == [(3, Decimal("2.5"))] * 3
 
 
+@pytest.mark.parametrize(("written", "read"), [
+    ("3", 3), ('""3""', 3), ('"" 4 ""', 4), ("2.7", 2), ("1e2", 100), ("true", 1),
+    ('""2.7""', None), ('""1e2""', None), ("0.9", None), ("-2.9", None), ("false", None), ("null", None),
+    ("[1]", None), ("99999999999", None), ("1e30", None), ('""x""', None),
+])
+def test_a_quantity_is_read_by_its_type(spark, tmp_path, written, read):
+    rows = [f'INV-500001,CUST-7001,2024-03-01,,"[{{""sku"": ""SKU-AAAA"", ""quantity"": {written}, '
+            '""unit_price"": 2.5}]",10,0,USD,OPEN,']
+    loaded = scan(spark, "invoices", write(tmp_path, "invoices", rows))
+    assert [r.line_items[0].quantity for r in loaded.valid.collect()] == ([] if read is None else [read])
+    assert [[v.rule for v in r.violations] for r in loaded.quarantine.collect()] == (
+        [["line_items.quantity"]] if read is None else [])
+
+
 def test_bad_payments(spark, tmp_path):
     rows = [
         "PMT-600001,INV-500001,CUST-7001,2024-03-05,0,ACH,,CLEARED,",
