@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 from functools import reduce
@@ -24,7 +25,7 @@ from remitmatch.schemas import FLAT, RUN_SUMMARY
 from remitmatch.session import scratch_path, written
 from remitmatch.settings import DEFAULT, PRESETS, Setting, active_relation, active_settings, config_table
 from remitmatch.sinks import outputs
-from remitmatch.sources import documents, drops, flat_csv
+from remitmatch.sources import catalog, documents, drops, flat_csv
 from remitmatch.streaming import daily_drop, intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -770,6 +771,26 @@ def daily_drop_batch(spark, sf_dir):
     ).agg(F.expr("count(*) AS payments"), F.expr(f"sum({amount('amount_paid')}) AS amount_paid"))
 
 
+@query
+def catalog_partitions(spark, sf_dir):
+    """Payments in the catalogue by date: after two drops, after a third one, and looked at again."""
+    root, database = scratch_path(spark, "raw"), f"drops_{uuid.uuid4().hex}"
+    raw = data.raw_payments(spark, sf_dir)
+    looks = []
+    try:
+        for look, dates in (("first", ["2024-01-01", "2024-01-02"]), ("second", ["2024-01-03"]), ("none new", [])):
+            for run_date in dates:
+                _drop(raw, root, run_date)
+            catalog.crawl(spark, root, database)
+            looks.append(written(
+                spark.table(f"{database}.payments").groupBy("run_date", "payment_method").agg(
+                    F.expr("count(*) AS payments"), F.expr(f"sum({amount('amount_paid')}) AS amount_paid"))
+                .selectExpr(f"'{look}' AS look", "*"), "look"))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    return union(looks)
+
+
 # --- warehouse -------------------------------------------------------------------------------
 
 
@@ -858,3 +879,32 @@ def customer_risk_summary(spark, sf_dir):
         data.ar_invoices(spark, sf_dir), data.ar_payments(spark, sf_dir),
         data.ar_returns(spark, sf_dir), _results(spark, sf_dir),
     )
+
+
+# --- reading order ---------------------------------------------------------------------------
+
+# What is read back of each numbered report: the columns that fix a row's place.
+ORDERED = {
+    "aging_report": ["aging_bucket", "customer_id", "invoice_id"],
+    "aging_warehouse": ["customer_id", "invoice_id"],
+    "mismatch_report": ["return_id", "original_sku"],
+    "sku_mismatch_detail": ["return_id", "original_sku"],
+    "discrepancy_report": ["discrepancy_type", "customer_id", "entity_id", "detail"],
+    "partial_payment_analysis": ["customer_id", "invoice_id"],
+    "customer_risk_summary": ["customer_id"],
+    "recon_dashboard": ["match_type"],
+    "high_risk_accounts": ["customer_id"],
+}
+
+
+def _ordered(report: str, build: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = outputs.write_report(build(spark, sf_dir), scratch_path(spark, "ordered"), AS_OF, report, numbered=True)
+        return documents.read_csv_text(spark, path).selectExpr(
+            *ORDERED[report], "CAST(position AS BIGINT) AS position")
+
+    return run
+
+
+for _name in ORDERED:
+    QUERIES[f"{_name}_order"] = _ordered(_name, globals()[_name])

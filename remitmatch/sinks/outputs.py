@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from remitmatch.functions.amounts import DOCUMENT_BUCKETS
@@ -39,13 +39,38 @@ REPORT_ORDER = {
 }
 
 
+def _order(report: str) -> list[Column]:
+    order = []
+    for name in REPORT_ORDER[report]:
+        column = F.col(name.removesuffix(" DESC"))
+        if report == "aging_report" and name == "aging_sort":
+            column = F.array_position(F.lit(DOCUMENT_BUCKETS), F.col("aging_bucket"))
+        order.append(column.desc() if name.endswith(" DESC") else column)
+    return order
+
+
 def in_report_order(df: DataFrame, report: str) -> DataFrame:
     """A report in its reading order. A range shuffle, so for exports only."""
-    if report == "aging_report":
-        names = ", ".join(f"'{b}'" for b in DOCUMENT_BUCKETS)
-        by_bucket = df.withColumn("aging_sort", F.expr(f"array_position(array({names}), aging_bucket)"))
-        return by_bucket.orderBy(*REPORT_ORDER[report]).drop("aging_sort")
-    return df.orderBy(*[F.expr(c[:-5]).desc() if c.endswith(" DESC") else F.col(c) for c in REPORT_ORDER[report]])
+    return df.orderBy(*_order(report))
+
+
+def with_positions(df: DataFrame, report: str, parts: int | None = None) -> DataFrame:
+    """A report with each row's ``position`` in the reading order, from 1 without gaps.
+
+    Rows are range-partitioned by the order and numbered inside their range; the rows of the ranges before are
+    added, of which there are ``parts`` at most. No task sees the whole report. The ranges are cut by
+    sampling, so the partitioned rows are written once (an eager job). Equal rows take any of their places.
+    """
+    order = _order(report)
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = written(
+        df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "positions")
+    earlier = "ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    before = placed.groupBy("_range").count().selectExpr(
+        "_range", f"coalesce(sum(count) OVER ({earlier}), 0) AS _before")
+    here = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return placed.withColumn("_row", here).join(F.broadcast(before), "_range").select(
+        *df.columns, (F.col("_before") + F.col("_row")).cast("long").alias("position"))
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:
@@ -70,12 +95,17 @@ def export_views(spark: SparkSession, root: str) -> dict[str, str]:
 
 
 def write_report(
-    report: DataFrame, root: str, run_date: datetime.date | str, name: str = "discrepancy_report"
+    report: DataFrame, root: str, run_date: datetime.date | str, name: str = "discrepancy_report",
+    numbered: bool = False,
 ) -> str:
-    """A report of one run as CSV, in its reading order."""
+    """A report of one run as CSV, in its reading order; ``numbered`` adds each row's ``position``."""
     folder = "reports" if name == "discrepancy_report" else name
     path = f"{root}/{folder}/run_date={run_date}"
-    export_csv(in_report_order(report, name) if name in REPORT_ORDER else report, path)
+    if numbered:
+        report = with_positions(report, name).orderBy("position")
+    elif name in REPORT_ORDER:
+        report = in_report_order(report, name)
+    export_csv(report, path)
     return path
 
 

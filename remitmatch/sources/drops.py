@@ -23,7 +23,8 @@ def read_drops(
     entity: str,
     run_dates: list[datetime.date | str],
     prefix: str | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """The drops of the given dates as text, with their ``run_date``."""
     paths = [drop_path(root, entity, d, prefix) for d in run_dates]
-    return read_csv_text(spark, paths).selectExpr("*", f"{RUN_DATE} AS run_date")
+    return read_csv_text(spark, paths, multiline).selectExpr("*", f"{RUN_DATE} AS run_date")

@@ -11,12 +11,12 @@ from remitmatch.sources.documents import read_csv_text
 CASTS = {"bigint": whole, "date": date, "decimal(18,2)": amount, "string": str}
 
 
-def load_flat(spark: SparkSession, table: str, path: str) -> DataFrame:
+def load_flat(spark: SparkSession, table: str, path: str, multiline: bool = True) -> DataFrame:
     """One flat table, columns taken by header name.
 
     Columns the header lacks are NULL; a header with unknown columns, or none, is an error.
     """
-    text = read_csv_text(spark, path)
+    text = read_csv_text(spark, path, multiline)
     layout = FLAT[table]
     unknown = sorted(set(text.columns) - set(layout))
     if unknown or not text.columns:
@@ -30,15 +30,15 @@ def load_flat(spark: SparkSession, table: str, path: str) -> DataFrame:
     )
 
 
-def load_flat_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def load_flat_tables(spark: SparkSession, root: str, multiline: bool = True) -> dict[str, DataFrame]:
     """All five tables from ``root/<table>.csv``."""
-    return {name: load_flat(spark, name, f"{root}/{name}.csv") for name in FLAT}
+    return {name: load_flat(spark, name, f"{root}/{name}.csv", multiline) for name in FLAT}
 
 
-def external_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def external_tables(spark: SparkSession, root: str, multiline: bool = True) -> dict[str, DataFrame]:
     """All-text views over the CSV prefixes ``root/<table>/``, registered by table name."""
     tables = {}
     for name in FLAT:
-        tables[name] = read_csv_text(spark, f"{root}/{name}/")
+        tables[name] = read_csv_text(spark, f"{root}/{name}/", multiline)
         tables[name].createOrReplaceTempView(name)
     return tables
