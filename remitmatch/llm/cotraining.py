@@ -2,18 +2,23 @@
 
 The first view is the text: hashed words and figures of its form. The second is the metadata: language,
 source and length, never the text. Each view has a logistic classifier in numpy. Over several
-rounds each one scores a pool of unlabelled documents and hands those it is surest of, good and bad
+rounds each one scores all unlabelled documents and hands those it is surest of, good and bad
 in the share of the labels, to the other as pseudo-labels. Both are then calibrated (Platt) on
 labelled rows neither was trained on, their log odds are added over the prior, and all documents are scored.
 
-Fitting reads ``fit_rows`` labelled and ``pool_rows`` unlabelled documents at most, taken by a
-hash of the id, as fixed-size feature rows. The models have a fixed size and are broadcast. Scoring is
-one pass over the documents without a shuffle.
+Every text is read once: its features, a row of fixed size, are written to the shared folder. A round is a
+scan of that table in which every task keeps its surest rows, and the surest of those are merged. The
+models have a fixed size and travel with the tasks.
+
+Bounds of the fitting set: ``fit_rows`` labelled documents, taken by a hash of the id, and ``pool_rows``
+pseudo-labelled ones for each view, a share of ``handed`` of the unlabelled documents in each round at most. They
+are chosen among all unlabelled documents, the surest first (then by a hash of the features). Documents with equal
+features count once, so a large group of copies does not fill the set, and none is handed to a view twice.
 
 Nulls: a null text is empty; null metadata is a value of its own. Labels that are null or contradict each
-other for one id are not used; labels without a document neither. With rows of one class only,
-every score is that class's share (0.5 without any). Repeated documents are scored each. Empty tables
-give no rows; other columns are not read.
+other for one id are not used; labels without a document neither; rows without an id are unlabelled. With
+rows of one class only, every score is that class's share (0.5 without any). Repeated documents are scored each. Very
+long texts are read whole, one at a time. Empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,11 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitmatch.llm.common import cut, small_batches
+from remitmatch.llm.common import cut, discard, small_batches
 from remitmatch.llm.toxicity import platt
 
-FIT_ROWS, POOL_ROWS = 20_000, 20_000
-WORDS, LANGS, SOURCES, SIZES = 256, 16, 64, 24
+FIT_ROWS, POOL_ROWS = 20_000, 4_000
+WORDS, FORM, LANGS, SOURCES, SIZES = 256, 20, 16, 64, 24
+# A document's features as stored: word shares in half precision, figures of form, three cells.
+ROW = np.dtype([("words", "<f2", WORDS), ("form", "<f4", FORM), ("cells", "u1", 3)])
+VIEWS = ("text", "page")
 
 
 def text_features(text: str | None) -> np.ndarray:
@@ -64,22 +72,23 @@ def text_features(text: str | None) -> np.ndarray:
     return np.concatenate([hashed, np.array(form, np.float32)])
 
 
-def page_features(lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
-    """Language, source and length, each as one cell of a fixed number."""
-    out = np.zeros(LANGS + SOURCES + SIZES, np.float32)
-    out[zlib.crc32((lang or "").encode()) % LANGS] = 1
-    out[LANGS + zlib.crc32((source or "").encode()) % SOURCES] = 1
+def page_cells(lang: str | None, source: str | None, n_chars: int | None) -> tuple[int, int, int]:
+    """The cells of language, source and length, each of a fixed number of cells."""
     size = 0 if n_chars is None or n_chars < 0 else 1 + int(min(SIZES - 2, 1.5 * np.log1p(n_chars)))
-    out[LANGS + SOURCES + size] = 1
-    return out
+    return zlib.crc32((lang or "").encode()) % LANGS, zlib.crc32((source or "").encode()) % SOURCES, size
+
 
+def unpacked(rows: np.ndarray) -> dict[str, np.ndarray]:
+    """Both views of stored rows; the cells become one column each."""
+    text = np.concatenate([rows["words"].astype(np.float32), rows["form"]], axis=1)
+    page = np.zeros((len(rows), LANGS + SOURCES + SIZES), np.float32)
+    for cell, base in zip(rows["cells"].T.astype(np.int64), (0, LANGS, LANGS + SOURCES), strict=True):
+        page[np.arange(len(rows)), base + cell] = 1
+    return {"text": text, "page": page}
 
-def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    texts = [text_features(t) for t in batch.column("text").to_pylist()]
-    pages = [
-        page_features(*row) for row in zip(
-            *(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars")), strict=True)]
-    return np.stack(texts), np.stack(pages)
+
+def _rows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), ROW)
 
 
 class Logistic:
@@ -123,28 +132,50 @@ class Combined:
         return tuple(1 / (1 + np.exp(-np.clip(v, -40, 40))) for v in (one, two, one + two - prior))
 
 
-def cotrain(text: np.ndarray, page: np.ndarray, marks: np.ndarray, pool_text: np.ndarray,
-            pool_page: np.ndarray, rounds: int, handed: float) -> Combined:
-    """``marks``: 1 good, 0 bad. Each round hands over the share ``handed`` of the pool."""
+def _exchange(own: dict[str, np.ndarray], marks: np.ndarray, rounds: int, surest) -> Combined:
+    """Co-training on the labelled rows ``own``; ``marks``: 1 good, 0 bad.
+
+    ``surest(models, share)`` gives, for each view, the rows of that view that the other one is surest of
+    in this round, with its guesses.
+    """
     check = np.zeros(len(marks), bool)
     for kind in (0, 1):
         check[np.flatnonzero(marks == kind)[::4]] = True
     seen = ~check if len(set(marks[~check])) == 2 else np.ones(len(marks), bool)
     share = float(marks.mean())
-    own = {"text": text, "page": page}
-    pool = {"text": pool_text, "page": pool_page}
-    extra = {view: (np.zeros(0, np.int64), np.zeros(0)) for view in own}
-    free = {view: np.ones(len(pool_text), bool) for view in own}
+    taught = {view: (own[view][seen], marks[seen]) for view in VIEWS}
 
     def fitted(view: str) -> Logistic:
-        rows, guesses = extra[view]
-        x = np.concatenate([own[view][seen], pool[view][rows]])
-        y = np.concatenate([marks[seen], guesses])
-        return Logistic(x, y, np.concatenate([np.ones(seen.sum()), np.full(len(rows), 0.5)]))
-
-    models = {view: fitted(view) for view in own}
-    for _ in range(rounds if len(pool_text) else 0):
-        for view, other in (("text", "page"), ("page", "text")):
+        x, y = taught[view]
+        return Logistic(x, y, np.where(np.arange(len(y)) < seen.sum(), 1.0, 0.5))
+
+    models = {view: fitted(view) for view in VIEWS}
+    for _ in range(rounds):
+        for view, (rows, guesses) in surest(models, share).items():
+            x, y = taught[view]
+            taught[view] = np.concatenate([x, rows]), np.concatenate([y, guesses])
+        models = {view: fitted(view) for view in VIEWS}
+    out = Combined(min(max(share, 1e-3), 1 - 1e-3), models["text"], models["page"])
+    weights = np.ones(check.sum())
+    out.text_scale = platt(models["text"].logits(own["text"][check]), marks[check], weights)
+    out.page_scale = platt(models["page"].logits(own["page"][check]), marks[check], weights)
+    return out
+
+
+def _other(view: str) -> str:
+    return VIEWS[1 - VIEWS.index(view)]
+
+
+def cotrain(text: np.ndarray, page: np.ndarray, marks: np.ndarray, pool_text: np.ndarray,
+            pool_page: np.ndarray, rounds: int, handed: float) -> Combined:
+    """Co-training over a pool in memory. Each round hands over the share ``handed`` of the pool."""
+    pool = {"text": pool_text, "page": pool_page}
+    free = {view: np.ones(len(pool_text), bool) for view in VIEWS}
+
+    def surest(models: dict[str, Logistic], share: float) -> dict:
+        given = {}
+        for view in VIEWS:
+            other = _other(view)
             logits = models[view].logits(pool[view])
             order = np.argsort(logits, kind="stable")
             order = order[free[other][order]]
@@ -152,75 +183,139 @@ def cotrain(text: np.ndarray, page: np.ndarray, marks: np.ndarray, pool_text: np
             good = order[len(order) - int(handed * len(logits) * share) :]
             bad, good = bad[logits[bad] < 0], good[logits[good] > 0]
             free[other][bad] = free[other][good] = False
-            rows, guesses = extra[other]
-            extra[other] = (np.concatenate([rows, bad, good]),
-                            np.concatenate([guesses, np.zeros(len(bad)), np.ones(len(good))]))
-        models = {view: fitted(view) for view in own}
-    out = Combined(min(max(share, 1e-3), 1 - 1e-3), models["text"], models["page"])
-    weights = np.ones(check.sum())
-    out.text_scale = platt(models["text"].logits(text[check]), marks[check], weights)
-    out.page_scale = platt(models["page"].logits(page[check]), marks[check], weights)
-    return out
+            given[other] = (pool[other][np.concatenate([bad, good])],
+                            np.concatenate([np.zeros(len(bad)), np.ones(len(good))]))
+        return given
+
+    return _exchange({"text": text, "page": page}, marks, rounds if len(pool_text) else 0, surest)
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
-        text, page = _views(batch)
-        rows = [r.tobytes() for r in np.concatenate([text, page], axis=1).astype(np.float32)]
+        rows = np.zeros(batch.num_rows, ROW)
+        pages = zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars")), strict=True)
+        for i, (text, page) in enumerate(zip(batch.column("text"), pages, strict=True)):
+            features = text_features(text.as_py())
+            rows[i] = features[:WORDS], features[WORDS:], page_cells(*page)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("mark"), pa.array(rows, pa.binary())],
-            ["doc_id", "mark", "features"])
+            [batch.column("doc_id"), pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "features"])
 
 
 def _scored(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
-            text, page = _views(batch)
+        for batch in batches:
+            views = unpacked(_rows(batch.column("features")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array(s) for s in model.value.scores(text, page)]],
+                [batch.column("doc_id"), *[pa.array(s) for s in model.value.scores(views["text"], views["page"])]],
                 ["doc_id", "text_score", "page_score", "score"])
 
     return run
 
 
+def _first(rank: np.ndarray, keys: np.ndarray, features: np.ndarray, size: int) -> tuple:
+    """The ``size`` rows of lowest rank (then key), one of each key."""
+    order = np.lexsort((keys, rank))
+    _, one = np.unique(keys[order], return_index=True)
+    chosen = order[np.sort(one)][:size]
+    return rank[chosen], keys[chosen], features[chosen]
+
+
+def _surest(models: dict[str, Logistic], taken: dict[str, np.ndarray], sizes: tuple[int, int]):
+    """Of a task's rows those each view is surest of: ``sizes`` bad and good ones, none already handed over."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = {}
+        for batch in batches:
+            rows, keys = _rows(batch.column("features")), batch.column("key").to_numpy()
+            views = unpacked(rows)
+            for number, view in enumerate(VIEWS):
+                logits = models[view].logits(views[view])
+                fresh = ~np.isin(keys, taken[_other(view)])
+                for kind, size in enumerate(sizes):
+                    rank = -logits if kind else logits
+                    at = np.flatnonzero(fresh & (rank < 0))
+                    found = rank[at], keys[at], rows[at]
+                    if (number, kind) in best:
+                        found = tuple(map(np.concatenate, zip(best[number, kind], found, strict=True)))
+                    best[number, kind] = _first(*found, size)
+        for (number, kind), (rank, keys, rows) in best.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rank), number, np.int32)), pa.array(np.full(len(rank), kind, np.int32)),
+                 pa.array(rank.astype(np.float64)), pa.array(keys),
+                 pa.array([r.tobytes() for r in rows], pa.binary())],
+                ["view", "kind", "rank", "key", "features"])
+
+    return run
+
+
+def _handed(pool: DataFrame, models: dict[str, Logistic], taken: dict[str, np.ndarray], sizes: tuple[int, int]) -> dict:
+    """For each view the stored rows that the other one is surest of, with its guesses; notes them in ``taken``."""
+    best = cut(pool.mapInArrow(
+        _surest(models, taken, sizes), "view int, kind int, rank double, key long, features binary"), "surest")
+    given = {}
+    for number, view in enumerate(VIEWS):
+        other, rows, guesses = _other(view), [], []
+        for kind, size in enumerate(sizes):
+            part = best.where((F.col("view") == number) & (F.col("kind") == kind)).drop("view", "kind")
+            found = part.dropDuplicates(["key"]).orderBy("rank", "key").limit(size).toPandas()
+            rows += list(found["features"])
+            guesses += [kind] * len(found)
+            taken[other] = np.union1d(taken[other], found["key"].to_numpy(np.int64))
+        given[other] = np.frombuffer(b"".join(rows), ROW), np.array(guesses, np.float64)
+    discard(best)
+    return given
+
+
 def _columns(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"),
         F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int, pool_rows: int, rounds: int, handed: float,
-        seed: int) -> Combined:
-    rows = _columns(docs).where("doc_id IS NOT NULL")
+def featured(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every row's ``doc_id, features, key, mark`` (null where unlabelled), from files; texts are read once.
+
+    Only the rows of fixed size are shuffled for the labels; rows without an id stay where they are.
+    """
     marked = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("mark"))
         .where("doc_id IS NOT NULL AND mark IN (0, 1)").groupBy("doc_id")
         .agg(F.min("mark").alias("mark"), F.max("mark").alias("high")).where("mark = high").drop("high")
     )
-    known = rows.select("doc_id").join(marked, "doc_id", "left")
-    by_hash = [F.xxhash64("doc_id", F.lit(seed)), "doc_id"]
-    chosen = known.where("mark IS NOT NULL").distinct().orderBy(*by_hash).limit(fit_rows).union(
-        known.where("mark IS NULL").distinct().orderBy(*by_hash).limit(pool_rows))
-    chosen = cut(chosen, "chosen")
-    found = rows.join(F.broadcast(chosen), "doc_id").mapInArrow(
-        _featured, "doc_id long, mark int, features binary").dropDuplicates(["doc_id"]).toPandas()
-    found = found.sort_values("doc_id")
-    width = WORDS + 20
-    features = (np.stack([np.frombuffer(f, np.float32) for f in found["features"]]) if len(found)
-                else np.zeros((0, width + LANGS + SOURCES + SIZES), np.float32))
-    labelled = found["mark"].notna().to_numpy()
-    marks = found["mark"][labelled].to_numpy(np.float64)
+    rows = cut(_columns(docs).mapInArrow(_featured, "doc_id long, features binary")
+               .withColumn("key", F.xxhash64("features")), "rows")
+    known = rows.where("doc_id IS NOT NULL").join(marked, "doc_id", "left")
+    return cut(known.unionByName(rows.where("doc_id IS NULL").withColumn("mark", F.lit(None).cast("int"))), "featured")
+
+
+def fit(rows: DataFrame, fit_rows: int, pool_rows: int, rounds: int, handed: float, seed: int) -> Combined:
+    """The model of the rows that ``featured`` gives."""
+    chosen = (
+        rows.where("mark IS NOT NULL").groupBy("doc_id").agg(F.min("key").alias("key"))
+        .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(fit_rows)
+    )
+    found = rows.where("mark IS NOT NULL").join(F.broadcast(cut(chosen, "chosen")), ["doc_id", "key"]).select(
+        "doc_id", "mark", "features").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    marks = found["mark"].to_numpy(np.float64)
     if len(set(marks)) < 2:
         return Combined(float(marks.mean()) if len(marks) else 0.5)
-    text, page = features[:, :width], features[:, width:]
-    return cotrain(text[labelled], page[labelled], marks, text[~labelled], page[~labelled], rounds, handed)
+    pool = rows.where("mark IS NULL").select("key", "features")
+    each = min(handed * pool.count(), pool_rows / max(1, rounds))
+    taken = {view: np.zeros(0, np.int64) for view in VIEWS}
+
+    def surest(models: dict[str, Logistic], share: float) -> dict:
+        sizes = int(each * (1 - share)), int(each * share)
+        return {view: (unpacked(stored)[view], guesses)
+                for view, (stored, guesses) in _handed(pool, models, taken, sizes).items()}
+
+    return _exchange(unpacked(np.frombuffer(b"".join(found["features"]), ROW)), marks, rounds if each else 0, surest)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, fit_rows: int = FIT_ROWS,
                    pool_rows: int = POOL_ROWS, rounds: int = 4, handed: float = 0.05, seed: int = 3) -> DataFrame:
     """Per document ``doc_id, text_score, page_score, score, kept`` (scores: likelier good)."""
-    model = docs.sparkSession.sparkContext.broadcast(
-        fit(docs, labels, fit_rows, pool_rows, rounds, handed, seed))
-    return _columns(docs).mapInArrow(
+    rows = featured(docs, labels)
+    model = docs.sparkSession.sparkContext.broadcast(fit(rows, fit_rows, pool_rows, rounds, handed, seed))
+    return rows.select("doc_id", "features").mapInArrow(
         _scored(model), "doc_id long, text_score double, page_score double, score double"
     ).withColumn("kept", F.col("score") >= threshold)
