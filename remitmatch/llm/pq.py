@@ -38,6 +38,15 @@ SAMPLE_ROWS = 20_000
 BLOCK_ROWS = 1024
 
 
+def _in_range(x: np.ndarray) -> np.ndarray:
+    """``x``, times a power of two where its squares would leave the range of doubles; no cosine changes."""
+    with np.errstate(over="ignore", under="ignore"):
+        if 1e-280 < x @ x < 1e280:
+            return x
+        _, exponent = np.frexp(np.abs(x).max())
+        return np.ldexp(x, -exponent) + 0.0
+
+
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
@@ -45,10 +54,8 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vector = None
             if values and None not in values:
                 x = np.asarray(values, dtype=np.float64) + 0.0
-                with np.errstate(over="ignore"):
-                    norm = np.sqrt(x @ x)
-                if np.isfinite(x).all() and 0 < norm < np.inf:
-                    vector = x.tobytes()
+                if np.isfinite(x).all() and x.any():
+                    vector = _in_range(x).tobytes()
             out.append(vector)
         yield pa.RecordBatch.from_arrays(
             [batch.column("vec_id"), batch.column("label"), pa.array(out, pa.binary())],
@@ -207,7 +214,7 @@ def near_duplicates(
     ``n_links`` counts the other vectors with the same label and a cosine of at least ``cosine``;
     ``component_id`` is the smallest id reachable over links. Centroids and codebooks are fitted
     on ``sample_rows`` distinct vectors at most, taken by a hash of their ids; about one list
-    for ``list_rows`` vectors, ``most_lists`` at most.
+    for ``list_rows`` vectors of the largest label, ``most_lists`` at most.
     """
     if codes > 256:
         raise ValueError("a code is one byte: 256 codes at most")
@@ -224,7 +231,8 @@ def near_duplicates(
     fitted = {}
     for dim in dims:
         own = named.where(F.length("vector") == dim * 8)
-        total = own.count()
+        # only rows of one label meet in a list, so the largest label sets the number of lists
+        total = own.groupBy("label").count().agg(F.max("count")).first()[0]
         sample = own.orderBy(F.xxhash64("head", F.lit(seed)), "head", "vector").select("vector").limit(sample_rows).toPandas()
         lists = int(min(most_lists, max(1, total // list_rows), len(sample)))
         fitted[dim] = Quantiser(_units(sample["vector"]), lists, slices, codes, seed)

@@ -318,6 +318,16 @@ def test_vectors_odd_rows(spark, rows):
     assert got[4]["n_links"] == 1 and got[4]["kept"] and got[9]["n_links"] == 0
 
 
+def test_vectors_beyond_the_range_of_squares(spark, rows):
+    """Only zero and non-finite vectors are left out, however small or large the others are."""
+    table = [(1, [1.0, 2.0]), (2, [1e-200, 2e-200]), (3, [1e200, 2e200]), (4, [5e-324, 1e-323]), (5, [1e308, -1e308]),
+             (6, [1e-300, -1e-300]), (7, [0.0, -0.0]), (8, [1e200, 1.0]), (9, [3e-160, 0.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in table], "vec_id long, embedding array<double>, label int")
+    got = rows(pq.near_duplicates(df), "vec_id")
+    assert {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == {
+        1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (1, 5), 6: (1, 5), 7: (0, 7), 8: (1, 8), 9: (1, 8)}
+
+
 # --- the pipeline's stages on repeated and missing ids ------------------------------------------
 
 
