@@ -138,3 +138,27 @@ def test_no_resolutions_change_nothing(spark, tmp_path):
     outputs.merge_run(
         spark, outputs.results_rows(spark.sql(REPORT).limit(0), "e", "2024-01-02"), root, "2024-01-02", "e")
     assert state(spark, root) == before
+
+
+def test_a_new_run_is_written_once(spark, tmp_path, monkeypatch):
+    """Only a run that replaces its own files goes through files of its own; resolving joins all rows once."""
+    aside = []
+    monkeypatch.setattr(outputs, "written", lambda df, name, write=outputs.written: aside.append(name) or write(df, name))
+    root, report = str(tmp_path), spark.sql(REPORT)
+    for run_id, run_date in (("a", "2024-01-01"), ("b", "2024-01-08")):
+        outputs.merge_run(spark, outputs.results_rows(report, run_id, run_date), root, run_date, run_id)
+    assert aside == []
+    outputs.resolve_results(spark, root, resolution(spark, ids_of(spark, root, "a", "PMT-1"), "eve"))
+    assert aside == ["resolved"]
+    outputs.merge_run(spark, outputs.results_rows(report, "b", "2024-01-08"), root, "2024-01-08", "b")
+    assert aside == ["resolved", "merged"]
+    assert ("b", "PMT-1", True, "eve") in state(spark, root)
+
+
+def test_snapshots_start_from_one_reconciliation(spark, monkeypatch):
+    from remitmatch.harness import registry
+
+    kept = []
+    monkeypatch.setattr(registry, "written", lambda df, name, write=registry.written: kept.append(name) or write(df, name))
+    rows = registry.QUERIES["snapshot_roundtrip"](spark, "/root/testdata/sf0.001").count()
+    assert kept == ["review"] and rows > 0
