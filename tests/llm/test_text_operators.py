@@ -210,6 +210,20 @@ def test_toxicity_on_held_out_rows(spark, documents):
     assert hits > 0.9
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, documents, monkeypatch):
+    """Rows beyond one shard and long texts count too: all but every fifth are trained on."""
+    docs, labels, marks = labelled(spark, documents, "toxic")
+    docs = docs.withColumn("text", F.expr("CASE WHEN doc_id = 1 THEN concat(text, repeat(' w1', 80000)) ELSE text END"))
+    asked = labels.where("toxic IS NOT NULL AND crc32(CAST(doc_id AS STRING)) % 4 != 2").join(docs, "doc_id").count()
+    sizes, cuts = [], []
+    monkeypatch.setattr(toxicity, "cut", lambda df, name, cut=toxicity.cut: cuts.append(cut(df, name)) or cuts[-1])
+    monkeypatch.setattr(toxicity, "discard", lambda *frames, gone=toxicity.discard: (
+        sizes.extend([frames[0].count(), frames[1].agg(F.sum("n")).first()[0]]), gone(*frames)))
+    got = toxicity.toxicity_scores(docs, labels, shard_rows=90, epochs=25).collect()
+    assert sizes[0] == asked and asked / 6 < sizes[1] < asked / 3.5
+    assert area([(r.score, marks[r.doc_id]) for r in got if r.held_out]) > 0.95
+
+
 def test_toxicity_ignores_labels_of_held_out_rows(spark, documents):
     docs, labels, _ = labelled(spark, documents, "toxic", 200)
     flipped = labels.withColumn("toxic", F.expr(
