@@ -276,17 +276,17 @@ def fit(docs: DataFrame, labels: DataFrame, shard_rows: int, epochs: int, seed:
     found = None
     if total:
         place = F.xxhash64("doc_id", F.lit(seed))
-        rows = (
-            docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
-            .join(marked, "doc_id")
-            .mapInArrow(_numbered, "doc_id long, toxic int, lang string, numbers binary, words binary")
-            .dropDuplicates(["doc_id"])
-        )
+        rows = docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"),
+        ).join(marked, "doc_id")
         if total > shard_rows and len(shares) == 2:
             shards = -(-total // shard_rows)
             return _fit_in_shards(rows.withColumns({"place": place, "shard": F.pmod(place, F.lit(shards))}),
                                   epochs, seed, threshold)
-        ordered = rows.orderBy(place, "doc_id").limit(total).drop("doc_id")
+        ordered = (
+            rows.mapInArrow(_numbered, "doc_id long, toxic int, lang string, numbers binary, words binary")
+            .dropDuplicates(["doc_id"]).orderBy(place, "doc_id").limit(total).drop("doc_id")
+        )
         found = ordered.mapInArrow(_trained(shares, epochs, seed, threshold), "model binary").first()
     if found is None:
         net = Network(seed)
@@ -305,15 +305,14 @@ def _aside(marks: np.ndarray) -> np.ndarray:
 
 def _fit_in_shards(rows: DataFrame, epochs: int, seed: int, threshold: float) -> tuple[Network, dict[str | None, float]]:
     """The network trained on all rows, shard by shard, and its thresholds by language."""
-    rows = cut(rows, "toxicity_rows")
+    shards = cut(rows.groupBy("shard").applyInArrow(_packed, "n long, shard binary"), "toxicity_shards")
     context = rows.sparkSession.sparkContext
     net = Network(seed)
     size = -(-len(net.flat()) // PARTS)
     for epoch in range(epochs):
         start = context.broadcast(net.flat())
         means = (
-            rows.groupBy("shard").applyInArrow(
-                _epoch(start, seed + epoch, size), "part int, weight double, piece binary")
+            shards.mapInArrow(_epoch(start, seed + epoch, size), "part int, weight double, piece binary")
             .groupBy("part").applyInArrow(_mean, "part int, piece binary")
         ).collect()  # one network
         pieces = [np.frombuffer(r["piece"], "<f4") for r in sorted(means, key=lambda r: r["part"])]
@@ -322,7 +321,7 @@ def _fit_in_shards(rows: DataFrame, epochs: int, seed: int, threshold: float) ->
         start.unpersist()
     final = context.broadcast(net.flat())
     counts = (
-        rows.groupBy("shard").applyInArrow(_bins(final, seed), "lang string, toxic int, bin int")
+        shards.mapInArrow(_bins(final, seed), "lang string, toxic int, bin int")
         .groupBy("lang", "bin").agg(F.sum(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"))
     )
     counts = cut(counts, "toxicity_bins")
@@ -339,27 +338,40 @@ def _fit_in_shards(rows: DataFrame, epochs: int, seed: int, threshold: float) ->
     own = counts.where("coalesce(lang, '') <> ''").groupBy("lang").applyInArrow(
         _threshold(net.calibration, threshold), "lang string, threshold double")
     thresholds |= {r["lang"]: r["threshold"] for r in own.collect()}
-    discard(rows, counts)
+    discard(shards, counts)
     return net, thresholds
 
 
-def _shard(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, list]:
-    """A shard's texts, buckets, labels and languages, in the order of the ids' hash."""
-    table = table.sort_by([("place", "ascending"), ("doc_id", "ascending")])
-    texts, buckets = _joined(table.column("numbers").to_pylist(), table.column("words").to_pylist())
-    return texts, buckets, table.column("toxic").to_numpy().astype(np.float64), table.column("lang").to_pylist()
+def _packed(table: pa.Table) -> pa.Table:
+    """A shard as one row: its texts in numbers, buckets, labels and languages, by the ids' hash; one row per id."""
+    table = table.sort_by([(c, "ascending") for c in ("place", "doc_id", "text", "lang")])
+    ids = table.column("doc_id").to_numpy()
+    table = table.filter(pa.array(np.concatenate([[True], ids[1:] != ids[:-1]])))
+    vocabulary = Vocabulary()
+    texts = [vocabulary.numbers(text.as_py()) for text in table.column("text")]
+    marks = table.column("toxic").to_numpy().astype(np.float64)
+    shard = texts, np.array(vocabulary.buckets, "<u2"), marks, table.column("lang").to_pylist()
+    return pa.table({"n": [len(texts)], "shard": pa.array([pickle.dumps(shard)], pa.binary())})
+
+
+def _shards(batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        for row in batch.column("shard"):
+            texts, buckets, marks, spoken = pickle.loads(row.as_py())
+            yield texts, buckets.astype(np.int32), marks, spoken
 
 
 def _epoch(start, seed: int, size: int):
-    def run(table: pa.Table) -> pa.Table:
-        texts, buckets, marks, _ = _shard(table)
-        seen = np.flatnonzero(~_aside(marks))
-        flat = start.value
-        if len(seen):
-            flat = train([texts[i] for i in seen], marks[seen], buckets, seed, 1, least_steps=0, start=flat).flat()
-        pieces = [flat[k : k + size].astype("<f4").tobytes() for k in range(0, len(flat), size)]
-        return pa.table({"part": pa.array(range(len(pieces)), pa.int32()),
-                         "weight": pa.array([float(len(seen))] * len(pieces)), "piece": pa.array(pieces, pa.binary())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts, buckets, marks, _ in _shards(batches):
+            seen = np.flatnonzero(~_aside(marks))
+            flat = start.value
+            if len(seen):
+                flat = train([texts[i] for i in seen], marks[seen], buckets, seed, 1, least_steps=0, start=flat).flat()
+            pieces = [flat[k : k + size].astype("<f4").tobytes() for k in range(0, len(flat), size)]
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array(range(len(pieces)), pa.int32()), "weight": pa.array([float(len(seen))] * len(pieces)),
+                "piece": pa.array(pieces, pa.binary())})
 
     return run
 
@@ -382,15 +394,16 @@ def _logits(net: Network, texts: list[np.ndarray], buckets: np.ndarray, rows: np
 
 
 def _bins(final, seed: int):
-    def run(table: pa.Table) -> pa.Table:
-        texts, buckets, marks, spoken = _shard(table)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network(seed)
         net.load(final.value)
-        check = np.flatnonzero(_aside(marks))
-        logits = np.clip(_logits(net, texts, buckets, check), -100, 100)
-        return pa.table({"lang": pa.array([spoken[i] for i in check], pa.string()),
-                         "toxic": pa.array(marks[check].astype(np.int32)),
-                         "bin": pa.array(np.round(logits * FINE).astype(np.int32))})
+        for texts, buckets, marks, spoken in _shards(batches):
+            check = np.flatnonzero(_aside(marks))
+            logits = np.clip(_logits(net, texts, buckets, check), -100, 100)
+            yield pa.RecordBatch.from_pydict({
+                "lang": pa.array([spoken[i] for i in check], pa.string()),
+                "toxic": pa.array(marks[check].astype(np.int32)),
+                "bin": pa.array(np.round(logits * FINE).astype(np.int32))})
 
     return run
 
