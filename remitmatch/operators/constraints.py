@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _FOUND = "array<struct<constraint_name:string,domain:string,key:array<string>>>"
+# A number that keys are sorted by before they are compared: the names of tables all begin alike.
+_PLACE = "hash(domain, key) AS place"
 
 
 class Rules(NamedTuple):
@@ -62,23 +64,25 @@ def _row_findings(name: str, df: DataFrame, rules: Rules, tables: Mapping[str, D
         return None
     return df.selectExpr(
         f"'{name}' AS table_name", f"{own} AS row_key",
-        f"inline(array_compact(CAST(array({', '.join(found)}) AS {_FOUND})))")
+        f"inline(array_compact(CAST(array({', '.join(found)}) AS {_FOUND})))").selectExpr("*", _PLACE)
 
 
 def _keys(name: str, df: DataFrame, rules: Rules) -> DataFrame | None:
     if not rules.key or not set(rules.key) <= set(df.columns):
         return None
-    return df.where(_present(rules.key)).selectExpr(f"'{name}' AS domain", f"{_texts(rules.key)} AS key")
+    return df.where(_present(rules.key)).selectExpr(
+        f"'{name}' AS domain", f"{_texts(rules.key)} AS key").selectExpr("*", _PLACE)
 
 
 def violations(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules]) -> DataFrame:
     """``table_name, constraint_name, row_key`` of every broken constraint; a repeated key once."""
     union = lambda parts: reduce(DataFrame.unionByName, [p for p in parts if p is not None])
-    counted = union(_keys(n, df, rules[n]) for n, df in tables.items()).groupBy("domain", "key").agg(
+    counted = union(_keys(n, df, rules[n]) for n, df in tables.items()).groupBy("place", "domain", "key").agg(
         F.count("*").alias("n"))
     findings = union(_row_findings(n, df, rules[n], tables) for n, df in tables.items())
-    known = counted.select("domain", "key")
+    # an anti-join would be pushed into the union, and the keys sorted again for every table
+    known = counted.selectExpr("place", "domain", "key", "true AS known")
     repeated = counted.where("n > 1").selectExpr(
         "domain AS table_name", "concat('pk_', domain) AS constraint_name", "array_join(key, '|') AS row_key")
-    return findings.join(known, ["domain", "key"], "left_anti").select(
+    return findings.join(known, ["place", "domain", "key"], "left").where("known IS NULL").select(
         "table_name", "constraint_name", "row_key").unionByName(repeated)
