@@ -19,4 +19,4 @@ def test_references_are_joined_by_a_number_before_names_and_keys(spark):
     assert "(place#" in join, join
     assert sorted(map(tuple, found.collect())) == [
         ("children", "fk", "c2"), ("children", "fk", "c2"), ("children", "nn_children_c", ""),
-        ("parents", "pk_parents", "1|x")]
+        ("parents", "nn_parents_b", "2"), ("parents", "pk_parents", "1|x")]
