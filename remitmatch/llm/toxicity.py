@@ -7,7 +7,7 @@ every language a threshold is chosen on those same rows; the language is no inpu
 
 Training reads every labelled row that is not held out, whole. The texts are cut into bucket numbers where they are
 read. Up to ``shard_rows`` rows are trained on in one task. More are dealt by a hash of the id into shards of about
-that size: in every epoch each shard goes on from the common network, and the weighted mean of the shards'
+that size, where they meet their labels; a bit map of the labelled ids keeps most other texts out of that shuffle. In every epoch each shard goes on from the common network, and the weighted mean of the shards'
 networks, formed part by part, is the next one. Calibration and thresholds count every fifth row of each shard and class; their
 logits are counted in bins of 1 / ``FINE``. The model has a fixed size, whatever the input, and is broadcast; the driver gets
 the model and the bins only. Scoring is one pass over the documents without a shuffle; long texts are worked
@@ -41,6 +41,9 @@ _WORD = re.compile(r"\w+")
 _OFFSETS = sum(WIDTHS)
 _BLOCK = 1 << 15
 FINE, PARTS = 256, 64  # bins of a unit of the logit; pieces in which networks are averaged
+MAP_BITS = 1 << 25  # of the map of labelled ids; its size is fixed
+_CHUNK = 1 << 12  # rows of the embedding updated at a time, words whose vectors are summed at a time
+_CRC = np.array([zlib.crc32(bytes([i ^ 0xFF])) ^ 0xFF000000 for i in range(256)], dtype=np.uint32)  # step by a byte
 
 
 def tokens(text: str | None) -> list[str]:
@@ -56,22 +59,51 @@ def pieces(word: str) -> list[int]:
     ]
 
 
+def all_pieces(words: list[str]) -> np.ndarray:
+    """``pieces`` of many words: their checksums are worked out side by side, byte by byte."""
+    coded = [word.encode("utf-8", "surrogatepass") for word in words]
+    sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+    own = np.fromiter(map(zlib.crc32, coded), np.int64, len(coded)) % BUCKETS
+    out = np.repeat(own[:, None], PIECES, axis=1).astype(np.int32)
+    plain = sizes == np.fromiter(map(len, words), np.int64, len(words))
+    for rows, width in ((np.flatnonzero(plain), LONGEST), (np.flatnonzero(~plain), 4 * LONGEST)):
+        heads = np.zeros((len(rows), width + 1), dtype=np.uint8)
+        heads[:, :width] = np.array([coded[i] for i in rows], dtype=f"S{width}").view(np.uint8).reshape(-1, width)
+        begins = (heads & 0xC0) != 0x80  # also past the end
+        crc = np.full(len(rows), zlib.crc32(b"^") ^ 0xFFFFFFFF, dtype=np.uint32)
+        letters = np.zeros(len(rows), dtype=np.int64)
+        for at in range(width):
+            crc = _CRC[(crc ^ heads[:, at]) & 0xFF] ^ (crc >> 8)
+            letters += begins[:, at]
+            whole = np.flatnonzero(
+                (sizes[rows] > at) & begins[:, at + 1] & (letters >= SHORTEST) & (letters <= LONGEST))
+            out[rows[whole], letters[whole] - SHORTEST + 1] = (crc[whole] ^ 0xFFFFFFFF) % BUCKETS
+    return out
+
+
+class _Numbers(dict):
+    """Number of each word, given when the word is first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self) + 1
+        return number
+
+
 class Vocabulary:
     """Numbers words as they come; number 0 is the padding after a text."""
 
     def __init__(self) -> None:
-        self.index: dict[str, int] = {}
-        self.buckets: list[list[int]] = [[0] * PIECES]
+        self.index = _Numbers()
+
+    @property
+    def buckets(self) -> np.ndarray:
+        return np.concatenate([np.zeros((1, PIECES), dtype=np.int32), all_pieces(list(self.index))])
 
     def numbers(self, text: str | None) -> np.ndarray:
-        index, out = self.index, []
-        for word in tokens(text):
-            number = index.get(word)
-            if number is None:
-                number = index[word] = len(self.buckets)
-                self.buckets.append(pieces(word))
-            out.append(number)
-        return np.array(out + [0] * (max(WIDTHS) - 1 + (not out)), dtype=np.int32)
+        words = tokens(text)
+        out = np.zeros(len(words) + max(WIDTHS) - 1 + (not words), dtype=np.int32)
+        out[: len(words)] = np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))
+        return out
 
 
 class Network:
@@ -100,7 +132,13 @@ class Network:
             at += w.size
 
     def vectors(self, buckets: np.ndarray) -> np.ndarray:
-        out = self.embedding[buckets].mean(axis=1)
+        out = np.empty((len(buckets), DIM), dtype=np.float32)
+        for low in range(0, len(buckets), _CHUNK):
+            part, total = buckets[low : low + _CHUNK], out[low : low + _CHUNK]
+            total[...] = self.embedding[part[:, 0]]
+            for k in range(1, part.shape[1]):
+                total += self.embedding[part[:, k]]
+            total /= np.float32(part.shape[1])
         return out
 
     def answers(self, vectors: np.ndarray, first_is_padding: bool = True) -> np.ndarray:
@@ -118,12 +156,12 @@ class Network:
         where = np.zeros((len(WIDTHS), CHANNELS), dtype=np.int64)
         reach = max(WIDTHS) - 1
         for start in range(0, max(1, len(numbers) - reach), _BLOCK):
-            part = numbers[start : start + _BLOCK + reach]
+            part = answers[numbers[start : start + _BLOCK + reach]]
             n, offset = len(part) - reach, 0
             for w, width in enumerate(WIDTHS):
-                total = answers[part[:n], offset]
+                total = part[:n, offset]
                 for k in range(1, width):
-                    total = total + answers[part[k : n + k], offset + k]
+                    total = total + part[k : n + k, offset + k]
                 offset += width
                 at = total.argmax(axis=0)
                 top = total[at, np.arange(CHANNELS)]
@@ -132,6 +170,22 @@ class Network:
                 where[w][better] = at[better] + start
         return best, where
 
+    @staticmethod
+    def highest(answers: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Largest answer of each filter over the text, as ``pooled`` gives it."""
+        best = np.full((len(WIDTHS), CHANNELS), -np.inf, dtype=np.float32)
+        reach = max(WIDTHS) - 1
+        for start in range(0, max(1, len(numbers) - reach), _BLOCK):
+            part = answers[numbers[start : start + _BLOCK + reach]]
+            n, offset = len(part) - reach, 0
+            for w, width in enumerate(WIDTHS):
+                total = part[:n, offset]
+                for k in range(1, width):
+                    total = total + part[k : n + k, offset + k]
+                offset += width
+                np.maximum(best[w], total.max(axis=0), out=best[w])
+        return best
+
     def logit(self, best: np.ndarray) -> float:
         return float((np.maximum(best + self.bias, 0) * self.top).sum() + self.shift[0])
 
@@ -155,15 +209,23 @@ def train(texts: list[np.ndarray], labels: np.ndarray, buckets: np.ndarray, seed
     params = net.weights()
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
+    slopes = np.zeros_like(net.embedding)
+    place = np.zeros(len(buckets), dtype=np.int64)
     step = 0
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for low in range(0, len(order), batch):
             chosen = order[low : low + batch]
-            used, local = np.unique(np.concatenate([[0], *[texts[i] for i in chosen]]), return_inverse=True)
+            every = np.concatenate([[0], *[texts[i] for i in chosen]])
+            seen = np.zeros(len(buckets), dtype=bool)
+            seen[every] = True
+            used = np.flatnonzero(seen)
+            place[used] = np.arange(len(used))
+            local = place[every]
             vectors = net.vectors(buckets[used])
             answers = net.answers(vectors)
-            grads = [np.zeros_like(p) for p in params]
+            grads = [slopes, *(np.zeros_like(p) for p in params[1:])]
+            touched = np.zeros(0, dtype=np.int64)
             words, word_grads = [], []
             at = 1
             for i in chosen:
@@ -183,22 +245,41 @@ def train(texts: list[np.ndarray], labels: np.ndarray, buckets: np.ndarray, seed
                         hit = numbers[where[w][live] + k]
                         real = hit > 0
                         c, hit_words = live[real], hit[real]
-                        np.add.at(grads[1][offset + k].T, c, back[w][c][:, None] * vectors[hit_words])
+                        grads[1][offset + k].T[c] += back[w][c][:, None] * vectors[hit_words]
                         words.append(hit_words)
                         word_grads.append(back[w][c][:, None] * net.filters[offset + k][:, c].T)
                     offset += width
             if words:
                 hit_words = np.concatenate(words)
                 spread = np.repeat(np.concatenate(word_grads) / PIECES, PIECES, axis=0)
-                np.add.at(grads[0], buckets[used][hit_words].reshape(-1), spread)
+                touched = buckets[used[hit_words]].reshape(-1)
+                np.add.at(slopes, touched, spread)
             step += 1
-            for p, g, m, v in zip(params, grads, first, second, strict=True):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-7)
+            for arrays in zip(params, grads, first, second, strict=True):
+                for row in range(0, len(arrays[0]), _CHUNK):
+                    _adam(*(a[row : row + _CHUNK] for a in arrays), rate, step)
+            slopes[touched] = 0
     return net
 
 
+def _adam(p: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, rate: float, step: int) -> None:
+    """One step of Adam in place, on as many rows as the processor's cache holds."""
+    change = g - m
+    change *= 0.1
+    m += change
+    np.multiply(g, g, out=change)
+    change -= v
+    change *= 0.001
+    v += change
+    np.divide(v, 1 - 0.999**step, out=change)
+    np.sqrt(change, out=change)
+    change += 1e-7
+    move = m / (1 - 0.9**step)
+    move *= rate
+    move /= change
+    p -= move
+
+
 def platt(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
     """Slope and shift that fit the weighted log loss, by Newton's rounds with a small prior."""
     a, b = 1.0, 0.0
@@ -240,7 +321,7 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text").to_pylist():
             vocabulary = Vocabulary()
             numbers.append(vocabulary.numbers(text).astype("<u4").tobytes())
-            words.append(np.array(vocabulary.buckets, "<u2").tobytes())
+            words.append(vocabulary.buckets.astype("<u2").tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column(c) for c in ("doc_id", "toxic", "lang")] + [pa.array(numbers, pa.binary()), pa.array(words, pa.binary())],
             ["doc_id", "toxic", "lang", "numbers", "words"])
@@ -278,13 +359,13 @@ def fit(docs: DataFrame, labels: DataFrame, shard_rows: int, epochs: int, seed:
         place = F.xxhash64("doc_id", F.lit(seed))
         rows = docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"),
-        ).join(marked, "doc_id")
+        )
         if total > shard_rows and len(shares) == 2:
-            shards = -(-total // shard_rows)
-            return _fit_in_shards(rows.withColumns({"place": place, "shard": F.pmod(place, F.lit(shards))}),
-                                  epochs, seed, threshold)
+            shard = F.pmod(place, F.lit(-(-total // shard_rows)))
+            near = _perhaps_in(marked, rows).withColumns({"place": place, "shard": shard})
+            return _fit_in_shards(near, marked.withColumn("shard", shard), epochs, seed, threshold)
         ordered = (
-            rows.mapInArrow(_numbered, "doc_id long, toxic int, lang string, numbers binary, words binary")
+            rows.join(marked, "doc_id").mapInArrow(_numbered, "doc_id long, toxic int, lang string, numbers binary, words binary")
             .dropDuplicates(["doc_id"]).orderBy(place, "doc_id").limit(total).drop("doc_id")
         )
         found = ordered.mapInArrow(_trained(shares, epochs, seed, threshold), "model binary").first()
@@ -295,6 +376,23 @@ def fit(docs: DataFrame, labels: DataFrame, shard_rows: int, epochs: int, seed:
     return pickle.loads(found["model"])
 
 
+def _perhaps_in(marked: DataFrame, rows: DataFrame, bits: int = MAP_BITS) -> DataFrame:
+    """``rows`` without most of those whose id is not in ``marked``; none that is in it is left out.
+
+    The ids' hashes are marked in a bit map of fixed size, which is broadcast, so that texts without a label are not
+    shuffled. Where ids share a bit, too many rows stay; whoever joins them drops those.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    maps = marked.select(bit.alias("bit")).groupBy(F.expr("bit DIV 32768").alias("_map")).agg(
+        F.bitmap_construct_agg(F.col("bit") % 32768).alias("_bits"))
+    is_set = "shiftright(CAST(conv(hex(substring(_bits, CAST(_bit % 32768 DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), "\
+             "CAST(_bit % 8 AS INT)) & 1 = 1"
+    return (
+        rows.where("doc_id IS NOT NULL").withColumn("_bit", bit).withColumn("_map", F.expr("_bit DIV 32768"))
+        .join(F.broadcast(maps), "_map").where(is_set).select(*rows.columns)
+    )
+
+
 def _aside(marks: np.ndarray) -> np.ndarray:
     """Every fifth row of each class: not trained on, but used for calibration and thresholds."""
     unseen = np.zeros(len(marks), dtype=bool)
@@ -303,9 +401,12 @@ def _aside(marks: np.ndarray) -> np.ndarray:
     return unseen
 
 
-def _fit_in_shards(rows: DataFrame, epochs: int, seed: int, threshold: float) -> tuple[Network, dict[str | None, float]]:
-    """The network trained on all rows, shard by shard, and its thresholds by language."""
-    shards = cut(rows.groupBy("shard").applyInArrow(_packed, "n long, shard binary"), "toxicity_shards")
+def _fit_in_shards(rows: DataFrame, marked: DataFrame, epochs: int, seed: int,
+                   threshold: float) -> tuple[Network, dict[str | None, float]]:
+    """The network trained on all rows with a mark, shard by shard, and its thresholds by language."""
+    shards = cut(
+        rows.groupBy("shard").cogroup(marked.groupBy("shard")).applyInArrow(_packed, "n long, shard binary"),
+        "toxicity_shards")
     context = rows.sparkSession.sparkContext
     net = Network(seed)
     size = -(-len(net.flat()) // PARTS)
@@ -342,15 +443,22 @@ def _fit_in_shards(rows: DataFrame, epochs: int, seed: int, threshold: float) ->
     return net, thresholds
 
 
-def _packed(table: pa.Table) -> pa.Table:
+def _packed(rows: pa.Table, marked: pa.Table) -> pa.Table:
     """A shard as one row: its texts in numbers, buckets, labels and languages, by the ids' hash; one row per id."""
+    marked = marked.sort_by("doc_id")
+    ids, known = rows.column("doc_id").to_numpy(), marked.column("doc_id").to_numpy()
+    at = np.searchsorted(known, ids)
+    found = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == ids) if len(known) else at[:0]
+    if not len(found):
+        return pa.table({"n": pa.array([], pa.int64()), "shard": pa.array([], pa.binary())})
+    table = rows.take(pa.array(found)).append_column("toxic", marked.column("toxic").take(pa.array(at[found])))
     table = table.sort_by([(c, "ascending") for c in ("place", "doc_id", "text", "lang")])
     ids = table.column("doc_id").to_numpy()
     table = table.filter(pa.array(np.concatenate([[True], ids[1:] != ids[:-1]])))
     vocabulary = Vocabulary()
     texts = [vocabulary.numbers(text.as_py()) for text in table.column("text")]
     marks = table.column("toxic").to_numpy().astype(np.float64)
-    shard = texts, np.array(vocabulary.buckets, "<u2"), marks, table.column("lang").to_pylist()
+    shard = texts, vocabulary.buckets.astype("<u2"), marks, table.column("lang").to_pylist()
     return pa.table({"n": [len(texts)], "shard": pa.array([pickle.dumps(shard)], pa.binary())})
 
 
@@ -389,7 +497,7 @@ def _logits(net: Network, texts: list[np.ndarray], buckets: np.ndarray, rows: np
     out = []
     for i in rows:
         used, local = np.unique(np.concatenate([[0], texts[i]]), return_inverse=True)
-        out.append(net.logit(net.pooled(net.answers(net.vectors(buckets[used])), local[1:])[0]))
+        out.append(net.logit(net.highest(net.answers(net.vectors(buckets[used])), local[1:])))
     return out
 
 
@@ -470,8 +578,8 @@ def _scored(model):
             else:
                 vocabulary = Vocabulary()
                 numbers = [vocabulary.numbers(t) for t in texts]
-                answers = net.answers(net.vectors(np.array(vocabulary.buckets, dtype=np.int32)))
-                scores = net.score([net.logit(net.pooled(answers, n)[0]) for n in numbers]).tolist()
+                answers = net.answers(net.vectors(vocabulary.buckets))
+                scores = net.score([net.logit(net.highest(answers, n)) for n in numbers]).tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("lang"), pa.array(scores, pa.float64())],
                 ["doc_id", "lang", "score"])

@@ -224,6 +224,43 @@ def test_toxicity_learns_from_every_labelled_row(spark, documents, monkeypatch):
     assert area([(r.score, marks[r.doc_id]) for r in got if r.held_out]) > 0.95
 
 
+def test_toxicity_shuffles_no_text_without_label(spark, documents, monkeypatch):
+    """Only labelled texts reach the shards, in one shuffle, however large the labels are."""
+    docs, labels, marks = labelled(spark, documents, "toxic")
+    few = labels.where("doc_id % 3 = 0")
+    asked = few.where("toxic IS NOT NULL AND crc32(CAST(doc_id AS STRING)) % 4 != 2").join(docs, "doc_id").count()
+    plans, seen = [], []
+    monkeypatch.setattr(toxicity, "cut", lambda df, name, cut=toxicity.cut: plans.append(
+        (name, df._jdf.queryExecution().executedPlan().toString())) or cut(df, name))
+    real = toxicity._perhaps_in
+    monkeypatch.setattr(toxicity, "_perhaps_in", lambda *a: seen.append(real(*a).count()) or real(*a))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = toxicity.toxicity_scores(docs, few, shard_rows=60, epochs=2).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(got) == len(marks)
+    assert "SortMergeJoin" not in dict(plans)["toxicity_shards"]
+    assert asked <= seen[0] <= asked + 3
+
+
+def test_toxicity_map_of_ids_loses_none(spark, documents):
+    docs = documents([(i * 7919 - 5, "a") for i in range(300)] + [(None, "b")])
+    marked = docs.where("doc_id % 2 = 0").select("doc_id")
+    wanted = {r.doc_id for r in marked.collect()}
+    for bits in (1 << 25, 64):
+        kept = toxicity._perhaps_in(marked, docs, bits)
+        assert kept.columns == docs.columns
+        assert wanted <= {r.doc_id for r in kept.collect()}
+    assert {r.doc_id for r in toxicity._perhaps_in(marked, docs).collect()} == wanted
+
+
+def test_toxicity_pieces_of_many_words():
+    words = ["a", "ab", "abc", "abcdefghij", "\u00e9", "ab\u00e9", "abcdefg\u00e9h", "\u65e5\u672c\u8a9e" * 4, "\U0001d4b3" * 9, ""]
+    assert toxicity.all_pieces(words).tolist() == [toxicity.pieces(w) for w in words]
+
+
 def test_toxicity_ignores_labels_of_held_out_rows(spark, documents):
     docs, labels, _ = labelled(spark, documents, "toxic", 200)
     flipped = labels.withColumn("toxic", F.expr(
