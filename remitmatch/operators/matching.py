@@ -8,7 +8,7 @@ which the running net due reaches the payment.
 How it scales
 -------------
 Net dues are worked out once and written by their place in the ledger (customer, date, invoice_id);
-everything below starts from those files.
+everything below starts from those files. So are the running totals of crowded dates.
 
 Invoices are folded into one row per (customer, block of days), holding a sorted array of
 entries. A payment joins exactly one such row and works out everything from the array
@@ -29,9 +29,9 @@ empty and adaptive execution drops it while the job runs.
   themselves. A payment goes down by one join per level. Nodes are cut by rows, not by value, so a huge
   invoice fills no node, and the joins are many-to-one, so any number of payments that end at one
   invoice can be split.
-* The closest amount is found over a cover of the window by runs of 1, 2, 4, ... days. The
+* The closest amount is found over a cover of the deep days in the window by runs of 1, 8, 64, ... days. The
   groups it sorts are cut by day run and by amount; they hold each amount once, so their size is bounded by the
-  tolerance and the window.
+  tolerance and the window. A payment looks only where it sees deep days, and only what it finds goes on.
 """
 
 from __future__ import annotations
@@ -52,6 +52,7 @@ from remitmatch.operators.ledger import (
     running_in_chunks,
 )
 from remitmatch.operators.netting import invoice_net_due
+from remitmatch.session import written
 from remitmatch.settings import Settings
 
 INLINE_LIMIT = 8
@@ -100,12 +101,12 @@ def _bound(df: DataFrame, settings: Settings) -> DataFrame:
 
 
 # Exponents of the aligned day runs that fit into the longest look-back.
-SPANS = "sequence(0, length(bin(coalesce(_width, 1))) - 1)"
+SPANS = "sequence(0, length(bin(coalesce(_width, 1))) - 1, 3)"
 
 
 def _amount_slice(cents: str) -> str:
-    """Slice of an amount; payment +- tolerance never touches more than two of them."""
-    return f"floor(({cents}) / (2 * _widest + 1))"
+    """Slice of an amount; payment +- tolerance never touches more than two of them, mostly one."""
+    return f"floor(({cents}) / (4 * (2 * _widest + 1)))"
 
 
 def _place(span: str, node: str, part: str, value: str) -> str:
@@ -156,12 +157,14 @@ def _first_reaching(children: str, need: str) -> str:
     return f"array_min(filter({children}, c -> c.high >= {need}))"
 
 
-def _read_window(joined: DataFrame, settings: Settings) -> DataFrame:
+def _read_window(joined: DataFrame, settings: Settings, deep: bool = False) -> DataFrame:
     """Per payment and setting: count, sum, closest inline invoice and crossing entry.
 
     All of it in one generator, so the arrays are read where the join delivers them and
-    carried no further.
+    carried no further. With ``deep`` also ``deep_days``, the numbers of the deep days in the window.
     """
+    deep_days = """
+                'deep_days', transform(filter(entries_seen, e -> e.deep), e -> unix_date(e.day)),""" if deep else ""
     crossing = f"""
         aggregate(
             entries_seen,
@@ -192,7 +195,7 @@ def _read_window(joined: DataFrame, settings: Settings) -> DataFrame:
                     aggregate(entries_seen, 0L, (n, e) -> n + e.n) END,
                 'total', CASE WHEN size(entries_seen) > 0 THEN
                     aggregate(entries_seen, 0L, (total, e) -> total + coalesce(e.net, 0L)) END,
-                'closest', {closest},
+                'closest', {closest},{deep_days}
                 'cut', {crossing}))[0])"""
     payment = ["payment_id", "customer_id", "payment_date", "payment_amount", "cents"]
     return _bound(joined, settings).selectExpr(*payment, f"explode_outer({reading}) AS reading").selectExpr(
@@ -270,37 +273,42 @@ def _amounts(deep: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def _queries(partly: DataFrame, settings: Settings) -> DataFrame:
+    """The different look-ups of the payments that see deep days.
+
+    ``runs`` are the longest aligned day runs inside the window around each deep day; over all deep days
+    they hold every one of them once.
+    """
+    inside = """
+        shiftleft(shiftright(day, span), span) >= unix_date(payment_date) - days_window
+        AND shiftleft(shiftright(day, span) + 1, span) - 1 <= unix_date(payment_date)"""
+    runs = f"""
+        array_distinct(transform(
+            transform(deep_days, day -> struct(day, array_max(filter({SPANS}, span -> {inside})) AS span)),
+            run -> struct(run.span AS span, shiftright(run.day, run.span) AS node)))"""
+    return _bound(partly.where("size(deep_days) > 0"), settings).selectExpr(
+        *QUERY, "tolerance", "cents", f"{runs} AS runs", "unix_date(cut.day) AS day",
+        "cents - cut.before AS need", "cut.node AS node",
+    ).distinct()
+
+
 def _probes(queries: DataFrame, settings: Settings) -> DataFrame:
     """The groups in which each payment's closest amounts lie."""
-    # The aligned runs of 2**span days that lie inside [first, last] while the run twice
-    # as long does not: an odd first one and an even last one. Over all spans they make
-    # up the window exactly.
-    low = "shiftright(first + shiftleft(1, span) - 1, span)"
-    high = "shiftright(last + 1, span) - 1"
-    nodes = f"""
-        array_compact(array(
-            CASE WHEN {low} <= {high} AND {low} % 2 = 1 THEN {low} END,
-            CASE WHEN {low} <= {high} AND ({high}) % 2 = 0 THEN {high} END
-        ))"""
     slices = f"""
         array_distinct(array({_amount_slice('cents - tolerance')},
                              {_amount_slice('cents + tolerance')}))"""
     by_amount = f"""
-        flatten(transform({SPANS}, span -> flatten(transform({nodes}, node ->
-            transform({slices}, part -> {_place('span', 'node', 'part', 'cents')})))))"""
+        flatten(transform(runs, run ->
+            transform({slices}, part -> {_place('run.span', 'run.node', 'part', 'cents')})))"""
     return (
-        _bound(queries, settings).selectExpr(
-            *QUERY, "tolerance", "cents", "deep_cut", "_width", "_widest",
-            "unix_date(payment_date) AS last",
-            "unix_date(payment_date) - days_window AS first",
-        )
-        .selectExpr(*QUERY, "tolerance", "deep_cut", f"explode({by_amount}) AS place")
-        .selectExpr(*QUERY, "tolerance", "deep_cut", "place.*", "1 AS is_query")
+        _bound(queries, settings)
+        .selectExpr(*QUERY, "tolerance", f"explode({by_amount}) AS place")
+        .selectExpr(*QUERY, "tolerance", "place.*", "1 AS is_query")
     )
 
 
 def _deep_closest(queries: DataFrame, amounts: DataFrame, settings: Settings) -> DataFrame:
-    """``deep_closest``, the closest deep-day invoice within the tolerance, beside each query's ``deep_cut``.
+    """``deep_closest``, close deep-day invoices within the tolerance of each query, the closest among them.
 
     In each group payments and invoices are sorted together, so the neighbours of a
     payment are the last invoice seen on the way up and on the way down.
@@ -322,14 +330,9 @@ def _deep_closest(queries: DataFrame, amounts: DataFrame, settings: Settings) ->
             f"{neighbour.format(direction='DESC')} AS above",
         )
         .where("is_query = 1")
-        .groupBy(*QUERY)
-        .agg(
-            F.expr("first(deep_cut) AS deep_cut"),
-            F.expr(
-                f"min(least({candidate.format(side='below')}, {candidate.format(side='above')}))"
-                " AS deep_closest"
-            )
-        )
+        .selectExpr(
+            *QUERY, f"least({candidate.format(side='below')}, {candidate.format(side='above')}) AS deep_closest")
+        .where("deep_closest IS NOT NULL")
     )
 
 
@@ -360,8 +363,8 @@ def match_payments(
     days_window, tolerance_amount``) that the plan reads when it runs. With none, every payment
     comes out once with no eligible invoices. Ties for the closest amount go to the lowest
     invoice_id. ``deep_days=False`` reads every date inline and leaves out the look-up;
-    results are the same, but an array then holds all invoices of a crowded date. The net dues are
-    written to the shared folder while the plan is made; ``band_rows`` is the number of
+    results are the same, but an array then holds all invoices of a crowded date. The net dues and the crowded
+    dates' running totals are written to the shared folder while the plan is made; ``band_rows`` is the number of
     children of a node of the search tree (two at least).
 
     Columns: payment_id, customer_id, payment_date, payment_amount, scenario,
@@ -406,9 +409,10 @@ def match_payments(
     fan = max(2, band_rows)
     ledger = invoice_ledger(net, parts)
     crowded = ledger.groupBy(*DAY).agg(F.count("*").alias("day_n")).where(f"day_n > {inline_limit}")
-    rows = running_in_chunks(ledger.join(crowded, DAY))
-    chunks = chunk_totals(rows)
-    deep = _deep_rows(rows, chunks)
+    # What follows reads these in several places with different columns, so they are written once.
+    rows = written(running_in_chunks(ledger.join(crowded, DAY)), "crowded")
+    chunks = written(chunk_totals(rows), "chunks")
+    deep = written(_deep_rows(rows, chunks), "deep")
     root, *levels = _tree(deep, fan)
     days = day_totals(chunks).join(
         root.withColumn("invoice_date", F.date_from_unix_date("day")).drop("day"), DAY)
@@ -421,12 +425,14 @@ def match_payments(
         on_block,
         "left",
     )
-    partly = _read_window(joined.where("has_deep"), settings)
-    queries = partly.selectExpr(
-        *QUERY, "tolerance", "days_window", "cents", "unix_date(cut.day) AS day",
-        "cents - cut.before AS need", "cut.node AS node",
-    ).distinct()
-    found = _deep_closest(_deep_crossing(queries, levels), _amounts(deep, settings), settings)
+    partly = _read_window(joined.where("has_deep"), settings, deep=True)
+    queries = _queries(partly, settings)
+    crossed = _deep_crossing(
+        queries.where("node IS NOT NULL").select(*QUERY, "day", "need", "node"), levels).select(*QUERY, "deep_cut")
+    found = (
+        crossed.unionByName(_deep_closest(queries, _amounts(deep, settings), settings), allowMissingColumns=True)
+        .groupBy(*QUERY).agg(F.expr("first(deep_cut, true) AS deep_cut"), F.min("deep_closest").alias("deep_closest"))
+    )
     return shallow(joined.where("NOT coalesce(has_deep, false)")).unionByName(
         partly.join(found, QUERY, "left")
         .withColumn("closest", F.expr("least(closest, deep_closest)"))

@@ -7,6 +7,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
+from remitmatch.operators import matching
 from remitmatch.operators.ledger import DAY, chunk_totals, invoice_ledger, running_in_chunks
 from remitmatch.operators.matching import _deep_rows, _tree, has_deep_days
 from remitmatch.operators.netting import invoice_net_due
@@ -244,3 +245,36 @@ def test_an_empty_settings_table_finds_nothing(spark, edge):
     rows = recon_results(edge, active_relation(spark.createDataFrame([(2, 60, money(50))], STORED))).collect()
     assert len(rows) == 7
     assert {r.match_type for r in rows} == {"NO_INVOICES_IN_WINDOW"}
+
+
+def test_probes_only_where_deep_days_are(spark, monkeypatch):
+    """A payment that sees one or two crowded dates looks for amounts around those, not all over its window."""
+    start = day("2024-01-01")
+    flat = tables(
+        spark,
+        [(i, i % 20, start + datetime.timedelta(days=37 * (i // 20)), None, money(100 + i)) for i in range(80)],
+        [(i, i % 20, money(100 + i), start + datetime.timedelta(days=37 * (i // 20) + 5), None) for i in range(80)],
+    )
+    counted = []
+    real = matching._probes
+    monkeypatch.setattr(matching, "_probes", lambda *a: counted.append(real(*a).count()) or real(*a))
+    rows = recon_results(flat, [DEFAULT], inline_limit=0).collect()
+    assert len(rows) == 80 and {r.match_type for r in rows} == {"SINGLE_MATCH"}
+    assert counted[0] <= 80 * 2 * 2
+
+
+def test_runs_hold_each_deep_day_once(spark):
+    rng = random.Random(3)
+    seen = [sorted(rng.sample(range(19000 - 60, 19001), n)) for n in (1, 2, 9, 30, 61)] + [[]]
+    partly = spark.createDataFrame(
+        [(k, datetime.date(1970, 1, 1) + datetime.timedelta(days=19000), money(5), 0, 5000, 500, 60, days)
+         for k, days in enumerate(seen)],
+        "customer_id long, payment_date date, payment_amount decimal(18,2), setting_no int, tolerance long, cents long, "
+        "days_window int, deep_days array<int>",
+    ).selectExpr("*", f"CAST(NULL AS {matching.HIT}) AS cut")
+    got = {r.customer_id: r.runs for r in matching._queries(partly, [DEFAULT]).collect()}
+    assert set(got) == {0, 1, 2, 3, 4}
+    for k, runs in got.items():
+        held = [d for r in runs for d in range(r.node << r.span, (r.node + 1) << r.span)]
+        assert len(held) == len(set(held)) and set(seen[k]) <= set(held)
+        assert min(held) >= 19000 - 60 and max(held) <= 19000
