@@ -278,3 +278,11 @@ def test_runs_hold_each_deep_day_once(spark):
         held = [d for r in runs for d in range(r.node << r.span, (r.node + 1) << r.span)]
         assert len(held) == len(set(held)) and set(seen[k]) <= set(held)
         assert min(held) >= 19000 - 60 and max(held) <= 19000
+
+
+def test_crowded_rows_are_written_once(edge, monkeypatch):
+    """The running totals of crowded dates are worked out by jobs of their own, not again in each branch of the plan."""
+    names = []
+    monkeypatch.setattr(matching, "written", lambda df, name, real=matching.written: names.append(name) or real(df, name))
+    recon_results(edge, [DEFAULT], inline_limit=0)
+    assert names == ["crowded", "chunks", "deep"]
