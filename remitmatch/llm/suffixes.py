@@ -31,6 +31,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,7 @@ LENGTH, GRAM = 50, 16
 BLOCK = 1 << 18  # bytes worked on at a time
 SHALLOW, STEP = 16, 8
 STRETCH = np.uint64(4)  # anchors in a stretch, on average
+CHUNK, CROWD = 1 << 19, 1 << 20  # bytes of contexts sorted together, and of one anchor's
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -172,31 +174,45 @@ def _stretched(length: int, gram: int):
     return run
 
 
-def _sampled(length: int, gram: int):
-    """Rows ``anchor, stretch``: each anchor with a hash of the stretch it stands in."""
+def _anchored(length: int, gram: int):
+    """Rows ``anchor, stretch, doc_id``: each anchor of a text with a hash of the stretch it stands in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 2 << 20):
+            ids = _ids(batch)
             for s in scan(raw_bytes(batch.column("text")), length, gram):
                 start, stop = s.stretches()
-                own = ranges(s.sums, start, stop + length - 1).astype(np.int64)[s.stretch]
-                yield from _rows(["anchor", "stretch"], (s.hashes.astype(np.int64), own))
+                own = ranges(s.sums, start, stop + length - 1)[s.stretch]
+                _, one = np.unique(mix(s.hashes + mix(own + s.text.astype(np.uint64))), return_index=True)
+                yield from _rows(["anchor", "stretch", "doc_id"], (
+                    s.hashes[one].astype(np.int64), own[one].astype(np.int64), ids[s.text[one]]))
 
     return run
 
 
-def _placed(length: int, gram: int):
-    """Rows ``anchor, doc_id, place``."""
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``anchor, doc_id`` of anchors that stand in several stretches, with the first id of each stretch.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 2 << 20):
-            texts = raw_bytes(batch.column("text"))
-            zero, ids = _starts(texts), _ids(batch)
-            for s in scan(texts, length, gram):
-                place = (s.place + s.base - zero[s.text]).astype(np.int32)
-                yield from _rows(["anchor", "doc_id", "place"], (s.hashes.astype(np.int64), ids[s.text], place))
-
-    return run
+    The rows of ``_anchored`` come in the order of anchor, stretch and id; of what went before only the last stretch
+    is kept, and whether its anchor had another one.
+    """
+    last, met = [np.zeros(0, np.int64)] * 3, False
+    for batch in batches:
+        anchor, stretch, ids = (
+            np.concatenate([x, _ids(batch, c)]) for x, c in zip(last, ("anchor", "stretch", "doc_id"), strict=True))
+        if not len(anchor):
+            continue
+        again = anchor[1:] == anchor[:-1]
+        one = np.flatnonzero(np.append(True, ~again | (stretch[1:] != stretch[:-1])))
+        anchor, stretch, ids = anchor[one], stretch[one], ids[one]
+        again = anchor[1:] == anchor[:-1]
+        shared = np.append(again, False) | np.append(met, again)
+        if met:
+            shared |= anchor == anchor[0]
+        new = shared.copy()
+        new[0] &= not met  # given out with the batch before
+        yield from _rows(["anchor", "doc_id"], (anchor[new], ids[new]))
+        last, met = [anchor[-1:], stretch[-1:], ids[-1:]], bool(shared[-1])
 
 
 def _context_names(s: Scan, pick: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -212,6 +228,11 @@ def _marks(lists: list, zero: np.ndarray) -> np.ndarray:
     return np.sort(np.concatenate([np.asarray(x, np.int64) for x in lists]) + np.repeat(zero, sizes))
 
 
+def _mark(d1: np.ndarray, d2: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """One number for a name and the text it stands in."""
+    return mix(d1.view(np.uint64) + mix(d2.view(np.uint64) + owner.astype(np.uint64)))
+
+
 def _found(values: np.ndarray, sorted_values: np.ndarray) -> np.ndarray:
     at = np.searchsorted(sorted_values, values)
     at[at == len(sorted_values)] = 0
@@ -219,6 +240,7 @@ def _found(values: np.ndarray, sorted_values: np.ndarray) -> np.ndarray:
 
 
 CONTEXT = "anchor long, d1 long, d2 long, doc_id long, lead int, context binary"
+SETTLED = CONTEXT + ", bits long"  # a repeat (no context), or a context that is still to be judged
 
 
 def _contexts(length: int, gram: int):
@@ -228,13 +250,15 @@ def _contexts(length: int, gram: int):
         for batch in small_batches(batches, "text", 2 << 20):
             texts = raw_bytes(batch.column("text"))
             zero, ids = _starts(texts), _ids(batch)
-            wanted = _marks(batch.column("places").to_pylist(), zero)
+            lists = batch.column("anchors")
+            owner = np.repeat(np.arange(len(texts), dtype=np.uint64), pc.list_value_length(lists).to_numpy())
+            wanted = np.sort(mix(lists.flatten().to_numpy().view(np.uint64) + mix(owner)))
             firsts = _marks(batch.column("firsts").to_pylist(), zero)
             for s in scan(texts, length, gram):
                 own = _found(s.stretches()[0] + s.base, firsts)[s.stretch]
-                pick = np.flatnonzero(own & _found(s.place + s.base, wanted))
+                pick = np.flatnonzero(own & _found(mix(s.hashes + mix(s.text.astype(np.uint64))), wanted))
                 d1, d2 = _context_names(s, pick, length)
-                _, one = np.unique(np.stack([d1, d2, s.text[pick]]), axis=1, return_index=True)
+                _, one = np.unique(_mark(d1, d2, s.text[pick]), return_index=True)
                 pick, d1, d2 = pick[one], d1[one], d2[one]
                 data = s.data.tobytes()
                 bodies = [data[a : b + length] for a, b in
@@ -248,31 +272,34 @@ def _contexts(length: int, gram: int):
 
 def _sides(length: int, gram: int):
     """For each context the strings that two equal windows must share left or right of the anchor."""
-    reach = (length - gram + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "context", 1 << 19):
-            lead = batch.column("lead").to_numpy()
             bodies = batch.column("context").to_pylist()
-            each = np.array([len(b) for b in bodies], np.int64)
-            data = np.frombuffer(b"".join(bodies), np.uint8)
-            anchor = np.cumsum(each) - each + lead
-            parts = []
-            for side, (start, stop, fits) in enumerate((
-                (anchor - reach, anchor + gram, lead >= reach),
-                (anchor, anchor + gram + reach, lead + gram + reach <= each),
-            )):
-                own = np.flatnonzero(fits)
-                s1, s2 = _twin(data, start[own], stop[own])
+            for side, (own, s1, s2) in enumerate(_side_names(bodies, _ids(batch, "lead"), length, gram)):
                 at = pa.array(own, pa.int64())
-                parts.append(pa.RecordBatch.from_arrays(
+                yield pa.RecordBatch.from_arrays(
                     [pa.array(s1), pa.array(s2), batch.column("d1").take(at), batch.column("d2").take(at),
-                     pa.array(np.full(len(own), side), pa.int32())], ["s1", "s2", "d1", "d2", "side"]))
-            yield from parts
+                     pa.array(np.full(len(own), side), pa.int32())], ["s1", "s2", "d1", "d2", "side"])
 
     return run
 
 
+def _side_names(bodies: list[bytes], lead: np.ndarray, length: int, gram: int) -> Iterator[tuple]:
+    """Left, then right: the contexts that reach far enough, and 128-bit hashes of their strings."""
+    reach = (length - gram + 1) // 2
+    each = np.array([len(b) for b in bodies], np.int64)
+    data = np.frombuffer(b"".join(bodies), np.uint8)
+    anchor = np.cumsum(each) - each + lead
+    sums = rolling(data)
+    for start, stop, fits in (
+        (anchor - reach, anchor + gram, lead >= reach),
+        (anchor, anchor + gram + reach, lead + gram + reach <= each),
+    ):
+        own = np.flatnonzero(fits)
+        yield own, *_twin(data, start[own], stop[own], sums)
+
+
 # --- deep-shallow sorting -----------------------------------------------------------------
 
 
@@ -378,23 +405,28 @@ def sorted_repeats(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(order), np.concatenate(begins)
 
 
-def _windows(batch: pa.RecordBatch, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The windows of the contexts' open sides: bytes, the context's row, number in the context."""
+def _spots(bodies: list[bytes], lead: np.ndarray, sides: np.ndarray, length: int, gram: int) -> tuple:
+    """The windows of the contexts' open sides: bytes of all contexts, where each window begins in them, the
+    context's row, number in the context."""
     reach = (length - gram + 1) // 2
-    bodies = batch.column("context").to_pylist()
-    lead, sides = _ids(batch, "lead").astype(np.int64), _ids(batch, "sides")
     count = np.array([len(b) - length + 1 for b in bodies], np.int64)
     owner = np.repeat(np.arange(len(bodies)), count)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    before = lead[owner] - number  # bytes of each window before the anchor
+    before = lead.astype(np.int64)[owner] - number  # bytes of each window before the anchor
     open_ = (sides[owner] & 1 > 0) & (before >= reach)
     open_ |= (sides[owner] & 2 > 0) & (length - gram - before >= reach)
     owner, number = owner[open_], number[open_]
+    start = np.cumsum(count + length - 1) - (count + length - 1)
+    return np.frombuffer(b"".join(bodies), np.uint8), start[owner] + number, owner, number
+
+
+def _windows(batch: pa.RecordBatch, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same with the windows' bytes as rows of a matrix."""
+    data, spot, owner, number = _spots(
+        batch.column("context").to_pylist(), _ids(batch, "lead"), _ids(batch, "sides"), length, gram)
     if not len(owner):
         return np.zeros((0, length), np.uint8), owner, number
-    data = np.frombuffer(b"".join(bodies), np.uint8)
-    start = np.cumsum(count + length - 1) - (count + length - 1)
-    return sliding_window_view(data, length)[start[owner] + number], owner, number
+    return sliding_window_view(data, length)[spot], owner, number
 
 
 def _row_hashes(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -433,6 +465,95 @@ def _named_windows(length: int, gram: int):
     return run
 
 
+def _judged(length: int, gram: int, crowd: int):
+    """Rows of ``SETTLED`` from the contexts, which come in the order of their anchors.
+
+    Equal windows name equal anchors, so all contexts of an anchor that a window can be repeated in are here. Those of an
+    anchor with more than ``crowd`` bytes of them are handed on as they are.
+    """
+    columns = [c.split(" ")[0] for c in CONTEXT.split(", ")]
+
+    def rest(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in columns), pa.nulls(part.num_rows, pa.int64())], [*columns, "bits"])
+
+    def hits(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(parts).combine_chunks().to_batches()
+        for batch in rows:
+            pick, bits = _hits(batch, length, gram)
+            at, none = pa.array(pick), pa.nulls(len(pick))
+            yield pa.RecordBatch.from_arrays([
+                none.cast(pa.int64()), *(batch.column(c).take(at) for c in ("d1", "d2", "doc_id")),
+                none.cast(pa.int32()), none.cast(pa.binary()), pa.array(bits, mask=bits == -1)], [*columns, "bits"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole: list[pa.RecordBatch] = []
+        last: list[pa.RecordBatch] = []  # of the last anchor, which may go on
+        name, crowded = None, False
+        for batch in batches:
+            anchors = _ids(batch, "anchor")
+            if not len(anchors):
+                continue
+            same = int(np.searchsorted(anchors, name, "right")) if name is not None else 0
+            tail = int(np.searchsorted(anchors, anchors[-1]))
+            if same:
+                last.append(batch.slice(0, same))
+            if same < len(anchors):
+                if crowded:
+                    yield from rest(last)
+                    last = []
+                whole += [*last, batch.slice(same, tail - same)]
+                last, name, crowded = [batch.slice(tail)], anchors[-1], False
+            crowded = crowded or sum(x.nbytes for x in last) > crowd
+            if crowded:
+                yield from rest(last)
+                last = []
+            if sum(x.nbytes for x in whole) > CHUNK:
+                yield from hits(whole)
+                whole = []
+        if whole or last:
+            yield from hits(whole + last)
+
+    return run
+
+
+def _hits(batch: pa.RecordBatch, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of contexts that hold repeats, and which windows are (-1: all). All contexts of each anchor are given."""
+    anchor, d1, d2, ids, lead = (_ids(batch, c) for c in ("anchor", "d1", "d2", "doc_id", "lead"))
+    order = np.lexsort((ids, d2, d1, anchor))
+    new = np.append(True, np.any([x[order][1:] != x[order][:-1] for x in (anchor, d1, d2)], axis=0))
+    head = order[np.flatnonzero(new)]  # of each class, in its smallest id
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    low = ids[head]
+    mask = np.zeros(len(head), np.int64)
+    another = anchor[head][1:] == anchor[head][:-1]
+    rival = np.flatnonzero(np.append(False, another) | np.append(another, False))
+    bodies = batch.column("context").take(pa.array(head[rival])).to_pylist()
+    lead = lead[head[rival]]
+    names = [(own, _mark(s1, s2, np.zeros(len(s1)))) for own, s1, s2 in _side_names(bodies, lead, length, gram)]
+    _, which, count = np.unique(np.concatenate([x for _, x in names]), return_inverse=True, return_counts=True)
+    met = count[which] > 1
+    sides = np.zeros(len(rival), np.int64)
+    for side, (own, found) in enumerate(zip((x for x, _ in names), np.split(met, [len(names[0][0])]), strict=True)):
+        sides[own[found]] |= 1 << side
+    data, spot, owner, number = _spots(bodies, lead, sides, length, gram)
+    name = ranges(rolling(data), spot, spot + length)
+    _, which, count = np.unique(name, return_inverse=True, return_counts=True)
+    twice = np.flatnonzero(count[which] > 1)  # others are no repeats
+    if len(twice):
+        # equal hashes only name candidates; the sort tells which bytes are equal
+        owner, number = rival[owner[twice]], number[twice]
+        order, begins = sorted_repeats(sliding_window_view(data, length)[spot[twice]])
+        least = np.minimum.reduceat(low[owner[order]], begins)
+        later = order[low[owner[order]] > np.repeat(least, np.diff(np.append(begins, len(order))))]
+        np.bitwise_or.at(mask, owner[later], np.int64(1) << number[later])
+    bits = np.where(ids > low[kind], -1, mask[kind])
+    pick = np.flatnonzero(bits)
+    return pick, bits[pick]
+
+
 # --- spans --------------------------------------------------------------------------------
 
 
@@ -443,7 +564,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
         F.octet_length(text).cast("long").alias("n_bytes"))
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """What each document that loses bytes has repeated: ``doc_id, key, copied, judged``.
 
     ``copied`` lists starts of stretches that are repeats throughout, ``judged`` names of contexts with
@@ -466,23 +587,35 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     discard(stretched, first)
     release(spark)
 
-    shared = cut(
-        texts.select("text").mapInArrow(_sampled(length, gram), "anchor long, stretch long")
-        .groupBy("anchor").agg(F.min("stretch").alias("low"), F.max("stretch").alias("high"))
-        .where("low != high").select("anchor"), "shared")
-    release(spark)
     wanted = cut(
-        bare.mapInArrow(_placed(length, gram), "anchor long, doc_id long, place int")
-        .join(shared.hint("shuffle_hash"), "anchor").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-        .join(firsts, "doc_id"), "wanted")
-    discard(shared, firsts)
+        bare.mapInArrow(_anchored(length, gram), "anchor long, stretch long, doc_id long")
+        .repartition("anchor").sortWithinPartitions("anchor", "stretch", "doc_id")
+        .mapInArrow(_shared, "anchor long, doc_id long")
+        .groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors")).join(firsts, "doc_id"), "wanted")
+    discard(firsts)
     release(spark)
-    contexts = cut(
-        bare.join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "places", "firsts")
-        .mapInArrow(_contexts(length, gram), CONTEXT), "contexts")
+    settled = cut(
+        bare.join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "anchors", "firsts")
+        .mapInArrow(_contexts(length, gram), CONTEXT)
+        .repartition("anchor").sortWithinPartitions("anchor")
+        .mapInArrow(_judged(length, gram, crowd), SETTLED), "settled")
     discard(wanted)
     release(spark)
+    found = settled.where("context IS NULL").select("doc_id", "d1", "d2", "bits")
+    crowded = settled.where("context IS NOT NULL").drop("bits")
+    if not crowded.isEmpty():
+        found = found.unionByName(_crowded_hits(crowded, length, gram))
+    hits = cut(found.groupBy("doc_id").agg(F.collect_set(F.struct("d1", "d2", "bits").alias("hit")).alias("judged")), "hits")
+    discard(settled)
+    release(spark)
+    keys = texts.select("doc_id", "key").distinct()
+    return keys.join(copied, ["doc_id", "key"], "left").join(hits, "doc_id", "left").where(
+        "copied IS NOT NULL OR judged IS NOT NULL")
 
+
+def _crowded_hits(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Rows ``doc_id, d1, d2, bits`` as ``_judged`` gives them, of anchors with too many contexts for one task."""
+    spark = contexts.sparkSession
     name = ["d1", "d2"]
     classes = cut(contexts.groupBy("anchor", *name).agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")), "classes")
@@ -516,16 +649,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
                  .select(*name, "low", "mask"), "judged")
     discard(classes, open_, earliest)
     release(spark)
-    hits = cut(
-        contexts.select(*name, "doc_id").join(judged, name).where("doc_id > low OR mask IS NOT NULL")
-        .select("doc_id", F.struct(
-            *name, F.when(F.col("doc_id") == F.col("low"), F.col("mask")).alias("bits")).alias("hit"))
-        .groupBy("doc_id").agg(F.collect_set("hit").alias("judged")), "hits")
-    discard(contexts, judged)
-    release(spark)
-    keys = texts.select("doc_id", "key").distinct()
-    return keys.join(copied, ["doc_id", "key"], "left").join(hits, "doc_id", "left").where(
-        "copied IS NOT NULL OR judged IS NOT NULL")
+    return contexts.select(*name, "doc_id").join(judged, name).where("doc_id > low OR mask IS NOT NULL").select(
+        "doc_id", *name, F.when(F.col("doc_id") == F.col("low"), F.col("mask")).alias("bits"))
 
 
 def removed(texts: list[bytes], copied: list, judged: list, length: int, gram: int) -> tuple[list, list]:
@@ -547,14 +672,14 @@ def _removed(texts: list[bytes], copied: list, judged: list, length: int, gram:
     flat = [h for j in judged for h in j or ()]
     d1, d2 = (np.array([h[k] for h in flat], np.int64) for k in ("d1", "d2"))
     bits = np.array([-1 if h["bits"] is None else h["bits"] for h in flat], np.int64)
-    mark = mix(d1.view(np.uint64) + mix(d2.view(np.uint64) + owner.astype(np.uint64)))
+    mark = _mark(d1, d2, owner)
     order = np.argsort(mark)
     mark, bits = mark[order], bits[order]
     spots = [np.zeros(0, np.int64)]
     for s in scan(texts, length, gram):
         whole = _found(s.stretches()[0] + s.base, copies)[s.stretch]
         d1, d2 = _context_names(s, np.arange(len(s.hashes)), length)
-        own = mix(d1.view(np.uint64) + mix(d2.view(np.uint64) + s.text.astype(np.uint64)))
+        own = _mark(d1, d2, s.text)
         at = np.searchsorted(mark, own)
         at[at == len(mark)] = 0
         mask = np.where(mark[at] == own, bits[at], 0) if len(mark) else np.zeros(len(own), np.int64)
@@ -598,10 +723,10 @@ def _digested(length: int, gram: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """Per document ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
     joined = _keyed(docs).join(
-        cut(repeats(docs, length, gram), "repeats").hint("merge"), ["doc_id", "key"], "left")
+        cut(repeats(docs, length, gram, crowd), "repeats").hint("merge"), ["doc_id", "key"], "left")
     return joined.select("doc_id", "n_bytes", "text", "copied", "judged").mapInArrow(
         _digested(length, gram),
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,6 +195,45 @@ def test_repeats_equal_brute_force(documents, seed):
     assert sorted([tuple(r) for r in got], key=str) == brute_repeats(texts)
 
 
+@pytest.mark.parametrize("crowd", [0, 400, 1 << 20])
+def test_repeats_of_anchors_over_several_batches(spark, documents, crowd):
+    """Anchors cut at batch borders, and anchors with too many contexts for one task."""
+    texts = repeat_texts(3)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = spark.conf.get(name)
+    spark.conf.set(name, 3)
+    try:
+        got = suffixes.remove_repeats(documents(texts), crowd=crowd).collect()
+    finally:
+        spark.conf.set(name, rows)
+    assert sorted([tuple(r) for r in got], key=str) == brute_repeats(texts)
+
+
+def test_repeats_shuffle_anchors_once_and_no_windows(documents, monkeypatch):
+    """Contexts meet by anchor and are judged there: windows are only shuffled for crowded anchors."""
+    texts, plans = repeat_texts(4), {}
+    monkeypatch.setattr(suffixes, "cut", lambda df, name, cut=suffixes.cut: plans.update(
+        {name: df._jdf.queryExecution().executedPlan().toString()}) or cut(df, name))
+    got = suffixes.remove_repeats(documents(texts)).collect()
+    assert sorted([tuple(r) for r in got], key=str) == brute_repeats(texts)
+    assert not {"shared", "earliest", "masks"} & set(plans)
+    assert plans["settled"].count("hashpartitioning(anchor") == plans["wanted"].count("hashpartitioning(anchor") == 1
+
+
+def test_shared_anchors_do_not_depend_on_batches():
+    rng = np.random.default_rng(5)
+    rows = np.unique(rng.integers(0, (40, 4, 9), (400, 3)), axis=0)  # anchor, stretch, id, in this order
+    first = {}
+    for anchor, stretch, i in rows.tolist():
+        first.setdefault(anchor, {}).setdefault(stretch, i)
+    want = sorted((a, i) for a, found in first.items() if len(found) > 1 for i in found.values())
+    for size in (1, 2, 7, 400):
+        batches = [pa.record_batch([pa.array(c) for c in part.T], ["anchor", "stretch", "doc_id"])
+                   for part in np.split(rows, range(size, len(rows), size))]
+        got = [tuple(r.values()) for b in suffixes._shared(iter(batches)) for r in b.to_pylist()]
+        assert sorted(got) == want
+
+
 def test_repeats_odd_rows(documents, rows):
     line = "the same line of more than fifty bytes stands in all of these documents"
     texts = [(None, line), (2, line), (2, line), (5, line + " and more"), (2, line + "!"), (7, line)]
