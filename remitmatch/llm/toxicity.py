@@ -29,10 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitmatch.llm.common import cut, discard, mix, small_batches
+from remitmatch.llm.common import cut, discard, give_back, mix, small_batches
 
 BUCKETS, DIM, CHANNELS, WIDTHS = 1 << 16, 16, 12, (1, 2, 3)
 SHORTEST, LONGEST = 3, 8  # prefixes
@@ -43,6 +44,7 @@ _BLOCK = 1 << 15
 FINE, PARTS = 256, 64  # bins of a unit of the logit; pieces in which networks are averaged
 MAP_BITS = 1 << 25  # of the map of labelled ids; its size is fixed
 _CHUNK = 1 << 12  # rows of the embedding updated at a time, words whose vectors are summed at a time
+SHARD = "n long, sizes binary, numbers binary, words binary, marks binary, langs array<string>"
 _CRC = np.array([zlib.crc32(bytes([i ^ 0xFF])) ^ 0xFF000000 for i in range(256)], dtype=np.uint32)  # step by a byte
 
 
@@ -97,7 +99,9 @@ class Vocabulary:
 
     @property
     def buckets(self) -> np.ndarray:
-        return np.concatenate([np.zeros((1, PIECES), dtype=np.int32), all_pieces(list(self.index))])
+        words = list(self.index)
+        parts = [all_pieces(words[low : low + _CHUNK]) for low in range(0, len(words), _CHUNK)]
+        return np.concatenate([np.zeros((1, PIECES), dtype=np.int32), *parts])
 
     def numbers(self, text: str | None) -> np.ndarray:
         words = tokens(text)
@@ -405,7 +409,7 @@ def _fit_in_shards(rows: DataFrame, marked: DataFrame, epochs: int, seed: int,
                    threshold: float) -> tuple[Network, dict[str | None, float]]:
     """The network trained on all rows with a mark, shard by shard, and its thresholds by language."""
     shards = cut(
-        rows.groupBy("shard").cogroup(marked.groupBy("shard")).applyInArrow(_packed, "n long, shard binary"),
+        rows.groupBy("shard").cogroup(marked.groupBy("shard")).applyInArrow(_packed, SHARD),
         "toxicity_shards")
     context = rows.sparkSession.sparkContext
     net = Network(seed)
@@ -444,29 +448,52 @@ def _fit_in_shards(rows: DataFrame, marked: DataFrame, epochs: int, seed: int,
 
 
 def _packed(rows: pa.Table, marked: pa.Table) -> pa.Table:
-    """A shard as one row: its texts in numbers, buckets, labels and languages, by the ids' hash; one row per id."""
+    """A shard as one row: its texts in numbers, buckets, labels and languages, by the ids' hash; one row per id.
+
+    The rows are put in order by their places only, so that the texts are in memory once.
+    """
     marked = marked.sort_by("doc_id")
-    ids, known = rows.column("doc_id").to_numpy(), marked.column("doc_id").to_numpy()
+    known = marked.column("doc_id").to_numpy()
+    order = pc.sort_indices(rows, [(c, "ascending") for c in ("place", "doc_id", "text", "lang")]).to_numpy()
+    ids = rows.column("doc_id").to_numpy()[order]
     at = np.searchsorted(known, ids)
-    found = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == ids) if len(known) else at[:0]
+    one = np.append(True, ids[1:] != ids[:-1])[: len(ids)]
+    found = np.flatnonzero(one & (known[np.minimum(at, len(known) - 1)] == ids)) if len(known) else at[:0]
     if not len(found):
-        return pa.table({"n": pa.array([], pa.int64()), "shard": pa.array([], pa.binary())})
-    table = rows.take(pa.array(found)).append_column("toxic", marked.column("toxic").take(pa.array(at[found])))
-    table = table.sort_by([(c, "ascending") for c in ("place", "doc_id", "text", "lang")])
-    ids = table.column("doc_id").to_numpy()
-    table = table.filter(pa.array(np.concatenate([[True], ids[1:] != ids[:-1]])))
-    vocabulary = Vocabulary()
-    texts = [vocabulary.numbers(text.as_py()) for text in table.column("text")]
-    marks = table.column("toxic").to_numpy().astype(np.float64)
-    shard = texts, vocabulary.buckets.astype("<u2"), marks, table.column("lang").to_pylist()
-    return pa.table({"n": [len(texts)], "shard": pa.array([pickle.dumps(shard)], pa.binary())})
+        return pa.table([[]] * 6, pa.schema([
+            ("n", pa.int64()), *((c, pa.binary()) for c in ("sizes", "numbers", "words", "marks")),
+            ("langs", pa.list_(pa.string()))]))
+    marks = marked.column("toxic").to_numpy()[at[found]].astype(np.float64)
+    vocabulary, column = Vocabulary(), rows.column("text")
+    texts = [vocabulary.numbers(column[i].as_py()) for i in order[found].tolist()]
+    spoken = rows.column("lang").take(pa.array(order[found])).combine_chunks().cast(pa.string())
+    del rows, column
+    sizes = np.array([len(x) for x in texts], dtype="<i8")
+    numbers, words = np.concatenate(texts), vocabulary.buckets.astype("<u2")
+    del texts, vocabulary
+    give_back()
+    spans = pa.array([0, len(spoken)], pa.int32())
+    return pa.table({
+        "n": [len(sizes)], "sizes": _one_value(sizes), "numbers": _one_value(numbers), "words": _one_value(words),
+        "marks": _one_value(marks), "langs": pa.ListArray.from_arrays(spans, spoken)})
+
+
+def _one_value(values: np.ndarray) -> pa.Array:
+    """The array's bytes as one binary value, not copied."""
+    ends = np.array([0, values.nbytes], dtype=np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), 1, [None, pa.py_buffer(ends), pa.py_buffer(values)])
 
 
 def _shards(batches: Iterator[pa.RecordBatch]):
+    """Texts as numbers (views of the batch, not copies), buckets, labels and languages of each shard."""
     for batch in batches:
-        for row in batch.column("shard"):
-            texts, buckets, marks, spoken = pickle.loads(row.as_py())
-            yield texts, buckets.astype(np.int32), marks, spoken
+        for i in range(batch.num_rows):
+            sizes, numbers, words, marks = (
+                np.frombuffer(batch.column(c)[i].as_buffer(), kind)
+                for c, kind in (("sizes", "<i8"), ("numbers", "<i4"), ("words", "<u2"), ("marks", "<f8")))
+            ends = np.cumsum(sizes).tolist()
+            texts = [numbers[end - size : end] for end, size in zip(ends, sizes.tolist(), strict=True)]
+            yield texts, words.reshape(-1, PIECES).astype(np.int32), marks, batch.column("langs")[i].as_py()
 
 
 def _epoch(start, seed: int, size: int):
@@ -480,6 +507,8 @@ def _epoch(start, seed: int, size: int):
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array(range(len(pieces)), pa.int32()), "weight": pa.array([float(len(seen))] * len(pieces)),
                 "piece": pa.array(pieces, pa.binary())})
+            del texts, buckets, marks, flat, pieces
+            give_back()
 
     return run
 
@@ -512,6 +541,8 @@ def _bins(final, seed: int):
                 "lang": pa.array([spoken[i] for i in check], pa.string()),
                 "toxic": pa.array(marks[check].astype(np.int32)),
                 "bin": pa.array(np.round(logits * FINE).astype(np.int32))})
+            del texts, buckets
+            give_back()
 
     return run
 
@@ -620,6 +651,7 @@ def _passed(model, threshold: float):
             scores = np.concatenate(
                 [s.column("score").to_numpy() for s in _scored(model)(iter([bare]))] or [np.zeros(0)])
             yield batch.filter(pa.array(scores < threshold))
+        give_back()
 
     return run
 

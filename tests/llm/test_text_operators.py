@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -245,6 +246,38 @@ def test_toxicity_shuffles_no_text_without_label(spark, documents, monkeypatch):
     assert asked <= seen[0] <= asked + 3
 
 
+def test_toxicity_packs_a_shard_once_per_id():
+    """Rows that repeat an id or have no label are left out; the others stand in the order of their places."""
+    n = 400
+    ids, known = [i // 2 for i in range(n)], range(0, n, 3)
+    texts = [f"word{i} " * 20 if i % 7 else None for i in range(n)]
+    lang = ["de" if i % 3 else None for i in range(n)]
+    rows = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": texts, "lang": lang,
+                     "place": pa.array([i * 7919 % 1009 for i in ids], pa.int64())})
+    marked = pa.table({"doc_id": pa.array(known, pa.int64()), "toxic": pa.array([i % 2 for i in known], pa.int32())})
+    (numbers, buckets, marks, spoken), = toxicity._shards(toxicity._packed(rows, marked).to_batches())
+    want = [(i, *min(((texts[k], lang[k]) for k in (2 * i, 2 * i + 1)), key=lambda r: (r[0] is None, r[0] or "")))
+            for i in sorted(set(ids) & set(known), key=lambda i: i * 7919 % 1009)]
+    assert marks.tolist() == [i % 2 for i, _, _ in want]
+    assert spoken == [x for _, _, x in want]
+    assert [len(x) for x in numbers] == [len((text or "").split()) + 2 + (not text) for _, text, _ in want]
+    assert len(buckets) == 1 + len({w for _, text, _ in want for w in (text or "").split()})
+
+
+def test_toxicity_packs_a_shard_without_copies_of_its_texts(monkeypatch):
+    """Arrow holds the texts once when they are numbered, and a shard is read without a copy of its numbers."""
+    held = []
+    monkeypatch.setattr(toxicity, "Vocabulary", lambda real=toxicity.Vocabulary: held.append(pa.total_allocated_bytes()) or real())
+    ids = pa.array(range(400), pa.int64())
+    rows = pa.table({"doc_id": ids, "text": [f"word{i} " * 2000 for i in range(400)], "lang": ["de"] * 400, "place": ids})
+    marked = pa.table({"doc_id": ids, "toxic": pa.array([i % 2 for i in range(400)], pa.int32())})
+    before = pa.total_allocated_bytes()
+    packed = toxicity._packed(rows, marked)
+    assert held[0] - before < rows.column("text").nbytes / 10
+    (texts, *_), = toxicity._shards(packed.to_batches())
+    assert not any(x.flags.owndata for x in texts)
+
+
 def test_toxicity_map_of_ids_loses_none(spark, documents):
     docs = documents([(i * 7919 - 5, "a") for i in range(300)] + [(None, "b")])
     marked = docs.where("doc_id % 2 = 0").select("doc_id")
