@@ -7,15 +7,16 @@ a smaller id. Not every suffix is sorted: each window names one anchor, the smal
 1. Every fourth anchor or so, chosen by its hash, cuts a text into stretches. Of equal stretches
    the one in the smallest id is the first; all others are repeats throughout. Copies and near
    copies end here, but for the stretches in which they differ.
-2. Anchors that occur in several different stretches are looked up in the first ones. Around each stand
-   the windows that named it: its context. Equal contexts are one class, whose smallest id is known.
-3. Where one anchor has several contexts that agree in ``(length + gram) / 2`` bytes at least, as
-   equal windows must on one side of the anchor, their windows are suffixes to be sorted. A task sorts
-   its own by multikey quicksort to a shallow depth, then orders each group that still agrees with a
-   blind trie; neighbours that agree in all bytes are one repeat, and only its smallest id goes on.
-   The tasks' repeats are merged by a 128-bit hash, which tells each class the windows found earlier.
-
-Every minimum is combined before its shuffle and joined back from files, so hot strings can be split.
+2. Anchors are shuffled once and read in their order: those that occur in several different stretches are looked
+   up in the first ones. Around each stand the windows that named it: its context.
+3. The contexts of an anchor meet in one task. Equal contexts are one class, whose smallest id is known. Where one
+   anchor has several contexts that agree in ``(length + gram) / 2`` bytes at least, as equal windows must on one
+   side of the anchor, their windows are suffixes to be sorted, if another has the same hash: by multikey quicksort
+   to a shallow depth, then each group that still agrees with a blind trie. Neighbours that agree in all bytes are one
+   repeat, and only the smallest id keeps it.
+4. Anchors with more than ``CROWD`` bytes of contexts are settled between tasks: sides, classes and windows are
+   grouped by 128-bit hashes, windows after each task has sorted its own. Their minima are combined before the shuffle.
+
 Nothing is capped: each window of each document is judged.
 
 Nulls: a null text is empty; a row without an id neither loses bytes nor makes others lose any. Rows
