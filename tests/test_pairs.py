@@ -103,3 +103,31 @@ def test_crowded_pairs_come_from_many_join_keys(spark):
     assert len(sizes) == 13 * 2 and max(sizes) < 4 * 32 * 256
     best = pairs.single_best(paid, net, SETTING)
     assert {(r.payment_id, r.abs_diff) for r in best.collect()} == {(i, max(0, i - 299)) for i in range(400)}
+
+
+def double(value):
+    return float(value) if isinstance(value, Decimal) else value
+
+
+@pytest.mark.parametrize("tile", [3, 1024])
+def test_pairs_in_doubles(spark, tile):
+    """Amounts converted before rows are paired are those of the decimals, also past what whole cents hold exactly."""
+    invoices, payments = rows(4)
+    invoices = [(*i[:4], *(v and v * 10**12 if i[1] == 105 else v for v in i[4:])) for i in invoices]
+    paid, net = spark.createDataFrame(payments, PAYMENTS), spark.createDataFrame(invoices, NET)
+    for pair in (pairs.eligible_invoices,):
+        exact, got = pair(paid, net, SETTING, tile=tile), pair(paid, net, SETTING, tile=tile, doubles=True)
+        assert "decimal" not in got.schema.simpleString() and got.columns == exact.columns
+        want = sorted((tuple(map(double, r)) for r in exact.collect()), key=order)
+        assert sorted(map(tuple, got.collect()), key=order) == want and len(want) > 1000
+
+
+def test_no_amount_is_converted_pair_by_pair(spark):
+    """Above the join of the pairs stands no conversion from a decimal, in the registered queries."""
+    from remitmatch.harness import registry
+
+    for name in ("eligible_invoices",):
+        plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        above = plan.split("Join", 1)[0]
+        for amount in ("payment_amount", "invoice_amount", "credits_applied", "invoice_net_due"):
+            assert f"cast({amount}" not in above, plan
