@@ -115,7 +115,7 @@ def test_pairs_in_doubles(spark, tile):
     invoices, payments = rows(4)
     invoices = [(*i[:4], *(v and v * 10**12 if i[1] == 105 else v for v in i[4:])) for i in invoices]
     paid, net = spark.createDataFrame(payments, PAYMENTS), spark.createDataFrame(invoices, NET)
-    for pair in (pairs.eligible_invoices,):
+    for pair in (pairs.eligible_invoices, pairs.greedy_running):
         exact, got = pair(paid, net, SETTING, tile=tile), pair(paid, net, SETTING, tile=tile, doubles=True)
         assert "decimal" not in got.schema.simpleString() and got.columns == exact.columns
         want = sorted((tuple(map(double, r)) for r in exact.collect()), key=order)
@@ -126,8 +126,26 @@ def test_no_amount_is_converted_pair_by_pair(spark):
     """Above the join of the pairs stands no conversion from a decimal, in the registered queries."""
     from remitmatch.harness import registry
 
-    for name in ("eligible_invoices",):
+    for name in ("eligible_invoices", "greedy_running"):
         plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         above = plan.split("Join", 1)[0]
         for amount in ("payment_amount", "invoice_amount", "credits_applied", "invoice_net_due"):
             assert f"cast({amount}" not in above, plan
+
+
+def test_positions_in_a_customers_ledger(spark):
+    """Positions and offsets over dates that several ranges share, against a plain walk through the ledger."""
+    from remitmatch.operators.ledger import customer_positions
+
+    invoices = [i for i in rows(5)[0] if None not in i[:3]]
+    net = spark.createDataFrame(invoices, NET).select("customer_id", "invoice_date", "invoice_id", "invoice_net_due")
+    placed, days = customer_positions(net, parts=7)
+    want, starts, at = [], {}, {}
+    for i in sorted(invoices, key=lambda i: (i[1], i[2], i[0])):
+        n, total = at.get(i[1], (0, Decimal(0)))
+        starts.setdefault((i[1], i[2]), (n, total))
+        at[i[1]] = n + 1, total + (i[7] or 0)
+        want.append((i[1], i[2], i[0], i[7], at[i[1]][0]))
+    got = placed.collect()
+    assert sorted(tuple(r)[:5] for r in got) == sorted(want)
+    assert {(r[0], r[1]): (r[2], r[3]) for r in days.collect()} == starts and days.count() == len(starts)
