@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from remitmatch.plans.pipeline import COUNTED, detect
 from remitmatch.schemas import DOCUMENT_CSV
+from remitmatch.session import PACKED
 from remitmatch.sinks.outputs import merge_run, results_rows, summary_row, write_report, write_summary
 from remitmatch.sources.documents import read_csv_text, read_documents, split
 
@@ -78,7 +79,7 @@ class StagedRun:
 
     def _write(self, stage: str, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.folder}/{stage}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=PACKED)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _read(self, stage: str, name: str) -> DataFrame:
@@ -140,7 +141,7 @@ class StagedRun:
         if not self.publish:
             return Outcome(0, [], "SKIPPED")
         report = self._read("transformation", "discrepancy_report")
-        write_report(report, self.root, self.run_date)
+        write_report(report, self.root, self.run_date, compression="gzip")
         rows = results_rows(report, self.run_id, self.run_date, self.environment)
         merge_run(self.spark, rows, self.root, self.run_date, self.run_id)
         counts = report.agg(*[F.count_if(F.expr(test)).alias(c) for c, test in COUNTED.items()]).withColumns(

@@ -4,7 +4,7 @@ import datetime
 
 from test_documents import INVOICES, PAYMENTS, write
 
-from remitmatch.plans import pipeline
+from remitmatch.plans import pipeline, stages
 from remitmatch.session import written
 from remitmatch.sinks import outputs
 from remitmatch.sources.documents import read_csv_text
@@ -43,5 +43,14 @@ def test_a_pipeline_run_keeps_files_and_no_blocks(spark, tmp_path, monkeypatch):
     assert len(rows) == 3 and reported(spark, tmp_path / f"archive/reports/run_date={DAY}") == rows
 
 
+def test_a_staged_run_keeps_packed_files(spark, tmp_path):
+    root = tmp_path / "archive"
+    stages.run_stages(spark, sources(tmp_path), DAY, "r", str(root), DAY)
+    assert endings(root / "reports") == {"csv.gz"}
+    for folder in ("stages", "ar_reconciliation_results"):
+        assert endings(root / folder) == {"zstd.parquet"}
+    assert len(reported(spark, root / f"reports/run_date={DAY}")) == 3
+
+
 def test_what_is_written_aside_is_packed(spark):
     assert all(f.endswith("zstd.parquet") for f in written(spark.range(3), "some").inputFiles())
