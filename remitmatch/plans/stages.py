@@ -30,6 +30,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from remitmatch.operators.aging import aging_bucket_counts
+from remitmatch.operators.discrepancies import high_risk_accounts
 from remitmatch.plans.pipeline import COUNTED, detect
 from remitmatch.schemas import DOCUMENT_CSV
 from remitmatch.session import PACKED
@@ -131,10 +133,10 @@ class StagedRun:
         return Outcome(report.count(), [], "SUCCESS")
 
     def reporting(self) -> Outcome:
-        found = self._detected()
-        self._write("reporting", "aging_report", found.aging)
-        self._write("reporting", "aging_bucket_counts", found.aging_counts)
-        self._write("reporting", "high_risk_accounts", found.high_risk)
+        aging = self._write("reporting", "aging_report", self._detected().aging)
+        self._write("reporting", "aging_bucket_counts", aging_bucket_counts(aging))
+        report = self._read("transformation", "discrepancy_report")
+        self._write("reporting", "high_risk_accounts", high_risk_accounts(report))
         return Outcome(self.loaded("invoices").count(), [], "SUCCESS")
 
     def archival(self) -> Outcome:

@@ -54,3 +54,15 @@ def test_a_staged_run_keeps_packed_files(spark, tmp_path):
 
 def test_what_is_written_aside_is_packed(spark):
     assert all(f.endswith("zstd.parquet") for f in written(spark.range(3), "some").inputFiles())
+
+
+def test_reporting_starts_from_what_was_written(spark, tmp_path, monkeypatch):
+    """Detection is planned for validation, transformation and aging; risk and bucket counts come from their files."""
+    root, planned = tmp_path / "archive", []
+    monkeypatch.setattr(stages.StagedRun, "_write", lambda run, stage, name, df, write=stages.StagedRun._write: (
+        planned.append((name, sorted({f.split("/stages/r/")[1].rpartition("/")[0] for f in df.inputFiles()
+                                      if "/stages/r/" in f}))), write(run, stage, name, df))[1])
+    stages.run_stages(spark, sources(tmp_path), DAY, "r", str(root), DAY)
+    read = dict(planned)
+    assert read["aging_bucket_counts"] == ["reporting/aging_report"]
+    assert read["high_risk_accounts"] == ["transformation/discrepancy_report"]
